@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .op1_language import op1_language
+from .op3_token_store import op3_token_store
 from .op6_quality import op6_quality
 from .op7_toxicity import op7_toxicity
 from .op8_token_counts import op8_token_counts
@@ -10,6 +11,7 @@ from .op9_pii import op9_pii
 
 QUERIES = {
     "op1_language": op1_language,
+    "op3_token_store": op3_token_store,
     "op6_quality": op6_quality,
     "op7_toxicity": op7_toxicity,
     "op8_token_counts": op8_token_counts,
