@@ -5,6 +5,7 @@ from __future__ import annotations
 from .op1_language import op1_language
 from .op10_decontaminate import op10_decontaminate
 from .op3_token_store import op3_token_store
+from .op4_jaccard import op4_jaccard
 from .op5_ppm import op5_ppm
 from .op6_quality import op6_quality
 from .op7_toxicity import op7_toxicity
@@ -15,6 +16,7 @@ QUERIES = {
     "op1_language": op1_language,
     "op10_decontaminate": op10_decontaminate,
     "op3_token_store": op3_token_store,
+    "op4_jaccard": op4_jaccard,
     "op5_ppm": op5_ppm,
     "op6_quality": op6_quality,
     "op7_toxicity": op7_toxicity,
