@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .op1_language import op1_language
 from .op10_decontaminate import op10_decontaminate
+from .op2_mixing import op2_mixing
 from .op3_token_store import op3_token_store
 from .op4_jaccard import op4_jaccard
 from .op5_ppm import op5_ppm
@@ -15,6 +16,7 @@ from .op9_pii import op9_pii
 QUERIES = {
     "op1_language": op1_language,
     "op10_decontaminate": op10_decontaminate,
+    "op2_mixing": op2_mixing,
     "op3_token_store": op3_token_store,
     "op4_jaccard": op4_jaccard,
     "op5_ppm": op5_ppm,
