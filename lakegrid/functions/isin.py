@@ -115,13 +115,12 @@ def albers(lon: Column, lat: Column, region: str = "CONUS") -> tuple[Column, Col
     return rho * F.sin(theta), rho0 - rho * F.cos(theta)
 
 
-def unalbers(x: Column, y: Column, region: str = "CONUS", turns: int = 6) -> tuple[Column, Column]:
-    """Inverse, by a fixed number of turns."""
+def with_lonlat(df: DataFrame, x: str = "x", y: str = "y", region: str = "CONUS", turns: int = 6) -> DataFrame:
+    """Adds lon and lat of conic coordinates, by a fixed number of turns, each a column of its own."""
     n, c, rho0, l0, e = _albers_constants(region)
-    rho = F.sqrt(x * x + (rho0 - y) * (rho0 - y))
-    q = (c - rho * rho * n * n / (AXIS * AXIS)) / n
-    phi = F.asin(q / 2)
+    rho2 = F.col(x) * F.col(x) + (rho0 - F.col(y)) * (rho0 - F.col(y))
+    df = df.withColumn("q_", (c - rho2 * n * n / (AXIS * AXIS)) / n).withColumn("phi_", F.asin(F.col("q_") / 2))
+    s, q = F.sin(F.col("phi_")), F.col("q_")
     for _ in range(turns):
-        s = F.sin(phi)
-        phi = phi + F.pow(1 - e * e * s * s, F.lit(2)) / (2 * F.cos(phi)) * (q / (1 - e * e) - s / (1 - e * e * s * s) + F.log((1 - e * s) / (1 + e * s)) / (2 * e))
-    return wrap(math.degrees(l0) + F.degrees(F.atan2(x, rho0 - y)) / n), F.degrees(phi)
+        df = df.withColumn("phi_", F.col("phi_") + F.pow(1 - e * e * s * s, F.lit(2)) / (2 * F.cos(F.col("phi_"))) * (q / (1 - e * e) - s / (1 - e * e * s * s) + F.log((1 - e * s) / (1 + e * s)) / (2 * e)))
+    return df.withColumns({"lon": wrap(math.degrees(l0) + F.degrees(F.atan2(F.col(x), rho0 - F.col(y))) / n), "lat": F.degrees("phi_")}).drop("q_", "phi_")

@@ -14,7 +14,7 @@ def dedupe_observations(pixels: DataFrame, order: list[str]) -> DataFrame:
     """The first observation of each lake and position (6 decimals, half to even), by the given order."""
     p = pixels.filter("hylak_id is not null and lat is not null and lon is not null").withColumns({"lat6": F.bround("lat", 6), "lon6": F.bround("lon", 6)})
     w = Window.partitionBy("hylak_id", "lat6", "lon6").orderBy(*order)
-    return p.withColumn("nth", F.row_number().over(w)).filter("nth = 1").drop("nth", "lat6", "lon6")
+    return p.withColumn("_nth", F.row_number().over(w)).filter("_nth = 1").drop("_nth", "lat6", "lon6")
 
 
 def summary(value: Column, name: str, keep: Column | None = None) -> list[Column]:

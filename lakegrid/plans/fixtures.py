@@ -70,6 +70,11 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(text.replace("//", "div"), **used)
 
 
+def definition(name: str) -> str:
+    """DuckDB's definition of one view, without those it uses."""
+    return f"fx_{name} as ({re.sub(r'{(\w+)}', lambda m: f'fx_{m[1]}' if m[1] in VIEWS else m[1], VIEWS[name])})"
+
+
 def with_views(*names: str) -> str:
     """DuckDB's WITH clause that defines the views and those they use."""
     out: dict[str, str] = {}
