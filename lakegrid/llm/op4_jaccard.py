@@ -31,8 +31,8 @@ from .shared import mix, read, shingle_sets, slices, written
 
 #: A link needs PERCENT of the union in common.
 PERCENT = 75
-#: How the order of shingles is chosen (results don't depend on it): a slice names its shingles of at least LOCAL sets, at most NAMED; the COMMON most frequent go last.
-LOCAL, NAMED, COMMON = 4, 4096, 65_536
+#: How the order of shingles is chosen (results don't depend on it): of each GATHERED shingles a task names those of at least LOCAL distinct sets, the NAMED most frequent at most; the COMMON most frequent of all go last.
+GATHERED, LOCAL, NAMED, COMMON = 6_000_000, 2, 131_072, 524_288
 #: Sets that are compared with one copy of their pivot.
 SALTED = 2000
 
@@ -57,21 +57,34 @@ def _list(values: np.ndarray, at: np.ndarray, kind: pa.DataType) -> pa.Array:
 
 
 def _named(batches):
-    """Per text (kind 0) its size and name; per slice (kind 1) shingles that several of its distinct sets hold."""
+    """Per text (kind 0) its size and name; per task (kind 1) shingles that several of its distinct sets hold."""
+    held: list[np.ndarray] = []
+    seen: set[int] = set()
+
+    def frequent():
+        s = np.sort(np.concatenate(held))
+        held.clear()
+        first = np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1])))
+        count = np.diff(np.append(first, len(s)))
+        top = np.flatnonzero(count >= LOCAL)
+        top = top[np.argsort(-count[top], kind="stable")][:NAMED]
+        return pa.RecordBatch.from_arrays([pa.array(np.ones(len(top)), _I), pa.array(s[first[top]].astype(np.int64)), pa.array(count[top], _L), pa.array(np.zeros(len(top)), _L)], names=["kind", "id", "n", "name"])
+
     for part in slices(batches):
         h, at, name = _sets(part.column("text"))
         n = np.diff(at)
         yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(n)), _I), part.column("doc_id"), pa.array(n, _L), pa.array(name.astype(np.int64))], names=["kind", "id", "n", "name"])
         _, one = np.unique(name, return_index=True)
+        fresh = [i for i in one if int(name[i]) not in seen]
+        if len(seen) < 1_000_000:
+            seen.update(int(name[i]) for i in fresh)
         keep = np.zeros(len(n), bool)
-        keep[one] = True
-        s = np.sort(h[np.repeat(keep, n)])
-        first = np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1]))) if len(s) else np.zeros(0, np.int64)
-        count = np.diff(np.append(first, len(s)))
-        top = np.flatnonzero(count >= LOCAL)
-        top = top[np.argsort(-count[top], kind="stable")][:NAMED]
-        if len(top):
-            yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(top)), _I), pa.array(s[first[top]].astype(np.int64)), pa.array(count[top], _L), pa.array(np.zeros(len(top)), _L)], names=["kind", "id", "n", "name"])
+        keep[fresh] = True
+        held.append(h[np.repeat(keep, n)])
+        if sum(map(len, held)) > GATHERED:
+            yield frequent()
+    if held and sum(map(len, held)):
+        yield frequent()
 
 
 POSTED = "bucket int, names array<long>, sizes array<int>, tokens array<long>, member array<int>, rest array<int>"
