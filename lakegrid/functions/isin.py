@@ -115,12 +115,13 @@ def albers(lon: Column, lat: Column, region: str = "CONUS") -> tuple[Column, Col
     return rho * F.sin(theta), rho0 - rho * F.cos(theta)
 
 
-def with_lonlat(df: DataFrame, x: str = "x", y: str = "y", region: str = "CONUS", turns: int = 6) -> DataFrame:
-    """Adds lon and lat of conic coordinates, by a fixed number of turns, each a column of its own."""
+def unalbers(x: Column, y: Column, region: str = "CONUS") -> tuple[Column, Column]:
+    """Inverse, by the series of geodetic in authalic latitude up to the sixth power of the eccentricity (under 1e-7 degrees)."""
     n, c, rho0, l0, e = _albers_constants(region)
-    rho2 = F.col(x) * F.col(x) + (rho0 - F.col(y)) * (rho0 - F.col(y))
-    df = df.withColumn("q_", (c - rho2 * n * n / (AXIS * AXIS)) / n).withColumn("phi_", F.asin(F.col("q_") / 2))
-    s, q = F.sin(F.col("phi_")), F.col("q_")
-    for _ in range(turns):
-        df = df.withColumn("phi_", F.col("phi_") + F.pow(1 - e * e * s * s, F.lit(2)) / (2 * F.cos(F.col("phi_"))) * (q / (1 - e * e) - s / (1 - e * e * s * s) + F.log((1 - e * s) / (1 + e * s)) / (2 * e)))
-    return df.withColumns({"lon": wrap(math.degrees(l0) + F.degrees(F.atan2(F.col(x), rho0 - F.col(y))) / n), "lat": F.degrees("phi_")}).drop("q_", "phi_")
+    e2 = e * e
+    pole = 1 - (1 - e2) / (2 * e) * math.log((1 - e) / (1 + e))
+    rho2 = x * x + (rho0 - y) * (rho0 - y)
+    beta = F.asin((c - rho2 * n * n / (AXIS * AXIS)) / n / pole)
+    terms = ((2, e2 / 3 + 31 * e2**2 / 180 + 517 * e2**3 / 5040), (4, 23 * e2**2 / 360 + 251 * e2**3 / 3780), (6, 761 * e2**3 / 45360))
+    phi = sum((k * F.sin(m * beta) for m, k in terms), beta)
+    return wrap(math.degrees(l0) + F.degrees(F.atan2(x, rho0 - y)) / n), F.degrees(phi)

@@ -56,8 +56,8 @@ def e_albers(spark: SparkSession, sf: str) -> DataFrame:
     """Pixels in the conic grid and back; rows only."""
     x, y = isin.albers(F.col("lon"), F.col("lat"))
     p = pixels(spark, sf).select(*KEYS, F.col("lon").alias("lon0"), F.col("lat").alias("lat0"), x.alias("x"), y.alias("y"))
-    p = isin.with_lonlat(p)
-    return p.select(*KEYS, F.round("x", 3).alias("x"), F.round("y", 3).alias("y"), (F.abs(F.col("lon") - F.col("lon0")) < 1e-9).alias("lon_back"), (F.abs(F.col("lat") - F.col("lat0")) < 1e-9).alias("lat_back"))
+    lon, lat = isin.unalbers(F.col("x"), F.col("y"))
+    return p.select(*KEYS, F.round("x", 3).alias("x"), F.round("y", 3).alias("y"), (F.abs(lon - F.col("lon0")) < 1e-7).alias("lon_back"), (F.abs(lat - F.col("lat0")) < 1e-7).alias("lat_back"))
 
 
 def d_polygon_bins(spark: SparkSession, sf: str) -> DataFrame:
