@@ -12,6 +12,7 @@ from .op6_quality import op6_quality
 from .op7_toxicity import op7_toxicity
 from .op8_token_counts import op8_token_counts
 from .op9_pii import op9_pii
+from .oracles import ORACLES
 
 QUERIES = {
     "op1_language": op1_language,
@@ -25,4 +26,5 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_pii": op9_pii,
 }
-ORACLES: dict[str, str] = {}
+
+__all__ = ["ORACLES", "QUERIES"]
