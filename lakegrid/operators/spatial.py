@@ -141,3 +141,29 @@ def plan_windows(scenes: DataFrame, lakes: DataFrame, pairs: DataFrame, km: floa
     narrow = scenes.filter(F.col("xmax") - F.col("xmin") <= 170).select("scene_no")
     found = kept.join(narrow, "scene_no", "left_semi")
     return scenes.select("scene_no").join(found, "scene_no", "left").select("scene_no", F.col("x0").alias("xmin"), F.col("y0").alias("ymin"), F.col("x1").alias("xmax"), F.col("y1").alias("ymax"))
+
+
+def lakes_for_window(windows: DataFrame, lakes: DataFrame, key: str) -> DataFrame:
+    """(key, hylak_id) of windows and lakes whose boxes meet; a window without bounds (the whole scene) takes none here."""
+    return box_join(windows.filter("xmin is not null"), lakes, key, "hylak_id")
+
+
+def shore_distance(points: DataFrame, edges: DataFrame) -> DataFrame:
+    """points (hylak_id, lon, lat, ...) with metres to their lake's nearest edge, in a plane about each point."""
+    degree = 6371000.0 * 3.141592653589793 / 180.0
+    outlines = edges.groupBy("hylak_id").agg(F.collect_list(F.struct("x0", "y0", "x1", "y1")).alias("edges"))
+    wide = degree * F.cos(F.radians("lat"))
+    at = lambda e, i: ((e[f"x{i}"] - F.col("lon")) * wide, (e[f"y{i}"] - F.col("lat")) * degree)
+
+    def away(e):
+        (ax, ay), (bx, by) = at(e, 0), at(e, 1)
+        dx, dy = bx - ax, by - ay
+        t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(F.try_divide(-(ax * dx + ay * dy), dx * dx + dy * dy), F.lit(0.0))))
+        return F.sqrt((ax + t * dx) * (ax + t * dx) + (ay + t * dy) * (ay + t * dy))
+
+    return points.join(outlines, "hylak_id").withColumn("metres", F.array_min(F.transform("edges", away))).drop("edges")
+
+
+def shore_buffer(points: DataFrame, edges: DataFrame, metres: float) -> DataFrame:
+    """Points of lakes at least that far from the shore; all for 0."""
+    return points if metres <= 0 else shore_distance(points, edges).filter(F.col("metres") >= metres).drop("metres")

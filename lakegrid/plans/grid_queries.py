@@ -218,7 +218,13 @@ def d_nearest_same_lake(spark: SparkSession, sf: str) -> DataFrame:
     return m.select("scene_no", "iy", "ix", "hylak_id", "match", F.round("metres", 4).alias("metres"))
 
 
-QUERIES = {f.__name__: f for f in (e_isin_rows, e_bin_number, e_bin_geometry, e_albers, d_polygon_bins, d_scene_lakes, d_neighbour_vectors, d_footprint_overlap, f_pixels_to_bins, f_reduce_bins, f_daily_cells, f_daily_lakes, daily_lakes_by_area, e_raster_layout, a_daily_science, j_reproduce, j_check_lake_rows, d_nasa_cells_in_lake, f_nasa_histogram, j_check_nasa_rows, g_dedupe_nasa_cells, d_pair_cells, f_pair_leftovers, f_pair_statistics, f_density_2d, d_coverage_complete, e_latlon_grid, e_support_cells, d_nearest_same_lake)}
+def d_shore_buffer(spark: SparkSession, sf: str) -> DataFrame:
+    """Lake pixels 300 m or more from their shore, and how far."""
+    p = P.assign_lake(pixels(spark, sf), view(spark, sf, "lake_edges")).filter("hylak_id is not null")
+    return P.shore_distance(p, view(spark, sf, "lake_edges")).filter("metres >= 300").select(*KEYS, "hylak_id", F.round("metres", 4).alias("metres"))
+
+
+QUERIES = {f.__name__: f for f in (d_shore_buffer, e_isin_rows, e_bin_number, e_bin_geometry, e_albers, d_polygon_bins, d_scene_lakes, d_neighbour_vectors, d_footprint_overlap, f_pixels_to_bins, f_reduce_bins, f_daily_cells, f_daily_lakes, daily_lakes_by_area, e_raster_layout, a_daily_science, j_reproduce, j_check_lake_rows, d_nasa_cells_in_lake, f_nasa_histogram, j_check_nasa_rows, g_dedupe_nasa_cells, d_pair_cells, f_pair_leftovers, f_pair_statistics, f_density_2d, d_coverage_complete, e_latlon_grid, e_support_cells, d_nearest_same_lake)}
 
 # SQL
 _PIX = with_views("pixels")
@@ -283,7 +289,15 @@ gc as (select scene_no, iy, ix, south + (iy + 0.5::double) * dlat as lat, west +
 gh as (select g.scene_no, iy, ix, lat, lon, e.hylak_id, min(lake_order) as o from gc g join fx_lake_edges e on (e.y0 > lat) <> (e.y1 > lat) and lon < (e.x1 - e.x0) * (lat - e.y0) / (e.y1 - e.y0) + e.x0 group by all having count(*) % 2 = 1),
 sc as (select scene_no, iy, ix, lat, lon, arg_min(hylak_id, o) as hylak_id from gh group by all)"""
 
+_DEG = "(6371000.0::double * pi() / 180)"
 ORACLES = {
+    "d_shore_buffer": with_views("pixels", "lake_edges") + f""", hit as (select scene_no, source_row, source_col, lat, lon, e.hylak_id, min(lake_order) as o from fx_pixels p join fx_lake_edges e
+  on (e.y0 > p.lat) <> (e.y1 > p.lat) and p.lon < (e.x1 - e.x0) * (p.lat - e.y0) / (e.y1 - e.y0) + e.x0 group by all having count(*) % 2 = 1),
+own as (select scene_no, source_row, source_col, lat, lon, arg_min(hylak_id, o) as hylak_id from hit group by all),
+v as (select own.*, (x0 - lon) * {_DEG} * cos(radians(lat)) as ax, (y0 - lat) * {_DEG} as ay, (x1 - lon) * {_DEG} * cos(radians(lat)) as bx, (y1 - lat) * {_DEG} as b_y from own join fx_lake_edges using (hylak_id)),
+t as (select *, greatest(0, least(1, -(ax * (bx - ax) + ay * (b_y - ay)) / nullif(pow(bx - ax, 2) + pow(b_y - ay, 2), 0))) as t from v),
+m as (select scene_no, source_row, source_col, hylak_id, min(sqrt(pow(ax + t * (bx - ax), 2) + pow(ay + t * (b_y - ay), 2))) as m from t group by all)
+select scene_no, source_row, source_col, hylak_id, round(m, 4) as metres from m where m >= 300""",
     "e_isin_rows": f"{_PIX},\n{_ROWS}, u as (select greatest(0, least(69119, floor((lat + 90) * 69120 / 180)))::int as row, count(*) as pixels from fx_pixels group by 1) select u.row, pixels, n, before from u join isin using (row)",
     "e_bin_number": f"{_PIX},\n{_ROWS},\n{_BINNED} select scene_no, source_row, source_col, bin_row, bin_col, before + bin_col + 1 as bin from pb",
     "e_bin_geometry": f"""{_PIX},\n{_ROWS},\n{_BINNED}, {_MERID}, b as (select distinct scene_no, bin_row, bin_col, before + bin_col + 1 as bin, n from pb),
