@@ -15,7 +15,7 @@ Roots are Merkle roots; ``verify`` recomputes them from the files alone.
 from __future__ import annotations
 
 import hashlib
-import re
+import os
 from functools import lru_cache
 
 import numpy as np
@@ -31,41 +31,81 @@ VOCABULARY, END = "byte_bpe_50k.json", 0
 #: Ids of a chunk: at least, on average beyond that, at most; ids the rolling hash looks back on.
 LEAST, MEAN, MOST, BACK = 64, 256, 1024, 12
 #: Pieces whose ids a task keeps; more start a new table.
-KEPT_PIECES = 400_000
+KEPT_PIECES = 500_000
+#: New pieces that go to the library as one text.
+JOINED = 256
 
 
 class Encoder:
     """The library's encoding of a text, by pieces between single spaces whose ids are kept.
 
-    The vocabulary's pattern starts a new piece at a single space or line feed between two
-    other characters, whatever stands around; so the text can be encoded in parts cut there,
-    and equal parts have equal ids. Any other white space leaves its part uncut.
+    The vocabulary's pattern starts a new piece at a single space between two other
+    characters that are no white space, whatever stands around; so a text can be encoded in
+    parts cut there, and equal parts have equal ids. New parts go to the library many at a
+    time, joined by single spaces; a token's bytes tell which part it is of. Texts in which
+    a space meets other white space go to it whole.
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.library = Tokenizer.from_file(path)
-        self.ids: dict[str, bytes] = {}
+        vocab = self.library.get_vocab(with_added_tokens=True)
+        self.size = np.zeros(max(vocab.values()) + 1, np.int64)
+        for token, i in vocab.items():
+            self.size[i] = len(token)  # a character of a byte-level token is a byte; special strings are ASCII
+        self.ids: dict[str, bytes | None] = {}
+
+    def learn(self, parts: list[str]) -> None:
+        """Ids of " " + part for parts that begin and end with no white space; None for others."""
+        good = []
+        for p in parts:
+            if p and not p[0].isspace() and not p[-1].isspace():
+                good.append(p)
+            else:
+                self.ids[p] = None
+        groups = [good[i : i + JOINED] for i in range(0, len(good), JOINED)]
+        for group, e in zip(groups, self.library.encode_batch_fast([" " + " ".join(g) for g in groups], add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, "<u4")
+            ends = np.cumsum(self.size[ids])
+            cut = np.searchsorted(ends, np.cumsum([len(p.encode()) + 1 for p in group]))
+            raw, at = ids.tobytes(), 0
+            for p, end in zip(group, ((cut + 1) * 4).tolist(), strict=True):
+                self.ids[p] = raw[at:end]
+                at = end
 
-    def missing(self, pieces: list[str]) -> None:
-        found = self.library.encode_batch_fast(pieces, add_special_tokens=False)
-        if len(self.ids) + len(pieces) > KEPT_PIECES:
+    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+        parts = [t.split(" ") if t else None for t in texts]
+        new: set[str] = set()
+        for p in parts:
+            if p:
+                new.update(p[1:])
+        every = len(new)
+        new.difference_update(self.ids)
+        if len(self.ids) + len(new) > KEPT_PIECES and len(new) < every:
             self.ids.clear()
-        for p, e in zip(pieces, found, strict=True):
-            self.ids[p] = np.array(e.ids, "<u4").tobytes()
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        cuts = [CUT.split(t) if t else [] for t in texts]
-        known = self.ids
-        new = list({p for c in cuts for p in c if p not in known})
-        new = new if len(known) + len(new) <= KEPT_PIECES else list({p for c in cuts for p in c})
-        if new:
-            self.missing(new)
-        known = self.ids
-        return [np.frombuffer(b"".join([known[p] for p in c]), "<u4") for c in cuts]
-
-
-#: Before a space, or around a line feed, that stands between two characters that are no white space.
-CUT = re.compile(r"(?<=\S)(?= [^\s])|(?<=\S)(?=\n[^\s])|(?<=[^\s]\n)(?=[^\s])")
+            new = {x for p in parts if p for x in p[1:]}
+        self.learn(list(new))
+        find, whole, out = self.ids.__getitem__, [], []
+        for p in parts:
+            if p is None:
+                out.append(b"")
+                continue
+            tail = list(map(find, p[1:]))
+            if None in tail or not p[0] or p[0][-1].isspace():
+                out.append(None)
+                whole.append(" ".join(p))
+            else:
+                out.append((p[0], tail))
+        heads = self.library.encode_batch_fast([x[0] for x in out if isinstance(x, tuple)], add_special_tokens=False)
+        rest, heads = iter(self.library.encode_batch_fast(whole, add_special_tokens=False)), iter(heads)
+        joined = []
+        for x in out:
+            if isinstance(x, tuple):
+                joined.append(np.frombuffer(np.array(next(heads).ids, "<u4").tobytes() + b"".join(x[1]), "<u4"))
+            else:
+                joined.append(np.array(next(rest).ids, "<u4") if x is None else np.zeros(0, "<u4"))
+        return joined
+
 
 _rng = np.random.RandomState(31)
 ID_PLACE = _rng.randint(0, 2**62, BACK).astype(np.uint64) * np.uint64(2) + np.uint64(1)
