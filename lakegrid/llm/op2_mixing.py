@@ -45,7 +45,7 @@ def _terms(text: Column) -> Column:
     share = lambda letters: (F.length(text) - F.length(F.translate(text, letters, ""))) / n
     style = F.array(
         F.when(share("#*$%&<>") > 0.02, "#symbols"), F.when(share("|") > 0.02, "#bars"), F.when(share("ABCDEFGHIJKLMNOPQRSTUVWXYZ") > 0.3, "#capitals"),
-        F.when(share("0123456789") > 0.1, "#digits"), F.when(n < 200, "#short").when(n > 10_000, "#long"),
+        F.when(n < 200, "#short").when(n > 10_000, "#long"),
     )
     return F.concat(F.array_compact(style), F.split(F.lower(text), r"[^\p{L}\p{N}]+"))
 
