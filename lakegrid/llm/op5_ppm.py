@@ -138,7 +138,7 @@ def _gather(batches, buckets: int):
         yield strings()
 
 
-ADDED = "kind int, key array<long>, value array<double>, known array<long>, tokens array<long>"
+ADDED = "kind int, place int, key array<long>, value array<double>, known array<long>, tokens array<long>"
 
 
 def _flat(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -148,17 +148,17 @@ def _flat(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return array.values.to_numpy()[at[0] : at[-1]], np.diff(at)
 
 
-def _add_up(table: pa.Table) -> pa.Table:
-    """Of one bucket. Kind 0: each text's sum of log10(c + 0.1) over its words here, its known words and its words; kind 1: byte strings with their counts; kind 2: training words and distinct ones among them."""
+def _add_up(table: pa.Table, buckets: int) -> pa.Table:
+    """Of one bucket. Kind 0, packed by the texts' own bucket (place): each text's sum of log10(c + 0.1) over its words here, its known words and its words; kind 1: byte strings with their counts; kind 2: training words and distinct ones among them."""
     kind = table.column("kind").to_numpy()
-    rows: list[tuple[int, list, list, list, list]] = []
+    rows: list[tuple[int, int, list, list, list, list]] = []
     part = table.filter(pa.array(kind == 0))
     if part.num_rows:
         keys, per = _flat(part.column("keys"))
         train, _ = _flat(part.column("train"))
         distinct, back = np.unique(keys, return_inverse=True)
         c = np.bincount(back, train, len(distinct))
-        rows.append((2, [], [], [int(c.sum())], [int((c > 0).sum())]))
+        rows.append((2, 0, [], [], [int(c.sum())], [int((c > 0).sum())]))
         value, known = np.log10(c + 0.1)[back], (c > 0)[back]
         docs, per_doc = _flat(part.column("docs"))
         pdoc, per_pair = _flat(part.column("pair_doc"))
@@ -168,18 +168,29 @@ def _add_up(table: pa.Table) -> pa.Table:
         tokens = np.bincount(d, tf, len(docs))
         sums, n_known = np.bincount(d, tf * value[k], len(docs)), np.bincount(d, tf * known[k], len(docs))
         live = np.flatnonzero(tokens)
-        for i in range(0, len(live), 50_000):
-            j = live[i : i + 50_000]
-            rows.append((0, docs[j], sums[j], n_known[j].astype(np.int64), tokens[j].astype(np.int64)))
+        order, at = _bucketed(mix(docs[live].astype(np.uint64)), buckets)
+        live = live[order]
+        for place in np.flatnonzero(np.diff(at)):
+            j = live[at[place] : at[place + 1]]
+            rows.append((0, int(place), docs[j], sums[j], n_known[j].astype(np.int64), tokens[j].astype(np.int64)))
     part = table.filter(pa.array(kind == 1))
     if part.num_rows:
         codes, n = _summed(_flat(part.column("keys"))[0], _flat(part.column("train"))[0])
         for i in range(0, len(codes), 50_000):
-            rows.append((1, codes[i : i + 50_000], [], n[i : i + 50_000], []))
-    kinds = [pa.int32(), pa.list_(_L), pa.list_(pa.float64()), pa.list_(_L), pa.list_(_L)]
+            rows.append((1, 0, codes[i : i + 50_000], [], n[i : i + 50_000], []))
+    kinds = [pa.int32(), pa.int32(), pa.list_(_L), pa.list_(pa.float64()), pa.list_(_L), pa.list_(_L)]
     return pa.Table.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names=[c.split()[0] for c in ADDED.split(", ")])
 
 
+def _by_text(table: pa.Table) -> pa.Table:
+    """Sums of the texts of one place over all buckets."""
+    key, _ = _flat(table.column("key"))
+    distinct, back = np.unique(key, return_inverse=True)
+    value = np.bincount(back, _flat(table.column("value"))[0], len(distinct))
+    known, tokens = (np.bincount(back, _flat(table.column(c))[0], len(distinct)).astype(np.int64) for c in ("known", "tokens"))
+    return pa.table({"key": distinct, "value": value, "known": known, "tokens": tokens})
+
+
 def costs(strings: DataFrame) -> DataFrame:
     """log10 probability of the last byte of every byte string (gram, n) after the bytes before it; n counts training texts."""
     low = lambda c, j: c.bitwiseAND((1 << 8 * j) - 1)  # noqa: E731  the last j bytes
@@ -267,7 +278,7 @@ def score(docs: DataFrame, buckets: int | None = None) -> DataFrame:
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     frame = docs.select("doc_id", "text", fold(10).alias("fold")).withColumn("key", F.xxhash64("doc_id", "text"))
     texts = frame.filter("fold <> 0").count()
-    added = written(frame.select("key", "fold", "text").mapInArrow(lambda it: _gather(it, buckets), PACKED).groupBy("bucket").applyInArrow(_add_up, ADDED))
+    added = written(frame.select("key", "fold", "text").mapInArrow(lambda it: _gather(it, buckets), PACKED).groupBy("bucket").applyInArrow(lambda t: _add_up(t, buckets), ADDED))
     seen = added.filter("kind = 2").agg(F.sum(F.col("known")[0]), F.sum(F.col("tokens")[0])).first()
     n, v = (seen[0] or 0) + texts, (seen[1] or 0) + (texts > 0)
 
@@ -285,8 +296,7 @@ def score(docs: DataFrame, buckets: int | None = None) -> DataFrame:
         times = (F.col("times") / blocks).cast("int")
         scored = whole.withColumn("score", F.col("score") / times).withColumn("_", F.explode(F.sequence(F.lit(1), times))).drop("_", "times")
 
-    sums = added.filter("kind = 0").select(F.explode(F.arrays_zip("key", "value", "known", "tokens")).alias("x")).select("x.*")
-    sums = sums.groupBy("key").agg(F.sum("value").alias("value"), F.sum("known").alias("known"), F.sum("tokens").alias("tokens"))
+    sums = added.filter("kind = 0").select("place", "key", "value", "known", "tokens").groupBy("place").applyInArrow(_by_text, "key long, value double, known long, tokens long")
     out = scored.join(sums, "key", "left")
     times = F.when(F.col("n_words") > 0, F.col("tokens") / F.col("n_words")).otherwise(1.0)  # rows with the same doc_id and text
     n_tokens = F.col("n_words") + 1
