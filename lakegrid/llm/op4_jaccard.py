@@ -32,7 +32,7 @@ from .shared import mix, read, shingle_sets, slices, written
 #: A link needs PERCENT of the union in common.
 PERCENT = 75
 #: How the order of shingles is chosen (results don't depend on it): of each GATHERED shingles a task names those of at least LOCAL distinct sets, the NAMED most frequent at most; the COMMON most frequent of all go last.
-GATHERED, LOCAL, NAMED, COMMON = 6_000_000, 2, 131_072, 524_288
+GATHERED, LOCAL, NAMED, COMMON = 3_000_000, 2, 65_536, 524_288
 #: Sets that are compared with one copy of their pivot.
 SALTED = 2000
 
@@ -223,14 +223,28 @@ def compared(docs: DataFrame, owners: DataFrame, pairs: DataFrame) -> DataFrame:
     return dealt.mapInArrow(_compare, "a long, b long, inter long, na long, nb long").distinct()
 
 
+#: Pairs that a task holds before it sends them.
+HELD = 300_000
+
+
 def _cross(batches):
-    """Of each list, pairs of members not connected yet that sizes and positions allow: derived from their answers with the pivot where these decide (inter >= 0), else to be compared (inter = -1)."""
+    """Of each list, pairs of members not connected yet that sizes and positions allow: sure where their answers with the pivot decide for a link, left out where they decide against one, else to be compared."""
+    a, b, d, held = [], [], [], 0
+
+    def sent():
+        pairs = np.unique(np.stack([np.concatenate(a), np.concatenate(b), np.concatenate(d).astype(np.int64)], 1), axis=0)
+        for x in (a, b, d):
+            x.clear()
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0], _L), pa.array(pairs[:, 1], _L), pa.array(pairs[:, 2] == 1)], names=["a", "b", "sure"])
+
     for batch in batches:
-        a, b, d = [], [], []
-        for row in batch.column("members").to_pylist():
-            m = sorted(row, key=lambda x: (x["size"], x["member"]))
-            name, size, rest, label, inter, pn = (np.array([x[k] for x in m]) for k in ("member", "size", "rest", "label", "inter", "pivot_size"))
-            for i in range(len(m) - 1):
+        lists = batch.column("members")
+        at, flat = lists.offsets.to_numpy(), lists.values
+        every = [flat.field(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in ("member", "size", "rest", "label", "inter", "pivot_size")]
+        for first, last in zip(at[:-1], at[1:], strict=True):
+            order = first + np.lexsort((every[0][first:last], every[1][first:last]))
+            name, size, rest, label, inter, pn = (x[order] for x in every)
+            for i in range(len(name) - 1):
                 end = np.searchsorted(size, 100 * size[i] // PERCENT, "right")  # larger ones are skipped as a block
                 j = np.arange(i + 1, end)
                 j = j[label[j] != label[i]]
@@ -239,13 +253,18 @@ def _cross(batches):
                 j, want = j[fits], want[fits]
                 known = (inter[i] >= 0) & (inter[j] >= 0)
                 upper = np.minimum(inter[i], inter[j]) + np.minimum(size[i] - inter[i], size[j] - inter[j])
-                j, want, known = (x[~known | (upper >= want)] for x in (j, want, known))
-                sure = known & (inter[i] + inter[j] - pn[i] >= want)
-                a.append(np.minimum(name[i], name[j]))
-                b.append(np.maximum(name[i], name[j]))
-                d.append(sure)
-        if a:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a), _L), pa.array(np.concatenate(b), _L), pa.array(np.concatenate(d), pa.bool_())], names=["a", "b", "sure"])
+                keep = ~known | (upper >= want)
+                j, want, known = j[keep], want[keep], known[keep]
+                if len(j):
+                    a.append(np.minimum(name[i], name[j]))
+                    b.append(np.maximum(name[i], name[j]))
+                    d.append(known & (inter[i] + inter[j] - pn[i] >= want))
+                    held += len(j)
+                if held > HELD:
+                    yield sent()
+                    held = 0
+    if a:
+        yield sent()
 
 
 def similarity_classes(docs: DataFrame, buckets: int | None = None) -> DataFrame:
@@ -301,4 +320,4 @@ def similarity_classes(docs: DataFrame, buckets: int | None = None) -> DataFrame
 
 
 def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return similarity_classes(read(spark, sf_dir, "documents"))
+    return similarity_classes(read(spark, sf_dir, "documents")).drop("n_links")

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that a task turns into arrays at a time; one longer document is a slice by itself.
-SLICE_BYTES = 3 << 20
+SLICE_BYTES = 3 << 19
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
