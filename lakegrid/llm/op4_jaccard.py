@@ -11,9 +11,10 @@ links connect:
   members whose sizes or positions rule a link out are skipped in blocks.
 * Answer skipping: first each list's members are compared with one pivot only, the member
   that shares most of its prefix with others. Lists whose members are connected then are
-  done. For members that are not, bounds for each pair follow from their computed
-  intersections with the pivot: some pairs are answered by them, either way; only the rest
-  is compared.
+  done. Others are cut into blocks, and pairs of blocks go to tasks, those of one label or of
+  sizes or rests without a link left out. Bounds for each pair of members not connected follow
+  from their computed intersections with the pivot: some pairs are answered by them, either
+  way; only the rest is compared.
 
 No pair is dropped: each pair that shares a prefix shingle and isn't yet connected is
 answered by a comparison or by an exact bound.
@@ -21,6 +22,8 @@ answered by a comparison or by an exact bound.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -35,6 +38,10 @@ PERCENT = 75
 GATHERED, LOCAL, NAMED, COMMON = 3_000_000, 2, 65_536, 524_288
 #: Sets that are compared with one copy of their pivot.
 SALTED = 2000
+#: Prefix shingles of an index bucket, and members of a block, on average at most.
+PER_BUCKET, BLOCK = 1 << 20, 1024
+#: Sizes of linked sets are in the same band or in bands next to each other: a band's sizes grow by a bit more than 100 / PERCENT.
+BAND = 1.0001 * 100 / PERCENT
 
 _L, _I = pa.int64(), pa.int32()
 
@@ -125,7 +132,8 @@ def _post(batches, sent, buckets: int):
         who, member = np.unique(b * len(size) + own, return_inverse=True)
         who_at, at = np.searchsorted(who, np.arange(buckets + 1) * len(size)), np.searchsorted(b, np.arange(buckets + 1))
         rows = who % len(size)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(buckets), _I), _list(name[rows].astype(np.int64), who_at, _L), _list(size[rows], who_at, _I), _list(h.astype(np.int64), at, _L), _list(member - who_at[b], at, _I), _list(rest, at, _I)], names=[c.split()[0] for c in POSTED.split(", ")])
+        packed = pa.RecordBatch.from_arrays([pa.array(np.arange(buckets), _I), _list(name[rows].astype(np.int64), who_at, _L), _list(size[rows], who_at, _I), _list(h.astype(np.int64), at, _L), _list(member - who_at[b], at, _I), _list(rest, at, _I)], names=[c.split()[0] for c in POSTED.split(", ")])
+        yield packed.filter(pa.array(np.diff(at) > 0))
 
 
 def _flat(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -223,12 +231,55 @@ def compared(docs: DataFrame, owners: DataFrame, pairs: DataFrame) -> DataFrame:
     return dealt.mapInArrow(_compare, "a long, b long, inter long, na long, nb long").distinct()
 
 
+def in_blocks(members: DataFrame, most) -> DataFrame:
+    """Members dealt to pairs of blocks, so that no list is one group: block (a pair's key), same (the pair is one block), side (0, 1) and the members' columns.
+
+    members: list, part, member, label, size, rest and others. A list's members of one part and
+    band of sizes are a cell, cut by hash into blocks of about most (a column over band) members. Every
+    pair of a list's members is in exactly one block pair, but for pairs of cells that hold one
+    label together, or whose sizes or rests are too far apart or too small for a link.
+    """
+    members = members.withColumn("band", F.floor(F.log("size") / math.log(BAND)).cast("int"))
+    cells = members.groupBy("list", "part", "band").agg(F.ceil(F.count("*") / most).cast("int").alias("blocks"), F.min("label").alias("lo"), F.max("label").alias("hi"), F.min("size").alias("least"), F.max("rest").alias("most"))
+    cells = written(cells)
+    x, y = (cells.select("list", *(F.col(c).alias(c + k) for c in cells.columns if c != "list")) for k in "xy")
+    pairs = x.withColumn("bandy", F.explode(F.array("bandx", F.col("bandx") + 1))).join(y, ["list", "bandy"]).filter("bandx < bandy or partx <= party")
+    pairs = pairs.filter("not (lox = hix and loy = hiy and lox = loy)").filter(f"{100 + PERCENT} * cast(least(mostx, mosty) as bigint) >= {PERCENT} * (leastx + leasty)").withColumn("one", F.expr("partx = party and bandx = bandy"))
+    pairs = pairs.select("list", "partx", "bandx", "blocksx", "party", "bandy", "blocksy", "one")
+    own, i = F.pmod(F.xxhash64("member"), F.col("blocksx")).cast("int"), F.pmod(F.xxhash64("member"), F.col("blocksy")).cast("int")
+    left = members.join(pairs.withColumns({"part": F.col("partx"), "band": F.col("bandx")}), ["list", "part", "band"]).withColumn("i", own)
+    left = left.withColumn("j", F.explode(F.sequence(F.when(F.col("one"), F.col("i")).otherwise(0), F.col("blocksy") - 1))).withColumn("side", F.lit(0))
+    right = members.join(pairs.withColumns({"part": F.col("party"), "band": F.col("bandy")}), ["list", "part", "band"]).withColumn("j", i)
+    right = right.withColumn("i", F.explode(F.filter(F.sequence(F.lit(0), F.col("blocksx") - 1), lambda k: ~F.col("one") | (k < F.col("j"))))).withColumn("side", F.lit(1))
+    kept = [F.xxhash64("list", "partx", "bandx", "i", "party", "bandy", "j").alias("block"), (F.col("one") & (F.col("i") == F.col("j"))).alias("same"), "side", *(c for c in members.columns if c not in ("list", "part", "band"))]
+    return left.select(*kept).union(right.select(*kept))
+
+
+def _groups(batches):
+    """Whole block pairs, one table each, of rows sorted by block."""
+    held: list[pa.RecordBatch] = []
+    at = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key = batch.column("block").to_numpy()
+        edge = np.flatnonzero(key[1:] != key[:-1]) + 1
+        for i, j in zip(np.concatenate(([0], edge)), np.append(edge, len(key)), strict=True):
+            if held and key[i] != at:
+                yield pa.Table.from_batches(held)
+                held = []
+            at = key[i]
+            held.append(batch.slice(i, j - i))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 #: Pairs that a task holds before it sends them.
 HELD = 300_000
 
 
 def _cross(batches):
-    """Of each list, pairs of members not connected yet that sizes and positions allow: sure where their answers with the pivot decide for a link, left out where they decide against one, else to be compared."""
+    """Of each pair of blocks, pairs of members not connected yet that sizes and positions allow: sure where their answers with the pivot decide for a link, left out where they decide against one, else to be compared."""
     a, b, d, held = [], [], [], 0
 
     def sent():
@@ -237,36 +288,40 @@ def _cross(batches):
             x.clear()
         return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0], _L), pa.array(pairs[:, 1], _L), pa.array(pairs[:, 2] == 1)], names=["a", "b", "sure"])
 
-    for batch in batches:
-        lists = batch.column("members")
-        at, flat = lists.offsets.to_numpy(), lists.values
-        every = [flat.field(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in ("member", "size", "rest", "label", "inter", "pivot_size")]
-        for first, last in zip(at[:-1], at[1:], strict=True):
-            order = first + np.lexsort((every[0][first:last], every[1][first:last]))
-            name, size, rest, label, inter, pn = (x[order] for x in every)
-            for i in range(len(name) - 1):
-                end = np.searchsorted(size, 100 * size[i] // PERCENT, "right")  # larger ones are skipped as a block
-                j = np.arange(i + 1, end)
-                j = j[label[j] != label[i]]
-                want = needed(size[i], size[j])
-                fits = np.minimum(rest[i], rest[j]) >= want
-                j, want = j[fits], want[fits]
-                known = (inter[i] >= 0) & (inter[j] >= 0)
-                upper = np.minimum(inter[i], inter[j]) + np.minimum(size[i] - inter[i], size[j] - inter[j])
-                keep = ~known | (upper >= want)
-                j, want, known = j[keep], want[keep], known[keep]
-                if len(j):
-                    a.append(np.minimum(name[i], name[j]))
-                    b.append(np.maximum(name[i], name[j]))
-                    d.append(known & (inter[i] + inter[j] - pn[i] >= want))
-                    held += len(j)
-                if held > HELD:
-                    yield sent()
-                    held = 0
+    for group in _groups(batches):
+        side = group.column("side").to_numpy()
+        name, size, rest, label, inter, pn = (group.column(k).to_numpy().astype(np.int64) for k in ("member", "size", "rest", "label", "inter", "pivot_size"))
+        same = group.column("same")[0].as_py()
+        x = np.flatnonzero(side == 0)
+        y = x if same else np.flatnonzero(side == 1)
+        apart = label[x][:, None] != label[y]
+        apart &= 100 * np.minimum.outer(size[x], size[y]) >= PERCENT * np.maximum.outer(size[x], size[y])
+        i, j = np.nonzero(np.triu(apart, 1) if same else apart)
+        i, j = x[i], y[j]
+        want = needed(size[i], size[j])
+        known = (inter[i] >= 0) & (inter[j] >= 0)
+        upper = np.minimum(inter[i], inter[j]) + np.minimum(size[i] - inter[i], size[j] - inter[j])
+        keep = (np.minimum(rest[i], rest[j]) >= want) & (~known | (upper >= want))
+        i, j, want, known = i[keep], j[keep], want[keep], known[keep]
+        if len(i):
+            a.append(np.minimum(name[i], name[j]))
+            b.append(np.maximum(name[i], name[j]))
+            d.append(known & (inter[i] + inter[j] - pn[i] >= want))
+            held += len(i)
+        if held > HELD:
+            yield sent()
+            held = 0
     if a:
         yield sent()
 
 
+def crossed(opened: DataFrame) -> DataFrame:
+    """opened (list, member, size, rest, label, inter, pivot_size) dealt to block pairs. A label of half a block or more in a list has blocks of its own, so its pairs with itself are never formed."""
+    heavy = opened.groupBy("list", "label").agg(F.count("*").alias("n")).filter(F.col("n") >= BLOCK // 2).select("list", "label", F.col("label").alias("part"))
+    parted = written(opened.join(heavy, ["list", "label"], "left").withColumn("part", F.coalesce("part", F.lit(0).cast("long"))).select("list", "part", "member", "label", "size", "rest", "inter", "pivot_size"))
+    return in_blocks(parted, F.lit(BLOCK)).repartition("block").sortWithinPartitions("block")
+
+
 def similarity_classes(docs: DataFrame, buckets: int | None = None) -> DataFrame:
     """Classes of near-duplicate texts.
 
@@ -278,13 +333,14 @@ def similarity_classes(docs: DataFrame, buckets: int | None = None) -> DataFrame
     """
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     named = written(docs.mapInArrow(_named, "kind int, id long, n long, name long"))
     common = named.filter("kind = 1").groupBy("id").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "id").limit(COMMON).toArrow()
     token, rank = common.column("id").to_numpy().astype(np.int64).view(np.uint64), np.argsort(np.argsort(common.column("n").to_numpy(), kind="stable")) + 1
     order = np.argsort(token)
     sent = spark.sparkContext.broadcast((token[order], rank[order]))
     names = named.filter("kind = 0").select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "name")
+    prefixes = names.filter("n_shingles > 0").agg(F.coalesce(F.sum(F.expr(f"n_shingles - ({PERCENT} * n_shingles + 99) div 100 + 1")), F.lit(0))).first()[0]
+    buckets = buckets or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-prefixes // PER_BUCKET))
     owners = names.filter("n_shingles > 0 and doc_id is not null").groupBy("name").agg(F.min("doc_id").alias("doc_id"))
 
     posted = docs.filter("doc_id is not null").select("text").mapInArrow(lambda it: _post(it, sent, buckets), POSTED)
@@ -305,7 +361,7 @@ def similarity_classes(docs: DataFrame, buckets: int | None = None) -> DataFrame
     split = longer.groupBy("list").agg((F.min("label") < F.max("label")).alias("open")).filter("open").select("list")
     answers = first.select(F.col("a").alias("pivot"), F.col("b").alias("member"), "inter")
     opened = longer.join(split, "list").join(answers, ["pivot", "member"], "left").withColumn("inter", F.when(F.col("pivot") == F.col("member"), F.col("size")).otherwise(F.coalesce("inter", F.lit(-1))))
-    pairs = opened.groupBy("list").agg(F.collect_list(F.struct("member", "size", "rest", "label", "inter", "pivot_size")).alias("members")).select("members").mapInArrow(_cross, "a long, b long, sure boolean")
+    pairs = crossed(opened).mapInArrow(_cross, "a long, b long, sure boolean")
     pairs = written(pairs.groupBy("a", "b").agg(F.max("sure").alias("sure")))
     known = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = pairs.filter("not sure").select("a", "b").join(known, ["a", "b"], "left_anti")

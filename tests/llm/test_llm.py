@@ -202,6 +202,18 @@ def test_jaccard_near_copies_of_near_copies(spark):
         assert got == brute_components(made)
 
 
+def test_jaccard_open_list_is_no_group(spark):
+    """One list of many connected members, two that are not, and a few of another size: block pairs of bounded size hold each pair of different labels once, and few others."""
+    rows = [(7, 1000 + i, 100 + i % 3, 100, 5, -1, 100) for i in range(5000)] + [(7, 1, 101, 101, 1, -1, 100), (7, 2, 99, 99, 2, -1, 100)] + [(7, 10 + i, 900, 900, 10 + i, -1, 100) for i in range(20)]
+    opened = spark.createDataFrame(rows, "list long, member long, size int, rest int, label long, inter long, pivot_size int")
+    dealt = o4.crossed(opened)
+    sizes = [r[0] for r in dealt.groupBy("block").count().select("count").collect()]
+    assert max(sizes) <= 2 * 1.5 * o4.BLOCK and sum(sizes) < 20_000
+    pairs = [(r.a, r.b) for r in dealt.mapInArrow(o4._cross, "a long, b long, sure boolean").collect()]
+    want = {(1, 2)} | {(k, 1000 + i) for k in (1, 2) for i in range(5000)} | {(10 + i, 10 + j) for i in range(20) for j in range(i + 1, 20)}
+    assert len(pairs) == len(set(pairs)) and set(pairs) == want
+
+
 def test_jaccard_edges(edge):
     got = sorted(((r.doc_id or -1), r.n_shingles, r.component_id) for r in o4.similarity_classes(edge).collect())
     want = {1: (0, 1), 2: (0, 2), 3: (0, 3), 4: (1, 4), 6: (1, 6), 7: (2, 7), -1: (2, 7)}
