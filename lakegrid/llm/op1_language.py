@@ -13,18 +13,18 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .shared import fold, read, slices, text_bytes
 
 #: Bytes of a window, state of a direction, labelled texts of a language and windows of a text to learn from, at most, passes, step.
 WINDOW, STATE = 64, 8
-PER_LANGUAGE, WINDOWS, MAX_LANGUAGES = 400, 6, 64
+PER_LANGUAGE, WINDOWS = 400, 6
 EPOCHS, BATCH, RATE, SEED = 14, 128, 0.01, 11
 UNKNOWN = "und"
-#: Windows that run through the network together.
-TOGETHER = 4096
+#: Windows that run through the network together; fewer where there are more than MANY languages.
+TOGETHER, MANY = 4096, 64
 
 
 def cut(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -123,18 +123,17 @@ def train(window: np.ndarray, length: np.ndarray, y: np.ndarray, k: int) -> dict
 
 
 def sample(docs: DataFrame) -> tuple[list[str], list[bytes], np.ndarray]:
-    """Languages, and at most PER_LANGUAGE texts of each (those of lowest hash) outside the held-out part; of more languages than MAX_LANGUAGES, those of most texts. Of a text, WINDOWS windows spread over it are taken."""
+    """Languages, and at most PER_LANGUAGE texts of each (those of lowest hash) outside the held-out part. Of a text, WINDOWS windows spread over it are taken."""
     known = docs.select("doc_id", "text", "lang").filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") > 0)).filter(fold(4) != 2)
-    langs = [r[0] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()]
     spread = F.transform(F.sequence(F.lit(0), F.lit(WINDOWS - 1)), lambda i: F.substring("text", (F.length("text") - WINDOW) * i / (WINDOWS - 1) + 1, F.lit(WINDOW)))
     few = F.when(F.length("text") <= WINDOW, F.array("text")).otherwise(spread)
-    texts, y = [], []
-    for k, lang in enumerate(sorted(langs)):
-        chosen = known.filter(F.col("lang") == lang).select(F.xxhash64("doc_id").alias("at"), few.alias("parts")).orderBy("at", "parts").limit(PER_LANGUAGE)
-        for r in chosen.collect():
-            texts += [p.encode()[:WINDOW] for p in r.parts]
-            y += [k] * len(r.parts)
-    return sorted(langs), texts, np.array(y, np.int64)
+    first = Window.partitionBy("lang").orderBy("at", "parts")
+    chosen = known.select("lang", F.xxhash64("doc_id").alias("at"), few.alias("parts")).withColumn("nth", F.row_number().over(first)).filter(F.col("nth") <= PER_LANGUAGE)
+    rows = sorted(chosen.select("lang", "nth", "parts").collect(), key=lambda r: (r.lang, r.nth))
+    langs = sorted({r.lang for r in rows})
+    place = {lang: k for k, lang in enumerate(langs)}
+    texts = [p.encode()[:WINDOW] for r in rows for p in r.parts]
+    return langs, texts, np.array([place[r.lang] for r in rows for _ in r.parts], np.int64)
 
 
 def learn(docs: DataFrame) -> tuple[list[str], dict | None]:
@@ -151,8 +150,9 @@ def pooled(w: dict, raw: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
     total = np.zeros((len(at) - 1, k))
     window, length, row = cut(raw, at)
     order = np.argsort(-length, kind="stable")
-    for i in range(0, len(order), TOGETHER):
-        part = order[i : i + TOGETHER]
+    together = max(1, TOGETHER * MANY // max(MANY, k))
+    for i in range(0, len(order), together):
+        part = order[i : i + together]
         x = np.ascontiguousarray(window[part, : length[part[0]]].T)
         p = label(w, states(w, x)[0])
         p *= (np.arange(len(x))[:, None] < length[part])[:, None, :]

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import islice
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +21,7 @@ COMMON_WORDS = {
 }
 WORDS = tuple(sorted({w for ws in COMMON_WORDS.values() for w in ws}))
 CLASSES = ("lower", "upper", "digit", "space", "symbol", "beyond", "rest")
-#: Words a text needs before a histogram says anything, distances (square roots, base 2) from which it is rejected, and most reference languages.
+#: Words a text needs before a histogram says anything, distances (square roots, base 2) from which it is rejected, and reference languages that one pass compares.
 MIN_WORDS_CLASSES, MIN_WORDS_COMMON = 25, 60
 MAX_CLASS_DISTANCE, MAX_COMMON_DISTANCE = 0.25, 0.30
 MAX_LANGUAGES = 64
@@ -60,11 +63,13 @@ def features(docs: DataFrame) -> DataFrame:
     )
 
 
-def references(table: DataFrame) -> list[tuple[list[float], list[float]]]:
-    """Summed histograms of each language over all documents: at most MAX_LANGUAGES, those of most documents."""
+def references(table: DataFrame) -> Iterator[list[tuple[list[float], list[float]]]]:
+    """Summed histograms of every language over all documents, in blocks of MAX_LANGUAGES."""
     sums = lambda name, k: F.array(*(F.sum(F.col(name)[i]) for i in range(k))).alias(name)
-    by = table.filter("lang is not null and n_words > 0").groupBy("lang").agg(F.count("*").alias("n"), sums("classes", len(CLASSES)), sums("frequent", len(WORDS) + 1))
-    return [(r["classes"], r["frequent"]) for r in by.orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()]
+    by = table.filter("lang is not null and n_words > 0").groupBy("lang").agg(sums("classes", len(CLASSES)), sums("frequent", len(WORDS) + 1))
+    rows = by.toLocalIterator()
+    while block := [(r["classes"], r["frequent"]) for r in islice(rows, MAX_LANGUAGES)]:
+        yield block
 
 
 def distance(histogram: str, reference: list[float]) -> Column:
@@ -93,10 +98,13 @@ def quality(docs: DataFrame) -> DataFrame:
     language the distances are null and only the base rules decide. Repeated rows stay.
     """
     table = written(features(docs))
-    refs = references(table)
-    table = table.withColumns({"classes": shares("classes"), "frequent": shares("frequent")})
-    least = lambda name, k: F.array_min(F.array(*(distance(name, r[k]) for r in refs))) if refs else F.lit(None).cast("double")
-    table = table.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", ((F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))).alias("base_failed"), least("classes", 0).alias("class_distance"), least("frequent", 1).alias("common_distance"))
+    blocks = references(table)
+    least = lambda name, k, refs: F.array_min(F.array(*(distance(name, r[k]) for r in refs))) if refs else F.lit(None).cast("double")
+    refs = next(blocks, [])
+    table = table.withColumns({"classes": shares("classes"), "frequent": shares("frequent")}).withColumns({"class_distance": least("classes", 0, refs), "common_distance": least("frequent", 1, refs)})
+    for refs in blocks:  # a pass for each further block keeps the plan small
+        table = written(table).withColumns({"class_distance": F.least("class_distance", least("classes", 0, refs)), "common_distance": F.least("common_distance", least("frequent", 1, refs))})
+    table = table.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", ((F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))).alias("base_failed"), "class_distance", "common_distance")
     far = (F.col("n_words") >= MIN_WORDS_CLASSES) & (F.coalesce("class_distance", F.lit(0.0)) > MAX_CLASS_DISTANCE)
     far = far | (F.col("n_words") >= MIN_WORDS_COMMON) & (F.coalesce("common_distance", F.lit(0.0)) > MAX_COMMON_DISTANCE)
     return table.withColumn("kept", ~F.col("base_failed") & ~far)

@@ -222,6 +222,19 @@ def test_jaccard_edges(edge):
     assert o4.similarity_classes(edge.limit(0)).count() == 0
 
 
+def test_every_language_counts(spark):
+    """A language behind 66 more common ones has a reference of its own, and is learned."""
+    plain = lambda k: " ".join(f"the{chr(97 + (k * 7 + i) % 26)}{chr(97 + i % 26)} of word{chr(97 + i % 23)}" for i in range(40))
+    rare = " ".join("".join(chr(0x430 + (i * 5 + j * j + i // 32 * j) % 32) for j in range(6)) for i in range(80))
+    rows = [(12 * k + i, plain(i), f"l{k:02d}") for k in range(66) for i in range(12)] + [(10_000 + i, rare + " " + chr(0x430 + i), "zz") for i in range(8)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in o6.quality(df).collect()}
+    assert len(got) == len(rows)
+    assert all(not got[10_000 + i].base_failed and got[10_000 + i].class_distance < 0.01 and got[10_000 + i].kept for i in range(8))
+    langs, texts, y = o1.sample(df)
+    assert langs == sorted({r[2] for r in rows}) and set(y) == set(range(67)) and len(texts) == len(y)
+
+
 def test_ppm_against_brute_force(spark, docs):
     some = docs.limit(60)
     rows = {i: lower(t).encode() for i, t in texts(some).items()}
