@@ -30,7 +30,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near-duplicates: the one of smallest doc_id; of rows that repeat it, one."""
-    first = similarity_classes(docs).filter("doc_id = component_id").select("doc_id").distinct()
+    first = similarity_classes(docs, links=False).filter("doc_id = component_id").select("doc_id").distinct()
     return docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
 
 

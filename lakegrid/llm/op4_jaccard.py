@@ -177,12 +177,12 @@ def _lists(table: pa.Table) -> pa.Table:
     return pa.Table.from_arrays([pa.array(np.repeat(unique, n).astype(np.int64)), pa.array(name[rows], _L), pa.array(sizes[member[rows]], _I), pa.array(most, _I), pa.array(np.repeat(times, n), _I)], names=[c.split()[0] for c in LISTED.split(", ")])
 
 
-def _texts_sets(batches):
+def _texts_sets(batches, asked: str = "pivots"):
     """(name, hashes, n) of the texts whose set has the name that is asked for."""
     for part in slices(batches):
         h, at, name = _sets(part.column("text"))
         keep = pa.array(name.astype(np.int64) == part.column("name").to_numpy())
-        yield pa.RecordBatch.from_arrays([part.column("name"), part.column("pivots"), _list(h.astype(np.int64), at, _L)], names=["name", "pivots", "set"]).filter(keep)
+        yield pa.RecordBatch.from_arrays([part.column("name"), part.column(asked), _list(h.astype(np.int64), at, _L)], names=["name", asked, "set"]).filter(keep)
 
 
 def _compare(batches):
@@ -322,12 +322,99 @@ def crossed(opened: DataFrame) -> DataFrame:
     return in_blocks(parted, F.lit(BLOCK)).repartition("block").sortWithinPartitions("block")
 
 
-def similarity_classes(docs: DataFrame, buckets: int | None = None) -> DataFrame:
+#: Shingles of a block of sets, about; shingles that one matrix product counts.
+BLOCK_SHINGLES, COLUMNS = 1 << 20, 1024
+
+
+def shared_shingles(row_a: np.ndarray, token_a: np.ndarray, na: int, row_b: np.ndarray, token_b: np.ndarray, nb: int) -> np.ndarray:
+    """Sizes of all intersections of na sets with nb, (na, nb), from their (row, token) entries. Shingles of many pairs are counted by matrix products, others pair by pair."""
+    both = np.intersect1d(token_a, token_b)
+    inter = np.zeros((na, nb), np.float32)
+    if not len(both):
+        return inter
+
+    def entries(row, token):
+        k = np.minimum(np.searchsorted(both, token), len(both) - 1)
+        inside = both[k] == token
+        k, row = k[inside], row[inside]
+        order = np.argsort(k, kind="stable")
+        return k[order], row[order], np.searchsorted(k[order], np.arange(len(both) + 1))
+
+    (ka, ra, at_a), (kb, rb, at_b) = entries(row_a, token_a), entries(row_b, token_b)
+    ca, cb = np.diff(at_a), np.diff(at_b)
+    dense = ca * cb > max(16, na * nb // 256)
+    many = np.flatnonzero(dense)
+    for i in range(0, len(many), COLUMNS):
+        place = np.full(len(both), -1)
+        place[many[i : i + COLUMNS]] = np.arange(len(many[i : i + COLUMNS]))
+        m = []
+        for k, r, n in ((ka, ra, na), (kb, rb, nb)):
+            x = np.zeros((n, len(many[i : i + COLUMNS])), np.float32)
+            inside = place[k] >= 0
+            x[r[inside], place[k[inside]]] = 1
+            m.append(x)
+        inter += m[0] @ m[1].T
+    few = np.flatnonzero(~dense)
+    run = np.cumsum(ca[few] * cb[few])
+    cut = 0
+    while cut < len(few):
+        end = max(cut + 1, int(np.searchsorted(run, (run[cut - 1] if cut else 0) + (1 << 21), "right")))
+        t = few[cut:end]
+        n = ca[t] * cb[t]
+        k = np.repeat(np.arange(len(t)), n)
+        at = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        pair = ra[at_a[t][k] + at // cb[t][k]] * nb + rb[at_b[t][k] + at % cb[t][k]]
+        inter += np.bincount(pair, minlength=na * nb).reshape(na, nb)
+        cut = end
+    return inter
+
+
+def _count_links(batches):
+    """(name, n): links of each set in each pair of blocks that it is in."""
+    for group in _groups(batches):
+        name, side, same = group.column("name").to_numpy(), group.column("side").to_numpy(), group.column("same")[0].as_py()
+        values, size = _flat(group.column("set"))
+        at = np.cumsum(size) - size
+        sides = []
+        for k in (0,) if same else (0, 1):
+            rows = np.flatnonzero(side == k)
+            rows = rows[np.unique(name[rows], return_index=True)[1]]  # a repeated row's set counts once
+            n = size[rows]
+            own = np.repeat(np.arange(len(rows)), n)
+            sides.append((own, values[at[rows][own] + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)], len(rows), name[rows], n))
+        x, y = sides[0], sides[-1]
+        linked = shared_shingles(*x[:3], *y[:3]) >= needed(x[4][:, None], y[4])
+        if same:
+            np.fill_diagonal(linked, False)
+        for who, n in ((x[3], linked.sum(1)),) if same else ((x[3], linked.sum(1)), (y[3], linked.sum(0))):
+            has = n > 0
+            if has.any():
+                yield pa.RecordBatch.from_arrays([pa.array(who[has], _L), pa.array(n[has].astype(np.int64))], names=["name", "n"])
+
+
+def link_counts(docs: DataFrame, owners: DataFrame, labels: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(name, n_links): of every linked set the exact number of distinct sets at PERCENT, from all pairs of its class, which hold all its links. labels (node, label); sizes (name, size).
+
+    A class's sets are dealt in block pairs, each pair of sets to one of them, so that work
+    is quadratic in a class but no task holds it; a class of two sets is its one link.
+    """
+    members = labels.groupBy("label").agg(F.count("*").alias("n")).join(labels, "label").join(sizes.withColumnRenamed("name", "node"), "node")
+    members = written(members.select(F.col("label").alias("list"), F.lit(0).cast("long").alias("part"), F.col("node").alias("member"), F.col("node").alias("label"), "size", F.col("size").alias("rest"), "n"))
+    most = F.greatest(F.lit(16), F.least(F.lit(BLOCK), F.floor(BLOCK_SHINGLES / F.pow(F.lit(BAND), F.col("band") + 1))))
+    to = in_blocks(members.filter("n > 2").drop("n"), most)
+    asked = to.groupBy(F.col("member").alias("name")).agg(F.collect_list(F.struct("block", "same", "side")).alias("blocks")).join(owners, "name")
+    sets = docs.select("doc_id", "text").join(asked, "doc_id").select("name", "blocks", "text").mapInArrow(lambda it: _texts_sets(it, "blocks"), "name long, blocks array<struct<block:long,same:boolean,side:int>>, set array<long>")
+    dealt = sets.select("name", "set", F.explode("blocks").alias("b")).select("b.*", "name", "set").repartition("block").sortWithinPartitions("block")
+    found = dealt.mapInArrow(_count_links, "name long, n long").groupBy("name").agg(F.sum("n").alias("n_links"))
+    return found.union(members.filter("n = 2").select("member", F.lit(1).cast("long")))
+
+
+def similarity_classes(docs: DataFrame, buckets: int | None = None, links: bool = True) -> DataFrame:
     """Classes of near-duplicate texts.
 
     Per row of docs: doc_id, n_shingles, component_id (smallest doc_id of the class that links
-    connect, its own included), n_links (classes of equal sets its set was found linked to; links between
-    sets that others already connect are not all looked for). Null and empty texts have no shingle
+    connect, its own included) and, if links are asked for, n_links (the exact number of other
+    classes of equal sets that its set is linked with). Null and empty texts have no shingle
     and are linked with nothing. A null doc_id is never a class's id and has a null
     component_id if its class has no other; rows that repeat a doc_id stay.
     """
@@ -354,8 +441,8 @@ def similarity_classes(docs: DataFrame, buckets: int | None = None) -> DataFrame
     star = starred.filter("member <> pivot").filter((100 * F.least("size", "pivot_size") >= PERCENT * F.greatest("size", "pivot_size")) & (F.least("rest", "pivot_rest") >= want))
     first = written(compared(docs, owners, star.select(F.col("pivot").alias("a"), F.col("member").alias("b")).distinct()))
     linked = F.expr(f"100 * inter >= {PERCENT} * (na + nb - inter)")
-    links = first.filter(linked).select("a", "b")
-    labels = components(links)
+    edges = first.filter(linked).select("a", "b")
+    labels = components(edges)
 
     longer = starred.filter("n_members > 2").join(labels.select(F.col("node").alias("member"), "label"), "member", "left").withColumn("label", F.coalesce("label", "member"))
     split = longer.groupBy("list").agg((F.min("label") < F.max("label")).alias("open")).filter("open").select("list")
@@ -367,13 +454,23 @@ def similarity_classes(docs: DataFrame, buckets: int | None = None) -> DataFrame
     rest = pairs.filter("not sure").select("a", "b").join(known, ["a", "b"], "left_anti")
     more = written(compared(docs, owners, rest).filter(linked).select("a", "b").union(pairs.filter("sure").select("a", "b")))
     if not more.isEmpty():
-        links = links.union(more)
-        labels = components(links)
-    degrees = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().select(F.explode(F.array("a", "b")).alias("name")).groupBy("name").agg(F.count("*").alias("n_links"))
-    labelled = names.join(labels.withColumnRenamed("node", "name"), "name", "left").join(degrees, "name", "left").withColumn("label", F.when(F.col("n_shingles") > 0, F.coalesce("label", "name")))
+        edges = edges.union(more)
+        labels = components(edges)
+    labelled = names.join(labels.withColumnRenamed("node", "name"), "name", "left").withColumn("label", F.when(F.col("n_shingles") > 0, F.coalesce("label", "name")))
     ids = labelled.filter("label is not null").groupBy("label").agg(F.min("doc_id").alias("least"))
-    return labelled.join(ids, "label", "left").select("doc_id", "n_shingles", F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    columns = ["doc_id", "n_shingles", F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id")]
+    labelled = labelled.join(ids, "label", "left")
+    if links:
+        sizes = names.filter("n_shingles > 0").groupBy("name").agg(F.max("n_shingles").cast("int").alias("size"))
+        labelled = labelled.join(link_counts(docs, owners, labels, sizes), "name", "left")
+        columns.append(F.when(F.col("n_shingles") > 0, F.coalesce("n_links", F.lit(0).cast("long"))).otherwise(0).alias("n_links"))
+    return labelled.select(*columns)
 
 
 def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return similarity_classes(read(spark, sf_dir, "documents")).drop("n_links")
+    return similarity_classes(read(spark, sf_dir, "documents"), links=False)
+
+
+def op4_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of op4_jaccard with n_links, for which its SQL has no column."""
+    return similarity_classes(read(spark, sf_dir, "documents"))

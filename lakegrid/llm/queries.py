@@ -6,7 +6,7 @@ from .op1_language import op1_language
 from .op10_decontaminate import op10_decontaminate
 from .op2_mixing import op2_mixing
 from .op3_token_store import op3_token_store
-from .op4_jaccard import op4_jaccard
+from .op4_jaccard import op4_jaccard, op4_links
 from .op5_ppm import op5_ppm
 from .op6_quality import op6_quality
 from .op7_toxicity import op7_toxicity
@@ -20,6 +20,7 @@ QUERIES = {
     "op2_mixing": op2_mixing,
     "op3_token_store": op3_token_store,
     "op4_jaccard": op4_jaccard,
+    "op4_links": op4_links,
     "op5_ppm": op5_ppm,
     "op6_quality": op6_quality,
     "op7_toxicity": op7_toxicity,

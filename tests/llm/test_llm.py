@@ -214,6 +214,27 @@ def test_jaccard_open_list_is_no_group(spark):
     assert len(pairs) == len(set(pairs)) and set(pairs) == want
 
 
+def brute_links(of: dict) -> dict:
+    """Per id the number of other distinct sets at 75%."""
+    sets = {i: frozenset(tuple(w[j : j + 5]) for j in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else []) for i, w in ((i, words(lower(t))) for i, t in of.items())}
+    distinct = list(set(sets.values()) - {frozenset()})
+    return {i: sum(100 * len(s & o) >= 75 * len(s | o) for o in distinct if o != s) if s else 0 for i, s in sets.items()}
+
+
+def test_jaccard_every_link_is_counted(spark, docs, monkeypatch):
+    got = {r.doc_id: r.n_links for r in o4.similarity_classes(docs).collect()}
+    assert got == brute_links(texts(docs))
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(90)]
+    made = {i: " ".join(f"x{rng.randrange(10**6)}" if rng.random() < 0.02 else w for w in base[: rng.randrange(70, 90)]) for i in range(150)}
+    want = brute_links(made)
+    assert max(want.values()) > 40
+    df = spark.createDataFrame(list(made.items()), "doc_id long, text string")
+    for block in (o4.BLOCK, 20):  # 20: many pairs of blocks
+        monkeypatch.setattr(o4, "BLOCK", block)
+        assert {r.doc_id: r.n_links for r in o4.similarity_classes(df).collect()} == want
+
+
 def test_jaccard_edges(edge):
     got = sorted(((r.doc_id or -1), r.n_shingles, r.component_id) for r in o4.similarity_classes(edge).collect())
     want = {1: (0, 1), 2: (0, 2), 3: (0, 3), 4: (1, 4), 6: (1, 6), 7: (2, 7), -1: (2, 7)}
