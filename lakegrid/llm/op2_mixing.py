@@ -1,21 +1,26 @@
 """Mixing to target weights with soft membership. DataFrame functions only.
 
 A classifier learned from a table of labelled documents gives every document its posterior
-probability of each domain. Rates r, one per document, are fitted so that expected domain
-totals sum_d r_d t_d p_dk meet their targets b_k in least squares, by projected gradient
-steps: gradients add up in L (one number per domain), and
-
-    r_d = min(max_rate, max(0, 1 - sum_k L_k p_dk))
-
-is the projection of start minus steps. A step needs only the domain totals at the current
-rates, one aggregate over the documents; it is scaled by the inverse of the domains' Gram
-matrix, so that small domains move as fast as large ones.
+probability of each domain. Rates r, one per document within [0, max_rate], are fitted so
+that expected domain totals sum_d r_d t_d p_dk meet their targets b_k in least squares, by
+projected gradient steps, each on the rates that the one before left:
+
+    m_k = sum_d r_d t_d p_dk - b_k
+    r_d = min(max_rate, max(0, r_d - step * w_d * sum_k p_dk m_k))
+
+The gradient of half the squared misses is t_d sum_k p_dk m_k; it is scaled per document by
+w_d / t_d with w_d = sum_k p_dk / (sum_d t_d p_dk^2), which any projection on bounds allows,
+so that documents of small domains move as fast as those of large ones. The step is the
+inverse of the largest eigenvalue of sum_d t_d w_d p_d p_d', so no step goes too far. Steps
+start from rates carried on in their last direction (Nesterov's momentum, dropped when
+misses grow). A step needs only the misses, one aggregate over the documents.
 """
 
 from __future__ import annotations
 
-import math
+import zlib
 from functools import partial
+from typing import NamedTuple
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,7 +32,10 @@ from .shared import read, written
 MAX_LABELLED, TERMS, MIN_DOCS = 20_000, 256, 8
 #: Passes over them, step and decay of the softmax regression.
 PASSES, RATE, DECAY = 300, 0.05, 2e-3
-STEPS, CLOSE = 60, 1e-7
+#: Projected gradient steps at most, and steps between written tables of rates. A fit is done with misses below CLOSE of the goal, or where WINDOW steps took off less than GAIN of them.
+STEPS, WRITTEN, CLOSE, WINDOW, GAIN = 200, 8, 1e-6, 10, 3e-3
+#: Maps that the weights of terms are dealt to, so that a look-up reads few keys.
+SLOTS = 64
 #: Target share of each domain's tokens, and the largest rate.
 TARGETS = {"good": 0.85, "poor": 0.10, "toxic": 0.05}
 MAX_RATE = 8.0
@@ -42,16 +50,29 @@ def labelled_domains(labels: DataFrame) -> DataFrame:
 def _terms(text: Column) -> Column:
     """A text's terms: its lower-cased words, and marks of its style."""
     n = F.greatest(F.length(text), F.lit(1))
-    share = lambda letters: (F.length(text) - F.length(F.translate(text, letters, ""))) / n
+    share = lambda letters: F.regexp_count(text, F.lit(letters)) / n
+    bars = (F.length(text) - F.length(F.replace(text, F.lit("|"), F.lit("")))) / n
+    mark = lambda holds, name: F.when(holds, name).otherwise("")
     style = F.array(
-        F.when(share("#*$%&<>") > 0.02, "#symbols"), F.when(share("|") > 0.02, "#bars"), F.when(share("ABCDEFGHIJKLMNOPQRSTUVWXYZ") > 0.3, "#capitals"),
-        F.when(n < 200, "#short").when(n > 10_000, "#long"),
+        mark(share("[#*$%&<>]") > 0.02, "#symbols"), mark(bars > 0.02, "#bars"), mark(share("[A-Z]") > 0.3, "#capitals"),
+        mark(share("[0-9]") > 0.1, "#digits"), mark(n < 200, "#short"), mark(n > 10_000, "#long"),
     )
-    return F.concat(F.array_compact(style), F.split(F.lower(text), r"[^\p{L}\p{N}]+"))
+    return F.concat(style, F.split(F.lower(text), WORD_ENDS))
+
+
+#: Between words: ASCII and Latin-1 characters that are no letter or digit, and general and Han punctuation.
+WORD_ENDS = r"[\x00-\x2f\x3a-\x60\x7b-\xa9\xab-\xb4\xb6-\xb9\xbb-\xbf\u2000-\u206f\u3000-\u303f]+"
 
 
-def _looked_up(known: Column, term: Column) -> Column:
-    return known[term]
+def _words(text: Column) -> Column:
+    """Number of words, parted by ASCII white space: other white space becomes spaces, at which splitting is cheap."""
+    for c in "\n\t\r\x0b\f":
+        text = F.replace(text, F.lit(c), F.lit(" "))
+    return F.size(F.array_remove(F.split(text, " "), "")).cast("long")
+
+
+def _item(k: int, array: Column) -> Column:
+    return array[k]
 
 
 class Classifier:
@@ -60,15 +81,18 @@ class Classifier:
     def __init__(self, domains: list[str], terms: list[str], start: np.ndarray, weights: np.ndarray):
         self.domains, self.terms, self.start, self.odds = domains, terms, start, weights
 
+    def hits(self, terms: Column) -> Column:
+        """The chosen ones among a text's terms, each once."""
+        return F.array_intersect(F.array(*map(F.lit, self.terms)) if self.terms else F.array().cast("array<string>"), terms)
+
     def scores(self, hits: str) -> list[Column]:
         """One score column per domain from the column of terms present; their softmax is the posterior."""
-        scores = []
-        for k in range(len(self.domains)):
-            pairs = [F.lit(x) for t, o in zip(self.terms, self.odds[:, k], strict=True) for x in (t, float(o))]
-            known = F.create_map(*pairs) if pairs else None
-            total = F.aggregate(F.transform(hits, partial(_looked_up, known)), F.lit(0.0), lambda a, x: a + x) if pairs else F.lit(0.0)
-            scores.append(F.lit(float(self.start[k])) + total)
-        return scores
+        slots: list[list[Column]] = [[] for _ in range(SLOTS)]
+        for t, o in zip(self.terms, self.odds, strict=True):
+            slots[zlib.crc32(t.encode()) % SLOTS] += [F.lit(t), F.array(*(F.lit(float(x)) for x in o))]
+        known = F.array(*(F.create_map(*x).cast("map<string,array<double>>") for x in slots))
+        weights = F.transform(hits, lambda t: F.get(known, (F.crc32(t) % SLOTS).cast("int"))[t])
+        return [F.lit(float(x)) + F.aggregate(F.transform(weights, partial(_item, k)), F.lit(0.0), lambda a, w: a + w) for k, x in enumerate(self.start)]
 
 
 def learn(docs: DataFrame, domains: DataFrame) -> Classifier:
@@ -87,7 +111,7 @@ def learn(docs: DataFrame, domains: DataFrame) -> Classifier:
     apart = F.greatest(*(F.pow(F.col(f"n{i}") - every * (x / total), F.lit(2)) / (every * (x / total) + 1) for i, x in enumerate(n)), F.lit(0.0), F.lit(0.0))
     terms = [r.term for r in by.filter(every >= MIN_DOCS).withColumn("apart", apart).orderBy(F.desc("apart"), "term").limit(TERMS).collect()]
     place = {t: i for i, t in enumerate(terms)}
-    held = rows.select("domain", F.array_intersect("terms", F.array(*map(F.lit, terms)) if terms else F.array().cast("array<string>")).alias("hits")).collect()
+    held = rows.select("domain", Classifier(names, terms, np.zeros(0), np.zeros(0)).hits(F.col("terms")).alias("hits")).collect()
     x, y = np.zeros((len(held), len(terms)), np.float32), np.zeros((len(held), len(names)), np.float32)
     for i, r in enumerate(sorted(held, key=lambda r: (r.domain, sorted(r.hits)))):
         x[i, [place[t] for t in r.hits]] = 1
@@ -113,7 +137,7 @@ def regression(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def memberships(docs: DataFrame, model: Classifier) -> DataFrame:
     """Per row: doc_id, n_tokens (words) and a posterior p_<domain> per domain, summing to 1. Null text: no words, no term."""
     text = F.coalesce("text", F.lit(""))
-    frame = docs.select("doc_id", F.size(F.array_remove(F.split(text, r"[\x20\x09-\x0D]+"), "")).cast("long").alias("n_tokens"), F.array_intersect(_terms(text), F.array(*map(F.lit, model.terms)) if model.terms else F.array().cast("array<string>")).alias("hits"))
+    frame = docs.select("doc_id", _words(text).alias("n_tokens"), model.hits(_terms(text)).alias("hits"))
     frame = frame.select("doc_id", "n_tokens", F.array(*model.scores("hits")).alias("scores"))
     if len(model.domains) == 1:
         return frame.select("doc_id", "n_tokens", F.lit(1.0).alias(f"p_{model.domains[0]}"))
@@ -122,39 +146,49 @@ def memberships(docs: DataFrame, model: Classifier) -> DataFrame:
     return weights.select("doc_id", "n_tokens", *((F.col("w")[k] / F.col("sum")).alias(f"p_{d}") for k, d in enumerate(model.domains)))
 
 
-def _rate(names: list[str], lean: np.ndarray, most: float) -> Column:
-    step = sum((F.lit(float(x)) * F.col(f"p_{d}") for d, x in zip(names, lean, strict=True)), F.lit(0.0))
-    return F.greatest(F.lit(0.0), F.least(F.lit(float(most)), F.lit(1.0) - step))
-
-
-def expected(table: DataFrame, names: list[str]) -> np.ndarray:
-    """Domain totals at rate 1."""
-    return np.array([x or 0.0 for x in table.agg(*(F.sum(F.col("n_tokens") * F.col(f"p_{d}")) for d in names)).first()])
-
-
-def fit(table: DataFrame, names: list[str], goal: np.ndarray, most: float = MAX_RATE) -> tuple[Column, np.ndarray]:
-    """The rate column, and the totals it reaches. table: n_tokens and p_<domain>; goal: tokens by domain."""
-    k = len(names)
-    gram = table.agg(*(F.sum(F.col("n_tokens") * F.col(f"p_{a}") * F.col(f"p_{b}")) for a in names for b in names)).first()
-    gram = np.array([x or 0.0 for x in gram]).reshape(k, k)
-    size = max(1.0, float(np.trace(gram)))
-    scale = np.linalg.pinv(gram / size + 1e-9 * np.eye(k))
-    lean, best = np.zeros(k), (math.inf, np.zeros(k), np.zeros(k))
-    pace = 1.0
-    for _ in range(STEPS):
-        rate = _rate(names, lean, most)
-        now = table.agg(*(F.sum(F.col("n_tokens") * F.col(f"p_{d}") * rate) for d in names)).first()
-        totals = np.array([x or 0.0 for x in now])
-        miss = float(np.square((totals - goal) / size).sum())
-        if miss < best[0]:
-            best = (miss, lean, totals)
-        else:  # too long a step: back to the best, shorter ones from there
-            pace *= 0.5
-            totals, lean = best[2], best[1]
-        if best[0] < CLOSE**2 or pace < 1e-3:
-            break
-        lean = lean + pace * scale @ ((totals - goal) / size)
-    return _rate(names, best[1], most), best[2]
+def _sums(table: DataFrame, *columns: Column) -> np.ndarray:
+    return np.array([x or 0.0 for x in table.agg(*map(F.sum, columns)).first()])
+
+
+def expected(table: DataFrame, names: list[str], rate: Column | None = None) -> np.ndarray:
+    """Domain totals at rates, or at rate 1."""
+    rate = F.lit(1.0) if rate is None else rate
+    return _sums(table, *(F.col("n_tokens") * F.col(f"p_{d}") * rate for d in names))
+
+
+class Fit(NamedTuple):
+    table: DataFrame  # with rate
+    totals: np.ndarray
+    miss: float  # length of the misses, in lengths of the goal
+    steps: int
+    done: bool  # close to the goal, or as close as the bounds allow
+
+
+def fit(table: DataFrame, names: list[str], goal: np.ndarray, most: float = MAX_RATE) -> Fit:
+    """Rates of the rows of table (n_tokens, p_<domain> and others) for the goal (tokens by domain), from rate 1 on."""
+    k, t, p, others = len(names), F.col("n_tokens"), [F.col(f"p_{d}") for d in names], list(table.columns)
+    own = _sums(table, *(t * x * x for x in p))
+    w = sum((F.lit(1.0 / max(1e-12, float(c))) * x for c, x in zip(own, p, strict=True)), F.lit(0.0))
+    bend = _sums(table, *(t * w * a * b for a in p for b in p)).reshape(k, k)
+    step = 1.0 / max(1e-12, float(np.linalg.eigvalsh(bend)[-1]))
+    size, pace, misses = max(1.0, float(np.linalg.norm(goal))), 1.0, []
+    table = table.withColumns({"rate": F.lit(float(min(1.0, most))), "ahead": F.lit(float(min(1.0, most)))})
+    while True:
+        off = expected(table, names, F.col("ahead")) - goal
+        misses.append(float(np.linalg.norm(off)) / size)
+        stalled = len(misses) > WINDOW and misses[-1] > (1 - GAIN) * misses[-1 - WINDOW]
+        if misses[-1] < CLOSE or stalled or len(misses) > STEPS:
+            totals = expected(table, names, F.col("rate"))
+            return Fit(table.drop("ahead"), totals, float(np.linalg.norm(totals - goal)) / size, len(misses) - 1, misses[-1] < CLOSE or stalled)
+        slope = sum((F.lit(float(step * m)) * x for m, x in zip(off, p, strict=True)), F.lit(0.0))
+        if len(misses) > 1 and misses[-1] > misses[-2]:  # too much momentum
+            pace = 1.0
+        faster = (1 + np.sqrt(1 + 4 * pace * pace)) / 2
+        table = table.withColumn("next", F.greatest(F.lit(0.0), F.least(F.lit(float(most)), F.col("ahead") - w * slope)))
+        table = table.select(*others, F.col("next").alias("rate"), (F.col("next") + F.lit(float((pace - 1) / faster)) * (F.col("next") - F.col("rate"))).alias("ahead"))
+        pace = faster
+        if len(misses) % WRITTEN == 0:  # the plan stays short
+            table = written(table)
 
 
 def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, most: float = MAX_RATE, anchor: str | None = None) -> DataFrame:
@@ -162,8 +196,10 @@ def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None =
 
     Per row of docs: doc_id, n_tokens, p_<domain> for each learned domain, rate (0 to most).
     Without anchor the total stays what it is; with it, the anchor domain keeps its tokens and
-    no other domain gets more than it has. Domains without a target keep their share. Null
-    text has no tokens and the rate its posteriors give. Repeated rows count each.
+    no other domain gets more than it has. Domains without a target keep their share. Targets
+    out of reach of the bounds are met as nearly as they allow, in least squares; ``fit`` says
+    how nearly. Null text has no tokens and the rate its posteriors give. Repeated rows count
+    each; doc_id may be null.
     """
     targets = TARGETS if targets is None else targets
     model = learn(docs, labelled_domains(labels))
@@ -175,8 +211,7 @@ def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None =
     goal = want * totals.sum()
     if anchor in model.domains and want[k := model.domains.index(anchor)] > 0:
         goal = np.minimum(totals, want / want[k] * totals[k])
-    rate, _ = fit(table, model.domains, goal, most)
-    return table.withColumn("rate", rate)
+    return fit(table, model.domains, goal, most).table
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
