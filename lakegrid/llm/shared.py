@@ -53,16 +53,16 @@ def fold(modulus: int):
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % modulus, F.lit(-1)).cast("int")
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The batches in slices of about SLICE_BYTES of text, whole rows each."""
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text", size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about size bytes of text, whole rows each."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-        cut, total = 0, np.cumsum(size)
+        each = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        cut, total = 0, np.cumsum(each)
         while cut < batch.num_rows:
             base = total[cut - 1] if cut else 0
-            end = max(cut + 1, int(np.searchsorted(total, base + SLICE_BYTES, "right")))
+            end = max(cut + 1, int(np.searchsorted(total, base + size, "right")))
             yield batch.slice(cut, end - cut)
             cut = end
 
