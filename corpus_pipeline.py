@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakegrid.llm.op2_mixing import mixed
-from lakegrid.llm.op3_token_store import read_digests, starts, write_store
+from lakegrid.llm.op3_token_store import read_digests, write_store
 from lakegrid.llm.op4_jaccard import similarity_classes
 from lakegrid.llm.op6_quality import quality
 from lakegrid.llm.op10_decontaminate import leaks
@@ -51,7 +51,7 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document, read back from its token store."""
     folder = shared_folder(spark)
     write_store(docs, folder)
-    return starts(read_digests(spark, folder), ["doc_id", "root"], F.col("n_tokens")).select("doc_id", "start", "n_tokens", "ids_crc32")
+    return read_digests(spark, folder)
 
 
 STAGES = [("quality rules", quality_rules), ("near duplicates", near_duplicates), ("decontamination", decontaminate), ("mixing", mix), ("token ids", token_ids)]
