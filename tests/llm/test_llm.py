@@ -80,7 +80,32 @@ def test_language_gradients():
         assert abs((up - down) / 2e-2 - g[name][i]) < 0.05 * abs(g[name][i]) + 1e-4
 
 
+def test_language_probabilities_are_the_recurrence_s():
+    """Pooled probabilities against the recurrence written out byte by byte, window by window, with large weights too."""
+    rng = np.random.RandomState(2)
+    for scale in (1, 40):
+        w = {k: a * scale for k, a in o1.start_weights(3).items()}
+        for n in (1, 63, 64, 200):
+            t = bytes(rng.randint(0, 256, n).tolist())
+            parts = [t[a : a + o1.WINDOW] for a in range(0, n, o1.WINDOW)]
+            got = [o1.pooled(w, np.frombuffer(p, np.uint8), np.array([0, len(p)]), 3)[0] for p in parts]
+            assert np.isfinite(got).all() and abs(np.sum(got) - n) < 1e-3 * n
+            for part, total in zip(parts, got, strict=True):
+                both = []
+                for d, order in (("f", part), ("b", part[::-1])):
+                    h, out = np.zeros(o1.STATE), []
+                    for x in order:
+                        z = np.tanh(w["A" + d][x] + w["U" + d] @ h)
+                        h = h + (z[: o1.STATE] + 1) / 2 * (z[o1.STATE :] - h)
+                        out.append(h)
+                    both.append(out if d == "f" else out[::-1])
+                z = np.array([w["V"] @ np.concatenate(x) + w["c"] for x in zip(*both, strict=True)])
+                p = np.exp(z - z.max(1, keepdims=True))
+                assert scale > 1 or np.allclose(total, (p / p.sum(1, keepdims=True)).sum(0), rtol=1e-3)
+
+
 def test_language_edges(edge):
+    assert o1.identify(edge.limit(0)).count() == 0
     got = o1.identify(edge).collect()
     assert len(got) == len(EDGE) and all(r.lang_pred in ("en", "und") and 0 <= r.score <= 1 for r in got)
     assert {r.lang_pred for r in got if r.doc_id in (1, 2, 3)} == {"und"}
@@ -403,6 +428,35 @@ def test_quality_distances(spark, docs):
     assert math.isclose(df.select(o6.distance("h", [10.0, 0.0, 10.0])).first()[0], want, rel_tol=1e-12)
 
 
+def test_quality_histograms(spark):
+    """Every character is in one class, whatever its bytes; common words count without case and marks."""
+    cases = {1: "The end, of (the) WORLD! 42%", 2: "中文字 и слово é 👍 x", 3: None, 4: "THE the, The. of; in\u00a0is"}
+    got = {r.doc_id: r for r in o6.features(spark.createDataFrame([(i, t, "en") for i, t in cases.items()], "doc_id long, text string, lang string")).collect()}
+    for i, t in cases.items():
+        t = t or ""
+        count = [sum(c in x for c in t) for x in (o6.LOWER, o6.UPPER, o6.DIGITS, o6.SPACE, o6.SYMBOLS)] + [sum(ord(c) > 127 for c in t)]
+        assert list(got[i].classes) == [*count, len(t) - sum(count)]
+    place = {w: k for k, w in enumerate(o6.WORDS)}
+    assert got[1].frequent[place["the"]] == 2 and got[1].frequent[place["of"]] == 1 and got[1].frequent[-1] == 3
+    assert got[4].frequent[place["the"]] == 3 and got[4].frequent[place["of"]] == 1
+
+
+def test_sql_of_the_corpus_queries(spark):
+    """The registered SQL in DuckDB against the queries."""
+    import duckdb
+
+    from lakegrid.llm.queries import ORACLES
+
+    db = duckdb.connect()
+    for t in ("documents", "labels", "benchmark"):
+        db.sql(f"create view {t} as select * from '{SF}/{t}.parquet'")
+    for name, sql in ORACLES.items():
+        ours, theirs = QUERIES[name](spark, SF), db.sql(sql)
+        columns = sorted(ours.columns)
+        assert columns == sorted(theirs.columns), name
+        assert sorted(tuple(r[c] for c in columns) for r in ours.collect()) == sorted(theirs.select(*columns).fetchall()), name
+
+
 def test_quality_edges(edge):
     got = o6.quality(edge).collect()
     assert len(got) == len(EDGE) and all(not r.kept for r in got if r.n_words < 10)
@@ -410,22 +464,59 @@ def test_quality_edges(edge):
     assert o6.quality(edge.limit(0)).count() == 0
 
 
+def pair_terms(model, found):
+    b, w, v = model
+    return np.array([0.5 * ((v[f].sum(0) ** 2).sum() - (v[f] ** 2).sum()) for f in found]), np.array([b + w[f].sum() for f in found])
+
+
 def test_toxicity_learns_pairs():
-    """Two terms that are toxic only together: additive weights can't tell, the machine can."""
+    """With the shipped values: two terms that are toxic only with, or only without each other; additive weights can't tell, the machine can."""
     rng = np.random.RandomState(0)
     found, y = [], []
     for _ in range(3000):
         a, b = rng.rand(2) < 0.5
         found.append(np.array(sorted({7} | ({11} if a else set()) | ({13} if b else set())), np.int32))
         y.append(float(a != b))
-    o, keep = o7.SHRINK_W, o7.DECAY_V
-    o7.SHRINK_W, o7.DECAY_V = 0.0, 0.0
-    try:
-        b, w, v = o7.train(np.array(y), found)
-    finally:
-        o7.SHRINK_W, o7.DECAY_V = o, keep
-    z = [b + w[f].sum() + 0.5 * ((v[f].sum(0) ** 2).sum() - (v[f] ** 2).sum()) for f in found]
-    assert np.mean((np.array(z) > 0) == (np.array(y) > 0.5)) > 0.95
+    pair, plain = pair_terms(o7.train(np.array(y), found), found)
+    assert np.mean((pair + plain > 0) == (np.array(y) > 0.5)) > 0.95
+
+
+def test_toxicity_pairs_matter_in_real_texts(spark):
+    """An insult (term 11) that is toxic only beside a group's name (term 13), planted in the table's texts: the pair term decides."""
+    rng = np.random.RandomState(3)
+    y, found = o7.training_rows(read(spark, "/root/testdata/sf0.01", "documents"), read(spark, "/root/testdata/sf0.01", "labels"))
+    found = found * 6
+    planted = rng.rand(len(found), 2) < 0.3
+    found = [np.unique(np.concatenate((f, [11] * int(a), [13] * int(b)))).astype(np.int32) for f, (a, b) in zip(found, planted, strict=True)]
+    y = planted.all(1).astype(float)
+    cut = len(y) * 3 // 4
+    pair, plain = pair_terms(o7.train(y[:cut], found[:cut]), found[cut:])
+    with_pairs, without = (np.mean((z > math.log(0.3 / 0.7)) == (y[cut:] > 0.5)) for z in (pair + plain, plain))
+    assert with_pairs > 0.97 and with_pairs > without + 0.03 and np.abs(pair).max() > 1
+
+
+def test_toxicity_scores_are_the_model_s(spark, docs):
+    """Scores from the plan against the sum over all pairs, term by term; documents that hold several insults are found."""
+    labels = read(spark, SF, "labels")
+    b, w, v = o7.train(*o7.training_rows(docs, labels))
+    got = {r.doc_id: r for r in o7.toxicity(docs, labels).collect()}
+    of = texts(docs)
+    for i in sorted(of)[:60]:
+        f = np.unique(o7.slots(pa.array([of[i]]))[0])
+        f = f[(w[f] != 0) | (v[f] != 0).any(1)].tolist()
+        z = b + sum(float(w[a]) for a in f) + sum(float(v[a].astype(float) @ v[c]) for k, a in enumerate(f) for c in f[:k])
+        assert math.isclose(got[i].score, 1 / (1 + math.exp(-min(30, max(-30, z)))), rel_tol=1e-4, abs_tol=1e-9)
+        assert got[i].held_out == (zlib.crc32(str(i).encode()) % 4 == 2) and got[i].predicted == int(got[i].score >= 0.3)
+
+
+def test_toxicity_held_out_recall(spark):
+    """Held-out documents with two insults or more, which are all toxic."""
+    sf = "/root/testdata/sf0.1"
+    insults = "trash clown idiot scum worthless moron pathetic loser disgusting stupid".split()
+    rows = o7.toxicity(read(spark, sf, "documents"), read(spark, sf, "labels")).filter("held_out").join(read(spark, sf, "documents").select("doc_id", "text"), "doc_id").join(read(spark, sf, "labels"), "doc_id").collect()
+    sure = [r for r in rows if len({w for w in re.findall("[a-z]+", (r.text or "").lower())} & set(insults)) >= 2]
+    clean = [r for r in rows if r.toxic == 0]
+    assert len(sure) > 30 and sum(r.predicted for r in sure) >= 0.9 * len(sure) and sum(r.predicted for r in clean) <= 0.01 * len(clean)
 
 
 def test_toxicity_edges(spark, edge):
@@ -434,6 +525,7 @@ def test_toxicity_edges(spark, edge):
     some = spark.createDataFrame([(4, 1, 1), (7, 0, 0), (6, None, None)], "doc_id long, quality int, toxic int")
     got = o7.toxicity(edge, some).collect()
     assert len(got) == len(EDGE) and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in got)
+    assert o7.toxicity(edge.limit(0), some).count() == 0
 
 
 def test_token_counts_and_every_prefix(edge, docs):
@@ -443,6 +535,15 @@ def test_token_counts_and_every_prefix(edge, docs):
         rows = [(r.doc_id, r.text or "") for r in df.select("doc_id", "text").collect()]
         got = sorted((r.doc_id or -1, r.n_bytes, r.n_tokens, r.over_limit) for r in o8.token_counts(df).collect())
         assert got == sorted((i or -1, len(t.encode()), n(t), n(t) > 2048) for i, t in rows)
+    assert o8.token_counts(edge.limit(0)).count() == 0
+    few = docs.limit(40)
+    for r in o8.token_counts(few, limit=100).collect():  # the prefix fits, and one more word doesn't
+        t = texts(few)[r.doc_id]
+        if n(t) > 100:
+            end = re.compile(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+").match(t, r.fit_chars).end()
+            assert n(t[: r.fit_chars]) <= 100 < n(t[:end]) and r.over_limit
+        else:
+            assert r.fit_chars == len(t) and not r.over_limit
     table = o8.counter(o8.public_tokenizers.path(o8.VOCABULARY))
     for t in ("Therouha, anonon'll réeuxre 42!", "aaaaaaaaaab <|endoftext|>x", "hello  hello\n"):
         assert table.prefix_table(t).tolist() == [n(t[:k]) for k in range(len(t) + 1)]
@@ -457,15 +558,52 @@ def test_pii():
     text = "mail a.b@x.org, 10.0.0.256 then 10.0.0.1 card 4111 1111 1111 1111 tel +1 (017) 555-7713 IBAN DE89 3704 0044 0532 0130 00 and DE89 3704 0044 0532 0130 01; ssn 123-45-6789; order 123-45-6789"
     spans = o9.base_spans(text)
     assert [(k, text[a:b]) for k, a, b in spans] == [("email", "a.b@x.org"), ("ip", "10.0.0.1"), ("card", "4111 1111 1111 1111"), ("phone", "+1 (017) 555-7713")]
-    more = o9.more_spans(text, spans)
+    more = o9.more_spans(text, o9.free_of_overlaps(spans))
     assert [text[a:b] for k, a, b, s in more if k == "iban"] == ["DE89 3704 0044 0532 0130 00"]
+    ssn = lambda t: [t[a:b] for k, a, b, s in o9.more_spans(t, []) if k == "ssn"]
+    assert ssn("ssn 123-45-6789") == ["123-45-6789"] and ssn("order 123-45-6789") == []
+    assert o9.more_spans("iban DE89 3704 0044 0532 0130 00", [(5, 30)]) == []  # what a base span takes is no other
     assert o9.luhn("4111111111111111") and not o9.luhn("4111111111111112")
+    near, plain, against = (o9.scored(t, "phone", 6, 19) for t in ("call: +1 555 123 456", "xxxx: +1 555 123 456", "order +1 555 123 456"))
+    assert near > plain > against
+
+
+def plain_spans(text):
+    """The base kinds by their patterns as given."""
+    out = [("email", *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    out += [("ip", *m.span()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text) if all(int(x) <= 255 for x in m[0].split("."))]
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        d = [int(c) for c in m[0] if c.isdigit()][::-1]
+        if 16 <= len(d) <= 19 and sum(d[0::2] + [x // 5 + x * 2 % 10 for x in d[1::2]]) % 10 == 0:
+            out.append(("card", *m.span()))
+    return out + [("phone", *m.span()) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text) if 8 <= len(re.findall("[0-9]", m[0])) <= 15]
+
+
+def test_pii_is_what_the_patterns_find(docs):
+    """Brute force over the table's texts and over texts made of the patterns' own characters."""
+    rng = random.Random(12)
+    made = ["".join(rng.choice(["@", "@", ".", "a", "b.c", "0", "1", "25", "255", "256", "001", "+", "-", " ", "(", ")", "%", "_", "é", "\n", "4111 1111 1111 1111", "1.2.3.4"]) for _ in range(rng.randrange(2, 40))) for _ in range(20_000)]
+    for t in [*texts(docs).values(), *made]:
+        assert o9.base_spans(t) == plain_spans(t), repr(t)
+
+
+def test_pii_long_runs(spark):
+    """Texts of a million characters of one kind end in time, and numbers of any length do no harm."""
+    import time
+
+    n = 1_000_000
+    cases = ["a" * n, "1" * n, "a." * (n // 2), "1." * (n // 2), "a@" * (n // 2), "a@b" * (n // 3), "+" * n, "+1" + "." * n, "1 " * (n // 2), "0" * 5000 + ".1.1.1", "1.1.1." + "9" * 5000, "password " * (n // 9), "password" + " " * n, "A" * n, "AB12 " * (n // 5), "123-45-6789 " * (n // 12), "a@b.c " * (n // 6)]
+    began = time.time()
+    got = {r.doc_id: r for r in o9.find_pii(spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string")).collect()}
+    assert time.time() - began < 120 and len(got) == len(cases)
+    assert got[9].n_ip == 1 and got[10].n_ip == 0 and got[16].n_email == n // 6
 
 
 def test_pii_frame(edge):
     got = o9.find_pii(edge, redact=True).collect()
     assert len(got) == len(EDGE)
     assert next(r for r in got if r.doc_id == 1).base_sha256 == hashlib.sha256(b"").hexdigest()
+    assert o9.find_pii(edge.limit(0)).count() == 0
 
 
 def test_decontamination(spark):
@@ -480,6 +618,63 @@ def test_decontamination(spark):
     assert o10.leaks(docs, bench.limit(0)).count() == 0
 
 
+def plain_tiling(doc, item, least=5):
+    """Greedy string tiling by definition: again and again the longest match of free terms (ties: first in doc, then item)."""
+    free_d, free_i, out = [True] * len(doc), [True] * len(item), []
+    while True:
+        best = (least - 1, 0, 0)
+        for i in range(len(doc)):
+            for j in range(len(item)):
+                n = 0
+                while i + n < len(doc) and j + n < len(item) and free_d[i + n] and free_i[j + n] and doc[i + n] == item[j + n]:
+                    n += 1
+                if n > best[0]:
+                    best = (n, i, j)
+        n, i, j = best
+        if n < least:
+            return out
+        free_d[i : i + n] = free_i[j : j + n] = [False] * n
+        out.append((i, j, n))
+
+
+def test_decontamination_is_greedy_tiling(spark, monkeypatch):
+    """Brute force over documents made of pieces of items, in any order, with repeats; in portions of any size."""
+    rng = random.Random(9)
+    items = {k: [f"w{rng.randrange(12)}" for _ in range(rng.randrange(5, 30))] for k in range(12)} | {20: ["just", "three", "terms"], 21: ["one"]}
+    made = {}
+    for k in range(60):
+        w = []
+        for _ in range(rng.randrange(1, 5)):
+            x = items[rng.randrange(12)]
+            a = rng.randrange(len(x) - 4)
+            w += x[a : a + rng.randrange(4, 20)] + [f"n{rng.randrange(99)}"] * rng.randrange(3)
+        made[k] = w
+    made |= {60: ["Just", "three", "TERMS"], 61: ["just", "three", "terms", "more"], 62: ["one"], 63: items[3] * 40}
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in made.items()], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id long, text string")
+    want = set()
+    for i, d in made.items():
+        for t, x in items.items():
+            low = [w.lower() for w in d]
+            found = plain_tiling(low, x) if len(x) >= 5 else [(0, 0, len(x))] if low == x else []
+            covered = sum(n for _, _, n in found)
+            if covered and 2 * covered >= len(x):
+                want.add((i, t, len(found), covered))
+    for places in (o10.PLACES, 7):
+        monkeypatch.setattr(o10, "PLACES", places)
+        assert {(r.doc_id, r.item_id, r.n_tiles, r.covered) for r in o10.leaks(docs, bench).collect()} == want
+    assert {(60, 20), (62, 21)} <= {x[:2] for x in want} and not {61} & {x[0] for x in want if x[1] == 20}
+
+
+def test_decontamination_edges(spark, edge):
+    """Null ids and texts, repeated rows, other columns of the same names, and very long texts."""
+    item = "one two three four five six"
+    bench = spark.createDataFrame([(None, item, "x"), (1, item, "x"), (1, item, "x"), (2, "word " * 5000, "x"), (3, None, "x"), (4, "", "x")], "item_id long, text string, key string")
+    got = sorted(((r.doc_id or -1), (r.item_id or -1)) for r in o10.leaks(edge, bench).collect())
+    assert got == sorted([(-1, -1), (-1, 1), (-1, 1), (7, -1), (7, 1), (7, 1), (6, 2)])
+    assert o10.leaks(edge.limit(0), bench).count() == 0
+
+
 def test_tiles_do_not_overlap():
     rng = np.random.RandomState(4)
     for _ in range(30):
