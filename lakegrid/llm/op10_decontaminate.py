@@ -4,7 +4,9 @@ Documents and test items share seeds: equal windows of MIN_MATCH terms, found by
 Karp-Rabin hashes. Between a document and an item that share a seed, the longest match of
 terms that no tile covers yet becomes a tile, again and again, until none of MIN_MATCH
 terms is left. Tiles may lie in any order, so passages that were reordered are caught. A
-document leaks an item whose tiles cover at least MIN_COVERAGE of it.
+document leaks an item whose tiles cover at least MIN_COVERAGE of it. Tiles cover no more
+than all shared seeds together, so pairs whose seeds don't cover enough are left without
+tiling. An item of fewer terms has no seed; a document leaks it that has just its terms.
 """
 
 from __future__ import annotations
@@ -21,6 +23,8 @@ from .shared import ALNUM, LOWER, read, slices, text_bytes, window_hashes, word_
 MIN_MATCH, MIN_COVERAGE = 5, 0.5
 #: Bytes of test text that are sent to the tasks at a time; more come in further blocks, each against all documents.
 BLOCK_BYTES = 16 << 20
+#: Places of seeds in items that a task looks up at a time; one document's may be more.
+PLACES = 1 << 21
 
 
 def terms(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -63,6 +67,11 @@ def tiles(doc: np.ndarray, item: np.ndarray, pairs: tuple[np.ndarray, np.ndarray
     return out
 
 
+def _runs(first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The numbers first, first + 1, ... of each run of n, one after the other."""
+    return np.repeat(first - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+
+
 class Items:
     """Terms and sorted seeds of a block of test items."""
 
@@ -70,32 +79,68 @@ class Items:
         self.ids = ids
         self.terms, row = terms(pa.array(texts, pa.string()))
         self.at = np.searchsorted(row, np.arange(len(ids) + 1))
+        self.size = np.diff(self.at)
         seed, first = window_hashes(self.terms, row, MIN_MATCH)
+        self.item_seeds, self.item_first = seed, np.searchsorted(row[first], np.arange(len(ids) + 1))
         order = np.argsort(seed, kind="stable")
         self.seed, self.place, self.row = seed[order], first[order], row[first][order]
         self.filter = np.zeros(1 << 20, bool)
         self.filter[(self.seed & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
+        self.short: dict[bytes, list[int]] = {}
+        for i in np.flatnonzero((self.size > 0) & (self.size < MIN_MATCH)):
+            self.short.setdefault(self.terms[self.at[i] : self.at[i + 1]].tobytes(), []).append(int(i))
 
-    def matches(self, column: pa.Array):
-        """(row, item index, tiles) of every document and item that share a seed."""
+    def candidates(self, seed: np.ndarray, row: np.ndarray, coverage: float) -> list[tuple[int, int]]:
+        """(row, item) pairs whose shared seeds together cover enough of the item, from the distinct (row, seed) pairs, ascending by row."""
+        lo, hi = np.searchsorted(self.seed, seed, "left"), np.searchsorted(self.seed, seed, "right")
+        found = np.flatnonzero(hi > lo)
+        lo, n, row = lo[found], (hi - lo)[found], row[found]
+        edge = np.flatnonzero(np.concatenate(([True], row[1:] != row[:-1], [True]))) if len(row) else np.zeros(1, np.int64)
+        total, out, cut = np.concatenate(([0], np.cumsum(n))), [], 0
+        while cut < len(edge) - 1:  # whole rows
+            end = max(cut + 1, int(np.searchsorted(total[edge], total[edge[cut]] + PLACES, "right")) - 1)
+            a, b = edge[cut], edge[end]
+            k = _runs(lo[a:b], n[a:b])
+            r, item, place = np.repeat(row[a:b], n[a:b]), self.row[k], self.place[k]
+            order = np.lexsort((place, item, r))
+            r, item, place = r[order], item[order], place[order]
+            first = np.concatenate(([True], (r[1:] != r[:-1]) | (item[1:] != item[:-1])))
+            new = np.full(len(r), MIN_MATCH)
+            new[1:] = np.where(first[1:], MIN_MATCH, np.minimum(MIN_MATCH, place[1:] - place[:-1]))
+            start = np.flatnonzero(first)
+            keep = start[np.add.reduceat(new, start) >= coverage * self.size[item[start]]]
+            out += zip(r[keep].tolist(), item[keep].tolist(), strict=True)
+            cut = end
+        return out
+
+    def matches(self, column: pa.Array, coverage: float):
+        """(row, item index, tiles) of every document and item whose shared seeds cover enough."""
         h, row = terms(column)
+        start = np.searchsorted(row, np.arange(len(column) + 1))
+        if self.short:
+            n = np.diff(start)
+            for r in np.flatnonzero((n > 0) & (n < MIN_MATCH)).tolist():
+                for t in self.short.get(h[start[r] : start[r + 1]].tobytes(), ()):
+                    yield r, t, [(0, 0, int(n[r]))]
         seed, first = window_hashes(h, row, MIN_MATCH)
         hit = np.flatnonzero(self.filter[(seed & np.uint64((1 << 20) - 1)).astype(np.int64)])
         seed, first = seed[hit], first[hit]
-        lo, hi = np.searchsorted(self.seed, seed, "left"), np.searchsorted(self.seed, seed, "right")
-        n = hi - lo
-        if not n.sum():
-            return
-        k = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        d, place, item = np.repeat(first, n), self.place[k], self.row[k]
-        order = np.lexsort((item, row[d]))
-        d, place, item = d[order], place[order], item[order]
-        start = np.searchsorted(row, np.arange(len(column) + 1))
-        edge = np.flatnonzero(np.diff(row[d]) | np.diff(item)) + 1
-        for a, b in zip(np.concatenate(([0], edge)), np.append(edge, len(d)), strict=True):
-            r, t = int(row[d[a]]), int(item[a])
-            begin = self.at[t]
-            yield r, t, tiles(h[start[r] : start[r + 1]], self.terms[begin : self.at[t + 1]], (d[a:b] - start[r], place[a:b] - begin))
+        at, order = row[first], np.lexsort((seed, row[first]))
+        seed, first, at = seed[order], first[order], at[order]  # by document, then seed
+        new = np.ones(len(seed), bool)
+        new[1:] = (seed[1:] != seed[:-1]) | (at[1:] != at[:-1])
+        for r, t in self.candidates(seed[new], at[new], coverage):
+            a, b = np.searchsorted(at, r), np.searchsorted(at, r, "right")
+            wanted = self.item_seeds[self.item_first[t] : self.item_first[t + 1]]
+            lo, hi = np.searchsorted(seed[a:b], wanted, "left"), np.searchsorted(seed[a:b], wanted, "right")
+            j = np.repeat(np.arange(len(wanted)), hi - lo)
+            i = first[a:b][_runs(lo, hi - lo)] - start[r]
+            doc, item = h[start[r] : start[r + 1]], self.terms[self.at[t] : self.at[t + 1]]
+            same = np.ones(len(i), bool)
+            for k in range(MIN_MATCH):  # equal seeds may yet be of other terms
+                same &= doc[i + k] == item[j + k]
+            if same.any():
+                yield r, t, tiles(doc, item, (i[same], j[same]))
 
 
 SCHEMA = "doc_id long, item_id long, n_tiles int, longest int, covered int, item_terms int, coverage double"
@@ -107,7 +152,7 @@ def _tiled(batches, sent, coverage: float):
     kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.float64()]
     for part in slices(batches):
         docs, rows = part.column("doc_id").to_pylist(), []
-        for r, t, found in items.matches(part.column("text")):
+        for r, t, found in items.matches(part.column("text"), coverage):
             n, covered = int(items.at[t + 1] - items.at[t]), sum(x[2] for x in found)
             if covered >= coverage * n:
                 rows.append((docs[r], items.ids[t], len(found), max(x[2] for x in found), covered, n, covered / n))
@@ -119,10 +164,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = MIN_COVERAGE)
     """Document and test item pairs where the document's tiles cover the item.
 
     Columns: doc_id, item_id, n_tiles, longest, covered (terms of the item in tiles),
-    item_terms, coverage. Null texts hold no term. Items of fewer than MIN_MATCH terms have no
-    seed and match nothing. Test items come to the tasks in blocks of BLOCK_BYTES at most
-    (one larger item alone), so that what is broadcast has a bound whatever their number.
-    Repeated rows of either side give repeated pairs; a null doc_id or item_id stays null.
+    item_terms, coverage. Null and empty texts hold no term, and match nothing. Items of fewer
+    than MIN_MATCH terms match documents of just these terms. Test items come to the tasks in
+    blocks of BLOCK_BYTES at most (one larger item alone), so that what is broadcast has a
+    bound whatever their number. Texts of any length are read whole. Repeated rows of either
+    side give repeated pairs; a null doc_id or item_id stays null; other columns are not read.
     """
     spark = docs.sparkSession
     sized = benchmark.select("item_id", "text").filter("text is not null")
