@@ -21,6 +21,8 @@ from .shared import fold, read, slices, text_bytes
 #: Bytes of a window, state of a direction, labelled texts of a language and windows of a text to learn from, at most, passes, step.
 WINDOW, STATE = 64, 8
 PER_LANGUAGE, WINDOWS = 400, 6
+#: How many times PER_LANGUAGE texts of a language are ranked to find those of lowest hash.
+SPARE = 4
 EPOCHS, BATCH, RATE, SEED = 14, 128, 0.01, 11
 UNKNOWN = "und"
 #: Windows that run through the network together; fewer where there are more than MANY languages.
@@ -75,6 +77,7 @@ def label(w: dict, out: np.ndarray) -> np.ndarray:
     """Language probabilities of every position, (T, k, B)."""
     z = np.matmul(w["V"], out)
     z += w["c"][:, None]
+    z -= z.max(1, keepdims=True)
     np.exp(z, out=z)
     z /= z.sum(1, keepdims=True)
     return z
@@ -123,12 +126,20 @@ def train(window: np.ndarray, length: np.ndarray, y: np.ndarray, k: int) -> dict
 
 
 def sample(docs: DataFrame) -> tuple[list[str], list[bytes], np.ndarray]:
-    """Languages, and at most PER_LANGUAGE texts of each (those of lowest hash) outside the held-out part. Of a text, WINDOWS windows spread over it are taken."""
-    known = docs.select("doc_id", "text", "lang").filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") > 0)).filter(fold(4) != 2)
+    """Languages, and at most PER_LANGUAGE texts of each (those of lowest hash) outside the held-out part. Of a text, WINDOWS windows spread over it are taken.
+
+    Languages are counted first; from the counts follows a bound on the hash under which
+    SPARE times as many texts are expected, so that few rows of a common language are ranked.
+    """
+    known = docs.select("doc_id", "text", "lang").filter(F.col("lang").isNotNull() & (F.col("text") != "")).filter(fold(4) != 2).withColumn("at", F.xxhash64("doc_id"))
+    counts = known.groupBy("lang").count()
+    rare = F.col("count") <= SPARE * PER_LANGUAGE
+    bound = counts.select("lang", F.when(rare, float(1 << 63)).otherwise((2.0 * SPARE * PER_LANGUAGE / F.col("count") - 1) * float(1 << 63)).alias("bound"))
     spread = F.transform(F.sequence(F.lit(0), F.lit(WINDOWS - 1)), lambda i: F.substring("text", (F.length("text") - WINDOW) * i / (WINDOWS - 1) + 1, F.lit(WINDOW)))
     few = F.when(F.length("text") <= WINDOW, F.array("text")).otherwise(spread)
     first = Window.partitionBy("lang").orderBy("at", "parts")
-    chosen = known.select("lang", F.xxhash64("doc_id").alias("at"), few.alias("parts")).withColumn("nth", F.row_number().over(first)).filter(F.col("nth") <= PER_LANGUAGE)
+    near = known.join(bound, "lang").filter(F.col("at") <= F.col("bound"))
+    chosen = near.select("lang", "at", few.alias("parts")).withColumn("nth", F.row_number().over(first)).filter(F.col("nth") <= PER_LANGUAGE)
     rows = sorted(chosen.select("lang", "nth", "parts").collect(), key=lambda r: (r.lang, r.nth))
     langs = sorted({r.lang for r in rows})
     place = {lang: k for k, lang in enumerate(langs)}
@@ -181,7 +192,9 @@ def identify(docs: DataFrame) -> DataFrame:
 
     Per row of docs: doc_id, held_out, lang_pred (a learned language; ``und`` where the text is
     null or has no letter, or nothing could be learned), score (mean probability of that
-    language over the bytes; 0 for und). Ties go to the first language in order.
+    language over the bytes; 0 for und). Ties go to the first language in order. A null doc_id
+    is in no held-out part and may be learned from; repeated rows are each labelled; every
+    byte of a text of any length is read.
     """
     langs, w = learn(docs)
     frame = docs.select("doc_id", fold(4).alias("fold"), F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("letters"), "text")
