@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .shared import read
+from .shared import read, slices
 
 VOCABULARY = "word_bpe_49k.json"
 LIMIT = 2048
@@ -241,28 +241,34 @@ def counter(path: str) -> PrefixCounter:
 def token_counts(docs: DataFrame, path: str | None = None, limit: int = LIMIT, prefixes: bool = False) -> DataFrame:
     """Exact token counts of every text.
 
-    Returns per row: doc_id, n_bytes, n_tokens, over_limit and, where prefixes is true, the
-    table itself: word_ends and word_counts, from which truncation to any budget follows
-    without encoding again. Null text counts as empty (0 tokens); a null doc_id stays null.
+    Returns per row: doc_id, n_bytes, n_tokens, over_limit, fit_chars (code points of the
+    longest prefix within the limit that ends with a word; the whole text if it is within it)
+    and, where prefixes is true, the table itself: word_ends and word_counts, from which
+    truncation to any budget follows without encoding again. Null text counts as empty (0
+    tokens); a null doc_id stays null; repeated rows stay; texts of any length are counted
+    whole.
     """
     path = path or public_tokenizers.path(VOCABULARY)
 
     def run(batches):
         table = counter(path)
-        for batch in batches:
-            total, ends, counts = [], [], []
+        for batch in slices(batches):
+            total, fit, ends, counts = [], [], [], []
             for text in batch.column("text").to_pylist():
+                text = text or ""
+                n = table.total(text)
+                if prefixes or n > limit:
+                    e, c = table.at_words(text)
+                k = int(np.searchsorted(c, limit, "right")) if n > limit else 0
+                total.append(n)
+                fit.append(len(text) if n <= limit else int(e[k - 1]) if k else 0)
                 if prefixes:
-                    e, c = table.at_words(text or "")
-                    total.append(int(c[-1]) if len(c) else 0)
                     ends.append(e)
                     counts.append(c)
-                else:
-                    total.append(table.total(text) if text else 0)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), pa.array(total, pa.int64()), *([pa.array(ends, pa.list_(pa.int64())), pa.array(counts, pa.list_(pa.int64()))] if prefixes else [])], names=["doc_id", "n_bytes", "n_tokens", *(["word_ends", "word_counts"] if prefixes else [])])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), pa.array(total, pa.int64()), pa.array(fit, pa.int64()), *([pa.array(ends, pa.list_(pa.int64())), pa.array(counts, pa.list_(pa.int64()))] if prefixes else [])], names=["doc_id", "n_bytes", "n_tokens", "fit_chars", *(["word_ends", "word_counts"] if prefixes else [])])
 
     frame = docs.select("doc_id", "text", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))
-    out = frame.mapInArrow(run, "doc_id long, n_bytes long, n_tokens long" + ", word_ends array<long>, word_counts array<long>" * prefixes)
+    out = frame.mapInArrow(run, "doc_id long, n_bytes long, n_tokens long, fit_chars long" + ", word_ends array<long>, word_counts array<long>" * prefixes)
     return out.withColumn("over_limit", F.col("n_tokens") > limit)
 
 
