@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from .op6_quality import CLASSES, MAX_CLASS_DISTANCE, MAX_COMMON_DISTANCE, MAX_LANGUAGES, MIN_WORDS_CLASSES, MIN_WORDS_COMMON, SYMBOLS, WORDS
+from .op6_quality import CLASSES, DIGITS, LOWER, MARKS, MAX_CLASS_DISTANCE, MAX_COMMON_DISTANCE, MIN_WORDS_CLASSES, MIN_WORDS_COMMON, SYMBOLS, UPPER, WORDS
 
-_UPPER, _LOWER, _DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
-
-OP4 = f"""with recursive w as (select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as w from documents),
+OP4 = f"""with recursive w as (select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as w from documents),
 s as (select distinct doc_id, unnest(case when len(w) >= 5 then list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' ')) when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as g from w),
 n as (select w.doc_id, count(s.g) as n from w left join s using (doc_id) group by w.doc_id),
 p as (select a.doc_id as a, b.doc_id as b, count(*) as k from s a join s b on a.g = b.g and a.doc_id <> b.doc_id group by all),
@@ -26,12 +24,12 @@ def _apart(h: str, ref: str) -> str:
 
 OP6 = f"""with d as (select doc_id, lang, coalesce(text, '') as t from documents),
 f0 as (select *, list_filter(string_split_regex(t, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as w, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) as l from d),
-f1 as (select doc_id, lang, w, len(w) as n_words, len(l) - len(list_distinct(l)) as n_dup_lines, length(t) - length(regexp_replace(t, '[\\x20\\x09-\\x0D]', '', 'g')) as space, length(t) as n_chars, {_n(SYMBOLS)} as symbol, {_n(_DIGITS)} as digit, {_n(_UPPER)} as upper, {_n(_LOWER)} as lower, strlen(t) - length(t) as beyond from f0),
+f1 as (select doc_id, lang, w, len(w) as n_words, len(l) - len(list_distinct(l)) as n_dup_lines, length(t) - length(regexp_replace(t, '[\\x20\\x09-\\x0D]', '', 'g')) as space, length(t) as n_chars, {_n(SYMBOLS)} as symbol, {_n(DIGITS)} as digit, {_n(UPPER)} as upper, {_n(LOWER)} as lower, length(regexp_replace(t, '[\\x00-\\x7F]', '', 'g')) as beyond, list_filter(string_split_regex(translate(t, '{UPPER}{MARKS}', '{LOWER}{' ' * len(MARKS)}'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as w2 from f0),
 g0 as (select doc_id, unnest(range(1, n_words - 3)) as i, w from f1 where n_words >= 5), g as (select doc_id, i, array_to_string(w[i:i+4], ' ') as g from g0),
 rep as (select doc_id, i from g qualify count(*) over (partition by doc_id, g) > 1), cov as (select doc_id, count(distinct k) as n from (select doc_id, unnest([i, i + 1, i + 2, i + 3, i + 4]) as k from rep) group by doc_id),
-f as (select f1.*, coalesce(cov.n, 0) as n_repeat_words, [{", ".join(c if c != "rest" else "greatest(0, n_chars - space - symbol - digit - upper - lower - beyond)" for c in CLASSES)}]::double[] as h1,
-  list_concat([{", ".join(f"len(list_filter(w, lambda x: x = '{x}'))" for x in WORDS)}], [len(list_filter(w, lambda x: x not in ({", ".join(f"'{x}'" for x in WORDS)})))])::double[] as h2 from f1 left join cov using (doc_id)),
-rf as (select lang, [{", ".join(f"sum(h1[{k + 1}])" for k in range(len(CLASSES)))}] as r1, [{", ".join(f"sum(h2[{k + 1}])" for k in range(len(WORDS) + 1))}] as r2 from f where lang is not null and n_words > 0 group by lang order by count(*) desc, lang limit {MAX_LANGUAGES}),
+f as (select f1.*, coalesce(cov.n, 0) as n_repeat_words, [{", ".join(c if c != "rest" else "n_chars - space - symbol - digit - upper - lower - beyond" for c in CLASSES)}]::double[] as h1,
+  list_concat([{", ".join(f"len(list_filter(w2, lambda x: x = '{x}'))" for x in WORDS)}], [len(list_filter(w2, lambda x: x not in ({", ".join(f"'{x}'" for x in WORDS)})))])::double[] as h2 from f1 left join cov using (doc_id)),
+rf as (select lang, [{", ".join(f"sum(h1[{k + 1}])" for k in range(len(CLASSES)))}] as r1, [{", ".join(f"sum(h2[{k + 1}])" for k in range(len(WORDS) + 1))}] as r2 from f where lang is not null and not (n_words < 10 or 100 * n_repeat_words > 20 * n_words) group by lang),
 rs as (select list_transform(r1, lambda x: x / list_sum(r1)) as r1, list_transform(r2, lambda x: x / list_sum(r2)) as r2 from rf),
 p as (select *, case when list_sum(h1) > 0 then list_transform(h1, lambda x: x / list_sum(h1)) end as p1, case when list_sum(h2) > 0 then list_transform(h2, lambda x: x / list_sum(h2)) end as p2 from f),
 j as (select p.doc_id, min({_apart("p1", "r1")}) as d1, min({_apart("p2", "r2")}) as d2 from p cross join rs group by p.doc_id)
