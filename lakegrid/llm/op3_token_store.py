@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .shared import read, shared_folder, slices, text_bytes, written
+from .shared import mix, powers_to, read, shared_folder, slices, text_bytes, written
 
 VOCABULARY, END = "byte_bpe_50k.json", 0
 #: Ids of a chunk: at least, on average beyond that, at most; ids the rolling hash looks back on.
@@ -183,8 +183,8 @@ class Encoder:
         return out, begin
 
 
-_rng = np.random.RandomState(31)
-ID_PLACE = _rng.randint(0, 2**62, BACK).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+#: A number of 64 bits for each id below 2^16.
+ID_CODE = mix(np.arange(1, (1 << 16) + 1, dtype=np.uint64))
 
 
 @lru_cache(maxsize=2)
@@ -195,14 +195,14 @@ def encoder(path: str) -> Encoder:
 def cuts(ids: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Places after ids where the rolling hash of the last BACK ids of their stream is 0 modulo MEAN, for streams that begin at each of at (one more at the end)."""
     n = np.diff(at)
-    gap = BACK - 1  # zeros between streams, so that none sees another
-    place = np.arange(len(ids)) + np.repeat(np.arange(1, len(n) + 1) * gap, n)
-    wide = np.zeros(len(ids) + (len(n) + 1) * gap, np.uint64)
-    wide[place] = ids.astype(np.uint64) + np.uint64(1)
-    h = wide * ID_PLACE[0]
-    for j in range(1, BACK):
-        h[j:] += wide[:-j] * ID_PLACE[j]
-    return np.flatnonzero((h[place] >> np.uint64(32)) % np.uint64(MEAN) == 0) + 1
+    # zeros between streams, so that none sees another
+    place = np.arange(len(ids)) + np.repeat(np.arange(1, len(n) + 1) * BACK, n)
+    wide = np.zeros(len(ids) + (len(n) + 1) * BACK, np.uint64)
+    wide[place] = ID_CODE[ids] if len(ids) and ids.max() < len(ID_CODE) else mix(ids.astype(np.uint64) + np.uint64(1))
+    power, inverse = powers_to(len(wide) + 1)
+    run = np.cumsum(wide * power[: len(wide)])
+    h = (run[place] - run[place - BACK]) * inverse[place]
+    return np.flatnonzero((h >> np.uint64(32)) % np.uint64(MEAN) == 0) + 1
 
 
 def chunk_ends(found: list[int], n: int) -> list[int]:
@@ -359,7 +359,8 @@ def _read_chunks(batches):
             sizes.append(len(raw))
             crcs.append(zlib.crc32(raw))
             good.append(hashlib.sha256(raw).digest() == digest)
-        yield pa.RecordBatch.from_arrays([batch.column("hash"), pa.array(sizes, pa.int64()), pa.array(crcs, pa.int64()), pa.array(shift(np.array(sizes, np.int64)).astype(np.int64)), pa.array(good)], names=["hash", "size", "crc", "shift", "good"])
+        distinct, back = np.unique(np.array(sizes, np.int64), return_inverse=True)
+        yield pa.RecordBatch.from_arrays([batch.column("hash"), pa.array(sizes, pa.int64()), pa.array(crcs, pa.int64()), pa.array(shift(distinct).astype(np.int64)[back]), pa.array(good)], names=["hash", "size", "crc", "shift", "good"])
 
 
 def _used(batches):

@@ -94,7 +94,8 @@ def _named(batches):
         yield frequent()
 
 
-POSTED = "bucket int, names array<long>, sizes array<int>, tokens array<long>, member array<int>, rest array<int>"
+#: Tokens are the lower half of a shingle's hash, whose upper half chose the bucket: where two shingles meet in one token, a list has more members, whose sets are compared all the same.
+POSTED = "bucket int, tokens array<int>, names array<long>, sizes array<int>, rest array<int>"
 
 
 def _post(batches, sent, buckets: int):
@@ -129,10 +130,8 @@ def _post(batches, sent, buckets: int):
         b = ((h >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(b, kind="stable")
         h, own, rest, b = h[order], own[order], rest[order], b[order]
-        who, member = np.unique(b * len(size) + own, return_inverse=True)
-        who_at, at = np.searchsorted(who, np.arange(buckets + 1) * len(size)), np.searchsorted(b, np.arange(buckets + 1))
-        rows = who % len(size)
-        packed = pa.RecordBatch.from_arrays([pa.array(np.arange(buckets), _I), _list(name[rows].astype(np.int64), who_at, _L), _list(size[rows], who_at, _I), _list(h.astype(np.int64), at, _L), _list(member - who_at[b], at, _I), _list(rest, at, _I)], names=[c.split()[0] for c in POSTED.split(", ")])
+        at = np.searchsorted(b, np.arange(buckets + 1))
+        packed = pa.RecordBatch.from_arrays([pa.array(np.arange(buckets), _I), _list(h.astype(np.uint32).view(np.int32), at, _I), _list(name[own].astype(np.int64), at, _L), _list(size[own], at, _I), _list(rest, at, _I)], names=[c.split()[0] for c in POSTED.split(", ")])
         yield packed.filter(pa.array(np.diff(at) > 0))
 
 
@@ -148,17 +147,12 @@ LISTED = "list long, member long, size int, rest int, times int"
 
 def _lists(table: pa.Table) -> pa.Table:
     """A bucket's index lists of two members or more: one row per member; lists of the same members are one, with the largest rest."""
-    names, per = _flat(table.column("names"))
-    sizes, _ = _flat(table.column("sizes"))
-    tokens, per_token = _flat(table.column("tokens"))
-    member = _flat(table.column("member"))[0] + np.repeat(np.cumsum(per) - per, per_token)
-    rest = _flat(table.column("rest"))[0]
-    order = np.lexsort((names[member], tokens))
-    tokens, member, rest = tokens[order], member[order], rest[order]
-    name = names[member]
+    tokens, name, sizes, rest = (_flat(table.column(c))[0] for c in ("tokens", "names", "sizes", "rest"))
+    order = np.lexsort((-rest, name, tokens))
+    tokens, name, sizes, rest = tokens[order], name[order], sizes[order], rest[order]
     if len(tokens):  # a set that several slices sent counts once
         new = np.concatenate(([True], (tokens[1:] != tokens[:-1]) | (name[1:] != name[:-1])))
-        tokens, member, rest, name = tokens[new], member[new], rest[new], name[new]
+        tokens, name, sizes, rest = tokens[new], name[new], sizes[new], rest[new]
     first = np.flatnonzero(np.concatenate(([True], tokens[1:] != tokens[:-1]))) if len(tokens) else np.zeros(0, np.int64)
     length = np.diff(np.append(first, len(tokens)))
     run = np.concatenate(([np.uint64(0)], np.cumsum(mix(name.astype(np.uint64)))))
@@ -174,10 +168,10 @@ def _lists(table: pa.Table) -> pa.Table:
     every = np.repeat(at[back] - (np.cumsum(length) - length), length) + np.arange(int(length.sum()))
     source = np.repeat(first - (np.cumsum(length) - length), length) + np.arange(int(length.sum()))
     np.maximum.at(most, every, rest[source])
-    return pa.Table.from_arrays([pa.array(np.repeat(unique, n).astype(np.int64)), pa.array(name[rows], _L), pa.array(sizes[member[rows]], _I), pa.array(most, _I), pa.array(np.repeat(times, n), _I)], names=[c.split()[0] for c in LISTED.split(", ")])
+    return pa.Table.from_arrays([pa.array(np.repeat(unique, n).astype(np.int64)), pa.array(name[rows], _L), pa.array(sizes[rows], _I), pa.array(most, _I), pa.array(np.repeat(times, n), _I)], names=[c.split()[0] for c in LISTED.split(", ")])
 
 
-def _texts_sets(batches, asked: str = "pivots"):
+def _texts_sets(batches, asked: str):
     """(name, hashes, n) of the texts whose set has the name that is asked for."""
     for part in slices(batches):
         h, at, name = _sets(part.column("text"))
@@ -219,13 +213,39 @@ def _compare(batches):
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in (a, b, inter, na, nb)], names=["a", "b", "inter", "na", "nb"])
 
 
+#: Bits of the sieve that tells most documents whose sets nobody asks for, whatever their number.
+SIEVE = 1 << 27
+
+
+def fetched(docs: DataFrame, asked: DataFrame, column: str, kind: str) -> DataFrame:
+    """(name, column, set) of the documents asked for. asked: (name, doc_id, column).
+
+    Their ids set bits in a sieve of fixed size, which is broadcast, so that few other texts
+    are shuffled; a full sieve lets all texts through, and the join decides either way.
+    """
+    asked = written(asked)
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(SIEVE))
+    bits = asked.select(slot.alias("slot")).groupBy(F.shiftright("slot", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 as int))")).alias("bits")).toArrow()
+    table = np.zeros(SIEVE // 64, np.int64)
+    table[bits.column("word").to_numpy()] = bits.column("bits").to_numpy()
+    sent = docs.sparkSession.sparkContext.broadcast(table)
+
+    def sieved(batches):
+        for batch in batches:
+            at = batch.column("slot").to_numpy()
+            yield batch.select(["doc_id", "text"]).filter(pa.array(sent.value[at >> 6] >> (at & 63) & 1 == 1))
+
+    near = docs.select("doc_id", "text", slot.alias("slot")).filter("doc_id is not null").mapInArrow(sieved, "doc_id long, text string")
+    return near.join(asked, "doc_id").select("name", column, "text").mapInArrow(lambda it: _texts_sets(it, column), f"name long, {column} {kind}, set array<long>")
+
+
 def compared(docs: DataFrame, owners: DataFrame, pairs: DataFrame) -> DataFrame:
     """(a, b, inter, na, nb) of the distinct pairs (a, b) of set names. owners: (name, doc_id), one document of each set. Each set goes once to each of its pivots a; large groups of a pivot are salted."""
     salts = pairs.groupBy("a").agg(F.ceil(F.count("*") / SALTED).cast("int").alias("salts"))
     to = pairs.join(salts, "a").select(F.col("a").alias("pivot"), F.pmod(F.xxhash64("b"), "salts").cast("int").alias("salt"), F.lit(1).alias("lead"), F.col("b").alias("name"))
     to = to.union(salts.select(F.col("a").alias("pivot"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("lead"), F.col("a").alias("name")))
     asked = to.groupBy("name").agg(F.collect_list(F.struct("pivot", "salt", "lead")).alias("pivots")).join(owners, "name")
-    sets = docs.select("doc_id", "text").join(asked, "doc_id").select("name", "pivots", "text").mapInArrow(_texts_sets, "name long, pivots array<struct<pivot:long,salt:int,lead:int>>, set array<long>")
+    sets = fetched(docs, asked, "pivots", "array<struct<pivot:long,salt:int,lead:int>>")
     # rows that repeat a doc_id may have repeated its text too; a pivot's further copies are passed over, members' fall to the distinct below
     dealt = sets.select("name", "set", F.explode("pivots").alias("p")).select("p.*", "name", "set").repartition("pivot", "salt").sortWithinPartitions("pivot", "salt", "lead")
     return dealt.mapInArrow(_compare, "a long, b long, inter long, na long, nb long").distinct()
@@ -403,7 +423,7 @@ def link_counts(docs: DataFrame, owners: DataFrame, labels: DataFrame, sizes: Da
     most = F.greatest(F.lit(16), F.least(F.lit(BLOCK), F.floor(BLOCK_SHINGLES / F.pow(F.lit(BAND), F.col("band") + 1))))
     to = in_blocks(members.filter("n > 2").drop("n"), most)
     asked = to.groupBy(F.col("member").alias("name")).agg(F.collect_list(F.struct("block", "same", "side")).alias("blocks")).join(owners, "name")
-    sets = docs.select("doc_id", "text").join(asked, "doc_id").select("name", "blocks", "text").mapInArrow(lambda it: _texts_sets(it, "blocks"), "name long, blocks array<struct<block:long,same:boolean,side:int>>, set array<long>")
+    sets = fetched(docs, asked, "blocks", "array<struct<block:long,same:boolean,side:int>>")
     dealt = sets.select("name", "set", F.explode("blocks").alias("b")).select("b.*", "name", "set").repartition("block").sortWithinPartitions("block")
     found = dealt.mapInArrow(_count_links, "name long, n long").groupBy("name").agg(F.sum("n").alias("n_links"))
     return found.union(members.filter("n = 2").select("member", F.lit(1).cast("long")))

@@ -102,7 +102,8 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _powers_to(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers_to(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of STEP and of its inverse, n of each or more."""
     if len(_powers[0]) < n:
         n = max(n, SLICE_BYTES + 1)
         for k, step in enumerate((STEP, STEP_INVERSE)):
@@ -130,7 +131,7 @@ def words(raw: np.ndarray, at: np.ndarray, inside: np.ndarray = NOT_SPACE) -> tu
 
 def word_hashes(lowered: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each word: a polynomial over its bytes from running sums, then mixed with its length."""
-    power, inverse = _powers_to(len(lowered) + 1)
+    power, inverse = powers_to(len(lowered) + 1)
     run = np.zeros(len(lowered) + 1, np.uint64)
     np.cumsum(BYTE_CODE[lowered] * power[: len(lowered)], out=run[1:])
     return mix((run[end] - run[start]) * inverse[start] + (end - start).astype(np.uint64) * PLACE[7])
