@@ -24,7 +24,7 @@ def filter_catalogue(scenes: DataFrame, start, end, box: tuple[float, float, flo
     if box:
         w, s, e, n = box
         out = out.filter((F.col("xmin") <= e) & (F.col("xmax") >= w) & (F.col("ymin") <= n) & (F.col("ymax") >= s))
-    return out
+    return out.orderBy("start", "scene_id")
 
 
 def first_scenes(scenes: DataFrame, n: int) -> DataFrame:

@@ -16,9 +16,11 @@ def daily_cells(lake_bins: DataFrame, lake_days: DataFrame, scene_bins: DataFram
 
     lake_bins (hylak_id, bin); lake_days (date_solar, hylak_id, scene_no) the scenes used;
     scene_bins one row per (scene_no, bin) with means. Every bin of a lake gets a row, seen
-    or not. Keys include the bin, so no lake is one group.
+    or not. Keys include the bin, so no lake is one group. A scene's bins meet the lakes that
+    hold them before they meet the days, so nothing is multiplied by a scene's other lakes.
     """
-    seen = lake_days.join(scene_bins, "scene_no").join(lake_bins, ["hylak_id", "bin"], "left_semi")
+    owned = scene_bins.join(lake_bins.select("hylak_id", "bin"), "bin")
+    seen = owned.join(lake_days.select("date_solar", "hylak_id", "scene_no"), ["scene_no", "hylak_id"])
     most = [F.max(f"{i}_mean").alias(i) for i in INDICES] + [F.max(f"{b}_mean").alias(b) for b in NINE]
     any_ = [F.bool_or(f"{f}_any").alias(f) for f in FLAGS]
     g = seen.groupBy("date_solar", "hylak_id", "bin").agg(*most, *any_, F.count("ci_cyano_mean").alias("scenes_valid"), F.max("footprint_area").alias("footprint"), F.lit(True).alias("observed"))

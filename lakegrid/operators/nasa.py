@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import isin
 from ..functions.bands import DETECTION_LIMIT, dn_to_ci
 from ..functions.nulls import flag
 from .spatial import assign_lake
 
-GRANULE = r"(\d{7})\.L3m\.DAY\.CYAN\.CI_cyano\.CYAN_(CONUS|AK)_300m(?:_(\d+_\d+))?"
+#: Published naming of daily granules: L<year><day of year>.L3m_DAY_<suite>_CI_cyano_CYAN_<region>_300m[_<tile>].tif, with a suite for each region.
+SUITES = {"CONUS": "CYAN", "AK": "CYANAK"}
 
 
 def cell_centres(tiles: DataFrame, cells: DataFrame) -> DataFrame:
@@ -19,9 +21,16 @@ def cell_centres(tiles: DataFrame, cells: DataFrame) -> DataFrame:
 
 def parse_granules(entries: DataFrame, day: str) -> DataFrame:
     """Daily granules of a date (YYYYDDD) by name: region, tile (ALL for a region's whole file) and bounds with a margin of 100 m."""
-    name = F.col("name")
-    g = entries.filter(name.rlike(GRANULE) & (F.regexp_extract(name, GRANULE, 1) == day))
-    g = g.withColumns({"region": F.regexp_extract(name, GRANULE, 2), "tile": F.coalesce(F.nullif(F.regexp_extract(name, GRANULE, 3), F.lit("")), F.lit("ALL"))})
+    dots = F.split("name", r"\.")
+    field = F.split(F.get(dots, F.lit(1)), "_")
+    at = lambda i: F.get(field, F.lit(i))
+    suited = F.lit(False)
+    for region, suite in SUITES.items():
+        suited = suited | ((at(6) == region) & (at(2) == suite))
+    daily = (F.size(dots) == 3) & (F.get(dots, F.lit(0)) == f"L{day}") & (F.get(dots, F.lit(2)) == "tif") & (at(0) == "L3m") & (at(1) == "DAY") & (F.array_join(F.slice(field, 4, 3), "_") == "CI_cyano_CYAN") & (at(7) == "300m")
+    numbered = at(8).rlike("^[0-9]+$") & at(9).rlike("^[0-9]+$") & (F.size(field) == 10)
+    g = entries.filter(daily & suited & ((F.size(field) == 8) | numbered))
+    g = g.withColumns({"region": at(6), "tile": F.when(F.size(field) == 8, "ALL").otherwise(F.concat_ws("_", at(8), at(9)))})
     return g.groupBy("name", "region", "tile").agg((F.min("x") - 100).alias("xmin"), (F.min("y") - 100).alias("ymin"), (F.max("x") + 100).alias("xmax"), (F.max("y") + 100).alias("ymax"))
 
 
@@ -35,7 +44,7 @@ def select_tiles(cover: DataFrame) -> DataFrame:
 
 
 def coverage_complete(points: DataFrame, tiles: DataFrame) -> DataFrame:
-    """Whether every point (hylak_id, x, y) of a lake's densified outline lies in a tile; tiles meet points by cells of their own size."""
+    """Whether every point (hylak_id, x, y) of a lake, of its densified outline and of the bins inside it, lies in a tile; tiles meet points by cells of their own size."""
     size = 300_000.0
     t = tiles.withColumn("gx", F.explode(F.sequence(F.floor(F.col("xmin") / size), F.floor(F.col("xmax") / size)))).withColumn("gy", F.explode(F.sequence(F.floor(F.col("ymin") / size), F.floor(F.col("ymax") / size))))
     p = points.withColumns({"gx": F.floor(F.col("x") / size), "gy": F.floor(F.col("y") / size)})
@@ -51,6 +60,12 @@ def densify(edges: DataFrame, step: float = 0.01) -> DataFrame:
     return e.select("hylak_id", (F.col("x0") + t * (F.col("x1") - F.col("x0"))).alias("lon"), (F.col("y0") + t * (F.col("y1") - F.col("y0"))).alias("lat"))
 
 
+def lake_points(edges: DataFrame, bins: DataFrame, step: float = 0.01) -> DataFrame:
+    """(hylak_id, lon, lat) of each lake's outline and of the centres of its bins (hylak_id, bin_row, bin_col)."""
+    inside = bins.select("hylak_id", isin.centre_lon(F.col("bin_row"), F.col("bin_col")).alias("lon"), isin.centre_lat(F.col("bin_row")).alias("lat"))
+    return densify(edges, step).unionByName(inside)
+
+
 def dedupe_cells(cells: DataFrame) -> DataFrame:
     """One row per grid address; conflict where tiles give different values."""
     return cells.groupBy("grid_row", "grid_col").agg(F.min("dn").alias("dn"), F.min("lon").alias("lon"), F.min("lat").alias("lat"), (F.min("dn") < F.max("dn")).alias("conflict"))
@@ -99,9 +114,9 @@ def density_2d(pairs: DataFrame, low: float, high: float, bins: int = 70) -> Dat
     return pairs.filter("kind = 'paired'").groupBy(place("nasa_ci").alias("ix"), place("our_ci").alias("iy")).agg(F.count("*").alias("n"))
 
 
-def find_lakes(lakes: DataFrame, text: str, limit: int = 30) -> DataFrame:
-    """Lakes with an external value whose name contains the text, whatever its case; largest first."""
-    return lakes.filter(F.contains(F.lower("lake_name"), F.lit(text.lower()))).orderBy(F.desc("lake_area"), "hylak_id").limit(limit)
+def find_lakes(lakes: DataFrame, values: DataFrame, text: str, limit: int = 30) -> DataFrame:
+    """Lakes with an external value (values: hylak_id) whose name contains the text, whatever its case; largest first."""
+    return lakes.join(values.select("hylak_id").distinct(), "hylak_id", "left_semi").filter(F.contains(F.lower("lake_name"), F.lit(text.lower()))).orderBy(F.desc("lake_area"), "hylak_id").limit(limit)
 
 
 def pick_lake(lakes: DataFrame, spec: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.isin import wrap
 from ..functions.names import great_circle_m
 
 BASES = {"ci": "candidate", "ci_cyano": "detected", "ndci": "valid_water", "mph": "valid_water", "fai": "valid_water"}
@@ -60,16 +61,24 @@ def support_cells(layout: DataFrame, edges: DataFrame, key: str) -> DataFrame:
     return assign_lake(cells, edges).filter("hylak_id is not null")
 
 
-def nearest_same_lake(cells: DataFrame, pixels: DataFrame, keys: list[str], id_: str, radius: float = 600.0) -> DataFrame:
-    """Each cell with the id and distance of the nearest pixel of its lake within the radius (ties: smallest id); cells without one stay. Chosen before any quality test."""
-    size = radius / 111320.0
-    # longitude cells are as wide at the poleward end of their latitude cell as the radius needs
-    wide = size / F.cos(F.radians(F.floor(F.col("lat") / 10.0) * 10.0 + F.when(F.col("lat") >= 0, 10.0).otherwise(0.0)) * 0.985)
-    at = lambda d: d.withColumns({"gy": F.floor(F.col("lat") / size), "gx": F.floor(F.col("lon") / wide)})
-    c = at(cells).withColumn("dy", F.explode(F.array(*map(F.lit, (-1, 0, 1))))).withColumn("dx", F.explode(F.array(*map(F.lit, (-1, 0, 1))))).withColumns({"gy": F.col("gy") + F.col("dy"), "gx": F.col("gx") + F.col("dx")})
-    p = at(pixels).select(*[F.col(k) for k in keys], "gy", "gx", F.col(id_).alias("match"), F.col("lat").alias("plat"), F.col("lon").alias("plon"))
+def nearest_same_lake(cells: DataFrame, pixels: DataFrame, keys: list[str], id_: str, metres: float = 300.0) -> DataFrame:
+    """Each cell with the id and distance of the nearest pixel of its lake within 600 m, or two steps of a grid of that many metres if that is more (ties: smallest id); cells without one stay. Chosen before any quality test.
+
+    Both sides are dealt to rows as high as the radius, and each row to a whole number of
+    columns, as wide as the radius at its poleward end, around the Earth; so the nine boxes
+    about a cell hold all pixels within the radius, whatever row or side of the date line
+    they are on.
+    """
+    radius = max(600.0, 2.0 * metres)
+    high = radius / 111000.0
+    row = F.floor(F.col("lat") / high)
+    columns = lambda gy: F.greatest(F.lit(3), F.floor(360.0 * F.cos(F.radians(F.least(F.lit(90.0), F.greatest(F.abs(gy), F.abs(gy + 1)) * high))) / high))
+    column = lambda gy: F.floor((wrap(F.col("lon")) + 180.0) / 360.0 * columns(gy))
+    steps = F.array(*map(F.lit, (-1, 0, 1)))
+    c = cells.withColumn("gy", F.explode(F.transform(steps, lambda d: row + d))).withColumn("gx", F.explode(F.transform(steps, lambda d: F.pmod(column(F.col("gy")) + d, columns(F.col("gy"))))))
+    p = pixels.withColumn("gy", row).withColumn("gx", F.pmod(column(F.col("gy")), columns(F.col("gy")))).select(*keys, "gy", "gx", F.col(id_).alias("match"), F.col("lat").alias("plat"), F.col("lon").alias("plon"))
     near = c.join(p, [*keys, "gy", "gx"]).withColumn("metres", great_circle_m(F.col("lat"), F.col("lon"), F.col("plat"), F.col("plon"))).filter(F.col("metres") <= radius)
-    own = [x for x in cells.columns]
+    own = list(cells.columns)
     best = near.groupBy(*own).agg(F.min(F.struct("metres", "match")).alias("m"))
     return cells.join(best.select(*own, F.col("m.match").alias("match"), F.col("m.metres").alias("metres")), own, "left")
 

@@ -19,6 +19,8 @@ from .fixtures import definition, view, with_views
 from .pixel_queries import _MASKS, KEYS, LIMIT, bigint_counts, masked, pixels, rounded
 
 EARTH = "6371007.181::double"
+#: Digits to which means over exact footprints are compared: places of bins are differences of longitudes, good to about 1e-12.
+DIGITS = 7
 _ROWS = """isin0 as (select r as row, floor(2 * 69120 * cos(radians((r + 0.5::double) * 180 / 69120 - 90)) + 0.5::double)::bigint as n from range(69120) t(r)),
 isin as (select *, (sum(n) over (order by row) - n)::bigint as before from isin0)"""
 
@@ -85,9 +87,9 @@ def scene_bins(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def f_pixels_to_bins(spark: SparkSession, sf: str) -> DataFrame:
-    """Scene bins by exact overlap area: areas, means and flags; rows only, checked by conservation in the tests."""
+    """Scene bins by exact overlap area: areas, means and flags."""
     b = scene_bins(spark, sf)
-    return b.select("scene_no", "bin", F.round("footprint_area", 3).alias("footprint_area"), *(F.round(f"{i}_mean", 9).alias(f"{i}_mean") for i in O.INDICES), *(f"{f}_any" for f in O.FLAGS))
+    return b.select("scene_no", "bin", F.round("footprint_area", 3).alias("footprint_area"), *(F.round(f"{i}_mean", DIGITS - 1).alias(f"{i}_mean") for i in O.INDICES), *(f"{f}_any" for f in O.FLAGS))
 
 
 def centre_bins(spark: SparkSession, sf: str) -> DataFrame:
@@ -107,22 +109,22 @@ def _lake_days(spark: SparkSession, sf: str) -> DataFrame:
     return P.box_lakes(view(spark, sf, "scenes"), view(spark, sf, "lake_edges"), "scene_no").join(s.select("scene_no", "date_solar"), "scene_no")
 
 
-def cells(spark: SparkSession, sf: str, bins=centre_bins) -> DataFrame:
+def cells(spark: SparkSession, sf: str, bins=scene_bins) -> DataFrame:
     return D.daily_cells(P.polygon_bins(view(spark, sf, "lake_edges")), _lake_days(spark, sf), bins(spark, sf))
 
 
 def f_daily_cells(spark: SparkSession, sf: str) -> DataFrame:
     c = cells(spark, sf)
-    return c.select("date_solar", "hylak_id", "bin", *(F.round(i, 9).alias(i) for i in O.INDICES), *O.FLAGS, "scenes_valid", "observed", "dn")
+    return c.select("date_solar", "hylak_id", "bin", *(F.round(i, DIGITS).alias(i) for i in O.INDICES), *O.FLAGS, "scenes_valid", "observed", "dn")
 
 
 def f_daily_lakes(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(D.daily_lakes(cells(spark, sf)))
+    return rounded(D.daily_lakes(cells(spark, sf)), DIGITS)
 
 
-def daily_lakes_by_area(spark: SparkSession, sf: str) -> DataFrame:
-    """The whole daily job over exact footprints; rows only."""
-    return rounded(D.daily_lakes(cells(spark, sf, scene_bins)))
+def daily_lakes_by_centre(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole daily job with each pixel in the bin of its centre, to compare with the job over exact footprints (f_daily_lakes)."""
+    return rounded(D.daily_lakes(cells(spark, sf, centre_bins)), DIGITS)
 
 
 def e_raster_layout(spark: SparkSession, sf: str) -> DataFrame:
@@ -177,7 +179,7 @@ def _pairs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def d_pair_cells(spark: SparkSession, sf: str) -> DataFrame:
-    return _pairs(spark, sf).select("grid_row", "grid_col", "hylak_id", "bin", "kind", F.round("nasa_ci", 9).alias("nasa_ci"), F.round("our_ci", 9).alias("our_ci"))
+    return _pairs(spark, sf).select("grid_row", "grid_col", "hylak_id", "bin", "kind", F.round("nasa_ci", 9).alias("nasa_ci"), F.round("our_ci", DIGITS).alias("our_ci"))
 
 
 def f_pair_leftovers(spark: SparkSession, sf: str) -> DataFrame:
@@ -196,8 +198,9 @@ def f_density_2d(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def d_coverage_complete(spark: SparkSession, sf: str) -> DataFrame:
-    """Whether tiles of 0.5 degrees that leave out every seventh cover each lake's outline (in units of a metre per microdegree)."""
-    pts = N.densify(view(spark, sf, "lake_edges")).select("hylak_id", (F.col("lon") * 1e6).alias("x"), (F.col("lat") * 1e6).alias("y"))
+    """Whether tiles of 0.5 degrees that leave out every seventh cover each lake's outline and bins (in units of a metre per microdegree)."""
+    edges = view(spark, sf, "lake_edges")
+    pts = N.lake_points(edges, P.polygon_bins(edges)).select("hylak_id", (F.col("lon") * 1e6).alias("x"), (F.col("lat") * 1e6).alias("y"))
     t = spark.range(24).filter("id % 7 <> 3").select((-84.5e6 + (F.col("id") % 6) * 5e5).alias("xmin"), (44.8e6 + F.floor(F.col("id") / 6) * 7e5).alias("ymin")).withColumns({"xmax": F.col("xmin") + 5e5, "ymax": F.col("ymin") + 7e5})
     return N.coverage_complete(pts, t)
 
@@ -224,7 +227,7 @@ def d_shore_buffer(spark: SparkSession, sf: str) -> DataFrame:
     return P.shore_distance(p, view(spark, sf, "lake_edges")).filter("metres >= 300").select(*KEYS, "hylak_id", F.round("metres", 4).alias("metres"))
 
 
-QUERIES = {f.__name__: f for f in (d_shore_buffer, e_isin_rows, e_bin_number, e_bin_geometry, e_albers, d_polygon_bins, d_scene_lakes, d_neighbour_vectors, d_footprint_overlap, f_pixels_to_bins, f_reduce_bins, f_daily_cells, f_daily_lakes, daily_lakes_by_area, e_raster_layout, a_daily_science, j_reproduce, j_check_lake_rows, d_nasa_cells_in_lake, f_nasa_histogram, j_check_nasa_rows, g_dedupe_nasa_cells, d_pair_cells, f_pair_leftovers, f_pair_statistics, f_density_2d, d_coverage_complete, e_latlon_grid, e_support_cells, d_nearest_same_lake)}
+QUERIES = {f.__name__: f for f in (d_shore_buffer, e_isin_rows, e_bin_number, e_bin_geometry, e_albers, d_polygon_bins, d_scene_lakes, d_neighbour_vectors, d_footprint_overlap, f_pixels_to_bins, f_reduce_bins, f_daily_cells, f_daily_lakes, daily_lakes_by_centre, e_raster_layout, a_daily_science, j_reproduce, j_check_lake_rows, d_nasa_cells_in_lake, f_nasa_histogram, j_check_nasa_rows, g_dedupe_nasa_cells, d_pair_cells, f_pair_leftovers, f_pair_statistics, f_density_2d, d_coverage_complete, e_latlon_grid, e_support_cells, d_nearest_same_lake)}
 
 # SQL
 _PIX = with_views("pixels")
@@ -243,31 +246,71 @@ _SCENE_LAKES = """sl as (select distinct s.scene_no, e.hylak_id, s.minutes from
    <= least(1, case when x1 = x0 then 1 else greatest((s.xmin - x0) / nullif(x1 - x0, 0), (s.xmax - x0) / nullif(x1 - x0, 0)) end, case when y1 = y0 then 1 else greatest((s.ymin - y0) / nullif(y1 - y0, 0), (s.ymax - y0) / nullif(y1 - y0, 0)) end)
   union select s.scene_no, e.hylak_id, s.minutes from fx_scenes s join fx_lake_edges e on (e.y0 > s.ymin) <> (e.y1 > s.ymin) and s.xmin < (e.x1 - e.x0) * (s.ymin - e.y0) / (e.y1 - e.y0) + e.x0 group by all having count(*) % 2 = 1)"""
 _DI = "d_ci d_ci_cyano d_ndci d_mph d_fai"
-_CENTRE = _MASKS + ",\n" + _ROWS + """,
+_INPUTS = _MASKS + ",\n" + _ROWS + """,
 di as (select *, case when candidate then ci end::double as d_ci, case when ci_valid then case when ss665 > 0 and candidate then ci else 0 end end::double as d_ci_cyano, case when ndci_valid then ndci end::double as d_ndci,
-  case when mph_valid then mph end as d_mph, case when fai_valid then fai end as d_fai, greatest(0, least(69119, floor((lat + 90) * 69120 / 180)))::int as bin_row from mk where hylak_id is not null),
+  case when mph_valid then mph end as d_mph, case when fai_valid then fai end as d_fai, greatest(0, least(69119, floor((lat + 90) * 69120 / 180)))::int as bin_row from mk where hylak_id is not null)"""
+_CENTRE = _INPUTS + """,
 db as (select di.*, before + least(floor((""" + _wrap("lon") + """ + 180) / 360 * n), n - 1)::bigint + 1 as bin from di join isin on bin_row = isin.row),
 sb as (select scene_no, bin, count(*)::double as footprint_area, """ + ", ".join(f"count(d_{i})::double as {i}_valid_area, avg(d_{i}) as {i}_mean" for i in O.INDICES) + """,
   count(*) filter (where valid_water)::double as rhos_valid_area, avg(case when valid_water then r490::double end) as r490_mean, avg(case when valid_water then r885::double end) as r885_mean,
   """ + ", ".join(f"bool_or({f}) as {f}_any" for f in O.FLAGS) + " from db group by scene_no, bin)"
+
+
+def _vectors(pixels: str) -> str:
+    """Neighbour vectors of the pixels of a table (lon, lat, scene_no, source_row, source_col) as vec."""
+    along = {"a": ("source_col", "source_row"), "b": ("source_row", "source_col")}
+    steps = ", ".join(f"lead(x) over {v} - x as {v}_nx, lead(y) over {v} - y as {v}_ny, lead({o}) over {v} = {o} + 1 as {v}_no, x - lag(x) over {v} as {v}_px, y - lag(y) over {v} as {v}_py, lag({o}) over {v} = {o} - 1 as {v}_po" for v, (_, o) in along.items())
+    windows = ", ".join(f"{v} as (partition by scene_no, {k} order by {o})" for v, (k, o) in along.items())
+    pick = ", ".join(f"case when {v}_no and sqrt({v}_nx * {v}_nx + {v}_ny * {v}_ny) between 100 and 2500 then {v}_n{c} when {v}_po and sqrt({v}_px * {v}_px + {v}_py * {v}_py) between 100 and 2500 then {v}_p{c} end as {v}{c}0" for v in "ab" for c in "xy")
+    four = ("ax", "ay", "bx", "by")
+    nominal = dict(zip(four, (0, -300, 300, 0), strict=True))
+    return f"""vm as (select scene_no, degrees(atan2(avg(sin(radians(lon))), avg(cos(radians(lon))))) as lon0 from {pixels} group by scene_no),
+v0 as (select p.scene_no, source_row, source_col, lon0, {EARTH} * radians({_wrap("lon - lon0")}) * cos(radians(lat)) as x, {EARTH} * radians(lat) as y from {pixels} p join vm using (scene_no)),
+v1 as (select *, {steps} from v0 window {windows}), v2 as (select scene_no, source_row, source_col, lon0, x, y, {pick} from v1),
+v3 as (select scene_no, source_col, {", ".join(f"quantile_cont({c}0, 0.5) as m{c}" for c in four)} from v2 group by scene_no, source_col),
+v4 as (select v2.*, {", ".join(f"coalesce({c}0, m{c}) as f{c}" for c in four)} from v2 join v3 using (scene_no, source_col)),
+v5 as (select scene_no, {", ".join(f"quantile_cont(f{c}, 0.5) as w{c}" for c in four)} from v4 group by scene_no),
+vec as (select v4.scene_no, source_row, source_col, lon0, x, y, {", ".join(f'coalesce(f{c}, w{c}, {nominal[c]}::double) as "{c}"' for c in four)} from v4 join v5 using (scene_no))"""
+
+
+_CORNERS = ((-0.5, -0.5), (0.5, -0.5), (0.5, 0.5), (-0.5, 0.5))
+_AT = lambda c, k: f'({c} + {_CORNERS[k][0]}::double * a{c} + {_CORNERS[k][1]}::double * "b{c}")'
+# footprints in rows of the grid from their centres; each edge of a bin's part on its own, then added up
+_PARTS = f"""f0 as (select *, degrees(x / ({EARTH} * cos(y / {EARTH}))) as own, degrees(y / {EARTH}) as up, abs(ax * "by" - ay * bx) as plane from vec),
+f1 as (select *, {_wrap("lon0 + own")} as lon_at, {", ".join(f"(degrees({_AT('x', k)} / ({EARTH} * cos({_AT('y', k)} / {EARTH}))) - own) * 384 as px{k}, (degrees({_AT('y', k)} / {EARTH}) - up) * 384 as py{k}" for k in range(4))} from f0),
+f2 as (select *, ({" + ".join(f"px{k} * py{(k + 1) % 4} - px{(k + 1) % 4} * py{k}" for k in range(4))}) / 2 as signed, least(px0, px1, px2, px3) as l, greatest(px0, px1, px2, px3) as r,
+  unnest(range(greatest(0, floor((up + 90) * 384 + least(py0, py1, py2, py3)))::int, least(69119, floor((up + 90) * 384 + greatest(py0, py1, py2, py3)))::int + 1)) as bin_row from f1),
+f3 as (select f2.*, n, before, 360::double / n * 384 as wide, (lon_at + 180) * 384 as off, [{", ".join(f"{{'x': px{k}, 'y': py{k}, 'dx': px{(k + 1) % 4} - px{k}, 'dy': py{(k + 1) % 4} - py{k}}}" for k in range(4))}] as edges from f2 join isin on bin_row = isin.row where signed <> 0),
+f4 as (select scene_no, source_row, source_col, signed, plane, bin_row, n, before, wide, off, edges, up, unnest(range(floor((off + l) / wide)::bigint, floor((off + r) / wide)::bigint + 1)) as k from f3),
+f5 as (select * exclude (edges), k * wide - off as w, (k + 1) * wide - off as e, bin_row - (up + 90) * 384 as s, bin_row - (up + 90) * 384 + 1 as t, unnest(edges) as g from f4),
+f6 as (select *, greatest(w, least(e, g.x)) as xa, greatest(w, least(e, g.x + g.dx)) as xb from f5),
+f7 as (select *, g.y + (xa - g.x) * (g.dy / nullif(g.dx, 0)) as ya, g.y + (xb - g.x) * (g.dy / nullif(g.dx, 0)) as yb from f6),
+f8 as (select *, greatest(s, least(t, ya)) as ca, greatest(s, least(t, yb)) as cb from f7),
+f9 as (select *, case when g.dx = 0 or xa = xb then 0 when ca = cb then ca * (xb - xa) when abs(yb - ya) < 1e-8::double then (ca + cb) / 2 * (xb - xa)
+  else ((cb * cb / 2 + s * least(yb - s, 0) + t * greatest(yb - t, 0)) - (ca * ca / 2 + s * least(ya - s, 0) + t * greatest(ya - t, 0))) * (xb - xa) / (yb - ya) end as held from f8),
+parts as (select scene_no, source_row, source_col, bin_row, (k - n * floor(k / n))::bigint as bin_col, before + (k - n * floor(k / n))::bigint + 1 as bin, any_value(plane) as plane, -sum(held) / any_value(signed) * any_value(plane) as weight from f9 group by scene_no, source_row, source_col, bin_row, k, n, before having -sum(held) / any_value(signed) * any_value(plane) > 1e-6::double)"""
+_AREA = _INPUTS + ",\n" + _vectors("di") + ",\n" + _PARTS + """,
+sb as (select p.scene_no, p.bin, sum(weight) as footprint_area, """ + ", ".join(f"sum(weight * d_{i}) / nullif(sum(weight) filter (where d_{i} is not null), 0) as {i}_mean" for i in O.INDICES) + """,
+  """ + ", ".join(f"bool_or({f}) as {f}_any" for f in O.FLAGS) + " from parts p join di using (scene_no, source_row, source_col) group by p.scene_no, p.bin)"
 _DAYS = definition("scenes") + ",\n" + _SCENE_LAKES + ", ld as (select hylak_id, scene_no, (date '2024-08-01' + (minutes // 1440)::int)::date as date_solar from sl)"
-_DAILY = _CENTRE + ",\n" + _LAKE_BINS + ",\n" + _DAYS + """,
+_MERGED = ",\n" + _LAKE_BINS + ",\n" + _DAYS + """,
 seen as (select date_solar, hylak_id, bin, """ + ", ".join(f"max({i}_mean) as {i}" for i in O.INDICES) + ", " + ", ".join(f"bool_or({f}_any) as {f}" for f in O.FLAGS) + """, count(ci_cyano_mean) as scenes_valid
   from ld join sb using (scene_no) group by all),
 cells as (select d.date_solar, d.hylak_id, b.bin, b.bin_row, b.bin_col, """ + ", ".join(f"s.{i}" for i in O.INDICES) + ", " + ", ".join(f"coalesce({f}, false) as {f}" for f in O.FLAGS) + """, coalesce(scenes_valid, 0) as scenes_valid, s.bin is not null as observed,
   case when ci_cyano is null then 255 when ci_cyano >= """ + LIMIT + """ then greatest(1, least(253, round_even((log10(ci_cyano) + 4.1870866::double) / 0.011714::double, 0)))::int else 0 end as dn
   from (select distinct date_solar, hylak_id from ld) d join lake_bins b using (hylak_id) left join seen s on s.date_solar = d.date_solar and s.hylak_id = d.hylak_id and s.bin = b.bin)"""
+_DAILY, _DAILY_CENTRE = _AREA + _MERGED, _CENTRE + _MERGED
 
 
 def _summary(v: str) -> str:
-    return f"count({v}) as {v}_valid, round(avg({v}), 9) as {v}_mean, round(quantile_cont({v}, 0.5), 9) as {v}_median, round(quantile_cont({v}, 0.1), 9) as {v}_p10, round(quantile_cont({v}, 0.9), 9) as {v}_p90, round(max({v}), 9) as {v}_max"
+    return f"count({v}) as {v}_valid, round(avg({v}), {DIGITS}) as {v}_mean, round(quantile_cont({v}, 0.5), {DIGITS}) as {v}_median, round(quantile_cont({v}, 0.1), {DIGITS}) as {v}_p10, round(quantile_cont({v}, 0.9), {DIGITS}) as {v}_p90, round(max({v}), {DIGITS}) as {v}_max"
 
 
 _HIT = f"coalesce(ci_cyano >= {LIMIT}, false)"
 _LAKES = f"""select date_solar, hylak_id, count(*) as lake_cells, count_if(valid_water) as primary_retained_cells, count_if(cloud_excluded) as cloud_any_cells, count_if(cloud_excluded and ci_cyano is not null) as cloud_with_valid_cells,
 count_if(cloud_excluded and ci_cyano is null) as cloud_without_valid_cells, count(ci_cyano) as ci_input_valid_cells, count(ci) as ci_candidate_cells, count(*) filter (where {_HIT}) as detectable_cells,
 count(*) filter (where ci_cyano is not null and not {_HIT}) as non_detectable_cells, count(*) filter (where ci_cyano is null) as no_valid_data_cells, count_if(scenes_valid >= 2) as twice_valid_cells,
-{", ".join(map(_summary, O.INDICES))}, round(avg(ci_cyano) filter (where {_HIT}), 9) as ci_cyano_mean_detectable from cells group by date_solar, hylak_id"""
+{", ".join(map(_summary, O.INDICES))}, round(avg(ci_cyano) filter (where {_HIT}), {DIGITS}) as ci_cyano_mean_detectable from cells group by date_solar, hylak_id"""
 _NASA = with_views("nasa", "lake_edges") + """, nh as (select p.grid_row, p.grid_col, p.dn, p.lon, p.lat, e.hylak_id, min(lake_order) as o from fx_nasa p join fx_lake_edges e
   on (e.y0 > p.lat) <> (e.y1 > p.lat) and p.lon < (e.x1 - e.x0) * (p.lat - e.y0) / (e.y1 - e.y0) + e.x0 group by all having count(*) % 2 = 1),
 nl as (select grid_row, grid_col, dn, lon, lat, arg_min(hylak_id, o) as hylak_id from nh group by all)"""
@@ -307,9 +350,12 @@ select scene_no, bin, bin_row, bin_col, round(lat, 8) as lat, round(lon, 8) as l
 round({_wrap(f"lon0 + degrees(x / ({EARTH} * cos(y / {EARTH})))")}, 8) as back_lon, round(degrees(y / {EARTH}), 8) as back_lat from q""",
     "d_polygon_bins": f"{_EDGES},\n{_ROWS},\n{_LAKE_BINS} select * from lake_bins",
     "d_scene_lakes": with_views("scenes", "lake_edges") + ",\n" + _SCENE_LAKES + " select scene_no, hylak_id from sl",
-    "d_footprint_overlap": None,
+    "d_neighbour_vectors": _PIX + ",\n" + _vectors("fx_pixels") + ' select scene_no, source_row, source_col, round(ax, 5) as ax, round(ay, 5) as ay, round(bx, 5) as bx, round("by", 5) as "by" from vec',
+    "d_footprint_overlap": f"{_PIX},\n{_ROWS},\n" + _vectors("fx_pixels") + f",\n{_PARTS} select scene_no, source_row, source_col, count(*) as bins, abs(sum(weight) / any_value(plane) - 1) < 1e-6::double as conserved from parts group by scene_no, source_row, source_col",
+    "f_pixels_to_bins": _AREA + " select scene_no, bin, round(footprint_area, 3) as footprint_area, " + ", ".join(f"round({i}_mean, {DIGITS - 1}) as {i}_mean" for i in O.INDICES) + ", " + ", ".join(f"{f}_any" for f in O.FLAGS) + " from sb",
+    "daily_lakes_by_centre": f"{_DAILY_CENTRE} {_LAKES}",
     "f_reduce_bins": _CENTRE + " select scene_no, bin, footprint_area, " + ", ".join(f"{i}_valid_area, round({i}_mean, 9) as {i}_mean" for i in O.INDICES) + ", rhos_valid_area, round(r490_mean, 9) as r490_mean, round(r885_mean, 9) as r885_mean, " + ", ".join(f"{f}_any" for f in O.FLAGS) + " from sb",
-    "f_daily_cells": _DAILY + " select date_solar, hylak_id, bin, " + ", ".join(f"round({i}, 9) as {i}" for i in O.INDICES) + ", " + ", ".join(O.FLAGS) + ", scenes_valid, observed, dn from cells",
+    "f_daily_cells": _DAILY + " select date_solar, hylak_id, bin, " + ", ".join(f"round({i}, {DIGITS}) as {i}" for i in O.INDICES) + ", " + ", ".join(O.FLAGS) + ", scenes_valid, observed, dn from cells",
     "f_daily_lakes": f"{_DAILY} {_LAKES}",
     "j_reproduce": f"""{_DAILY}, r as ({_LAKES}) select date_solar, hylak_id, '(row)' as "column", 'present' as rebuilt, null::varchar as stored from r where hylak_id % 17 = 3
 union all select date_solar, hylak_id, 'lake_cells', lake_cells::varchar, (lake_cells + 1)::varchar from r where hylak_id % 17 <> 3 and hylak_id % 13 = 1""",
@@ -320,7 +366,7 @@ union all select date_solar, hylak_id, 'lake_cells', lake_cells::varchar, (lake_
     "g_dedupe_nasa_cells": with_views("nasa") + """, u as (select grid_row, grid_col, dn from fx_nasa union all select grid_row, grid_col, case when grid_row % 9 = 0 then (dn + 1) % 256 else dn end from fx_nasa where grid_col % 5 = 0)
 select grid_row, grid_col, min(dn) as dn, min(dn) < max(dn) as conflict from u group by grid_row, grid_col""",
     "d_pair_cells": f"""{_PAIRS} select grid_row, grid_col, hylak_id, bin, kind, round(case when dn > 253 then null when dn >= 1 then pow(10.0::double, dn * 0.011714::double - 4.1870866::double) else 0 end, 9) as nasa_ci,
-round(case when ours >= {LIMIT} then ours else 0 end, 9) as our_ci from pr""",
+round(case when ours >= {LIMIT} then ours else 0 end, {DIGITS}) as our_ci from pr""",
     "f_pair_leftovers": _PAIRS + """ select hylak_id, count(*) as nasa_cells, count_if(kind = 'nasa land or no data') as left_out_nasa, count_if(kind = 'no bin') as left_out_no_bin, count_if(kind = 'bin without data') as left_out_no_data, count_if(kind = 'paired') as paired from pr group by hylak_id""",
     "f_pair_statistics": _MASKS + """, p as (select hylak_id, coalesce(ci, 0)::double as x, coalesce(ci_cyano, 0)::double as y from mk where hylak_id is not null)
 select hylak_id, count(*) as n, round(case when count(*) >= 2 and min(x) < max(x) and min(y) < max(y) then corr(y, x) end, 6) as r, round(case when count(*) >= 2 and min(x) < max(x) then regr_slope(y, x) end, 6) as slope,
@@ -336,8 +382,9 @@ pl as (select scene_no, source_row * 64 + source_col as place, lat as plat, lon
 near as (select sc.*, place, 6371000.0::double * 2 * asin(least(1, sqrt(pow(cos(radians(lat)) * cos(radians(lon)) - cos(radians(plat)) * cos(radians(plon)), 2)
   + pow(cos(radians(lat)) * sin(radians(lon)) - cos(radians(plat)) * sin(radians(plon)), 2) + pow(sin(radians(lat)) - sin(radians(plat)), 2)) / 2)) as m from sc join pl using (scene_no, hylak_id))
 select s.scene_no, s.iy, s.ix, s.hylak_id, n.place as match, round(n.m, 4) as metres from sc s left join (select scene_no, iy, ix, arg_min(place, (m, place)) as place, min(m) as m from near where m <= 600 group by all) n on n.scene_no = s.scene_no and n.iy = s.iy and n.ix = s.ix""",
-    "d_coverage_complete": _EDGES + """, e as (select *, greatest(1, ceil(greatest(abs(x1 - x0), abs(y1 - y0)) / 0.01::double))::int as n from fx_lake_edges), k as (select *, unnest(range(n)) as k from e),
-p as (select hylak_id, (x0 + k::double / n * (x1 - x0)) * 1e6::double as x, (y0 + k::double / n * (y1 - y0)) * 1e6::double as y from k),
+    "d_coverage_complete": _EDGES + ",\n" + _ROWS + ",\n" + _LAKE_BINS + """, e as (select *, greatest(1, ceil(greatest(abs(x1 - x0), abs(y1 - y0)) / 0.01::double))::int as n from fx_lake_edges), k as (select *, unnest(range(n)) as k from e),
+p as (select hylak_id, (x0 + k::double / n * (x1 - x0)) * 1e6::double as x, (y0 + k::double / n * (y1 - y0)) * 1e6::double as y from k
+  union all select hylak_id, ((bin_col + 0.5::double) * 360 / isin.n - 180) * 1e6::double, ((bin_row + 0.5::double) * 180 / 69120 - 90) * 1e6::double from lake_bins join isin on isin.row = bin_row),
 t as (select -84.5e6::double + (i % 6) * 5e5::double as a, 44.8e6::double + (i // 6) * 7e5::double as b from range(24) r(i) where i % 7 <> 3)
 select hylak_id, bool_and(exists (select 1 from t where x between a and a + 5e5::double and y between b and b + 7e5::double)) as complete from p group by hylak_id""",
 }

@@ -221,3 +221,110 @@ def test_late_change_merges_its_date_again(spark):
     changed = spark.createDataFrame([(day, "a", "b"), (datetime.date(2024, 8, 2), "c", "c")], "date_solar date, signature string, merged string")
     out = jobs.remerge(changed, m, lambda dates: m.join(dates, "date_solar", "left_semi").withColumn("v", F.lit(0.1)))
     assert sorted((str(r.date_solar), r.v) for r in out.collect()) == [("2024-08-01", 0.1), ("2024-08-02", 0.5)]
+
+
+def clipped_area(points, west, east, south, north):
+    """Area of a convex polygon's part in a rectangle, by cutting it along each side in turn."""
+    for axis, line, sign in ((0, west, 1), (0, east, -1), (1, south, 1), (1, north, -1)):
+        out = []
+        for p, q in zip(points, points[1:] + points[:1], strict=True):
+            a, b = sign * (p[axis] - line), sign * (q[axis] - line)
+            if a >= 0:
+                out.append(p)
+            if a * b < 0:
+                t = a / (a - b)
+                out.append((p[0] + t * (q[0] - p[0]), p[1] + t * (q[1] - p[1])))
+        points = out
+    return abs(sum(p[0] * q[1] - q[0] * p[1] for p, q in zip(points, points[1:] + points[:1], strict=True))) / 2
+
+
+def test_overlaps_are_clipped_areas(spark):
+    """Random footprints, either way round, against polygon clipping in longitude and latitude."""
+    import math
+    import random
+
+    from lakegrid.functions import isin
+    from lakegrid.operators import overlap as O
+
+    rng, r = random.Random(4), isin.RADIUS
+    rows = []
+    for i in range(150):
+        lat, lon = rng.uniform(-70, 70), rng.uniform(-179.99, 179.99)
+        a, b = (rng.uniform(-400, 400), rng.uniform(-400, 400)), (rng.uniform(-400, 400), rng.uniform(-400, 400))
+        if i % 5 == 0:  # level and upright edges
+            a, b = (0.0, -300.0), (300.0, 0.0)
+        lon0 = lon - rng.uniform(-2, 2)
+        rows.append((i, lon0, r * math.radians(lon - lon0) * math.cos(math.radians(lat)), r * math.radians(lat), *a, *b))
+    df = spark.createDataFrame(rows, "i int, lon0 double, x double, y double, ax double, ay double, bx double, by double")
+    got = {}
+    for row in O.footprint_overlaps(df, ["i"]).collect():
+        got.setdefault(row.i, {})[row.bin_row, row.bin_col] = row.weight
+    for i, lon0, x, y, ax, ay, bx, by in rows:
+        ring = []
+        for s, t in ((-0.5, -0.5), (0.5, -0.5), (0.5, 0.5), (-0.5, 0.5)):
+            px, py = x + s * ax + t * bx, y + s * ay + t * by
+            ring.append((lon0 + math.degrees(px / (r * math.cos(py / r))), math.degrees(py / r)))
+        whole, plane = clipped_area(ring, -999, 999, -99, 99), abs(ax * by - ay * bx)
+        assert abs(sum(got[i].values()) / plane - 1) < 1e-6
+        for (row, col), weight in got[i].items():
+            n = math.floor(2 * isin.N_ROWS * math.cos(math.radians((row + 0.5) * 180 / isin.N_ROWS - 90)) + 0.5)
+            west = col * 360 / n - 180
+            near = west + 360 * round((ring[0][0] - west) / 360)
+            want = clipped_area(ring, near, near + 360 / n, row * 180 / isin.N_ROWS - 90, (row + 1) * 180 / isin.N_ROWS - 90) / whole * plane
+            assert abs(weight - want) < 1e-4 * plane
+
+
+def test_nearest_pixel_over_borders(spark):
+    """Pixels within the radius are found over the rows' and columns' borders, at any latitude and over the date line."""
+    import random
+
+    from lakegrid.operators import scene as S
+
+    rng = random.Random(6)
+    cells, pixels = [(1, 49.9995, 10.0), (2, 0.0, 179.9999), (3, 85.0, -180.0)], [(1, 50.0005, 10.0), (2, 0.0001, -179.9999), (3, 85.0001, 179.99)]
+    for k in range(4, 300):
+        lat, lon = rng.uniform(-88, 88), rng.uniform(-180, 180)
+        cells.append((k, lat, lon))
+        pixels.append((k, lat + rng.uniform(-0.006, 0.006), lon + rng.uniform(-0.006, 0.006)))
+    c = spark.createDataFrame(cells, "k int, lat double, lon double")
+    p = spark.createDataFrame([(k, lat, lon, k + 1000) for k, lat, lon in pixels], "k int, lat double, lon double, place int")
+    got = {r.k: (r.match, r.metres) for r in S.nearest_same_lake(c, p, ["k"], "place").collect()}
+
+    def metres(a, b):
+        import math
+
+        u = [(math.cos(math.radians(y)) * math.cos(math.radians(x)), math.cos(math.radians(y)) * math.sin(math.radians(x)), math.sin(math.radians(y))) for _, y, x in (a, b)]
+        return 2 * 6371000 * math.asin(min(1, math.dist(*u) / 2))
+
+    assert len(got) == len(cells) and all(got[k][0] == k + 1000 for k in (1, 2, 3))
+    for a, b in zip(cells, pixels, strict=True):
+        m = metres(a, b)
+        assert got[a[0]][0] == (a[0] + 1000 if m <= 600 else None), (a, b, m)
+    assert S.nearest_same_lake(c, p, ["k"], "place", 500.0).filter("match is null").count() <= sum(v[0] is None for v in got.values())
+
+
+def test_granule_names(spark):
+    from lakegrid.operators import nasa as N
+
+    names = {
+        "L2024227.L3m_DAY_CYAN_CI_cyano_CYAN_CONUS_300m_7_5.tif": ("CONUS", "7_5"), "L2024227.L3m_DAY_CYAN_CI_cyano_CYAN_CONUS_300m.tif": ("CONUS", "ALL"), "L2024227.L3m_DAY_CYANAK_CI_cyano_CYAN_AK_300m_1_2.tif": ("AK", "1_2"),
+        "L2024227.L3m_DAY_CYAN_CI_cyano_CYAN_AK_300m.tif": None, "L20242212024227.L3m_7D_CYAN_CI_cyano_CYAN_CONUS_300m_7_5.tif": None, "L2024228.L3m_DAY_CYAN_CI_cyano_CYAN_CONUS_300m_7_5.tif": None, "L2024227.L3m_DAY_CYAN_CI_cyano_CYAN_CONUS_300m_7.tif": None, "x": None,
+    }
+    entries = spark.createDataFrame([(n, x, y) for n in names for x, y in ((0.0, 5.0), (300.0, 9.0))], "name string, x double, y double")
+    got = {r.name: r for r in N.parse_granules(entries, "2024227").collect()}
+    assert {n: (r.region, r.tile) for n, r in got.items()} == {n: v for n, v in names.items() if v}
+    assert all((r.xmin, r.ymin, r.xmax, r.ymax) == (-100.0, -95.0, 400.0, 109.0) for r in got.values())
+
+
+def test_tiles_around_a_hole_are_not_complete(spark):
+    """Four tiles about the rim of a lake whose middle lies in none."""
+    from lakegrid.operators import nasa as N
+    from lakegrid.operators import spatial as P
+
+    ring = [(0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 1.0)]
+    edges = spark.createDataFrame([(1, 1, *a, *b) for a, b in zip(ring, ring[1:] + ring[:1], strict=True)], "hylak_id int, lake_order int, x0 double, y0 double, x1 double, y1 double")
+    points = N.lake_points(edges, P.polygon_bins(edges)).select("hylak_id", F.col("lon").alias("x"), F.col("lat").alias("y"))
+    rim = [(-0.1, -0.1, 1.1, 0.2), (-0.1, 0.8, 1.1, 1.1), (-0.1, -0.1, 0.2, 1.1), (0.8, -0.1, 1.1, 1.1)]
+    tiles = lambda t: spark.createDataFrame(t, "xmin double, ymin double, xmax double, ymax double")
+    assert [r.complete for r in N.coverage_complete(points, tiles(rim)).collect()] == [False]
+    assert [r.complete for r in N.coverage_complete(points, tiles([*rim, (0.1, 0.1, 0.9, 0.9)])).collect()] == [True]
