@@ -39,7 +39,7 @@ GATHERED, LOCAL, NAMED, COMMON = 3_000_000, 2, 65_536, 524_288
 #: Sets that are compared with one copy of their pivot.
 SALTED = 2000
 #: Prefix shingles of an index bucket, and members of a block, on average at most.
-PER_BUCKET, BLOCK = 1 << 20, 1024
+PER_BUCKET, BLOCK = 1 << 19, 1024
 #: Sizes of linked sets are in the same band or in bands next to each other: a band's sizes grow by a bit more than 100 / PERCENT.
 BAND = 1.0001 * 100 / PERCENT
 
@@ -213,29 +213,22 @@ def _compare(batches):
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in (a, b, inter, na, nb)], names=["a", "b", "inter", "na", "nb"])
 
 
-#: Bits of the sieve that tells most documents whose sets nobody asks for, whatever their number.
-SIEVE = 1 << 27
+#: Bits of the sieve that tells most documents whose sets nobody asks for, in words of 64.
+SIEVE = 1 << 25
 
 
 def fetched(docs: DataFrame, asked: DataFrame, column: str, kind: str) -> DataFrame:
     """(name, column, set) of the documents asked for. asked: (name, doc_id, column).
 
-    Their ids set bits in a sieve of fixed size, which is broadcast, so that few other texts
-    are shuffled; a full sieve lets all texts through, and the join decides either way.
+    Their ids set bits in a sieve of SIEVE / 64 rows at most, which is broadcast, so that few
+    other texts are shuffled; a full sieve lets all texts through, and the join decides either
+    way.
     """
     asked = written(asked)
     slot = F.pmod(F.xxhash64("doc_id"), F.lit(SIEVE))
-    bits = asked.select(slot.alias("slot")).groupBy(F.shiftright("slot", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 as int))")).alias("bits")).toArrow()
-    table = np.zeros(SIEVE // 64, np.int64)
-    table[bits.column("word").to_numpy()] = bits.column("bits").to_numpy()
-    sent = docs.sparkSession.sparkContext.broadcast(table)
-
-    def sieved(batches):
-        for batch in batches:
-            at = batch.column("slot").to_numpy()
-            yield batch.select(["doc_id", "text"]).filter(pa.array(sent.value[at >> 6] >> (at & 63) & 1 == 1))
-
-    near = docs.select("doc_id", "text", slot.alias("slot")).filter("doc_id is not null").mapInArrow(sieved, "doc_id long, text string")
+    place = {"word": F.shiftright(slot, 6), "bit": slot.bitwiseAND(63).cast("int")}
+    words = asked.select("doc_id").withColumns(place).groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
+    near = docs.select("doc_id", "text").filter("doc_id is not null").withColumns(place).join(F.broadcast(words), "word").filter("shiftright(bits, bit) & 1 = 1").select("doc_id", "text")
     return near.join(asked, "doc_id").select("name", column, "text").mapInArrow(lambda it: _texts_sets(it, column), f"name long, {column} {kind}, set array<long>")
 
 
