@@ -182,13 +182,17 @@ def _texts_sets(batches, asked: str):
 def _compare(batches):
     """Intersections of each pivot with the sets that follow it."""
     pivot, have, size = None, np.zeros(0, np.int64), 0
-    for batch in batches:
+    for batch in slices(batches):
+        sort_of, at, name = _sets(batch.column("text"))
+        keep = name.astype(np.int64) == batch.column("name").to_numpy()  # rows that repeat a doc_id may have another text
+        if not keep.all():
+            sort_of, at = sort_of[np.repeat(keep, np.diff(at))], np.concatenate(([0], np.cumsum(np.diff(at)[keep])))
+            batch = batch.filter(pa.array(keep))
+        if not batch.num_rows:
+            continue
         keys = np.stack([batch.column(c).to_numpy() for c in ("pivot", "salt")], 1)
         lead = batch.column("lead").to_numpy(zero_copy_only=False)
         names = batch.column("name").to_numpy()
-        sets = batch.column("set")
-        at, values = sets.offsets.to_numpy(), sets.values.to_numpy()
-        sort_of = values.view(np.uint64)
         a, b, inter, na, nb = [], [], [], [], []
         edge = np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1
         for i, j in zip(np.concatenate(([0], edge)), np.append(edge, len(keys)), strict=True):
@@ -217,19 +221,19 @@ def _compare(batches):
 SIEVE = 1 << 25
 
 
-def fetched(docs: DataFrame, asked: DataFrame, column: str, kind: str) -> DataFrame:
-    """(name, column, set) of the documents asked for. asked: (name, doc_id, column).
+def fetched(docs: DataFrame, asked: DataFrame, column: str) -> DataFrame:
+    """(name, column, text) of the documents asked for. asked: (name, doc_id, column).
 
     Their ids set bits in a sieve of SIEVE / 64 rows at most, which is broadcast, so that few
     other texts are shuffled; a full sieve lets all texts through, and the join decides either
-    way.
+    way. The join sorts and merges at any size.
     """
     asked = written(asked)
     slot = F.pmod(F.xxhash64("doc_id"), F.lit(SIEVE))
     place = {"word": F.shiftright(slot, 6), "bit": slot.bitwiseAND(63).cast("int")}
     words = asked.select("doc_id").withColumns(place).groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
     near = docs.select("doc_id", "text").filter("doc_id is not null").withColumns(place).join(F.broadcast(words), "word").filter("shiftright(bits, bit) & 1 = 1").select("doc_id", "text")
-    return near.join(asked, "doc_id").select("name", column, "text").mapInArrow(lambda it: _texts_sets(it, column), f"name long, {column} {kind}, set array<long>")
+    return near.join(asked.hint("merge"), "doc_id").select("name", column, "text")
 
 
 def compared(docs: DataFrame, owners: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -238,9 +242,9 @@ def compared(docs: DataFrame, owners: DataFrame, pairs: DataFrame) -> DataFrame:
     to = pairs.join(salts, "a").select(F.col("a").alias("pivot"), F.pmod(F.xxhash64("b"), "salts").cast("int").alias("salt"), F.lit(1).alias("lead"), F.col("b").alias("name"))
     to = to.union(salts.select(F.col("a").alias("pivot"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("lead"), F.col("a").alias("name")))
     asked = to.groupBy("name").agg(F.collect_list(F.struct("pivot", "salt", "lead")).alias("pivots")).join(owners, "name")
-    sets = fetched(docs, asked, "pivots", "array<struct<pivot:long,salt:int,lead:int>>")
+    texts = fetched(docs, asked, "pivots")  # texts are shorter than their sets
     # rows that repeat a doc_id may have repeated its text too; a pivot's further copies are passed over, members' fall to the distinct below
-    dealt = sets.select("name", "set", F.explode("pivots").alias("p")).select("p.*", "name", "set").repartition("pivot", "salt").sortWithinPartitions("pivot", "salt", "lead")
+    dealt = texts.select("name", "text", F.explode("pivots").alias("p")).select("p.*", "name", "text").repartition("pivot", "salt").sortWithinPartitions("pivot", "salt", "lead")
     return dealt.mapInArrow(_compare, "a long, b long, inter long, na long, nb long").distinct()
 
 
@@ -416,7 +420,7 @@ def link_counts(docs: DataFrame, owners: DataFrame, labels: DataFrame, sizes: Da
     most = F.greatest(F.lit(16), F.least(F.lit(BLOCK), F.floor(BLOCK_SHINGLES / F.pow(F.lit(BAND), F.col("band") + 1))))
     to = in_blocks(members.filter("n > 2").drop("n"), most)
     asked = to.groupBy(F.col("member").alias("name")).agg(F.collect_list(F.struct("block", "same", "side")).alias("blocks")).join(owners, "name")
-    sets = fetched(docs, asked, "blocks", "array<struct<block:long,same:boolean,side:int>>")
+    sets = fetched(docs, asked, "blocks").mapInArrow(lambda it: _texts_sets(it, "blocks"), "name long, blocks array<struct<block:long,same:boolean,side:int>>, set array<long>")
     dealt = sets.select("name", "set", F.explode("blocks").alias("b")).select("b.*", "name", "set").repartition("block").sortWithinPartitions("block")
     found = dealt.mapInArrow(_count_links, "name long, n long").groupBy("name").agg(F.sum("n").alias("n_links"))
     return found.union(members.filter("n = 2").select("member", F.lit(1).cast("long")))
