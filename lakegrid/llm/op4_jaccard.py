@@ -15,6 +15,9 @@ links connect:
   sizes or rests without a link left out. Bounds for each pair of members not connected follow
   from their computed intersections with the pivot: some pairs are answered by them, either
   way; only the rest is compared.
+* Before texts are fetched for a comparison, the sets' sketches answer most pairs without a
+  link: a sketch keeps the parity of shingles in places that grow with the set, and places
+  that differ are at most the shingles that only one of two sets holds.
 
 No pair is dropped: each pair that shares a prefix shingle and isn't yet connected is
 answered by a comparison or by an exact bound.
@@ -59,12 +62,33 @@ def _sets(column: pa.Array):
     return h, at, run[at[1:]] - run[at[:-1]]
 
 
+#: Least and most words, of 64 places each, of a set's sketch; places for each shingle, at least, between them. Powers of two, so that halves fold.
+SKETCH, LONGEST, PLACES = 8, 512, 1.5
+
+
+def _sketches(h: np.ndarray, at: np.ndarray) -> pa.Array:
+    """Each row's sketch: whether an odd number of its shingles falls in a place."""
+    n = np.diff(at)
+    words = np.clip(2 ** np.ceil(np.log2(np.maximum(n * PLACES / 64, 1))).astype(np.int64), SKETCH, LONGEST)
+    edge = np.concatenate(([0], np.cumsum(words)))
+    out = np.zeros(int(edge[-1]), np.int64)
+    for i in range(0, len(n), 1024):
+        j = min(i + 1024, len(n))
+        place = (h[at[i] : at[j]] >> np.uint64(20)).astype(np.int64) & np.repeat(64 * words[i:j] - 1, n[i:j])
+        odd = np.bincount(place + np.repeat(64 * (edge[i:j] - edge[i]), n[i:j]), minlength=64 * int(edge[j] - edge[i])) & 1
+        out[edge[i] : edge[j]] = np.packbits(odd.astype(np.uint8)).view(np.int64)
+    return _list(out, edge, _L)
+
+
 def _list(values: np.ndarray, at: np.ndarray, kind: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(values, kind))
 
 
+NAMES = "kind int, id long, n long, name long, sketch array<long>"
+
+
 def _named(batches):
-    """Per text (kind 0) its size and name; per task (kind 1) shingles that several of its distinct sets hold."""
+    """Per text (kind 0) its size, name and sketch; per task (kind 1) shingles that several of its distinct sets hold."""
     held: list[np.ndarray] = []
     seen: set[int] = set()
 
@@ -75,12 +99,12 @@ def _named(batches):
         count = np.diff(np.append(first, len(s)))
         top = np.flatnonzero(count >= LOCAL)
         top = top[np.argsort(-count[top], kind="stable")][:NAMED]
-        return pa.RecordBatch.from_arrays([pa.array(np.ones(len(top)), _I), pa.array(s[first[top]].astype(np.int64)), pa.array(count[top], _L), pa.array(np.zeros(len(top)), _L)], names=["kind", "id", "n", "name"])
+        return pa.RecordBatch.from_arrays([pa.array(np.ones(len(top)), _I), pa.array(s[first[top]].astype(np.int64)), pa.array(count[top], _L), pa.array(np.zeros(len(top)), _L), _list(np.zeros(0, np.int64), np.zeros(len(top) + 1), _L)], names=["kind", "id", "n", "name", "sketch"])
 
     for part in slices(batches):
         h, at, name = _sets(part.column("text"))
         n = np.diff(at)
-        yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(n)), _I), part.column("doc_id"), pa.array(n, _L), pa.array(name.astype(np.int64))], names=["kind", "id", "n", "name"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(n)), _I), part.column("doc_id"), pa.array(n, _L), pa.array(name.astype(np.int64)), _sketches(h, at)], names=["kind", "id", "n", "name", "sketch"])
         _, one = np.unique(name, return_index=True)
         fresh = [i for i in one if int(name[i]) not in seen]
         if len(seen) < 1_000_000:
@@ -236,12 +260,26 @@ def fetched(docs: DataFrame, asked: DataFrame, column: str) -> DataFrame:
     return near.join(asked.hint("merge"), "doc_id").select("name", column, "text")
 
 
+def possible(pairs: DataFrame, owners: DataFrame) -> DataFrame:
+    """The pairs (a, b) of set names whose sketches leave a link possible: an exact bound, 2 |A & B| <= |A| + |B| - places that differ. The sizes of a pair are within PERCENT, so one sketch is at most twice as long and folds. owners: (name, size, sketch)."""
+    x, y = (owners.select(F.col("name").alias(k), F.col("size").alias("size" + k), F.col("sketch").alias("sketch" + k)) for k in "ab")
+
+    def folded(mine: str, other: str):
+        n = F.size(other)
+        return F.when(F.size(mine) > n, F.zip_with(F.slice(mine, 1, n), F.slice(mine, n + 1, n), lambda p, q: p.bitwiseXOR(q))).otherwise(F.col(mine))
+
+    differ = F.zip_with(folded("sketcha", "sketchb"), folded("sketchb", "sketcha"), lambda p, q: F.bit_count(p.bitwiseXOR(q)))
+    apart = F.aggregate(differ, F.lit(0), lambda total, k: total + k)
+    want = F.expr(f"({PERCENT} * (sizea + sizeb) + {99 + PERCENT}) div {100 + PERCENT}")
+    return pairs.join(x, "a").join(y, "b").filter(2 * want <= F.col("sizea") + F.col("sizeb") - apart).select("a", "b")
+
+
 def compared(docs: DataFrame, owners: DataFrame, pairs: DataFrame) -> DataFrame:
     """(a, b, inter, na, nb) of the distinct pairs (a, b) of set names. owners: (name, doc_id), one document of each set. Each set goes once to each of its pivots a; large groups of a pivot are salted."""
     salts = pairs.groupBy("a").agg(F.ceil(F.count("*") / SALTED).cast("int").alias("salts"))
     to = pairs.join(salts, "a").select(F.col("a").alias("pivot"), F.pmod(F.xxhash64("b"), "salts").cast("int").alias("salt"), F.lit(1).alias("lead"), F.col("b").alias("name"))
     to = to.union(salts.select(F.col("a").alias("pivot"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("lead"), F.col("a").alias("name")))
-    asked = to.groupBy("name").agg(F.collect_list(F.struct("pivot", "salt", "lead")).alias("pivots")).join(owners, "name")
+    asked = to.groupBy("name").agg(F.collect_list(F.struct("pivot", "salt", "lead")).alias("pivots")).join(owners.select("name", "doc_id"), "name")
     texts = fetched(docs, asked, "pivots")  # texts are shorter than their sets
     # rows that repeat a doc_id may have repeated its text too; a pivot's further copies are passed over, members' fall to the distinct below
     dealt = texts.select("name", "text", F.explode("pivots").alias("p")).select("p.*", "name", "text").repartition("pivot", "salt").sortWithinPartitions("pivot", "salt", "lead")
@@ -419,7 +457,7 @@ def link_counts(docs: DataFrame, owners: DataFrame, labels: DataFrame, sizes: Da
     members = written(members.select(F.col("label").alias("list"), F.lit(0).cast("long").alias("part"), F.col("node").alias("member"), F.col("node").alias("label"), "size", F.col("size").alias("rest"), "n"))
     most = F.greatest(F.lit(16), F.least(F.lit(BLOCK), F.floor(BLOCK_SHINGLES / F.pow(F.lit(BAND), F.col("band") + 1))))
     to = in_blocks(members.filter("n > 2").drop("n"), most)
-    asked = to.groupBy(F.col("member").alias("name")).agg(F.collect_list(F.struct("block", "same", "side")).alias("blocks")).join(owners, "name")
+    asked = to.groupBy(F.col("member").alias("name")).agg(F.collect_list(F.struct("block", "same", "side")).alias("blocks")).join(owners.select("name", "doc_id"), "name")
     sets = fetched(docs, asked, "blocks").mapInArrow(lambda it: _texts_sets(it, "blocks"), "name long, blocks array<struct<block:long,same:boolean,side:int>>, set array<long>")
     dealt = sets.select("name", "set", F.explode("blocks").alias("b")).select("b.*", "name", "set").repartition("block").sortWithinPartitions("block")
     found = dealt.mapInArrow(_count_links, "name long, n long").groupBy("name").agg(F.sum("n").alias("n_links"))
@@ -437,7 +475,7 @@ def similarity_classes(docs: DataFrame, buckets: int | None = None, links: bool
     """
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
-    named = written(docs.mapInArrow(_named, "kind int, id long, n long, name long"))
+    named = written(docs.mapInArrow(_named, NAMES))
     common = named.filter("kind = 1").groupBy("id").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "id").limit(COMMON).toArrow()
     token, rank = common.column("id").to_numpy().astype(np.int64).view(np.uint64), np.argsort(np.argsort(common.column("n").to_numpy(), kind="stable")) + 1
     order = np.argsort(token)
@@ -445,7 +483,7 @@ def similarity_classes(docs: DataFrame, buckets: int | None = None, links: bool
     names = named.filter("kind = 0").select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "name")
     prefixes = names.filter("n_shingles > 0").agg(F.coalesce(F.sum(F.expr(f"n_shingles - ({PERCENT} * n_shingles + 99) div 100 + 1")), F.lit(0))).first()[0]
     buckets = buckets or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-prefixes // PER_BUCKET))
-    owners = names.filter("n_shingles > 0 and doc_id is not null").groupBy("name").agg(F.min("doc_id").alias("doc_id"))
+    owners = written(named.filter("kind = 0 and n > 0 and id is not null").groupBy("name").agg(F.min("id").alias("doc_id"), F.max("n").alias("size"), F.first("sketch").alias("sketch")))
 
     posted = docs.filter("doc_id is not null").select("text").mapInArrow(lambda it: _post(it, sent, buckets), POSTED)
     lists = written(posted.groupBy("bucket").applyInArrow(_lists, LISTED).groupBy("list", "member").agg(F.max("size").alias("size"), F.max("rest").alias("rest"), F.sum("times").cast("int").alias("times")))
@@ -456,7 +494,8 @@ def similarity_classes(docs: DataFrame, buckets: int | None = None, links: bool
     starred = written(lists.drop("times").join(pivots, "list"))
     want = F.floor((PERCENT * (F.col("size") + F.col("pivot_size")) + 99 + PERCENT) / (100 + PERCENT))
     star = starred.filter("member <> pivot").filter((100 * F.least("size", "pivot_size") >= PERCENT * F.greatest("size", "pivot_size")) & (F.least("rest", "pivot_rest") >= want))
-    first = written(compared(docs, owners, star.select(F.col("pivot").alias("a"), F.col("member").alias("b")).distinct()))
+    asked = written(possible(star.select(F.col("pivot").alias("a"), F.col("member").alias("b")).distinct(), owners))
+    first = written(compared(docs, owners, asked))
     linked = F.expr(f"100 * inter >= {PERCENT} * (na + nb - inter)")
     edges = first.filter(linked).select("a", "b")
     labels = components(edges)
@@ -468,7 +507,7 @@ def similarity_classes(docs: DataFrame, buckets: int | None = None, links: bool
     pairs = crossed(opened).mapInArrow(_cross, "a long, b long, sure boolean")
     pairs = written(pairs.groupBy("a", "b").agg(F.max("sure").alias("sure")))
     known = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = pairs.filter("not sure").select("a", "b").join(known, ["a", "b"], "left_anti")
+    rest = written(possible(pairs.filter("not sure").select("a", "b").join(known, ["a", "b"], "left_anti"), owners))
     more = written(compared(docs, owners, rest).filter(linked).select("a", "b").union(pairs.filter("sure").select("a", "b")))
     if not more.isEmpty():
         edges = edges.union(more)
