@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from .op1_language import op1_language
 from .op10_decontaminate import op10_decontaminate
+from .op11_minhash import op11_minhash
+from .op12_vector_codes import op12_vector_codes
+from .op13_fill_middle import op13_fill_middle
 from .op2_mixing import op2_mixing
 from .op3_token_store import op3_token_store
 from .op4_jaccard import op4_jaccard, op4_links
@@ -17,6 +20,9 @@ from .oracles import ORACLES
 QUERIES = {
     "op1_language": op1_language,
     "op10_decontaminate": op10_decontaminate,
+    "op11_minhash": op11_minhash,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_fill_middle": op13_fill_middle,
     "op2_mixing": op2_mixing,
     "op3_token_store": op3_token_store,
     "op4_jaccard": op4_jaccard,
