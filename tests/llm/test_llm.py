@@ -448,7 +448,7 @@ def test_sql_of_the_corpus_queries(spark):
     from lakegrid.llm.queries import ORACLES
 
     db = duckdb.connect()
-    for t in ("documents", "labels", "benchmark"):
+    for t in ("documents", "labels", "benchmark", "embeddings"):
         db.sql(f"create view {t} as select * from '{SF}/{t}.parquet'")
     for name, sql in ORACLES.items():
         ours, theirs = QUERIES[name](spark, SF), db.sql(sql)
