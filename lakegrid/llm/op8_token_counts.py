@@ -32,7 +32,6 @@ LIMIT = 2048
 #: Distinct words whose counts a task keeps; more start a new table.
 KEPT_WORDS = 1_000_000
 NEVER, NONE = 1 << 30, (-1,)
-PLAIN = re.compile(r"[a-z]+")
 #: The vocabulary's own pieces, where a string between white space is ASCII.
 ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
 
@@ -55,7 +54,8 @@ class PrefixCounter:
         self.longest = max(map(len, self.inner | self.final))
         self.ended: dict[str, int] = {}
         self.library = Tokenizer.from_file(path)
-        self.special = [t["content"] for t in spec["added_tokens"]]
+        longest_first = sorted((t["content"] for t in spec["added_tokens"]), key=len, reverse=True)
+        self.special = re.compile("|".join(map(re.escape, longest_first)) or r"(?!)")
         self.split = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         self.bytes = byte_characters()
         self.pairs: dict[tuple[str, str], bool] = {}
@@ -159,22 +159,16 @@ class PrefixCounter:
         text = self.library.normalizer.normalize_str(word)
         return ["".join(self.bytes[b] for b in p.encode()) for p in self.split.findall(text)]
 
-    def parts(self, word: str):
-        """The string cut at the special strings, which are one token each."""
-        for s in self.special:
-            if s in word:
-                left, _, right = word.partition(s)
-                yield from self.parts(left)
-                yield None
-                yield from self.parts(right)
-                return
-        yield word
+    def plain_count(self, part: str) -> int:
+        """Tokens of a string without special strings."""
+        return sum(map(self.ended_count, self.pieces(part)))
 
     def count(self, word: str) -> int:
         """Tokens of a string between white space."""
         n = self.words.get(word)
         if n is None:
-            n = sum(1 if part is None else sum(map(self.ended_count, self.pieces(part))) for part in self.parts(word))
+            # special strings are one token each
+            n = len(self.special.findall(word)) + sum(map(self.plain_count, self.special.split(word)))
             if len(self.words) >= KEPT_WORDS:
                 self.words.clear()
             self.words[word] = n
@@ -182,11 +176,12 @@ class PrefixCounter:
 
     def at_words(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Ends (code points) of the words of a text, and the exact token count of the prefix up to each."""
-        ends, counts = [], []
-        for m in re.finditer(r"[^\x20\x09-\x0D]+", text):
-            ends.append(m.end())
-            counts.append(self.count(m[0]))
-        return np.array(ends, np.int64), np.cumsum(np.array(counts, np.int64))
+        words, count = self.words, self.count
+        parts = WORDS_AND_SPACES.split(text)
+        ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))[::2]
+        counts = [words[w] if w in words else count(w) for w in parts[::2]]
+        has = np.array([bool(w) for w in parts[::2]])
+        return ends[has], np.cumsum(np.array(counts, np.int64))[has]
 
     def total(self, text: str) -> int:
         """Tokens of a text: the last entry of the table."""
@@ -198,20 +193,52 @@ class PrefixCounter:
                 n += count(word) if k is None else k
         return n
 
+    def aligned(self, part: str) -> str | None:
+        """The normalized string, if its characters are those of the string one by one."""
+        if part.isascii() and part.isprintable():
+            return part.lower()
+        one = self.library.normalizer.normalize_str
+        each = [one(c) for c in part]
+        return "".join(each) if all(len(c) == 1 for c in each) and one(part) == "".join(each) else None
+
+    def part_counts(self, part: str) -> list[int]:
+        """Tokens of each prefix, of one character on, of a string without special strings. Linear in its length, but where characters combine."""
+        text = self.aligned(part)
+        if text is None:
+            return [self.plain_count(part[:k]) for k in range(1, len(part) + 1)]
+        out, before = [], 0
+        for m in self.split.finditer(text):
+            out += [before] * (m.start() - len(out))
+            piece = m[0]
+            if piece[0] == "'" and piece[1:2].isalpha():  # a short ending, which its prefixes aren't
+                each = [self.plain_count(piece[:k]) for k in range(1, len(piece) + 1)]
+            else:  # all prefixes are pieces too
+                size = np.cumsum([len(c.encode()) for c in piece])
+                ended = self.prefix_counts("".join(self.bytes[x] for x in piece.encode()))[1]
+                each = [ended[k] for k in size]
+            out += [before + n for n in each]
+            before = out[-1]
+        return out + [before] * (len(text) - len(out))
+
     def prefix_table(self, text: str) -> np.ndarray:
         """Exact token count of every prefix of the text, by its length in code points from 0 on."""
         out = np.zeros(len(text) + 1, np.int64)
         before, at = 0, 0
         for m in re.finditer(r"[^\x20\x09-\x0D]+", text):
             out[at : m.start() + 1] = before
-            word = m[0]
-            if PLAIN.fullmatch(word):
-                out[m.start() + 1 : m.end() + 1] = before + np.array(self.prefix_counts(word)[1][1:])
-            else:
-                for k in range(1, len(word) + 1):
-                    out[m.start() + k] = before + self.count(word[:k])
-            before += self.count(word)
-            at = m.end()
+            at = m.start()
+            for special in [*self.special.finditer(text, m.start(), m.end()), None]:
+                end = special.start() if special else m.end()
+                part = text[at:end]
+                out[at + 1 : end + 1] = [before + n for n in self.part_counts(part)]
+                if special:  # what begins a special string is text like any other
+                    for k in range(1, len(special[0])):
+                        out[end + k] = before + self.plain_count(part + special[0][:k])
+                    before += self.plain_count(part) + 1
+                    at = special.end()
+                    out[at] = before
+                else:
+                    before, at = int(out[end]) if part else before, end
         out[at:] = before
         return out
 
@@ -222,7 +249,7 @@ class PrefixCounter:
         return len(text) if k == len(ends) else int(ends[k - 1]) if k else 0
 
 
-SPACES = re.compile(r"[\x20\x09-\x0D]+")
+SPACES, WORDS_AND_SPACES = re.compile(r"[\x20\x09-\x0D]+"), re.compile(r"([\x20\x09-\x0D]+)")
 
 
 def byte_characters() -> list[str]:
@@ -244,7 +271,8 @@ def token_counts(docs: DataFrame, path: str | None = None, limit: int = LIMIT, p
     Returns per row: doc_id, n_bytes, n_tokens, over_limit, fit_chars (code points of the
     longest prefix within the limit that ends with a word; the whole text if it is within it)
     and, where prefixes is true, the table itself: word_ends and word_counts, from which
-    truncation to any budget follows without encoding again. Null text counts as empty (0
+    truncation to any budget follows without encoding again (within). Special strings inside
+    texts are one token each, as the library has it. Null text counts as empty (0
     tokens); a null doc_id stays null; repeated rows stay; texts of any length are counted
     whole.
     """
@@ -256,29 +284,39 @@ def token_counts(docs: DataFrame, path: str | None = None, limit: int = LIMIT, p
             total, fit, ends, counts = [], [], [], []
             for text in batch.column("text").to_pylist():
                 text = text or ""
-                n = table.total(text)
-                if prefixes or n > limit:
+                if prefixes:
+                    e, c = table.at_words(text)
+                    n = int(c[-1]) if len(c) else 0
+                    ends.append(e)
+                    counts.append(c)
+                elif (n := table.total(text)) > limit:
                     e, c = table.at_words(text)
                 k = int(np.searchsorted(c, limit, "right")) if n > limit else 0
                 total.append(n)
                 fit.append(len(text) if n <= limit else int(e[k - 1]) if k else 0)
-                if prefixes:
-                    ends.append(e)
-                    counts.append(c)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), pa.array(total, pa.int64()), pa.array(fit, pa.int64()), *([pa.array(ends, pa.list_(pa.int64())), pa.array(counts, pa.list_(pa.int64()))] if prefixes else [])], names=["doc_id", "n_bytes", "n_tokens", "fit_chars", *(["word_ends", "word_counts"] if prefixes else [])])
+            columns = {"doc_id": batch.column("doc_id"), "n_bytes": batch.column("n_bytes"), "n_tokens": pa.array(total, pa.int64()), "fit_chars": pa.array(fit, pa.int64())}
+            if prefixes:
+                at = pa.array(np.concatenate(([0], np.cumsum([len(c) for c in counts]))), pa.int32())
+                columns |= {name: pa.ListArray.from_arrays(at, pa.array(np.concatenate(x), pa.int32())) for name, x in (("word_ends", ends), ("word_counts", counts))}
+            yield pa.RecordBatch.from_pydict(columns)
 
     frame = docs.select("doc_id", "text", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))
-    out = frame.mapInArrow(run, "doc_id long, n_bytes long, n_tokens long, fit_chars long" + ", word_ends array<long>, word_counts array<long>" * prefixes)
+    out = frame.mapInArrow(run, "doc_id long, n_bytes long, n_tokens long, fit_chars long" + ", word_ends array<int>, word_counts array<int>" * prefixes)
     return out.withColumn("over_limit", F.col("n_tokens") > limit)
 
 
 def truncated(docs: DataFrame, budget: int, path: str | None = None) -> DataFrame:
-    """doc_id, and its longest word-ended prefix within the budget, from the stored table alone."""
-    table = token_counts(docs, path, prefixes=True)
+    """The longest word-ended prefix of each text within the budget: doc_id, n_chars, n_tokens."""
+    return within(token_counts(docs, path, prefixes=True), budget)
+
+
+def within(table: DataFrame, budget: int) -> DataFrame:
+    """doc_id, n_chars and n_tokens of each text's longest word-ended prefix within the budget, from a stored table of token_counts with prefixes alone."""
     fit = F.expr(f"size(filter(word_counts, c -> c <= {int(budget)}))")
     end = F.when(fit == 0, 0).otherwise(F.element_at("word_ends", F.greatest(fit, F.lit(1))))
-    return table.select("doc_id", end.cast("long").alias("n_chars"), F.when(fit == 0, F.lit(0).cast("long")).otherwise(F.element_at("word_counts", F.greatest(fit, F.lit(1)))).alias("n_tokens"))
+    return table.select("doc_id", end.cast("long").alias("n_chars"), F.when(fit == 0, F.lit(0)).otherwise(F.element_at("word_counts", F.greatest(fit, F.lit(1)))).cast("long").alias("n_tokens"))
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts(read(spark, sf_dir, "documents"))
+    """With the table of every text: where each word ends, and the tokens up to there."""
+    return token_counts(read(spark, sf_dir, "documents"), prefixes=True)
