@@ -23,6 +23,8 @@ from .shared import ALNUM, LOWER, read, slices, text_bytes, window_hashes, word_
 MIN_MATCH, MIN_COVERAGE = 5, 0.5
 #: Bytes of test text that are sent to the tasks at a time; more come in further blocks, each against all documents.
 BLOCK_BYTES = 16 << 20
+#: Pairs of equal windows of a document and an item that are held at a time, about; beyond them diagonals are walked.
+MATCHES = 1 << 20
 #: Places of seeds in items that a task looks up at a time; one document's may be more.
 PLACES = 1 << 21
 
@@ -49,9 +51,53 @@ def tiles(doc: np.ndarray, item: np.ndarray, pairs: tuple[np.ndarray, np.ndarray
     new[1:] = (np.diff(i) != 1) | (np.diff(j) != 1)
     first = np.flatnonzero(new)
     length = np.diff(np.append(first, len(i))) + least - 1
-    heap = [(-int(n), int(a), int(b)) for n, a, b in zip(length, i[first], j[first], strict=True)]
+    out: list[tuple[int, int, int]] = []
+    _take((length, i[first], j[first]), np.zeros(len(doc), bool), np.zeros(len(item), bool), least, out)
+    return out
+
+
+def tiles_of_repeats(doc: np.ndarray, item: np.ndarray, least: int = MIN_MATCH, most: int = MATCHES) -> list[tuple[int, int, int]]:
+    """The same tiles without the pairs of windows, which are too many where terms repeat: the diagonals are walked one by one, in passes.
+
+    A pass first counts the lengths of all matches of free terms, then takes those from the
+    least length on of which there are about most, longest first; shorter ones wait for the
+    next pass, as does what is left of matches that tiles cut.
+    """
+    used_d, used_i = np.zeros(len(doc), bool), np.zeros(len(item), bool)
+    out: list[tuple[int, int, int]] = []
+
+    def walked(shortest: int):
+        """Length, start in doc and in item of the maximal matches of free terms, a diagonal at a time."""
+        free_d, free_i = ~used_d, ~used_i
+        for d in range(least - len(item), len(doc) - least + 1):
+            a, b = max(0, d), max(0, -d)
+            n = min(len(doc) - a, len(item) - b)
+            same = (doc[a : a + n] == item[b : b + n]) & free_d[a : a + n] & free_i[b : b + n]
+            edge = np.flatnonzero(same[1:] != same[:-1]) + 1
+            edge = np.concatenate((([0] if same[0] else []), edge, ([n] if same[-1] else []))).astype(np.int64)
+            start, size = edge[::2], edge[1::2] - edge[::2]
+            keep = size >= shortest
+            if keep.any():
+                yield size[keep], start[keep] + a, start[keep] + b
+
+    while (~used_i).sum() >= least and (~used_d).sum() >= least:
+        lengths = np.zeros(min(len(doc), len(item)) + 1, np.int64)
+        for size, _, _ in walked(least):
+            np.add.at(lengths, size, 1)
+        found = np.flatnonzero(lengths)
+        if not len(found):
+            break
+        beyond = np.cumsum(lengths[::-1])[::-1]
+        shortest = int(min(found[-1], found[beyond[found] <= max(most, beyond[found[-1]])][0]))
+        parts = list(walked(shortest))
+        _take(tuple(np.concatenate(x) for x in zip(*parts, strict=True)), used_d, used_i, shortest, out)
+    return out
+
+
+def _take(matches, used_d: np.ndarray, used_i: np.ndarray, least: int, out: list) -> None:
+    """Takes matches as tiles, longest first, and marks their terms; what is left of cut ones is tried again from least terms on."""
+    heap = [(-int(n), int(a), int(b)) for n, a, b in zip(*matches, strict=True)]
     heapq.heapify(heap)
-    used_d, used_i, out = np.zeros(len(doc), bool), np.zeros(len(item), bool), []
     while heap:
         n, a, b = heapq.heappop(heap)
         n = -n
@@ -64,7 +110,6 @@ def tiles(doc: np.ndarray, item: np.ndarray, pairs: tuple[np.ndarray, np.ndarray
         for s, e in zip(edge[::2], edge[1::2], strict=True):
             if e - s >= least:
                 heapq.heappush(heap, (-int(e - s), a + int(s), b + int(s)))
-    return out
 
 
 def _runs(first: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -133,6 +178,9 @@ class Items:
             a, b = np.searchsorted(at, r), np.searchsorted(at, r, "right")
             wanted = self.item_seeds[self.item_first[t] : self.item_first[t + 1]]
             lo, hi = np.searchsorted(seed[a:b], wanted, "left"), np.searchsorted(seed[a:b], wanted, "right")
+            if int((hi - lo).sum()) > MATCHES:
+                yield r, t, tiles_of_repeats(h[start[r] : start[r + 1]], self.terms[self.at[t] : self.at[t + 1]])
+                continue
             j = np.repeat(np.arange(len(wanted)), hi - lo)
             i = first[a:b][_runs(lo, hi - lo)] - start[r]
             doc, item = h[start[r] : start[r + 1]], self.terms[self.at[t] : self.at[t + 1]]
