@@ -16,13 +16,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .shared import fold, read, slices, text_bytes
+from .shared import fold, read, slices, text_bytes, written
 
 #: Bytes of a window, state of a direction, labelled texts of a language and windows of a text to learn from, at most, passes, step.
 WINDOW, STATE = 64, 8
 PER_LANGUAGE, WINDOWS = 400, 6
 #: How many times PER_LANGUAGE texts of a language are ranked to find those of lowest hash.
 SPARE = 4
+#: Languages whose bounds are broadcast, at most; beyond that windows are shuffled by language.
+BROADCAST = 100_000
 EPOCHS, BATCH, RATE, SEED = 14, 128, 0.01, 11
 UNKNOWN = "und"
 #: Windows that run through the network together; fewer where there are more than MANY languages.
@@ -132,14 +134,16 @@ def sample(docs: DataFrame) -> tuple[list[str], list[bytes], np.ndarray]:
     SPARE times as many texts are expected, so that few rows of a common language are ranked.
     """
     known = docs.select("doc_id", "text", "lang").filter(F.col("lang").isNotNull() & (F.col("text") != "")).filter(fold(4) != 2).withColumn("at", F.xxhash64("doc_id"))
-    counts = known.groupBy("lang").count()
+    counts = written(known.groupBy("lang").count())
     rare = F.col("count") <= SPARE * PER_LANGUAGE
     bound = counts.select("lang", F.when(rare, float(1 << 63)).otherwise((2.0 * SPARE * PER_LANGUAGE / F.col("count") - 1) * float(1 << 63)).alias("bound"))
     spread = F.transform(F.sequence(F.lit(0), F.lit(WINDOWS - 1)), lambda i: F.substring("text", (F.length("text") - WINDOW) * i / (WINDOWS - 1) + 1, F.lit(WINDOW)))
     few = F.when(F.length("text") <= WINDOW, F.array("text")).otherwise(spread)
     first = Window.partitionBy("lang").orderBy("at", "parts")
-    near = known.join(bound, "lang").filter(F.col("at") <= F.col("bound"))
-    chosen = near.select("lang", "at", few.alias("parts")).withColumn("nth", F.row_number().over(first)).filter(F.col("nth") <= PER_LANGUAGE)
+    # windows are cut before rows move; the bounds, one row a language, go to the texts while they are few
+    parts = known.select("lang", "at", few.alias("parts"))
+    near = parts.join(F.broadcast(bound) if counts.count() <= BROADCAST else bound, "lang").filter(F.col("at") <= F.col("bound"))
+    chosen = near.withColumn("nth", F.row_number().over(first)).filter(F.col("nth") <= PER_LANGUAGE)
     rows = sorted(chosen.select("lang", "nth", "parts").collect(), key=lambda r: (r.lang, r.nth))
     langs = sorted({r.lang for r in rows})
     place = {lang: k for k, lang in enumerate(langs)}
