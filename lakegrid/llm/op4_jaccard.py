@@ -154,9 +154,9 @@ def _post(batches, sent, buckets: int):
         b = ((h >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(b, kind="stable")
         h, own, rest, b = h[order], own[order], rest[order], b[order]
-        at = np.searchsorted(b, np.arange(buckets + 1))
-        packed = pa.RecordBatch.from_arrays([pa.array(np.arange(buckets), _I), _list(h.astype(np.uint32).view(np.int32), at, _I), _list(name[own].astype(np.int64), at, _L), _list(size[own], at, _I), _list(rest, at, _I)], names=[c.split()[0] for c in POSTED.split(", ")])
-        yield packed.filter(pa.array(np.diff(at) > 0))
+        present, at = np.unique(b, return_index=True)
+        at = np.append(at, len(b))
+        yield pa.RecordBatch.from_arrays([pa.array(present, _I), _list(h.astype(np.uint32).view(np.int32), at, _I), _list(name[own].astype(np.int64), at, _L), _list(size[own], at, _I), _list(rest, at, _I)], names=[c.split()[0] for c in POSTED.split(", ")])
 
 
 def _flat(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
