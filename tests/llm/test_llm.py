@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -545,7 +546,8 @@ def test_token_counts_and_every_prefix(edge, docs):
         else:
             assert r.fit_chars == len(t) and not r.over_limit
     table = o8.counter(o8.public_tokenizers.path(o8.VOCABULARY))
-    for t in ("Therouha, anonon'll réeuxre 42!", "aaaaaaaaaab <|endoftext|>x", "hello  hello\n"):
+    hard = ("!!<|endoftext|><|endoftext|>ab'll'", "日本語 ﬁxé e\u0301a\u0301 \u00a0x\u2003y ''s '' 't", "<|endoftext|" * 3)
+    for t in ("Therouha, anonon'll réeuxre 42!", "aaaaaaaaaab <|endoftext|>x", "hello  hello\n", *hard):
         assert table.prefix_table(t).tolist() == [n(t[:k]) for k in range(len(t) + 1)]
         cut = table.longest_prefix(t, 3)
         assert n(t[:cut]) <= 3
@@ -554,6 +556,20 @@ def test_token_counts_and_every_prefix(edge, docs):
         assert n(t[: cuts[i][0]]) == cuts[i][1] <= 50
 
 
+def test_token_counts_of_long_words():
+    """Runs of special strings, marks and letters of one word: no recursion, time in line with the length."""
+    table = o8.counter(o8.public_tokenizers.path(o8.VOCABULARY))
+    n = lambda t: len(table.library.encode(t, add_special_tokens=False).ids)
+    assert table.total("<|endoftext|>" * 100_000) == 100_000
+    t = "a<|endoftext|>!" * 300
+    assert table.total(t) == n(t) and table.prefix_table(t)[-1] == n(t)
+    for t in ("!" * 3000, "é" * 2000, "ab1" * 1000):
+        got = table.prefix_table(t)
+        assert got[-1] == n(t) and all(got[k] == n(t[:k]) for k in range(0, len(t), 97))
+    ends, counts = table.at_words("  one two\n")
+    assert ends.tolist() == [5, 9] and counts.tolist() == [n("one"), n("one two")]
+
+
 def test_pii():
     text = "mail a.b@x.org, 10.0.0.256 then 10.0.0.1 card 4111 1111 1111 1111 tel +1 (017) 555-7713 IBAN DE89 3704 0044 0532 0130 00 and DE89 3704 0044 0532 0130 01; ssn 123-45-6789; order 123-45-6789"
     spans = o9.base_spans(text)
@@ -695,6 +711,24 @@ def test_tiles_do_not_overlap():
         assert not left
 
 
+def test_tiles_of_repeated_terms():
+    """The walk over diagonals takes the tiles that all pairs give; long repeats need little memory."""
+    rng = np.random.RandomState(8)
+    for k in range(40):
+        doc, item = rng.randint(0, 2 + k % 2, 70).astype(np.uint64), rng.randint(0, 2 + k % 2, 50).astype(np.uint64)
+        pairs = [(i, j) for i in range(66) for j in range(46) if (doc[i : i + 5] == item[j : j + 5]).all()]
+        i, j = (np.array(x) for x in zip(*pairs, strict=True)) if pairs else (np.zeros(0, int), np.zeros(0, int))
+        want = o10.tiles(doc, item, (i, j))
+        for most in (1, 7, 10_000):
+            assert o10.tiles_of_repeats(doc, item, most=most) == want
+    items = o10.Items([1], ["0 " * 5_000])
+    tracemalloc.start()
+    (r, t, found), *more = items.matches(pa.array(["0 " * 100_000]), 0.5)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (r, t, found, more) == (0, 0, [(0, 0, 5_000)], []) and peak < 200e6
+
+
 def test_pipeline(spark):
     import corpus_pipeline as p
 
