@@ -91,18 +91,30 @@ def test_sequential_bounds():
     rng = np.random.RandomState(0)
 
     def pairs(similarity, n):
-        x = rng.randint(0, 256, (n, o11.KEPT)).astype(np.uint8)
-        return x, np.where(rng.rand(n, o11.KEPT) < similarity, x, rng.randint(0, 256, (n, o11.KEPT))).astype(np.uint8)
+        x = rng.randint(0, 2, (n, o11.KEPT)).astype(np.uint8)
+        y = np.where(rng.rand(n, o11.KEPT) < similarity, x, rng.randint(0, 2, (n, o11.KEPT))).astype(np.uint8)
+        return [np.packbits(z, 1).view(np.uint64) for z in (x, y)]
 
-    assert len(o11.matched(*pairs(0.8, 20_000))[0]) == 20_000
-    assert len(o11.matched(*pairs(0.4, 2_000))[0]) == 0
+    assert len(o11.matched(*pairs(0.8, 20_000))[0]) >= 19_995
+    assert len(o11.matched(*pairs(0.6, 2_000))[0]) == 0
     least = o11.least_matches()
-    assert list(least) == sorted(least) and least[-1] < 0.8 * o11.KEPT
+    assert list(least) == sorted(least) and least[-1] < 0.9 * o11.KEPT
     rows, matches = o11.matched(*pairs(0.9, 10))
-    assert rows.tolist() == list(range(10)) and (matches > 0.75 * o11.KEPT).all()
+    assert rows.tolist() == list(range(10)) and (matches > 0.9 * o11.KEPT).all()
     assert (1 - 0.8**o11.ROWS) ** o11.BANDS <= o11.MISS
 
 
+def test_signature_bits_agree_as_sets_do():
+    """Bands and bits estimate the similarity of two sets."""
+    rng = np.random.RandomState(1)
+    h = rng.randint(0, 2**62, 1200).astype(np.uint64) * np.uint64(3)
+    a, b = np.sort(h[:1000]), np.sort(h[200:])  # 800 in common of 1200
+    least, bits = o11.signatures(np.concatenate((a, b)), np.array([0, 1000]))
+    assert abs((least[:, 0] == least[:, 1]).mean() - 2 / 3) < 0.12
+    same = o11.KEPT - np.bitwise_count(bits[0] ^ bits[1]).sum()
+    assert abs(2 * same / o11.KEPT - 1 - 2 / 3) < 0.06
+
+
 def test_minhash_edges(edge):
     assert o11.near_duplicates(edge.limit(0)).collect() == []
     got = o11.near_duplicates(edge).collect()
