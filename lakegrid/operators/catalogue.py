@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.names import solar_date, timeliness_rank
-from .spatial import box_join
+from .polygons import containing, meeting
 
 DONE, WAITING = ("done", "skipped_no_lakes"), ("queued", "running", "retry", "publishing")
 
@@ -53,31 +53,47 @@ def acquisition_status(versions: DataFrame, *acquisition: str) -> DataFrame:
     return g.select(*acquisition, state.alias("status"), F.when(F.col("any_done"), F.col("used")).alias("used"), "first", "versions")
 
 
-def plan_scenes(scenes: DataFrame, lakes: DataFrame, regions: DataFrame, pairs: DataFrame, rule: str = "lake-complete") -> DataFrame:
-    """(state_id, scene_no) to process for each region: scenes that touch any lake that touches it; under the rule ``state`` scenes must touch the region too."""
-    lr = box_join(lakes, regions, "hylak_id", "state_id")
-    out = lr.join(pairs, "hylak_id").select("state_id", "scene_no").distinct()
-    if rule == "state":
-        out = out.join(box_join(scenes, regions, "scene_no", "state_id"), ["scene_no", "state_id"], "left_semi")
+def lakes_in_mask(lakes: DataFrame, lake_edges: DataFrame, mask_edges: DataFrame | None = None) -> DataFrame:
+    """Lakes that touch a mask (edges of its polygons, key mask_id); all of them without one (the world)."""
+    return lakes if mask_edges is None else lakes.join(meeting(lake_edges, mask_edges, "hylak_id", "mask_id"), "hylak_id", "left_semi")
+
+
+def state_scope(lakes: DataFrame, touching: DataFrame, state_id: int) -> DataFrame:
+    """Lakes that touch one state; none is an error. touching (hylak_id, state_id)."""
+    out = lakes.join(touching.filter(F.col("state_id") == state_id), "hylak_id", "left_semi")
+    if out.isEmpty():
+        raise ValueError(f"no lake touches state {state_id}")
     return out
 
 
-def scene_regions(lakes: DataFrame, regions: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Per scene the sorted states of all lakes it hits, and how many lakes."""
-    lr = box_join(lakes, regions, "hylak_id", "state_id")
-    return pairs.join(lr, "hylak_id").groupBy("scene_no").agg(F.array_join(F.array_sort(F.collect_set("state_id")).cast("array<string>"), ";").alias("states"), F.countDistinct("hylak_id").alias("n_lakes"))
+def plan_scenes(touching: DataFrame, pairs: DataFrame, in_region: DataFrame | None = None) -> DataFrame:
+    """(state_id, scene_no, candidate_lakes) to process for each region: scenes that touch any lake that touches it, and how many of these.
+
+    touching (hylak_id, state_id) and pairs (scene_no, hylak_id) come from polygons that meet. With
+    in_region (scene_no, state_id) the rule is ``state``: scenes must touch the region too.
+    """
+    out = touching.join(pairs, "hylak_id")
+    if in_region is not None:
+        out = out.join(in_region, ["scene_no", "state_id"], "left_semi")
+    return out.groupBy("state_id", "scene_no").agg(F.countDistinct("hylak_id").alias("candidate_lakes"))
+
+
+def scene_regions(assigned: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Per scene the sorted states that all lakes it hits are assigned to (none: empty), and how many lakes."""
+    own = pairs.join(assigned.select("hylak_id", F.coalesce(F.col("state_id").cast("string"), F.lit("")).alias("state")), "hylak_id")
+    return own.groupBy("scene_no").agg(F.array_join(F.array_sort(F.collect_set("state")), ";").alias("states"), F.countDistinct("hylak_id").alias("n_lakes"))
 
 
-def assign_state(lakes: DataFrame, regions: DataFrame) -> DataFrame:
-    """The state whose box holds a lake's pour point: matched, unmatched (none) or ambiguous (several, left blank)."""
-    points = lakes.select("hylak_id", F.col("cx").alias("xmin"), F.col("cy").alias("ymin"), F.col("cx").alias("xmax"), F.col("cy").alias("ymax"))
-    hits = box_join(points, regions, "hylak_id", "state_id").groupBy("hylak_id").agg(F.count("*").alias("n"), F.min("state_id").alias("state_id"))
+def assign_state(lakes: DataFrame, region_edges: DataFrame) -> DataFrame:
+    """The state whose polygon holds a lake's pour point (cx, cy): matched, unmatched (none, or no place on Earth) or ambiguous (several, left blank)."""
+    points = lakes.filter(F.col("cx").between(-180, 180) & F.col("cy").between(-90, 90)).select("hylak_id", "cx", "cy")
+    hits = containing(points, region_edges, "state_id", "cx", "cy").groupBy("hylak_id").agg(F.count("*").alias("n"), F.min("state_id").alias("state_id"))
     return lakes.select("hylak_id").join(hits, "hylak_id", "left").select("hylak_id", F.when(F.col("n") == 1, F.col("state_id")).alias("state_id"), F.when(F.col("n") == 1, "matched").when(F.col("n") > 1, "ambiguous").otherwise("unmatched").alias("match_status"))
 
 
-def touching_states(lakes: DataFrame, regions: DataFrame) -> DataFrame:
-    """Sorted names and ids of the states a lake touches, joined by '; '; empty for none."""
-    named = box_join(lakes, regions, "hylak_id", "state_id").join(regions.select("state_id", "state_name"), "state_id")
+def touching_states(lakes: DataFrame, touching: DataFrame, regions: DataFrame) -> DataFrame:
+    """Sorted names and ids of the states a lake touches, joined by '; '; empty for none. touching (hylak_id, state_id)."""
+    named = touching.join(regions.select("state_id", "state_name"), "state_id")
     joined = named.groupBy("hylak_id").agg(F.array_join(F.array_sort(F.collect_set("state_name")), "; ").alias("states"), F.array_join(F.array_sort(F.collect_set("state_id")).cast("array<string>"), "; ").alias("state_ids"))
     return lakes.select("hylak_id").join(joined, "hylak_id", "left").na.fill("", ["states", "state_ids"])
 

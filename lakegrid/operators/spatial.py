@@ -143,9 +143,10 @@ def plan_windows(scenes: DataFrame, lakes: DataFrame, pairs: DataFrame, km: floa
     return scenes.select("scene_no").join(found, "scene_no", "left").select("scene_no", F.col("x0").alias("xmin"), F.col("y0").alias("ymin"), F.col("x1").alias("xmax"), F.col("y1").alias("ymax"))
 
 
-def lakes_for_window(windows: DataFrame, lakes: DataFrame, key: str) -> DataFrame:
-    """(key, hylak_id) of windows and lakes whose boxes meet; a window without bounds (the whole scene) takes none here."""
-    return box_join(windows.filter("xmin is not null"), lakes, key, "hylak_id")
+def lakes_for_window(windows: DataFrame, lakes: DataFrame, edges: DataFrame, key: str) -> DataFrame:
+    """(key, hylak_id) of windows and the lakes that touch them; a window without bounds (the whole scene) takes all lakes, by a broadcast of its key alone. Few windows are whole scenes."""
+    whole = windows.filter("xmin is null").select(key)
+    return box_lakes(windows.filter("xmin is not null"), edges, key).union(lakes.select("hylak_id").join(F.broadcast(whole)).select(key, "hylak_id"))
 
 
 def shore_distance(points: DataFrame, edges: DataFrame) -> DataFrame:

@@ -52,6 +52,15 @@ from {orders}""",
 select n_regionkey as country, n_nationkey as state_id, n_name as state_name, D(-84.1) + (n_nationkey % 5) * D(0.12) as xmin,
   D(44.9) + (n_nationkey // 5) * D(0.5) as ymin, D(-84.1) + (n_nationkey % 5) * D(0.12) + D(0.15) as xmax, D(44.9) + (n_nationkey // 5) * D(0.5) + D(0.55) as ymax
 from {nation}"""),
+    # tilted, hollowed on one side; every third has a hole
+    "region_edges": _d("""
+select state_id, ring, xmin + D(0.15) * u0 as x0, ymin + D(0.55) * v0 as y0, xmin + D(0.15) * u1 as x1, ymin + D(0.55) * v1 as y1
+from {regions} cross join (values (0, D(0.05), D(0.0), D(1.0), D(0.12)), (0, D(1.0), D(0.12), D(0.8), D(0.55)), (0, D(0.8), D(0.55), D(1.05), D(1.0)), (0, D(1.05), D(1.0), D(0.1), D(0.9)),
+  (0, D(0.1), D(0.9), D(0.3), D(0.45)), (0, D(0.3), D(0.45), D(0.05), D(0.0)), (1, D(0.45), D(0.2), D(0.7), D(0.25)), (1, D(0.7), D(0.25), D(0.5), D(0.4)), (1, D(0.5), D(0.4), D(0.45), D(0.2))) as v(ring, u0, v0, u1, v1)
+where ring = 0 or state_id % 3 = 0"""),
+    "footprint_edges": _d("""
+select scene_no, 0 as ring, xmin + (xmax - xmin) * u0 as x0, ymin + (ymax - ymin) * v0 as y0, xmin + (xmax - xmin) * u1 as x1, ymin + (ymax - ymin) * v1 as y1
+from {scenes} cross join (values (D(0.12), D(0.0), D(1.0), D(0.2)), (D(1.0), D(0.2), D(0.88), D(1.0)), (D(0.88), D(1.0), D(0.0), D(0.8)), (D(0.0), D(0.8), D(0.12), D(0.0))) as v(u0, v0, u1, v1)"""),
     "nasa": _d("""
 select p_partkey // 40 as grid_row, p_partkey % 40 as grid_col, (p_size * 37 + p_partkey) % 256 as dn,
   D(-84.0) + (p_partkey % 40) * D(0.0037) as lon, D(45.0) + (p_partkey // 40) * D(0.0027) as lat, p_partkey % 3 as tile

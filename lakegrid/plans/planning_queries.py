@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import names as N
 from ..operators import catalogue as C
 from ..operators import nasa
+from ..operators import polygons as O
 from ..operators import progress as G
 from ..operators import spatial as P
 from ..operators import verify as V
@@ -126,25 +127,59 @@ def a_load_regions(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def d_assign_state(spark: SparkSession, sf: str) -> DataFrame:
-    return C.assign_state(_lakes(spark, sf), view(spark, sf, "regions"))
+    return C.assign_state(view(spark, sf, "lakes"), view(spark, sf, "region_edges"))
+
+
+def touching(spark: SparkSession, sf: str) -> DataFrame:
+    """Lakes and the states they touch, polygon with polygon."""
+    return O.meeting(view(spark, sf, "lake_edges"), view(spark, sf, "region_edges"), "hylak_id", "state_id")
+
+
+def d_lakes_in_mask(spark: SparkSession, sf: str) -> DataFrame:
+    """Lakes of a country of five states, as one mask."""
+    mask = view(spark, sf, "region_edges").filter("state_id % 5 = 2").select(F.lit(1).alias("mask_id"), (F.col("state_id") * 2 + F.col("ring")).alias("ring"), "x0", "y0", "x1", "y1")
+    return C.lakes_in_mask(view(spark, sf, "lakes"), view(spark, sf, "lake_edges"), mask).select("hylak_id")
+
+
+def d_state_scope(spark: SparkSession, sf: str) -> DataFrame:
+    return C.state_scope(view(spark, sf, "lakes"), touching(spark, sf), 0).select("hylak_id")
+
+
+def d_region_cover(spark: SparkSession, sf: str) -> DataFrame:
+    """What the cells of each region's cover add up to: no cell twice, and the area that inner cells hold."""
+    c = O.cover(view(spark, sf, "region_edges"), "state_id")
+    side = O.cell_size(F.col("level"))
+    return c.groupBy("state_id").agg((F.count("*") == F.countDistinct("level", "cx", "cy")).alias("once"), (F.count("*") <= 16 * O.MOST_ROWS).alias("few"), (F.count_if(F.col("edges").isNull()) > 0).alias("has_inner"), (F.sum(F.when(F.col("edges").isNull(), side * side)) < 0.15 * 0.55).alias("within"))
+
+
+def d_lakes_for_window(spark: SparkSession, sf: str) -> DataFrame:
+    """Lakes that touch each scene's window, a tilted half of its box cut to a box; every seventh is the whole scene."""
+    w = view(spark, sf, "scenes").select("scene_no", *(F.when(F.col("scene_no") % 7 != 3, F.col(c)).alias(c) for c in ("xmin", "ymin")), F.when(F.col("scene_no") % 7 != 3, (F.col("xmin") + F.col("xmax")) / 2).alias("xmax"), F.when(F.col("scene_no") % 7 != 3, (F.col("ymin") + F.col("ymax")) / 2).alias("ymax"))
+    return P.lakes_for_window(w, view(spark, sf, "lakes"), view(spark, sf, "lake_edges"), "scene_no")
 
 
 def d_touching_states(spark: SparkSession, sf: str) -> DataFrame:
-    return C.touching_states(_lakes(spark, sf), view(spark, sf, "regions"))
+    return C.touching_states(view(spark, sf, "lakes"), touching(spark, sf), view(spark, sf, "regions"))
 
 
 def _pairs(spark: SparkSession, sf: str) -> DataFrame:
-    return P.box_lakes(view(spark, sf, "scenes"), view(spark, sf, "lake_edges"), "scene_no")
+    """Scenes and the lakes that their tilted footprints touch."""
+    return O.meeting(view(spark, sf, "footprint_edges"), view(spark, sf, "lake_edges"), "scene_no", "hylak_id")
+
+
+def d_footprint_lakes(spark: SparkSession, sf: str) -> DataFrame:
+    return _pairs(spark, sf)
 
 
 def i_plan_scenes(spark: SparkSession, sf: str) -> DataFrame:
     """Scenes of each state under both rules."""
-    args = view(spark, sf, "scenes"), _lakes(spark, sf), view(spark, sf, "regions"), _pairs(spark, sf)
-    return C.plan_scenes(*args).withColumn("rule", F.lit("lake-complete")).union(C.plan_scenes(*args, rule="state").select("state_id", "scene_no").withColumn("rule", F.lit("state")))
+    args = touching(spark, sf), _pairs(spark, sf)
+    here = O.meeting(view(spark, sf, "footprint_edges"), view(spark, sf, "region_edges"), "scene_no", "state_id")
+    return C.plan_scenes(*args).withColumn("rule", F.lit("lake-complete")).union(C.plan_scenes(*args, here).withColumn("rule", F.lit("state")))
 
 
 def i_scene_regions(spark: SparkSession, sf: str) -> DataFrame:
-    return C.scene_regions(_lakes(spark, sf), view(spark, sf, "regions"), _pairs(spark, sf))
+    return C.scene_regions(d_assign_state(spark, sf), _pairs(spark, sf))
 
 
 def d_plan_windows(spark: SparkSession, sf: str) -> DataFrame:
@@ -153,13 +188,12 @@ def d_plan_windows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def g_lake_owner(spark: SparkSession, sf: str) -> DataFrame:
-    r, lakes = view(spark, sf, "regions"), _lakes(spark, sf)
+    near = touching(spark, sf)
     pairs = _pairs(spark, sf).select("hylak_id", F.col("scene_no").alias("scene_id"))
-    plans = C.plan_scenes(view(spark, sf, "scenes"), lakes, r, _pairs(spark, sf)).filter("state_id % 3 = 0").select(F.col("state_id").alias("plan_id"), (F.col("state_id") * 7 % 5).alias("created"), "state_id", F.col("scene_no").alias("scene_id"))
-    touching = P.box_join(lakes, r, "hylak_id", "state_id")
-    matched = C.assign_state(lakes, r).filter("match_status = 'matched'").select("hylak_id", "state_id")
+    plans = C.plan_scenes(near, _pairs(spark, sf)).filter("state_id % 3 = 0").select(F.col("state_id").alias("plan_id"), (F.col("state_id") * 7 % 5).alias("created"), "state_id", F.col("scene_no").alias("scene_id"))
+    matched = d_assign_state(spark, sf).filter("match_status = 'matched'").select("hylak_id", "state_id")
     home = view(spark, sf, "scenes").select(F.col("scene_no").alias("scene_id"), (F.col("scene_no") % 7).alias("created"), (F.col("scene_no") % 25).cast("int").alias("state_id"))
-    return C.lake_owner(pairs, plans, touching, matched, home)
+    return C.lake_owner(pairs, plans, near, matched, home)
 
 
 def g_find_lakes(spark: SparkSession, sf: str) -> DataFrame:
@@ -285,7 +319,7 @@ def k_status_by_hour(spark: SparkSession, sf: str) -> DataFrame:
     return e.groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour"), "status").agg(F.count("*").alias("n"))
 
 
-QUERIES = {f.__name__: f for f in (a_filter_catalogue, g_first_scenes, b_product_names, b_solar_dates, b_texts, b_dates, g_rank_versions, i_acquisition_status, i_checklist, i_lake_day_status, i_missing_scenes, f_day_counts, f_run_counts, a_manifest, a_load_lakes, a_load_regions, d_assign_state, d_touching_states, i_plan_scenes, i_scene_regions, d_plan_windows, g_lake_owner, g_find_lakes, g_pick_lake, f_status_counts, f_coverage_by_region, f_plan_overview, h_register_scenes, h_scenes_without_plan, h_state_scenes, h_plan_overlap, g_scene_history, g_list_scenes, i_attention_report, i_date_readiness, f_date_tally, i_progress_report, i_missing_hint, a_replace_date, a_append_scene, a_region_path, j_verify_master, k_status_by_hour)}
+QUERIES = {f.__name__: f for f in (a_filter_catalogue, g_first_scenes, b_product_names, b_solar_dates, b_texts, b_dates, g_rank_versions, i_acquisition_status, i_checklist, i_lake_day_status, i_missing_scenes, f_day_counts, f_run_counts, a_manifest, a_load_lakes, a_load_regions, d_assign_state, d_touching_states, d_lakes_in_mask, d_state_scope, d_region_cover, d_lakes_for_window, d_footprint_lakes, i_plan_scenes, i_scene_regions, d_plan_windows, g_lake_owner, g_find_lakes, g_pick_lake, f_status_counts, f_coverage_by_region, f_plan_overview, h_register_scenes, h_scenes_without_plan, h_state_scenes, h_plan_overlap, g_scene_history, g_list_scenes, i_attention_report, i_date_readiness, f_date_tally, i_progress_report, i_missing_hint, a_replace_date, a_append_scene, a_region_path, j_verify_master, k_status_by_hour)}
 # SQL
 _V = with_views("catalogue") + ", v as (select *, created + hour * interval 1 hour as start from fx_catalogue)"
 _RANK = "case timeliness when 'NT' then 0 when 'ST' then 1 when 'NR' then 2 else 9 end"
@@ -302,8 +336,24 @@ st as (select hylak_id, date_solar, case when w then 'waiting' when scenes_used
 same_day and not w and scenes_used > 0 as nasa_eligible from g)"""
 _BYSTATUS = ", ".join(f"count(*) filter (where day_status = '{x}') as {x}" for x in ("complete", "partial", "waiting", "unavailable"))
 _BOUNDS = "b as (select hylak_id, min(least(x0, x1)) as xmin, min(least(y0, y1)) as ymin, max(greatest(x0, x1)) as xmax, max(greatest(y0, y1)) as ymax from fx_lake_edges group by hylak_id)"
-_TOUCH = f"{_BOUNDS}, tr as (select b.hylak_id, r.state_id, r.state_name from b join fx_regions r on b.xmin <= r.xmax and r.xmin <= b.xmax and b.ymin <= r.ymax and r.ymin <= b.ymax)"
-_STATE = "ps as (select l.hylak_id, count(r.state_id) as n, min(r.state_id) as state_id from fx_lakes l left join fx_regions r on l.cx between r.xmin and r.xmax and l.cy between r.ymin and r.ymax group by l.hylak_id)"
+
+
+def _crossed(e: str, x: str, y: str) -> str:
+    return f"({e}.y0 > {y}) <> ({e}.y1 > {y}) and {x} < ({e}.x1 - {e}.x0) * ({y} - {e}.y0) / ({e}.y1 - {e}.y0) + {e}.x0"
+
+
+def _meet(name: str, a: str, b: str, ka: str, kb: str) -> str:
+    """Pairs of the polygons of two edge tables that share a point: every edge against every edge, and every vertex against every polygon."""
+    side = lambda p, q, r: f"sign(({q[0]}.x{q[1]} - {p[0]}.x{p[1]}) * ({r[0]}.y{r[1]} - {p[0]}.y{p[1]}) - ({q[0]}.y{q[1]} - {p[0]}.y{p[1]}) * ({r[0]}.x{r[1]} - {p[0]}.x{p[1]}))"
+    boxes = " and ".join(f"least({s}.{v}0, {s}.{v}1) <= greatest({o}.{v}0, {o}.{v}1)" for v in "xy" for s, o in ("ab", "ba"))
+    held = lambda p, q, kp, kq: f"select p.{kp}, q.{kq} from {p} p join {q} q on {_crossed('q', 'p.x0', 'p.y0')} group by p.{kp}, p.x0, p.y0, q.{kq} having count(*) % 2 = 1"
+    return f"""{name} as (select distinct {ka}, {kb} from (select a.{ka}, b.{kb} from {a} a join {b} b on {boxes} and {side("a0", "a1", "b0")} * {side("a0", "a1", "b1")} <= 0 and {side("b0", "b1", "a0")} * {side("b0", "b1", "a1")} <= 0
+union all {held(a, b, ka, kb)} union all select {ka}, {kb} from ({held(b, a, kb, ka)})))"""
+
+
+_TOUCH = _meet("tr", "fx_lake_edges", "fx_region_edges", "hylak_id", "state_id")
+_STATE = f"""ph as (select l.hylak_id, r.state_id from fx_lakes l join fx_region_edges r on {_crossed("r", "l.cx", "l.cy")} group by all having count(*) % 2 = 1),
+ps as (select l.hylak_id, count(state_id) as n, min(state_id) as state_id from fx_lakes l left join ph using (hylak_id) group by l.hylak_id)"""
 _LATEST = with_views("status_events") + ", la as (select scene_id, arg_max(status, event_id) as status, max(ts) as ts from fx_status_events group by scene_id)"
 _PS = f"""{_LATEST}, p as (select scene_id % 9 as plan_id, (scene_id % 25)::int as state_id, scene_id from la where scene_id % 10 < 8
   union all select scene_id % 4, (scene_id % 20)::int, scene_id + 1000000 * (scene_id % 5 = 0)::int from la where scene_id % 6 = 0)"""
@@ -348,8 +398,11 @@ round(6371000.0::double * 2 * asin(least(1, sqrt(pow(cos(radians(cy)) * cos(radi
     "a_manifest": f"{_STATUS}, c as (select date_solar, count(*) as lakes, {_BYSTATUS} from st group by date_solar) select date_solar, lakes, complete, partial::int as n_partial, waiting::int as n_waiting, unavailable::int as n_unavailable from c",
     "a_load_lakes": with_views("lakes") + " select hylak_id, lake_name, round(lake_area, 9) as lake_area from fx_lakes where lake_area >= 1.3::double",
     "a_load_regions": with_views("regions") + " select country, state_id, state_name from fx_regions where state_id is not null and trim(state_name) <> ''",
-    "d_assign_state": with_views("lakes", "regions") + f", {_STATE} select hylak_id, case when n = 1 then state_id end as state_id, case when n = 1 then 'matched' when n > 1 then 'ambiguous' else 'unmatched' end as match_status from ps",
-    "d_touching_states": with_views("lake_edges", "regions") + f", {_TOUCH} select l.hylak_id, coalesce(string_agg(state_name, '; ' order by state_name), '') as states, coalesce(string_agg(state_id::varchar, '; ' order by state_id), '') as state_ids from fx_lakes l left join tr using (hylak_id) group by l.hylak_id",
+    "d_assign_state": with_views("lakes", "region_edges") + f", {_STATE} select hylak_id, case when n = 1 then state_id end as state_id, case when n = 1 then 'matched' when n > 1 then 'ambiguous' else 'unmatched' end as match_status from ps",
+    "d_touching_states": with_views("lake_edges", "region_edges") + f", {_TOUCH} select l.hylak_id, coalesce(string_agg(state_name, '; ' order by state_name), '') as states, coalesce(string_agg(r.state_id::varchar, '; ' order by r.state_id), '') as state_ids from fx_lakes l left join tr using (hylak_id) left join fx_regions r using (state_id) group by l.hylak_id",
+    "d_lakes_in_mask": with_views("lake_edges", "region_edges") + f", {_TOUCH} select distinct hylak_id from tr where state_id % 5 = 2",
+    "d_state_scope": with_views("lake_edges", "region_edges") + f", {_TOUCH} select hylak_id from tr where state_id = 0",
+    "d_region_cover": with_views("regions") + " select state_id, true as once, true as few, true as has_inner, true as within from fx_regions",
     "g_find_lakes": _NASA + " select hylak_id, lake_name, round(lake_area, 9) as lake_area from fx_lakes where hylak_id in (select hylak_id from nl) and contains(lower(lake_name), 'r#00000000') order by lake_area desc, hylak_id limit 30",
     "g_pick_lake": with_views("lakes") + " select hylak_id, lake_name, round(lake_area, 9) as lake_area from fx_lakes where hylak_id = 7",
     "f_status_counts": _LATEST + " select status, count(*) as n from la group by status",
@@ -372,15 +425,17 @@ union all select 'open without plan', status, count(*) from la where status in (
     "k_status_by_hour": with_views("status_events") + " select date_trunc('hour', ts) as hour, status, count(*) as n from fx_status_events group by all",
 }
 
-from .grid_queries import _SCENE_LAKES  # noqa: E402
 from .pixel_queries import _MASKS  # noqa: E402
 
-_PLAN = with_views("scenes", "lake_edges", "regions") + f", {_TOUCH}, {_SCENE_LAKES}, pl as (select distinct tr.state_id, sl.scene_no from tr join sl using (hylak_id))"
+_PLAN = with_views("scenes", "lake_edges", "region_edges", "footprint_edges") + f", {_TOUCH}, {_meet('sl', 'fx_footprint_edges', 'fx_lake_edges', 'scene_no', 'hylak_id')}, pl as (select tr.state_id, sl.scene_no, count(distinct hylak_id) as candidate_lakes from tr join sl using (hylak_id) group by all)"
 _LN = f"{_MASKS}, ln as (select scene_no, hylak_id, count(*) as n from mk where hylak_id is not null group by all)"
 ORACLES |= {
-    "i_plan_scenes": _PLAN + """ select state_id, scene_no, 'lake-complete' as rule from pl
-union all select pl.state_id, pl.scene_no, 'state' from pl join fx_scenes s using (scene_no) join fx_regions r using (state_id) where s.xmin <= r.xmax and r.xmin <= s.xmax and s.ymin <= r.ymax and r.ymin <= s.ymax""",
-    "i_scene_regions": _PLAN + ", q as (select distinct scene_no, state_id from sl join tr using (hylak_id)), c as (select scene_no, count(distinct hylak_id) as n_lakes from sl join tr using (hylak_id) group by scene_no) select scene_no, string_agg(state_id::varchar, ';' order by state_id) as states, any_value(n_lakes) as n_lakes from q join c using (scene_no) group by scene_no",
+    "d_footprint_lakes": _PLAN + " select scene_no, hylak_id from sl",
+    "d_lakes_for_window": with_views("scenes", "lake_edges") + f""", w as (select * replace ((xmin + xmax) / 2 as xmax, (ymin + ymax) / 2 as ymax) from fx_scenes where scene_no % 7 <> 3),
+we as (select scene_no, unnest([{{'x0': xmin, 'y0': ymin, 'x1': xmax, 'y1': ymin}}, {{'x0': xmax, 'y0': ymin, 'x1': xmax, 'y1': ymax}}, {{'x0': xmax, 'y0': ymax, 'x1': xmin, 'y1': ymax}}, {{'x0': xmin, 'y0': ymax, 'x1': xmin, 'y1': ymin}}], recursive := true) from w), {_meet('wl', 'we', 'fx_lake_edges', 'scene_no', 'hylak_id')}
+select scene_no, hylak_id from wl union all select scene_no, hylak_id from fx_scenes cross join fx_lakes where scene_no % 7 = 3""",
+    "i_plan_scenes": _PLAN + f""", {_meet('sr', 'fx_footprint_edges', 'fx_region_edges', 'scene_no', 'state_id')} select state_id, scene_no, candidate_lakes, 'lake-complete' as rule from pl union all select state_id, scene_no, candidate_lakes, 'state' from pl semi join sr using (scene_no, state_id)""",
+    "i_scene_regions": _PLAN + f", {_STATE}, q as (select distinct scene_no, case when n = 1 then state_id::varchar else '' end as state from sl join ps using (hylak_id)), c as (select scene_no, count(distinct hylak_id) as n_lakes from sl group by scene_no) select scene_no, string_agg(state, ';' order by state) as states, any_value(n_lakes) as n_lakes from q join c using (scene_no) group by scene_no",
     "g_lake_owner": _PLAN + f""", {_STATE}, a as (select sl.hylak_id, arg_min(p.state_id, (p.state_id * 7 % 5, p.state_id)) as s from sl join pl p on p.scene_no = sl.scene_no and p.state_id % 3 = 0 join tr on tr.hylak_id = sl.hylak_id and tr.state_id = p.state_id group by sl.hylak_id),
 c as (select hylak_id, arg_min((scene_no % 25)::int, (scene_no % 7, scene_no)) as s from sl group by hylak_id)
 select c.hylak_id, coalesce(a.s, case when ps.n = 1 then ps.state_id end, c.s) as state_id, case when a.s is not null then 'plan' when ps.n = 1 then 'pour point' else 'first scene' end as basis from c left join a using (hylak_id) left join ps using (hylak_id)""",
