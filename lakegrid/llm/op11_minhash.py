@@ -39,7 +39,7 @@ WIDTH, PERCENT = 2, 80
 ROWS, MISS = 6, 1e-5
 BANDS = math.ceil(math.log(MISS) / math.log(1 - (PERCENT / 100) ** ROWS))
 #: Signature bits kept for verification, compared at a time, and the posterior below which a pair is pruned.
-KEPT, BATCH, PRUNE = 2048, 256, 1e-5
+KEPT, BATCH, PRUNE = 3072, 256, 1e-5
 #: Sets that are verified with one copy of their leader; sets of a block.
 SALTED, BLOCK = 2000, 1024
 #: A key is joined apart if it has HOT rows or more, and more than one in HOTTEST of all: at most HOTTEST keys are broadcast.
@@ -177,7 +177,7 @@ def _sequential(batches):
 
 
 def _crossed(batches):
-    """Of each pair of blocks, the pairs of sets of different classes that survive."""
+    """Of each pair of blocks, the pairs of sets of different classes that survive, with the classes."""
     for group in _groups(batches):
         side, name, size, label = (group.column(k).to_numpy().astype(np.int64) for k in ("side", "member", "size", "label"))
         lines, band = _lines(group.column("sig")), group.column("shared").to_numpy()[0]
@@ -194,7 +194,9 @@ def _crossed(batches):
             i, j = i[rows], j[rows]
             own = (bands[i] == bands[j]).argmax(1) == band if len(rows) else np.zeros(0, bool)  # other lists leave the pair to this one
             if own.any():
-                yield _pairs(np.minimum(name[i], name[j])[own], np.maximum(name[i], name[j])[own], matches[own])
+                i, j = i[own], j[own]
+                columns = (np.minimum(name[i], name[j]), np.maximum(name[i], name[j]), matches[own], np.minimum(label[i], label[j]), np.maximum(label[i], label[j]))
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if k == 2 else _L) for k, c in enumerate(columns)], names=["a", "b", "matches", "x", "y"])
 
 
 def _exact(batches):
@@ -236,11 +238,11 @@ def verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
     return written(dealt.mapInArrow(_exact, "a long, b long").distinct())
 
 
-def _labelled(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of different classes, with the classes."""
-    for k in "ab":
-        pairs = pairs.join(labels.select(F.col("node").alias(k), F.col("label").alias("label_" + k)), k, "left").withColumn("label_" + k, F.coalesce("label_" + k, k))
-    return pairs.filter("label_a <> label_b")
+def _relabelled(pairs: DataFrame, columns: list[str], labels: DataFrame) -> DataFrame:
+    """Pairs whose two columns of nodes are in different classes: columns x and y hold the classes, the smaller first."""
+    for k, c in enumerate(columns):
+        pairs = pairs.join(labels.select(F.col("node").alias(c), F.col("label").alias(f"_{k}")), c, "left").withColumn(f"_{k}", F.coalesce(f"_{k}", c))
+    return pairs.withColumns({"x": F.least("_0", "_1"), "y": F.greatest("_0", "_1")}).filter("x < y").drop("_0", "_1")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -284,18 +286,22 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     dealt = longer.join(heavy, ["list", "label"], "left").select("list", F.col("band").alias("shared"), F.coalesce("part", F.lit(-1).cast("long")).alias("part"), F.col("b").alias("member"), "label").join(size, "member")
     # a label of half a block or more in a list has blocks of its own, so its pairs with itself are never formed
     dealt = in_blocks(written(dealt.select("list", "part", "member", "label", "size", "rest", "shared", "sig", "bands")), F.lit(BLOCK)).repartition("block").sortWithinPartitions("block")
-    cross = dealt.mapInArrow(_crossed, PAIRS).join(star.select("a", "b"), ["a", "b"], "left_anti")
+    cross = dealt.mapInArrow(_crossed, PAIRS + ", x long, y long").withColumn("answered", F.lit(False))
 
     # first the best pair of each two classes, then all pairs whose classes still differ
-    apart = _labelled(star.join(best, ["a", "b"], "left_anti").unionByName(cross), labels)
-    apart = written(apart.withColumns({"x": F.least("label_a", "label_b"), "y": F.greatest("label_a", "label_b")}).select("a", "b", "matches", "x", "y"))
+    seen = _relabelled(star, ["a", "b"], labels).withColumn("answered", F.lit(False))
+    done = _relabelled(best.select("a", "b", F.lit(0).alias("matches")), ["a", "b"], labels).withColumn("answered", F.lit(True))
+    apart = seen.unionByName(done).unionByName(cross).groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "x", "y").agg(F.max("matches").alias("matches"), F.max("answered").alias("answered"))
+    apart = written(apart.filter("not answered").drop("answered"))
     if not apart.isEmpty():
         first = written(apart.groupBy("x", "y").agg(F.max_by(F.struct("a", "b"), F.struct("matches", -F.col("a"), -F.col("b"))).alias("p")).select("p.a", "p.b"))
         more = verified(docs, sets, first)
         if not more.isEmpty():
             edges = edges.union(more)
             labels = components(edges)
-        left = written(_labelled(apart.select("a", "b"), labels).select("a", "b").join(first, ["a", "b"], "left_anti"))
+        left = _relabelled(apart.select("a", "b", F.col("x").alias("p"), F.col("y").alias("q")), ["p", "q"], labels).select("a", "b", F.lit(False).alias("answered"))
+        left = left.union(first.select("a", "b", F.lit(True))).groupBy("a", "b").agg(F.max("answered").alias("answered"))
+        left = written(left.filter("not answered").select("a", "b"))
         if not left.isEmpty() and not (more := verified(docs, sets, left)).isEmpty():
             labels = components(edges.union(more))
 
