@@ -10,6 +10,8 @@ from .nulls import flag
 
 FLAG_BITS = {"LAND": 1, "CLDICE": 2, "HISATZEN": 4, "NAVFAIL": 8}
 BRIGHT = 0.08
+#: The twelve masks of the daily product in their fixed order; mask k is bit k of the packed column masks.
+MASKS = ("valid_water", "strict_valid", "rescued", "cldice", "hisatzen", "navfail", "cloud_excluded", "ci_valid", "candidate", "detected", "mph_valid", "fai_valid")
 RHOS = tuple(f"r{w}" for w in B.WAVELENGTHS)
 
 
@@ -49,7 +51,18 @@ def with_masks(pixels: DataFrame, in_lake: Column | None = None, habs: bool = Tr
     out = out.withColumn("ci_valid", c("valid_water") & c("ss681").isNotNull() & c("ss665").isNotNull() & ~c("ci_adjacency"))
     out = out.withColumn("candidate", c("ci_valid") & c("ci").isNotNull() & ~c("clear_water"))
     out = out.withColumn("detected", c("ci_valid") & c("ci_cyano").isNotNull() & ~c("clear_water"))
-    return out.withColumns({f"{x}_valid": c("valid_water") & c(x).isNotNull() for x in ("ndci", "mph", "fai")})
+    out = out.withColumns({f"{x}_valid": c("valid_water") & c(x).isNotNull() for x in ("ndci", "mph", "fai")} | {"hisatzen": c("base") & bit("HISATZEN"), "navfail": c("base") & bit("NAVFAIL")})
+    return out.withColumn("masks", packed(MASKS))
+
+
+def packed(masks: tuple[str, ...]) -> Column:
+    """Masks as bits of one number, the first one lowest."""
+    return sum((F.when(F.col(m), 1 << k).otherwise(0) for k, m in enumerate(masks)), F.lit(0))
+
+
+def unpacked(mask: str) -> Column:
+    """One mask of the packed column; null where nothing was observed (-1)."""
+    return F.when(F.col("masks") >= 0, F.col("masks").bitwiseAND(1 << MASKS.index(mask)) != 0)
 
 
 def land_adjacent(pixels: DataFrame, steps: int) -> DataFrame:

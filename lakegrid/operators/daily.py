@@ -23,13 +23,22 @@ def daily_cells(lake_bins: DataFrame, lake_days: DataFrame, scene_bins: DataFram
     seen = owned.join(lake_days.select("date_solar", "hylak_id", "scene_no"), ["scene_no", "hylak_id"])
     most = [F.max(f"{i}_mean").alias(i) for i in INDICES] + [F.max(f"{b}_mean").alias(b) for b in NINE]
     any_ = [F.bool_or(f"{f}_any").alias(f) for f in FLAGS]
+    if "masks" in scene_bins.columns:
+        any_.append(F.bit_or("masks").alias("masks"))
     g = seen.groupBy("date_solar", "hylak_id", "bin").agg(*most, *any_, F.count("ci_cyano_mean").alias("scenes_valid"), F.max("footprint_area").alias("footprint"), F.lit(True).alias("observed"))
     days = lake_days.select("date_solar", "hylak_id").distinct()
     cells = days.join(lake_bins.select("hylak_id", "bin"), "hylak_id").join(g, ["date_solar", "hylak_id", "bin"], "left")
     cells = cells.withColumns({f: flag(F.col(f)) for f in (*FLAGS, "observed")} | {"scenes_valid": F.coalesce("scenes_valid", F.lit(0))})
+    if "masks" in scene_bins.columns:
+        cells = cells.withColumn("masks", F.when(F.col("observed"), F.col("masks")).otherwise(-1))
     return cells.withColumn("dn", ci_to_dn(F.col("ci_cyano"), F.col("ci_cyano").isNotNull()))
 
 
+def as_stored(cells: DataFrame) -> DataFrame:
+    """Cells with the values that the science layers keep: 32-bit numbers. Rows published from these are those rebuilt from the layers."""
+    return cells.withColumns({x: F.col(x).cast("float").cast("double") for x in (*INDICES, *NINE, "footprint")})
+
+
 def daily_lakes(cells: DataFrame) -> DataFrame:
     """One row per lake and date: cell counts and index statistics over its bins."""
     valid = F.col("ci_cyano").isNotNull()
@@ -46,8 +55,8 @@ def day_counts(status: DataFrame) -> DataFrame:
     return status.groupBy("date_solar").agg(F.count("*").alias("lakes"), *(n(s) for s in ("complete", "partial", "waiting", "unavailable")))
 
 
-def raster_layout(cells: DataFrame, key: str) -> DataFrame:
-    """Place (iy, ix) of each bin in the rectangle of whole bins around a key's bins: north at the top, lines shifted so that columns line up about the central meridian, safe over the date line. cells: key, bin_row, bin_col."""
+def _laid_out(cells: DataFrame, key: str) -> DataFrame:
+    """Bins of each key with their place (iy, ix) and their line's first column (first)."""
     from ..functions import isin
 
     c = cells.select(key, "bin_row", "bin_col").distinct().withColumn("n", isin.bins_in_row(F.col("bin_row"))).withColumn("lon", isin.centre_lon(F.col("bin_row"), F.col("bin_col")))
@@ -61,4 +70,31 @@ def raster_layout(cells: DataFrame, key: str) -> DataFrame:
     low = c.groupBy(key).agg((F.min("x") - 0.5 * isin.RADIUS * 3.141592653589793 / isin.N_ROWS).alias("xlo"))
     c = c.join(low, key).withColumn("j1", F.ceil(F.col("xlo") / F.col("a") - (F.col("col0") + 0.5 - F.col("b"))))
     first = c.groupBy(key, "bin_row").agg(F.least(F.min("j"), F.min("j1")).alias("j0"))
-    return c.join(first, [key, "bin_row"]).select(key, "bin_row", "bin_col", (F.col("rmax") - F.col("bin_row")).cast("long").alias("iy"), (F.col("j") - F.col("j0")).cast("long").alias("ix"))
+    c = c.join(first, [key, "bin_row"])
+    return c.select(key, "bin_row", "bin_col", (F.col("rmax") - F.col("bin_row")).cast("long").alias("iy"), (F.col("j") - F.col("j0")).cast("long").alias("ix"), F.pmod(F.col("col0") + F.col("j0"), "n").cast("long").alias("first"))
+
+
+def raster_layout(cells: DataFrame, key: str) -> DataFrame:
+    """Place (iy, ix) of each bin in the rectangle of whole bins around a key's bins: north at the top, lines shifted so that columns line up about the central meridian, safe over the date line. cells: key, bin_row, bin_col."""
+    return _laid_out(cells, key).drop("first")
+
+
+def raster_lines(cells: DataFrame, key: str) -> DataFrame:
+    """(key, iy, bin_row, first): the lines of each key's raster, from which every place's bin follows."""
+    return _laid_out(cells, key).select(key, "iy", "bin_row", "first").distinct()
+
+
+def raster_cells(places: DataFrame, lines: DataFrame, key: str) -> DataFrame:
+    """places (key, iy, ix, ...) with their bin_row, bin_col and bin, from the lines alone."""
+    from ..functions import isin
+
+    rows = F.broadcast(isin.rows_table(places.sparkSession).select(F.col("row").alias("bin_row"), "n", "before"))
+    c = places.join(lines, [key, "iy"]).join(rows, "bin_row").withColumn("bin_col", F.pmod(F.col("first") + F.col("ix"), "n").cast("long"))
+    return c.withColumn("bin", isin.bin_key(F.col("before"), F.col("bin_col"))).drop("first", "n", "before")
+
+
+def raster_geometry(cells: DataFrame) -> DataFrame:
+    """Cells with the latitude and longitude of their bin's centre and its area."""
+    from ..functions import isin
+
+    return cells.withColumns({"latitude": isin.centre_lat(F.col("bin_row")), "longitude": isin.centre_lon(F.col("bin_row"), F.col("bin_col")), "bin_area": isin.bin_area(F.col("bin_row"))})

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -54,13 +54,14 @@ def validate_lake_pixels(pixels: DataFrame, scene: int, required: list[str]) ->
     return pixels
 
 
-def rebuild_daily(cells: DataFrame) -> DataFrame:
-    """Daily rows from stored cells alone."""
+def rebuild_daily(spark: SparkSession, path: str) -> DataFrame:
+    """Daily rows from the stored science layers alone."""
+    from ..sources.tables import read_daily_science
     from .daily import daily_lakes
 
-    return daily_lakes(cells)
+    return daily_lakes(read_daily_science(spark, path))
 
 
-def reproduce(cells: DataFrame, stored: DataFrame) -> DataFrame:
-    """Differences between daily rows rebuilt from stored cells and the stored rows."""
-    return compare_tables(rebuild_daily(cells), stored, ["date_solar", "hylak_id"])
+def reproduce(spark: SparkSession, path: str, stored: DataFrame) -> DataFrame:
+    """Differences between daily rows rebuilt from the science layers below path and the stored rows."""
+    return compare_tables(rebuild_daily(spark, path), stored, ["date_solar", "hylak_id"])

@@ -89,7 +89,7 @@ def scene_bins(spark: SparkSession, sf: str) -> DataFrame:
 def f_pixels_to_bins(spark: SparkSession, sf: str) -> DataFrame:
     """Scene bins by exact overlap area: areas, means and flags."""
     b = scene_bins(spark, sf)
-    return b.select("scene_no", "bin", F.round("footprint_area", 3).alias("footprint_area"), *(F.round(f"{i}_mean", DIGITS - 1).alias(f"{i}_mean") for i in O.INDICES), *(f"{f}_any" for f in O.FLAGS))
+    return b.select("scene_no", "bin", F.round("footprint_area", 1).alias("footprint_area"), *(F.round(f"{i}_mean", DIGITS - 1).alias(f"{i}_mean") for i in O.INDICES), *(f"{f}_any" for f in O.FLAGS))
 
 
 def centre_bins(spark: SparkSession, sf: str) -> DataFrame:
@@ -131,17 +131,32 @@ def e_raster_layout(spark: SparkSession, sf: str) -> DataFrame:
     return D.raster_layout(P.polygon_bins(view(spark, sf, "lake_edges")), "hylak_id")
 
 
-def a_daily_science(spark: SparkSession, sf: str) -> DataFrame:
+def e_raster_cells(spark: SparkSession, sf: str) -> DataFrame:
+    """Bins back from their places: number, centre and area."""
     bins = P.polygon_bins(view(spark, sf, "lake_edges"))
-    c = cells(spark, sf).join(bins.select("hylak_id", "bin", "bin_row", "bin_col"), ["hylak_id", "bin"])
-    return rounded(T.daily_science(c, D.raster_layout(bins, "hylak_id")))
+    c = D.raster_geometry(D.raster_cells(D.raster_layout(bins, "hylak_id").select("hylak_id", "iy", "ix"), D.raster_lines(bins, "hylak_id"), "hylak_id"))
+    return c.select("hylak_id", "bin_row", "bin_col", "bin", F.round("latitude", 8).alias("latitude"), F.round("longitude", 8).alias("longitude"), F.round("bin_area", 3).alias("bin_area"))
+
+
+def _placed_cells(spark: SparkSession, sf: str) -> DataFrame:
+    bins = P.polygon_bins(view(spark, sf, "lake_edges")).select("hylak_id", "bin", "bin_row", "bin_col")
+    return cells(spark, sf).join(bins, ["hylak_id", "bin"])
+
+
+def a_daily_science(spark: SparkSession, sf: str) -> DataFrame:
+    """Layers as written and read back from their files, raw; 32-bit values to 6 digits, areas to a square metre."""
+    at = T.shared_folder(spark)
+    T.write_daily_science(T.stored(_placed_cells(spark, sf)), at)
+    raw = spark.read.parquet(f"{at}/layers")
+    return raw.select("date_solar", "hylak_id", "iy", "ix", *(F.round(F.col(x).cast("double"), 6).alias(x) for x in (*O.NINE, *O.INDICES)), "masks", "lake_support_mask", "native_source_match_mask", F.round(F.col("footprint_area").cast("double")).alias("footprint_area"), "dn", "scenes_valid")
 
 
 def j_reproduce(spark: SparkSession, sf: str) -> DataFrame:
-    """Differences of rows rebuilt from cells and stored rows, some of which are changed on purpose."""
-    c = cells(spark, sf)
-    stored = D.daily_lakes(c).filter("hylak_id % 17 <> 3").withColumn("lake_cells", F.when(F.col("hylak_id") % 13 == 1, F.col("lake_cells") + 1).otherwise(F.col("lake_cells")))
-    return V.reproduce(c, stored)
+    """Differences of rows rebuilt from the files of the science layers and stored rows, some of which are changed on purpose."""
+    c, at = T.stored(_placed_cells(spark, sf)), T.shared_folder(spark)
+    T.write_daily_science(c, at)
+    stored = D.daily_lakes(D.as_stored(c)).filter("hylak_id % 17 <> 3").withColumn("lake_cells", F.when(F.col("hylak_id") % 13 == 1, F.col("lake_cells") + 1).otherwise(F.col("lake_cells")))
+    return V.reproduce(spark, at, stored)
 
 
 def j_check_lake_rows(spark: SparkSession, sf: str) -> DataFrame:
@@ -227,7 +242,7 @@ def d_shore_buffer(spark: SparkSession, sf: str) -> DataFrame:
     return P.shore_distance(p, view(spark, sf, "lake_edges")).filter("metres >= 300").select(*KEYS, "hylak_id", F.round("metres", 4).alias("metres"))
 
 
-QUERIES = {f.__name__: f for f in (d_shore_buffer, e_isin_rows, e_bin_number, e_bin_geometry, e_albers, d_polygon_bins, d_scene_lakes, d_neighbour_vectors, d_footprint_overlap, f_pixels_to_bins, f_reduce_bins, f_daily_cells, f_daily_lakes, daily_lakes_by_centre, e_raster_layout, a_daily_science, j_reproduce, j_check_lake_rows, d_nasa_cells_in_lake, f_nasa_histogram, j_check_nasa_rows, g_dedupe_nasa_cells, d_pair_cells, f_pair_leftovers, f_pair_statistics, f_density_2d, d_coverage_complete, e_latlon_grid, e_support_cells, d_nearest_same_lake)}
+QUERIES = {f.__name__: f for f in (d_shore_buffer, e_isin_rows, e_bin_number, e_bin_geometry, e_albers, d_polygon_bins, d_scene_lakes, d_neighbour_vectors, d_footprint_overlap, f_pixels_to_bins, f_reduce_bins, f_daily_cells, f_daily_lakes, daily_lakes_by_centre, e_raster_layout, e_raster_cells, a_daily_science, j_reproduce, j_check_lake_rows, d_nasa_cells_in_lake, f_nasa_histogram, j_check_nasa_rows, g_dedupe_nasa_cells, d_pair_cells, f_pair_leftovers, f_pair_statistics, f_density_2d, d_coverage_complete, e_latlon_grid, e_support_cells, d_nearest_same_lake)}
 
 # SQL
 _PIX = with_views("pixels")
@@ -352,7 +367,7 @@ round({_wrap(f"lon0 + degrees(x / ({EARTH} * cos(y / {EARTH})))")}, 8) as back_l
     "d_scene_lakes": with_views("scenes", "lake_edges") + ",\n" + _SCENE_LAKES + " select scene_no, hylak_id from sl",
     "d_neighbour_vectors": _PIX + ",\n" + _vectors("fx_pixels") + ' select scene_no, source_row, source_col, round(ax, 5) as ax, round(ay, 5) as ay, round(bx, 5) as bx, round("by", 5) as "by" from vec',
     "d_footprint_overlap": f"{_PIX},\n{_ROWS},\n" + _vectors("fx_pixels") + f",\n{_PARTS} select scene_no, source_row, source_col, count(*) as bins, abs(sum(weight) / any_value(plane) - 1) < 1e-6::double as conserved from parts group by scene_no, source_row, source_col",
-    "f_pixels_to_bins": _AREA + " select scene_no, bin, round(footprint_area, 3) as footprint_area, " + ", ".join(f"round({i}_mean, {DIGITS - 1}) as {i}_mean" for i in O.INDICES) + ", " + ", ".join(f"{f}_any" for f in O.FLAGS) + " from sb",
+    "f_pixels_to_bins": _AREA + " select scene_no, bin, round(footprint_area, 1) as footprint_area, " + ", ".join(f"round({i}_mean, {DIGITS - 1}) as {i}_mean" for i in O.INDICES) + ", " + ", ".join(f"{f}_any" for f in O.FLAGS) + " from sb",
     "daily_lakes_by_centre": f"{_DAILY_CENTRE} {_LAKES}",
     "f_reduce_bins": _CENTRE + " select scene_no, bin, footprint_area, " + ", ".join(f"{i}_valid_area, round({i}_mean, 9) as {i}_mean" for i in O.INDICES) + ", rhos_valid_area, round(r490_mean, 9) as r490_mean, round(r885_mean, 9) as r885_mean, " + ", ".join(f"{f}_any" for f in O.FLAGS) + " from sb",
     "f_daily_cells": _DAILY + " select date_solar, hylak_id, bin, " + ", ".join(f"round({i}, {DIGITS}) as {i}" for i in O.INDICES) + ", " + ", ".join(O.FLAGS) + ", scenes_valid, observed, dn from cells",
@@ -389,3 +404,25 @@ t as (select -84.5e6::double + (i % 6) * 5e5::double as a, 44.8e6::double + (i /
 select hylak_id, bool_and(exists (select 1 from t where x between a and a + 5e5::double and y between b and b + 7e5::double)) as complete from p group by hylak_id""",
 }
 ORACLES = {k: bigint_counts(v) for k, v in ORACLES.items() if v}
+
+# places of bins in a lake's raster
+_LAID = f"""la0 as (select hylak_id, bin_row, bin_col, isin.n, radians((bin_row + 0.5::double) * 180 / 69120 - 90) as phi, (bin_col + 0.5::double) * 360 / isin.n - 180 as lon from lake_bins join isin on isin.row = bin_row),
+la1 as (select hylak_id, degrees(atan2(avg(sin(radians(lon))), avg(cos(radians(lon))))) as lon0, max(bin_row) as rmax from la0 group by hylak_id),
+la2 as (select *, {EARTH} * cos(phi) * radians(360::double / n) as a, least(floor(({_wrap("lon0")} + 180) / 360 * n), n - 1) as col0, n * (180 + lon0) / 360 as b, floor(n / 2) as half from la0 join la1 using (hylak_id)),
+la3 as (select *, (bin_col - col0 + half) - n * floor((bin_col - col0 + half) / n) - half as j from la2),
+la4 as (select hylak_id, min(a * (col0 + j + 0.5::double - b)) - 0.5::double * {EARTH} * pi() / 69120 as xlo from la3 group by hylak_id),
+la5 as (select hylak_id, bin_row, least(min(j), min(ceil(xlo / a - (col0 + 0.5::double - b)))) as j0 from la3 join la4 using (hylak_id) group by all),
+lay as (select hylak_id, bin_row, bin_col, (rmax - bin_row)::bigint as iy, (j - j0)::bigint as ix from la3 join la5 using (hylak_id, bin_row))"""
+_BITS = dict.fromkeys(M.MASKS) | {"hisatzen": "base and l2_flags & 4 <> 0", "navfail": "base and l2_flags & 8 <> 0"}
+_PACKED = " + ".join(f"case when {expr or name} then {1 << k} else 0 end" for k, (name, expr) in enumerate(_BITS.items()))
+ORACLES |= {
+    "e_raster_layout": f"{_EDGES},\n{_ROWS},\n{_LAKE_BINS}, {_LAID} select * from lay",
+    "e_raster_cells": f"""{_EDGES},\n{_ROWS},\n{_LAKE_BINS} select hylak_id, bin_row, bin_col, bin, round((bin_row + 0.5::double) * 180 / 69120::double - 90, 8) as latitude, round((bin_col + 0.5::double) * 360 / n - 180, 8) as longitude,
+round(2 * pi() * {EARTH} * {EARTH} * (sin(radians((bin_row + 1) * 180::double / 69120 - 90)) - sin(radians(bin_row * 180::double / 69120 - 90))) / n, 3) as bin_area from lake_bins join isin on isin.row = bin_row""",
+    "a_daily_science": _DAILY + f""", {_LAID}, pm as (select scene_no, source_row, source_col, {_PACKED} as masks, {", ".join(f"case when valid_water and {' and '.join(f'{x} is not null' for x in O.NINE)} then {b}::double end as {b}" for b in O.NINE)} from di),
+mb as (select p.scene_no, p.bin, bit_or(masks) as masks, sum(weight) as area, {", ".join(f"sum(weight * {b}) / nullif(sum(weight) filter (where {b} is not null), 0) as {b}" for b in O.NINE)} from parts p join pm using (scene_no, source_row, source_col) group by all),
+md as (select date_solar, hylak_id, bin, bit_or(masks) as masks, max(area) as area, {", ".join(f"max({b}) as {b}" for b in O.NINE)} from ld join mb using (scene_no) group by all)
+select c.date_solar, c.hylak_id, iy, ix, {", ".join(f"round(coalesce(md.{b}::float, -9999)::double, 6) as {b}" for b in O.NINE)}, {", ".join(f"round(coalesce(c.{i}::float, -9999)::double, 6) as {i}" for i in O.INDICES)}, (case when observed then md.masks else -1 end)::smallint as masks,
+1::tinyint as lake_support_mask, observed::tinyint as native_source_match_mask, round(coalesce(area::float, -9999)::double) as footprint_area, dn::smallint as dn, least(scenes_valid, 254)::smallint as scenes_valid
+from cells c join lay using (hylak_id, bin_row, bin_col) left join md on md.date_solar = c.date_solar and md.hylak_id = c.hylak_id and md.bin = c.bin""",
+}

@@ -2,9 +2,37 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Rows of one per scene, lake or day up to which a table is broadcast.
+SMALL = 1_000_000
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder below spark.checkpoint.dir, which all executors share. Where that is unset, as in tests, one of its own is set."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        base = tempfile.mkdtemp(prefix="spark-")
+        spark.sparkContext.setCheckpointDir(base)
+    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """The frame as a Parquet table in the shared folder: later plans read it in place of doing it again, and lost executors do no harm."""
+    at = shared_folder(df.sparkSession)
+    df.write.parquet(at)
+    return df.sparkSession.read.schema(df.schema).parquet(at)
+
+
+def small(df: DataFrame) -> DataFrame:
+    """A stored table, marked for broadcast if it has SMALL rows at most."""
+    return F.broadcast(df) if df.count() <= SMALL else df
+
+
 MIN_AREA = 1.3
 BAD_NAME = r"[/\\\x00]|^\.{1,2}$|^\s*$"
 
@@ -75,18 +103,50 @@ def write_daily_cells(cells: DataFrame, path: str, keys: tuple[str, ...] = ("cou
     cells.write.partitionBy(*keys).parquet(path)
 
 
-#: What a float layer holds where there is nothing, and the mask of bins that no pass saw.
-FLOAT_FILL, UNSEEN = -9999.0, -1
+#: What a float layer holds where there is nothing, the mask of bins that no pass saw, and the codes for no value.
+FLOAT_FILL, UNSEEN, NO_DATA = -9999.0, -1, 255
 
 
 def daily_science(cells: DataFrame, layout: DataFrame) -> DataFrame:
-    """All layers of the daily product as a long raster (hylak_id, iy, ix): fills in place of nulls, -1 in masks where no pass saw the bin."""
-    from ..operators.overlap import FLAGS, INDICES, NINE
+    """All layers of the daily product as a long raster (date_solar, hylak_id, iy, ix).
+
+    32-bit bands, indices and footprint_area with fills in place of nulls; the twelve masks packed
+    in their fixed order, -1 where no pass saw the bin; support and match masks; DN, and
+    scenes_valid up to 254. Bins aren't stored: they follow from the lines of the layout.
+    """
+    from ..operators.overlap import INDICES, NINE
 
     c = cells.join(layout, ["hylak_id", "bin_row", "bin_col"])
-    layers = {x: F.coalesce(F.col(x).cast("double"), F.lit(FLOAT_FILL)) for x in (*INDICES, *NINE, "footprint")}
-    masks = {f: F.when(F.col("observed"), F.col(f).cast("int")).otherwise(UNSEEN) for f in FLAGS}
-    return c.select("date_solar", "hylak_id", "iy", "ix", "bin", *(v.alias(k) for k, v in layers.items()), *(v.alias(k) for k, v in masks.items()), "dn", "scenes_valid")
+    layers = {x: F.coalesce(F.col(x).cast("float"), F.lit(FLOAT_FILL).cast("float")) for x in (*NINE, *INDICES)}
+    layers["masks"] = F.when(F.col("observed"), F.col("masks")).otherwise(UNSEEN).cast("short")
+    layers |= {"lake_support_mask": F.lit(1).cast("byte"), "native_source_match_mask": F.col("observed").cast("byte")}
+    layers["footprint_area"] = F.coalesce(F.col("footprint").cast("float"), F.lit(FLOAT_FILL).cast("float"))
+    layers |= {"dn": F.col("dn").cast("short"), "scenes_valid": F.least("scenes_valid", F.lit(NO_DATA - 1)).cast("short")}
+    return c.select("date_solar", "hylak_id", "iy", "ix", *(v.alias(k) for k, v in layers.items()))
+
+
+def write_daily_science(cells: DataFrame, path: str) -> None:
+    """The layers by date below path/layers, and the lines of each lake's raster below path/lines. cells: those of daily_cells with bin_row and bin_col."""
+    from ..operators.daily import raster_layout, raster_lines
+
+    bins = cells.select("hylak_id", "bin_row", "bin_col").distinct()
+    daily_science(cells, raster_layout(bins, "hylak_id")).repartition("date_solar", "hylak_id").sortWithinPartitions("hylak_id", "iy", "ix").write.partitionBy("date_solar").parquet(f"{path}/layers")
+    raster_lines(bins, "hylak_id").write.parquet(f"{path}/lines")
+
+
+def read_daily_science(spark: SparkSession, path: str) -> DataFrame:
+    """Daily cells decoded from stored layers alone: fills, codes and packed masks back to values and nulls, bins from places."""
+    from ..functions.masks import MASKS, unpacked
+    from ..functions.nulls import flag
+    from ..operators.daily import raster_cells
+    from ..operators.overlap import INDICES, NINE
+
+    layers = spark.read.parquet(f"{path}/layers")
+    cells = raster_cells(layers, spark.read.parquet(f"{path}/lines"), "hylak_id")
+    value = lambda x: F.when(F.col(x) != F.lit(FLOAT_FILL).cast("float"), F.col(x).cast("double"))
+    cells = cells.withColumns({x: value(x) for x in (*NINE, *INDICES)} | {"footprint": value("footprint_area"), "observed": F.col("native_source_match_mask") == 1})
+    cells = cells.withColumn("ci_cyano", F.when(F.col("dn") != NO_DATA, F.col("ci_cyano")))
+    return cells.withColumns({m: flag(unpacked(m)) for m in MASKS}).drop("footprint_area", "native_source_match_mask", "lake_support_mask")
 
 
 def manifest(status: DataFrame) -> DataFrame:

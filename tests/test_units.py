@@ -328,3 +328,31 @@ def test_tiles_around_a_hole_are_not_complete(spark):
     tiles = lambda t: spark.createDataFrame(t, "xmin double, ymin double, xmax double, ymax double")
     assert [r.complete for r in N.coverage_complete(points, tiles(rim)).collect()] == [False]
     assert [r.complete for r in N.coverage_complete(points, tiles([*rim, (0.1, 0.1, 0.9, 0.9)])).collect()] == [True]
+
+
+def test_daily_science_there_and_back(spark, tmp_path):
+    """Cells decoded from the files are the stored ones: values in 32 bits, missing ones, masks, bins from places; lines of a lake over the date line too."""
+    bins = spark.createDataFrame([(1, 50000, c) for c in (100, 101, 103)] + [(1, 50002, 102), (2, 40000, 0), (2, 40000, 1), (2, 40001, -1)], "hylak_id long, bin_row int, bin_col long")
+    n = isin.bins_in_row(F.col("bin_row"))
+    bins = bins.withColumn("bin_col", F.pmod("bin_col", n).cast("long"))
+    before = isin.rows_table(spark).select(F.col("row").alias("bin_row"), "before")
+    bins = bins.join(before, "bin_row").withColumn("bin", isin.bin_key(F.col("before"), F.col("bin_col"))).drop("before")
+    values = {x: F.when(F.col("bin_col") % 2 == 0, F.rand(k) / 10) for k, x in enumerate((*O.INDICES, *O.NINE, "footprint"))}
+    cells = bins.withColumn("date_solar", F.lit("2024-08-01").cast("date")).withColumns(values)
+    cells = cells.withColumns({"observed": F.col("bin_col") % 3 != 0, "scenes_valid": F.col("bin_col") * 100 % 300, "dn": B.ci_to_dn(F.col("ci_cyano"), F.col("ci_cyano").isNotNull()), "masks": (F.col("bin_col") * 37 % 4096).cast("int")})
+    cells = spark.createDataFrame(cells.collect(), cells.schema)
+    T.write_daily_science(cells, f"{tmp_path}/science")
+    back = T.read_daily_science(spark, f"{tmp_path}/science")
+    want = D.as_stored(cells).withColumn("masks", F.when(F.col("observed"), F.col("masks")).otherwise(-1)).withColumn("scenes_valid", F.least("scenes_valid", F.lit(254)))
+    names = ["hylak_id", "bin_row", "bin_col", "bin", *O.INDICES, *O.NINE, "footprint", "observed", "dn", "masks", "scenes_valid"]
+    assert sorted(map(repr, map(tuple, back.select(names).collect()))) == sorted(map(repr, map(tuple, want.select(names).collect())))
+    from lakegrid.functions.masks import MASKS
+
+    for r in back.select("masks", *MASKS).collect():
+        assert all(r[m] == (r.masks >= 0 and bool(r.masks >> k & 1)) for k, m in enumerate(MASKS))
+
+
+def test_no_stage_outgrows_the_code_limit(spark, capfd):
+    """Footprints run as generated code."""
+    O.footprint_overlaps(O.neighbour_vectors(view(spark, SF, "pixels")), ["scene_no"]).count()
+    assert "grows beyond" not in capfd.readouterr().err
