@@ -11,6 +11,10 @@ from .overlap import FLAGS, INDICES, NINE
 from .scene import summary
 
 
+#: Rows of the grid that a block of stored scene bins holds.
+BLOCK_ROWS = 512
+
+
 def daily_cells(lake_bins: DataFrame, lake_days: DataFrame, scene_bins: DataFrame) -> DataFrame:
     """Per (date_solar, hylak_id, bin): the largest scene mean of each index and band, scenes with a valid value, flags seen in any scene, largest footprint.
 
@@ -34,6 +38,22 @@ def daily_cells(lake_bins: DataFrame, lake_days: DataFrame, scene_bins: DataFram
     return cells.withColumn("dn", ci_to_dn(F.col("ci_cyano"), F.col("ci_cyano").isNotNull()))
 
 
+def restrict_to_state(lake_bins: DataFrame, lake_days: DataFrame, scene_bins: DataFrame, owners: DataFrame, state_id: int) -> tuple[DataFrame, DataFrame, DataFrame, int]:
+    """The inputs of daily_cells cut down to the lakes that a state owns, before anything heavy is joined, and how many lakes of lake_days were left out.
+
+    owners (hylak_id, state_id). Where scene_bins is stored by block (bin_row div BLOCK_ROWS), only
+    the blocks that the state's lakes reach are read: they are a small table, by which the
+    scan's partitions are pruned when the query runs.
+    """
+    mine = owners.filter(F.col("state_id") == state_id).select("hylak_id")
+    bins, days = lake_bins.join(mine, "hylak_id", "left_semi"), lake_days.join(mine, "hylak_id", "left_semi")
+    left_out = lake_days.select("hylak_id").distinct().join(mine, "hylak_id", "left_anti").count()
+    if "block" in scene_bins.columns:
+        blocks = bins.select(F.floor(F.col("bin_row") / BLOCK_ROWS).cast("int").alias("block")).distinct()
+        scene_bins = scene_bins.join(F.broadcast(blocks), "block", "left_semi").drop("block")  # of 135 blocks at most
+    return bins, days, scene_bins, left_out
+
+
 def as_stored(cells: DataFrame) -> DataFrame:
     """Cells with the values that the science layers keep: 32-bit numbers. Rows published from these are those rebuilt from the layers."""
     return cells.withColumns({x: F.col(x).cast("float").cast("double") for x in (*INDICES, *NINE, "footprint")})

@@ -122,6 +122,15 @@ def f_daily_lakes(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(D.daily_lakes(cells(spark, sf)), DIGITS)
 
 
+def i_restrict_to_state(spark: SparkSession, sf: str) -> DataFrame:
+    """The daily job of one state: lakes of other owners are left out before their bins are read, and counted."""
+    at = T.shared_folder(spark)
+    T.write_bin_blocks(scene_bins(spark, sf), at)
+    owners = view(spark, sf, "lakes").select("hylak_id", (F.col("hylak_id") % 3).cast("int").alias("state_id"))
+    bins, days, seen, left_out = D.restrict_to_state(P.polygon_bins(view(spark, sf, "lake_edges")), _lake_days(spark, sf), spark.read.parquet(at), owners, 1)
+    return rounded(D.daily_lakes(D.daily_cells(bins, days, seen)), DIGITS).withColumn("lakes_left_out", F.lit(left_out).cast("long"))
+
+
 def daily_lakes_by_centre(spark: SparkSession, sf: str) -> DataFrame:
     """The whole daily job with each pixel in the bin of its centre, to compare with the job over exact footprints (f_daily_lakes)."""
     return rounded(D.daily_lakes(cells(spark, sf, centre_bins)), DIGITS)
@@ -242,7 +251,7 @@ def d_shore_buffer(spark: SparkSession, sf: str) -> DataFrame:
     return P.shore_distance(p, view(spark, sf, "lake_edges")).filter("metres >= 300").select(*KEYS, "hylak_id", F.round("metres", 4).alias("metres"))
 
 
-QUERIES = {f.__name__: f for f in (d_shore_buffer, e_isin_rows, e_bin_number, e_bin_geometry, e_albers, d_polygon_bins, d_scene_lakes, d_neighbour_vectors, d_footprint_overlap, f_pixels_to_bins, f_reduce_bins, f_daily_cells, f_daily_lakes, daily_lakes_by_centre, e_raster_layout, e_raster_cells, a_daily_science, j_reproduce, j_check_lake_rows, d_nasa_cells_in_lake, f_nasa_histogram, j_check_nasa_rows, g_dedupe_nasa_cells, d_pair_cells, f_pair_leftovers, f_pair_statistics, f_density_2d, d_coverage_complete, e_latlon_grid, e_support_cells, d_nearest_same_lake)}
+QUERIES = {f.__name__: f for f in (d_shore_buffer, e_isin_rows, e_bin_number, e_bin_geometry, e_albers, d_polygon_bins, d_scene_lakes, d_neighbour_vectors, d_footprint_overlap, f_pixels_to_bins, f_reduce_bins, f_daily_cells, f_daily_lakes, i_restrict_to_state, daily_lakes_by_centre, e_raster_layout, e_raster_cells, a_daily_science, j_reproduce, j_check_lake_rows, d_nasa_cells_in_lake, f_nasa_histogram, j_check_nasa_rows, g_dedupe_nasa_cells, d_pair_cells, f_pair_leftovers, f_pair_statistics, f_density_2d, d_coverage_complete, e_latlon_grid, e_support_cells, d_nearest_same_lake)}
 
 # SQL
 _PIX = with_views("pixels")
@@ -416,6 +425,7 @@ lay as (select hylak_id, bin_row, bin_col, (rmax - bin_row)::bigint as iy, (j -
 _BITS = dict.fromkeys(M.MASKS) | {"hisatzen": "base and l2_flags & 4 <> 0", "navfail": "base and l2_flags & 8 <> 0"}
 _PACKED = " + ".join(f"case when {expr or name} then {1 << k} else 0 end" for k, (name, expr) in enumerate(_BITS.items()))
 ORACLES |= {
+    "i_restrict_to_state": f"{_DAILY}, r as ({_LAKES}) select r.*, (select count(distinct hylak_id) from ld where hylak_id % 3 <> 1) as lakes_left_out from r where hylak_id % 3 = 1",
     "e_raster_layout": f"{_EDGES},\n{_ROWS},\n{_LAKE_BINS}, {_LAID} select * from lay",
     "e_raster_cells": f"""{_EDGES},\n{_ROWS},\n{_LAKE_BINS} select hylak_id, bin_row, bin_col, bin, round((bin_row + 0.5::double) * 180 / 69120::double - 90, 8) as latitude, round((bin_col + 0.5::double) * 360 / n - 180, 8) as longitude,
 round(2 * pi() * {EARTH} * {EARTH} * (sin(radians((bin_row + 1) * 180::double / 69120 - 90)) - sin(radians(bin_row * 180::double / 69120 - 90))) / n, 3) as bin_area from lake_bins join isin on isin.row = bin_row""",

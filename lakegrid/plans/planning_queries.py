@@ -297,6 +297,17 @@ def a_replace_date(spark: SparkSession, sf: str) -> DataFrame:
     return T.replace_date(m, m.filter((F.col("date_solar") == day) & (F.col("hylak_id") % 2 == 0)).withColumn("scenes_used", F.col("scenes_used") + 100))
 
 
+def a_publish_dates(spark: SparkSession, sf: str) -> DataFrame:
+    """A published master whose one date is published again with other lakes, then another date for one state alone; read back from its files."""
+    m = T.stored(C.lake_day_status(_items(spark, sf)).select("date_solar", "hylak_id", (F.col("hylak_id") % 4).cast("int").alias("state_id"), "scenes_used"))
+    at = T.shared_folder(spark)
+    T.publish_dates(m, at)
+    date = lambda d: F.col("date_solar") == F.lit(d).cast("date")
+    T.publish_dates(m.filter(date("1992-01-10") & (F.col("state_id") != 2)).withColumn("scenes_used", F.col("scenes_used") + 100), at)
+    T.publish_dates(m.filter(date("1992-01-12") & (F.col("state_id") == 1)).withColumn("scenes_used", F.col("scenes_used") + 200), at, state_id=1)
+    return spark.read.schema(m.schema).parquet(f"{at}/current").select(m.columns)
+
+
 def a_append_scene(spark: SparkSession, sf: str) -> DataFrame:
     m = masked(spark, sf).filter("hylak_id is not null").groupBy("scene_no", "hylak_id").agg(F.count("*").alias("n"))
     return T.append_scene(m.filter("scene_no < 20"), m.filter("scene_no >= 20"))
@@ -319,7 +330,7 @@ def k_status_by_hour(spark: SparkSession, sf: str) -> DataFrame:
     return e.groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour"), "status").agg(F.count("*").alias("n"))
 
 
-QUERIES = {f.__name__: f for f in (a_filter_catalogue, g_first_scenes, b_product_names, b_solar_dates, b_texts, b_dates, g_rank_versions, i_acquisition_status, i_checklist, i_lake_day_status, i_missing_scenes, f_day_counts, f_run_counts, a_manifest, a_load_lakes, a_load_regions, d_assign_state, d_touching_states, d_lakes_in_mask, d_state_scope, d_region_cover, d_lakes_for_window, d_footprint_lakes, i_plan_scenes, i_scene_regions, d_plan_windows, g_lake_owner, g_find_lakes, g_pick_lake, f_status_counts, f_coverage_by_region, f_plan_overview, h_register_scenes, h_scenes_without_plan, h_state_scenes, h_plan_overlap, g_scene_history, g_list_scenes, i_attention_report, i_date_readiness, f_date_tally, i_progress_report, i_missing_hint, a_replace_date, a_append_scene, a_region_path, j_verify_master, k_status_by_hour)}
+QUERIES = {f.__name__: f for f in (a_filter_catalogue, g_first_scenes, b_product_names, b_solar_dates, b_texts, b_dates, g_rank_versions, i_acquisition_status, i_checklist, i_lake_day_status, i_missing_scenes, f_day_counts, f_run_counts, a_manifest, a_load_lakes, a_load_regions, d_assign_state, d_touching_states, d_lakes_in_mask, d_state_scope, d_region_cover, d_lakes_for_window, d_footprint_lakes, i_plan_scenes, i_scene_regions, d_plan_windows, g_lake_owner, g_find_lakes, g_pick_lake, f_status_counts, f_coverage_by_region, f_plan_overview, h_register_scenes, h_scenes_without_plan, h_state_scenes, h_plan_overlap, g_scene_history, g_list_scenes, i_attention_report, i_date_readiness, f_date_tally, i_progress_report, i_missing_hint, a_replace_date, a_publish_dates, a_append_scene, a_region_path, j_verify_master, k_status_by_hour)}
 # SQL
 _V = with_views("catalogue") + ", v as (select *, created + hour * interval 1 hour as start from fx_catalogue)"
 _RANK = "case timeliness when 'NT' then 0 when 'ST' then 1 when 'NR' then 2 else 9 end"
@@ -421,6 +432,8 @@ union all select 'open without plan', status, count(*) from la where status in (
     "i_progress_report": _READY + " select state_id, " + ", ".join(f"coalesce(string_agg(day::varchar, ';' order by day) filter (where state = '{x}'), '') as {x}" for x in ("waiting", "ready", "changed", "failed", "merged")) + " from rd group by state_id",
     "i_missing_hint": _ITEMS + " select hylak_id % 25 as state_id, min(utc_date) as first_missing, max(utc_date) as last_missing, count(*) as missing from it where status = 'waiting' group by 1",
     "a_replace_date": _STATUS + " select date_solar, hylak_id, scenes_used from st where date_solar <> date '1992-01-10' union all select date_solar, hylak_id, scenes_used + 100 from st where date_solar = date '1992-01-10' and hylak_id % 2 = 0",
+    "a_publish_dates": _STATUS + """ select date_solar, hylak_id, (hylak_id % 4)::int as state_id, scenes_used + case when date_solar = date '1992-01-10' then 100 when date_solar = date '1992-01-12' and hylak_id % 4 = 1 then 200 else 0 end as scenes_used
+from st where not (date_solar = date '1992-01-10' and hylak_id % 4 = 2)""",
     "a_region_path": with_views("regions") + " select state_id, country || '/' || state_name || '/' || strftime(date '2024-08-01' + state_id, '%Y/%m/%d') as path from fx_regions",
     "k_status_by_hour": with_views("status_events") + " select date_trunc('hour', ts) as hour, status, count(*) as n from fx_status_events group by all",
 }

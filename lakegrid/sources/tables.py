@@ -79,6 +79,13 @@ def read_scene_bins(spark: SparkSession, path: str, schema: str = "lakegrid-bins
     return df.drop("grid_schema")
 
 
+def write_bin_blocks(bins: DataFrame, path: str) -> None:
+    """Scene bins by blocks of grid rows, so that a run over few lakes reads few of them."""
+    from ..operators.daily import BLOCK_ROWS
+
+    bins.withColumn("block", F.floor(F.col("bin_row") / BLOCK_ROWS).cast("int")).repartition("block", "scene_no").sortWithinPartitions("block", "scene_no", "bin").write.partitionBy("block").parquet(path)
+
+
 def write_scene_bins(bins: DataFrame, path: str, schema: str = "lakegrid-bins-1", date: str = "date_utc") -> None:
     bins.withColumn("grid_schema", F.lit(schema)).repartition(date, "scene_no").sortWithinPartitions("scene_no", "bin").write.partitionBy(date).parquet(path)
 
@@ -179,12 +186,7 @@ def append_scene(master: DataFrame, rows: DataFrame) -> DataFrame:
 
 def publish(df: DataFrame, folder: str, *keys: str) -> str:
     """Writes df as the next version below folder and returns its path; earlier versions stay as they are."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    fs_path = jvm.org.apache.hadoop.fs.Path(folder)
-    fs = fs_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    have = [int(s.getPath().getName()[1:]) for s in fs.listStatus(fs_path) if s.getPath().getName()[1:].isdigit()] if fs.exists(fs_path) else []
-    to = f"{folder}/v{max(have, default=0) + 1}"
+    to = f"{folder}/v{_next_version(df.sparkSession, folder)}"
     (df.write.partitionBy(*keys) if keys else df.write).parquet(to)
     return to
 
@@ -197,6 +199,51 @@ def stale_partitions(written: DataFrame, now: DataFrame, keys: list[str], day, s
     return old.select(*keys).distinct().join(now.select(*keys).distinct(), keys, "left_anti")
 
 
+def _files(spark: SparkSession, folder: str):
+    """Hadoop path and file system of a folder."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def publish_dates(rows: DataFrame, folder: str, state_id: int | None = None, dates: DataFrame | None = None) -> int:
+    """Replaces whole dates of the master below folder/current by rows (date_solar, state_id, hylak_id, ...), and returns the version that keeps what they held.
+
+    The master is partitioned by date and state. Only partitions of the dates of rows (and of dates,
+    where a rerun may leave none) are written, by dynamic overwrite; files of other dates are
+    neither read nor written. Partitions that a whole rerun no longer has are deleted; a run
+    of one state_id leaves other states alone. A (date, lake) twice is an error before anything
+    is written. What is replaced stays below folder/versions.
+    """
+    from pyspark.sql import Window
+
+    spark, keys = rows.sparkSession, ["date_solar", "state_id"]
+    n = F.count("*").over(Window.partitionBy("date_solar", "hylak_id"))
+    once = rows.withColumn("hylak_id", F.when(n == 1, F.col("hylak_id")).otherwise(F.raise_error(F.lit("a lake twice on one date")).cast("bigint")))
+    if state_id is not None:
+        once = once.withColumn("state_id", F.when(F.col("state_id") == state_id, F.col("state_id")).otherwise(F.raise_error(F.lit("a row of another state"))))
+    once = stored(once)
+    current, (_, fs) = f"{folder}/current", _files(spark, folder)
+    touched = once.select("date_solar").union(dates.select("date_solar")).distinct() if dates is not None else once.select("date_solar").distinct()
+    version, stale = _next_version(spark, f"{folder}/versions"), []
+    if fs.exists(_files(spark, current)[0]):
+        old = spark.read.schema(once.schema).parquet(current)
+        if state_id is not None:
+            old = old.filter(F.col("state_id") == state_id)
+        old = old.join(F.broadcast(touched), "date_solar", "left_semi")
+        old.write.partitionBy(*keys).parquet(f"{folder}/versions/v{version}")
+        stale = old.select(*keys).distinct().join(once.select(*keys).distinct(), keys, "left_anti").collect()  # partitions of the dates
+    once.repartition(*keys).sortWithinPartitions(*keys, "hylak_id").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(current)
+    for r in stale:
+        fs.delete(_files(spark, f"{current}/date_solar={r.date_solar}/state_id={r.state_id}")[0], True)
+    return version
+
+
+def _next_version(spark: SparkSession, folder: str) -> int:
+    path, fs = _files(spark, folder)
+    have = [int(s.getPath().getName()[1:]) for s in fs.listStatus(path) if s.getPath().getName()[1:].isdigit()] if fs.exists(path) else []
+    return max(have, default=0) + 1
+
+
 def write_pairs(pairs: DataFrame, path: str) -> None:
     """CSV of paired cells."""
     pairs.filter("kind = 'paired'").select("hylak_id", "grid_row", "grid_col", "lon", "lat", "bin", "dn", "nasa_ci", "our_ci").write.option("header", True).csv(path)
