@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import names as N
+from ..functions.sql_functions import register
 from ..operators import catalogue as C
 from ..operators import nasa
 from ..operators import polygons as O
@@ -205,6 +206,29 @@ def g_pick_lake(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(nasa.pick_lake(view(spark, sf, "lakes"), "7").select("hylak_id", "lake_name", "lake_area"))
 
 
+def l_bands_sql(spark: SparkSession, sf: str) -> DataFrame:
+    """Index functions in SQL text."""
+    register(spark)
+    return spark.sql("""SELECT scene_no, source_row, source_col, ROUND(CAST(lg_ndci(r665, r709) AS DOUBLE), 9) AS ndci, ROUND(lg_line_height(r754, r665, r865, 754, 665, 865), 9) AS fai,
+lg_ci_to_dn(lg_line_height(r709, r681, r754, 709, 681, 754), lg_flag_is_set(l2_flags, 'CLDICE')) AS dn, ROUND(lg_dn_to_ci(CAST(l2_flags * 17 AS INT)), 9) AS ci, lg_flag_is_set(l2_flags, 'HISATZEN') AS high,
+lg_to_null(CASE source_col % 3 WHEN 0 THEN -32767D WHEN 1 THEN DOUBLE('NaN') ELSE 1.5D END) AS kept FROM {p}""", p=view(spark, sf, "pixels"))
+
+
+def l_grid_sql(spark: SparkSession, sf: str) -> DataFrame:
+    """Grid functions in SQL text: each pixel's bin place, its centre and area."""
+    register(spark)
+    return spark.sql("""SELECT scene_no, source_row, source_col, row, col, ROUND(lg_wrap(lon * 5), 8) AS turned, ROUND(lg_centre_lat(row), 8) AS lat, ROUND(lg_centre_lon(row, col), 8) AS lon, ROUND(lg_bin_area(row), 3) AS area, lg_bin_key(10, col) AS after_ten
+FROM (SELECT scene_no, source_row, source_col, lon, lg_row_of(lat) AS row, lg_col_of(lon, lg_bins_in_row(lg_row_of(lat))) AS col FROM {p})""", p=view(spark, sf, "pixels"))
+
+
+def l_names_sql(spark: SparkSession, sf: str) -> DataFrame:
+    """Times and names in SQL text."""
+    register(spark)
+    v = versions(spark, sf).select("scene_id", "start", "lon", "lake_id")
+    return spark.sql("""SELECT scene_id, lg_solar_date(start, lon) AS date_solar, lg_iso_day(CASE WHEN scene_id % 2 = 0 THEN '2024-08-05' WHEN scene_id % 3 = 0 THEN '20240806' ELSE 'August' END) AS day,
+lg_window_id(CASE WHEN scene_id % 4 <> 0 THEN lon END, 1D, lon + 1, 2D) AS window, lg_lake_label(CASE WHEN scene_id % 5 = 0 THEN '  ' ELSE 'x' END, lake_id) AS label, ROUND(lg_great_circle_m(45D, lon, 45.5D, lon + 0.25D), 4) AS metres FROM {v}""", v=v)
+
+
 def latest(spark: SparkSession, sf: str) -> DataFrame:
     return G.latest_status(view(spark, sf, "status_events"))
 
@@ -330,7 +354,7 @@ def k_status_by_hour(spark: SparkSession, sf: str) -> DataFrame:
     return e.groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour"), "status").agg(F.count("*").alias("n"))
 
 
-QUERIES = {f.__name__: f for f in (a_filter_catalogue, g_first_scenes, b_product_names, b_solar_dates, b_texts, b_dates, g_rank_versions, i_acquisition_status, i_checklist, i_lake_day_status, i_missing_scenes, f_day_counts, f_run_counts, a_manifest, a_load_lakes, a_load_regions, d_assign_state, d_touching_states, d_lakes_in_mask, d_state_scope, d_region_cover, d_lakes_for_window, d_footprint_lakes, i_plan_scenes, i_scene_regions, d_plan_windows, g_lake_owner, g_find_lakes, g_pick_lake, f_status_counts, f_coverage_by_region, f_plan_overview, h_register_scenes, h_scenes_without_plan, h_state_scenes, h_plan_overlap, g_scene_history, g_list_scenes, i_attention_report, i_date_readiness, f_date_tally, i_progress_report, i_missing_hint, a_replace_date, a_publish_dates, a_append_scene, a_region_path, j_verify_master, k_status_by_hour)}
+QUERIES = {f.__name__: f for f in (a_filter_catalogue, g_first_scenes, b_product_names, b_solar_dates, b_texts, b_dates, g_rank_versions, i_acquisition_status, i_checklist, i_lake_day_status, i_missing_scenes, f_day_counts, f_run_counts, a_manifest, a_load_lakes, a_load_regions, d_assign_state, d_touching_states, d_lakes_in_mask, d_state_scope, d_region_cover, d_lakes_for_window, d_footprint_lakes, i_plan_scenes, i_scene_regions, d_plan_windows, g_lake_owner, g_find_lakes, g_pick_lake, f_status_counts, f_coverage_by_region, f_plan_overview, h_register_scenes, h_scenes_without_plan, h_state_scenes, h_plan_overlap, g_scene_history, g_list_scenes, i_attention_report, i_date_readiness, f_date_tally, i_progress_report, i_missing_hint, a_replace_date, a_publish_dates, a_append_scene, a_region_path, l_bands_sql, l_grid_sql, l_names_sql, j_verify_master, k_status_by_hour)}
 # SQL
 _V = with_views("catalogue") + ", v as (select *, created + hour * interval 1 hour as start from fx_catalogue)"
 _RANK = "case timeliness when 'NT' then 0 when 'ST' then 1 when 'NR' then 2 else 9 end"
@@ -456,3 +480,20 @@ select c.hylak_id, coalesce(a.s, case when ps.n = 1 then ps.state_id end, c.s) a
     "j_verify_master": _LN + """ select distinct scene_no, 'duplicate lake' as problem from ln where scene_no % 8 = 2
 union all select scene_no, 'row count' from (select distinct scene_no from ln) where scene_no % 6 = 1 or scene_no % 8 = 2 union all select -1, 'row count'""",
 }
+
+from .grid_queries import _BINNED, _ROWS, EARTH  # noqa: E402
+from .pixel_queries import LIMIT  # noqa: E402
+
+_PIXELS = with_views("pixels")
+_MCI = "(r709::double - (r681::double + (r754::double - r681::double) * ((709.0::double - 681) / (754.0::double - 681))))"
+ORACLES |= {
+    "l_bands_sql": f"""{_PIXELS} select scene_no, source_row, source_col, round(case when abs(r709 + r665) > 1e-8::double then ((r709 - r665)::double / (r709 + r665)::double)::float end::double, 9) as ndci,
+round(r754::double - (r665::double + (r865::double - r665::double) * ((754.0::double - 665) / (865.0::double - 665))), 9) as fai,
+case when l2_flags & 2 = 0 then 255 when {_MCI} >= {LIMIT} then greatest(1, least(253, round_even((log10(case when {_MCI} > 0 then {_MCI} end) + 4.1870866::double) / 0.011714::double, 0)))::int else 0 end as dn,
+round(case when l2_flags * 17 > 253 then null when l2_flags >= 1 then pow(10, l2_flags * 17 * 0.011714::double - 4.1870866::double) else 0 end, 9) as ci, l2_flags & 4 <> 0 as high, case when source_col % 3 = 2 then 1.5::double end as kept from fx_pixels""",
+    "l_grid_sql": f"""{_PIXELS},\n{_ROWS},\n{_BINNED} select scene_no, source_row, source_col, bin_row as row, bin_col as col, round(lon * 5 + 180 - 360 * floor((lon * 5 + 180) / 360) - 180, 8) as turned, round((bin_row + 0.5::double) * 180 / 69120::double - 90, 8) as lat,
+round((bin_col + 0.5::double) * 360 / n - 180, 8) as lon, round(2 * pi() * {EARTH} * {EARTH} * (sin(radians((bin_row + 1) * 180::double / 69120 - 90)) - sin(radians(bin_row * 180::double / 69120 - 90))) / n, 3) as area, 10 + bin_col + 1 as after_ten from pb""",
+    "l_names_sql": f"""{_V} select scene_id, (start + to_microseconds(round_even({_LON} * 240e6::double, 0)::bigint))::date as date_solar, case when scene_id % 2 = 0 then date '2024-08-05' when scene_id % 3 = 0 then date '2024-08-06' end as day,
+case when scene_id % 4 = 0 then 'FULL' else 'W_' || substr(sha1(printf('%.6f,%.6f,%.6f,%.6f', lon, 1.0::double, lon + 1, 2.0::double)), 1, 10) end as window, case when scene_id % 5 = 0 then '(unnamed, Hylak_id ' || lake_id || ')' else 'x' end as label,
+round(6371000.0::double * 2 * asin(least(1, sqrt(pow(cos(radians(45.0::double)) * cos(radians(lon)) - cos(radians(45.5::double)) * cos(radians(lon + 0.25::double)), 2) + pow(cos(radians(45.0::double)) * sin(radians(lon)) - cos(radians(45.5::double)) * sin(radians(lon + 0.25::double)), 2) + pow(sin(radians(45.0::double)) - sin(radians(45.5::double)), 2)) / 2)), 4) as metres from v""",
+}
