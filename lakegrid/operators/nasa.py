@@ -19,6 +19,76 @@ def cell_centres(tiles: DataFrame, cells: DataFrame) -> DataFrame:
     return cells.join(tiles, ["region", "tile"]).withColumns({"x": F.col("x0") + (F.col("grid_col") + 0.5) * F.col("dx"), "y": F.col("y0") + (F.col("grid_row") + 0.5) * F.col("dy")})
 
 
+def aligned_tiles(tiles: DataFrame) -> DataFrame:
+    """Tiles (region, tile, x0, y0, dx, dy, width, height) with the integer address (row0, col0) of their first cell on the grid of their region's first tile, and their bounds.
+
+    Another cell size than that tile's, or an origin off its grid, is an error where the row is read.
+    """
+    w = Window.partitionBy("region").orderBy("tile").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    first = {c: F.first(c).over(w) for c in ("x0", "y0", "dx", "dy")}
+    col, row = (F.col("x0") - first["x0"]) / first["dx"], (F.col("y0") - first["y0"]) / first["dy"]
+    fits = (F.abs(F.col("dx") - first["dx"]) <= 1e-8) & (F.abs(F.col("dy") - first["dy"]) <= 1e-8) & (F.abs(col - F.rint(col)) <= 1e-6) & (F.abs(row - F.rint(row)) <= 1e-6)
+    on_grid = lambda v: F.when(fits, F.rint(v).cast("long")).otherwise(F.raise_error(F.concat(F.lit("another grid: tile "), F.col("tile"))).cast("long"))
+    ends = F.col("x0") + F.col("width") * F.col("dx"), F.col("y0") + F.col("height") * F.col("dy")
+    return tiles.withColumns({"row0": on_grid(row), "col0": on_grid(col), "xmin": F.least("x0", ends[0]), "xmax": F.greatest("x0", ends[0]), "ymin": F.least("y0", ends[1]), "ymax": F.greatest("y0", ends[1])})
+
+
+def located_cells(tiles: DataFrame, cells: DataFrame, region: str = "CONUS") -> DataFrame:
+    """Cells of one region's aligned tiles with their address (row, col) on the common grid and the longitude and latitude of their centre, by the inverse projection."""
+    c = cell_centres(tiles.filter(F.col("region") == region), cells)
+    lon, lat = isin.unalbers(F.col("x"), F.col("y"), region)
+    return c.select("tile", (F.col("row0") + F.col("grid_row")).alias("row"), (F.col("col0") + F.col("grid_col")).alias("col"), "dn", lon.alias("lon"), lat.alias("lat"))
+
+
+def tile_cover(points: DataFrame, tiles: DataFrame) -> DataFrame:
+    """Which tiles (tile, bounds) hold points of a lake (hylak_id, x, y): hylak_id, tile, covers (all of its points), together (all numbered tiles hold all of them).
+
+    Points and tiles meet in cells of the tiles' own size; what is counted per point is added up
+    per lake and tile, so no lake is one group of points.
+    """
+    size = 60_000.0
+    t = tiles.withColumn("gx", F.explode(F.sequence(F.floor(F.col("xmin") / size), F.floor(F.col("xmax") / size)))).withColumn("gy", F.explode(F.sequence(F.floor(F.col("ymin") / size), F.floor(F.col("ymax") / size))))
+    p = points.withColumn("point", F.monotonically_increasing_id()).withColumns({"gx": F.floor(F.col("x") / size), "gy": F.floor(F.col("y") / size)})
+    hit = p.join(t.select("tile", "xmin", "ymin", "xmax", "ymax", "gx", "gy"), ["gx", "gy"]).filter("x between xmin and xmax and y between ymin and ymax")
+    total = points.groupBy("hylak_id").agg(F.count("*").alias("points"))
+    held = hit.filter("tile <> 'ALL'").groupBy("hylak_id", "point").agg(F.lit(1).alias("one")).groupBy("hylak_id").agg(F.count("*").alias("held"))
+    each = hit.groupBy("hylak_id", "tile").agg(F.count("*").alias("n"))
+    return each.join(total, "hylak_id").join(held, "hylak_id", "left").select("hylak_id", "tile", (F.col("n") == F.col("points")).alias("covers"), (F.coalesce("held", F.lit(0)) == F.col("points")).alias("together"))
+
+
+MEASURES = ("total_cells", "area_km2", "dn_zero", "dn_detected", "dn_land", "dn_no_data")
+
+
+def raster_counts(edges: DataFrame, bins: DataFrame, tiles: DataFrame, cells: DataFrame, region: str = "CONUS") -> DataFrame:
+    """Per lake the external raster's cells strictly inside it, by value class, and the coverage they rest on.
+
+    Tiles are put on one grid; of each lake those are chosen that cover its outline (points
+    0.01 degrees apart) and bins: one alone, else all together, else the region's whole file. Centres
+    go back to longitude and latitude before they meet lakes. An address that several tiles hold counts
+    once. status: complete; incomplete_coverage; overlap_conflict (tiles differ at an address);
+    unavailable (no tile holds a point of it). All measures are null unless complete.
+    """
+    placed = aligned_tiles(tiles)
+    x, y = isin.albers(F.col("lon"), F.col("lat"), region)
+    here = placed.filter(F.col("region") == region)
+    cover = tile_cover(lake_points(edges, bins).select("hylak_id", x.alias("x"), y.alias("y")), here)
+    chosen = select_tiles(cover.filter("tile <> 'ALL' or covers"))
+    inside = assign_lake(located_cells(here, cells, region), edges).filter("hylak_id is not null").join(chosen, ["hylak_id", "tile"])
+    once = inside.groupBy("hylak_id", "row", "col").agg(F.min("dn").alias("dn"), (F.min("dn") < F.max("dn")).alias("conflict"))
+    counts = histogram(once).join(once.groupBy("hylak_id").agg(F.bool_or("conflict").alias("conflict")), "hylak_id")
+    seen = cover.select("hylak_id").distinct().withColumn("seen", F.lit(True))
+    out = edges.select("hylak_id").distinct().join(seen, "hylak_id", "left").join(chosen.groupBy("hylak_id").agg(F.min("choice").alias("choice"), F.count("*").alias("tiles")), "hylak_id", "left").join(counts, "hylak_id", "left")
+    status = F.when(F.col("seen").isNull(), "unavailable").when(F.col("choice").isNull(), "incomplete_coverage").when(flag(F.col("conflict")), "overlap_conflict").otherwise("complete")
+    out = out.withColumn("status", status)
+    none = {m: F.coalesce(F.col(m), F.lit(0.0 if m == "area_km2" else 0)) for m in MEASURES}
+    return out.select("hylak_id", "status", "choice", "tiles", *(F.when(F.col("status") == "complete", c).alias(m) for m, c in none.items()))
+
+
+def coverage_status_counts(rows: DataFrame) -> DataFrame:
+    """Lakes by coverage status."""
+    return rows.groupBy("status").agg(F.count("*").alias("lakes"))
+
+
 def parse_granules(entries: DataFrame, day: str) -> DataFrame:
     """Daily granules of a date (YYYYDDD) by name: region, tile (ALL for a region's whole file) and bounds with a margin of 100 m."""
     dots = F.split("name", r"\.")

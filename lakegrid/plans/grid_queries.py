@@ -197,6 +197,35 @@ def g_dedupe_nasa_cells(spark: SparkSession, sf: str) -> DataFrame:
     return N.dedupe_cells(a.unionByName(b)).select("grid_row", "grid_col", "dn", "conflict")
 
 
+#: The raster's grid: origin, cell size, cells of a tile's side, columns that tiles share, and the first row that the region's whole file holds.
+_X0, _Y0, _STEP, _SIDE, _SHARED, _WHOLE = 600_000.0, 3_000_000.0, 300.0, 60, 2, 1560
+
+
+def raster(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """(tiles, cells) of a conic raster made of the pixels: tiles share columns, some are missing, some differ where they overlap."""
+    x, y = isin.albers(F.col("lon"), F.col("lat"))
+    p = pixels(spark, sf).select(F.floor((_Y0 - y) / _STEP).alias("r"), F.floor((x - _X0) / _STEP).alias("c"), ((F.col("source_row") * 64 + F.col("source_col") + F.col("scene_no")) % 256).cast("int").alias("dn"))
+    p = p.groupBy("r", "c").agg(F.min("dn").alias("dn"))
+    own = p.select("r", "c", "dn", F.floor(F.col("r") / _SIDE).alias("tr"), F.floor(F.col("c") / _SIDE).alias("tc"))
+    shared = own.filter(F.pmod("c", F.lit(_SIDE)) < _SHARED).select("r", "c", F.when(F.col("r") % 50 == 7, (F.col("dn") + 1) % 256).otherwise(F.col("dn")).alias("dn"), "tr", (F.col("tc") - 1).alias("tc"))
+    numbered = own.union(shared).filter((F.col("tr") * 7 + F.col("tc")) % 5 != 3)
+    cells = numbered.select(F.lit("CONUS").alias("region"), F.concat_ws("_", F.col("tr").cast("string"), F.col("tc").cast("string")).alias("tile"), (F.col("r") - F.col("tr") * _SIDE).alias("grid_row"), (F.col("c") - F.col("tc") * _SIDE).alias("grid_col"), "dn")
+    whole = p.filter(F.col("r") >= _WHOLE).select(F.lit("CONUS").alias("region"), F.lit("ALL").alias("tile"), (F.col("r") - _WHOLE).alias("grid_row"), F.col("c").alias("grid_col"), "dn")
+    tiles = numbered.select("tr", "tc").distinct().select(F.lit("CONUS").alias("region"), F.concat_ws("_", F.col("tr").cast("string"), F.col("tc").cast("string")).alias("tile"), (_X0 + F.col("tc") * _SIDE * _STEP).alias("x0"), (_Y0 - F.col("tr") * _SIDE * _STEP).alias("y0"), F.lit(_STEP).alias("dx"), F.lit(-_STEP).alias("dy"), F.lit(_SIDE + _SHARED).alias("width"), F.lit(_SIDE).alias("height"))
+    one = spark.range(1).select(F.lit("CONUS").alias("region"), F.lit("ALL").alias("tile"), F.lit(_X0).alias("x0"), F.lit(_Y0 - _WHOLE * _STEP).alias("y0"), F.lit(_STEP).alias("dx"), F.lit(-_STEP).alias("dy"), F.lit(2000).alias("width"), F.lit(400).alias("height"))
+    return tiles.union(one), cells.union(whole)
+
+
+def d_raster_counts(spark: SparkSession, sf: str) -> DataFrame:
+    edges = view(spark, sf, "lake_edges")
+    return rounded(N.raster_counts(edges, P.polygon_bins(edges), *raster(spark, sf)))
+
+
+def f_coverage_status_counts(spark: SparkSession, sf: str) -> DataFrame:
+    edges = view(spark, sf, "lake_edges")
+    return N.coverage_status_counts(N.raster_counts(edges, P.polygon_bins(edges), *raster(spark, sf)))
+
+
 def _pairs(spark: SparkSession, sf: str) -> DataFrame:
     day = cells(spark, sf).groupBy("hylak_id", "bin").agg(F.max("ci_cyano").alias("ci_cyano"))
     return N.pair_cells(isin.with_bin(nasa_lake_cells(spark, sf)), day)
@@ -251,7 +280,7 @@ def d_shore_buffer(spark: SparkSession, sf: str) -> DataFrame:
     return P.shore_distance(p, view(spark, sf, "lake_edges")).filter("metres >= 300").select(*KEYS, "hylak_id", F.round("metres", 4).alias("metres"))
 
 
-QUERIES = {f.__name__: f for f in (d_shore_buffer, e_isin_rows, e_bin_number, e_bin_geometry, e_albers, d_polygon_bins, d_scene_lakes, d_neighbour_vectors, d_footprint_overlap, f_pixels_to_bins, f_reduce_bins, f_daily_cells, f_daily_lakes, i_restrict_to_state, daily_lakes_by_centre, e_raster_layout, e_raster_cells, a_daily_science, j_reproduce, j_check_lake_rows, d_nasa_cells_in_lake, f_nasa_histogram, j_check_nasa_rows, g_dedupe_nasa_cells, d_pair_cells, f_pair_leftovers, f_pair_statistics, f_density_2d, d_coverage_complete, e_latlon_grid, e_support_cells, d_nearest_same_lake)}
+QUERIES = {f.__name__: f for f in (d_shore_buffer, e_isin_rows, e_bin_number, e_bin_geometry, e_albers, d_polygon_bins, d_scene_lakes, d_neighbour_vectors, d_footprint_overlap, f_pixels_to_bins, f_reduce_bins, f_daily_cells, f_daily_lakes, i_restrict_to_state, daily_lakes_by_centre, e_raster_layout, e_raster_cells, a_daily_science, j_reproduce, j_check_lake_rows, d_nasa_cells_in_lake, f_nasa_histogram, j_check_nasa_rows, g_dedupe_nasa_cells, d_pair_cells, f_pair_leftovers, f_pair_statistics, f_density_2d, d_coverage_complete, d_raster_counts, f_coverage_status_counts, e_latlon_grid, e_support_cells, d_nearest_same_lake)}
 
 # SQL
 _PIX = with_views("pixels")
@@ -436,3 +465,53 @@ select c.date_solar, c.hylak_id, iy, ix, {", ".join(f"round(coalesce(md.{b}::flo
 1::tinyint as lake_support_mask, observed::tinyint as native_source_match_mask, round(coalesce(area::float, -9999)::double) as footprint_area, dn::smallint as dn, least(scenes_valid, 254)::smallint as scenes_valid
 from cells c join lay using (hylak_id, bin_row, bin_col) left join md on md.date_solar = c.date_solar and md.hylak_id = c.hylak_id and md.bin = c.bin""",
 }
+
+
+def _conic(lon: str, lat: str) -> tuple[str, str]:
+    """x and y of the ellipsoidal conic."""
+    n, c, rho0, l0, e = (f"{v!r}::double" for v in isin._albers_constants("CONUS"))
+    s = f"sin(radians({lat}))"
+    rho = f"(6378137.0::double * sqrt({c} - {n} * (1 - {e} * {e}) * ({s} / (1 - {e} * {e} * {s} * {s}) - ln((1 - {e} * {s}) / (1 + {e} * {s})) / (2 * {e}))) / {n})"
+    theta = f"({n} * radians({_wrap(f'({lon} - degrees({l0}))')}))"
+    return f"{rho} * sin({theta})", f"{rho0} - {rho} * cos({theta})"
+
+
+def _conic_back(x: str, y: str) -> tuple[str, str]:
+    """Longitude and latitude, by the series of geodetic in authalic latitude."""
+    import math
+
+    n, c, rho0, l0, e = isin._albers_constants("CONUS")
+    e2 = e * e
+    pole = 1 - (1 - e2) / (2 * e) * math.log((1 - e) / (1 + e))
+    beta = f"asin(({c!r}::double - ({x} * {x} + ({rho0!r}::double - {y}) * ({rho0!r}::double - {y})) * {n * n / 6378137.0**2!r}::double) / {n * pole!r}::double)"
+    terms = ((2, e2 / 3 + 31 * e2**2 / 180 + 517 * e2**3 / 5040), (4, 23 * e2**2 / 360 + 251 * e2**3 / 3780), (6, 761 * e2**3 / 45360))
+    phi = " + ".join([beta, *(f"{k!r}::double * sin({m} * {beta})" for m, k in terms)])
+    return f"degrees({l0!r}::double) + degrees(atan2({x}, {rho0!r}::double - {y})) / {n!r}::double", f"degrees({phi})"
+
+
+_X, _Y = _conic("lon", "lat")
+_LON, _LAT = _conic_back("x", "y")
+_RASTER = with_views("pixels", "lake_edges") + f""",
+{_ROWS},
+{_LAKE_BINS}, rp as (select floor(({_Y0} - ({_Y})) / {_STEP})::bigint as r, floor(({_X} - {_X0}) / {_STEP})::bigint as c, min(((source_row * 64 + source_col + scene_no) % 256)::int) as dn from fx_pixels group by 1, 2),
+ro as (select *, r // {_SIDE} as tr, c // {_SIDE} as tc from rp), rn as (select * from (select * from ro union all select r, c, case when r % 50 = 7 then (dn + 1) % 256 else dn end, tr, tc - 1 from ro where c % {_SIDE} < {_SHARED}) where (tr * 7 + tc) % 5 <> 3),
+rc as (select tr || '_' || tc as tile, r, c, dn from rn union all select 'ALL', r, c, dn from rp where r >= {_WHOLE}),
+rt as (select distinct tr || '_' || tc as tile, {_X0} + tc * {_SIDE * _STEP} as x0, {_X0} + (tc * {_SIDE} + {_SIDE + _SHARED}) * {_STEP} as x1, {_Y0} - (tr + 1) * {_SIDE * _STEP} as y0, {_Y0} - tr * {_SIDE * _STEP} as y1 from rn union all select 'ALL', {_X0}, {_X0} + 2000 * {_STEP}, {_Y0} - ({_WHOLE} + 400) * {_STEP}, {_Y0} - {_WHOLE} * {_STEP}),
+en as (select *, greatest(1, ceil(greatest(abs(x1 - x0), abs(y1 - y0)) / 0.01::double))::int as n from fx_lake_edges), ek as (select *, unnest(range(n)) as k from en),
+lp0 as (select hylak_id, x0 + k / n::double * (x1 - x0) as lon, y0 + k / n::double * (y1 - y0) as lat from ek union all select hylak_id, (bin_col + 0.5::double) * 360 / isin.n - 180, (bin_row + 0.5::double) * 180 / 69120::double - 90 from lake_bins join isin on isin.row = bin_row),
+lp as (select hylak_id, row_number() over () as point, {_X} as x, {_Y} as y from lp0), np as (select hylak_id, count(*) as points from lp group by 1),
+ht as (select hylak_id, point, tile from lp join rt on lp.x between rt.x0 and rt.x1 and lp.y between rt.y0 and rt.y1),
+cv as (select hylak_id, tile, count(*) = any_value(points) as covers from ht join np using (hylak_id) group by all), tg as (select hylak_id, count(distinct point) filter (where tile <> 'ALL') = any_value(points) as together from ht join np using (hylak_id) group by 1),
+ch0 as (select hylak_id, tile, case when tile <> 'ALL' and covers then 1 when tile <> 'ALL' and together then 2 when tile = 'ALL' and covers then 3 end as choice from cv join tg using (hylak_id)),
+ch1 as (select *, min(choice) over (partition by hylak_id) as best from ch0), ch as (select hylak_id, tile, choice from ch1 where choice = best qualify choice = 2 or row_number() over (partition by hylak_id order by tile) = 1),
+rl0 as (select tile, r, c, dn, {_X0} + (c + 0.5::double) * {_STEP} as x, {_Y0} - (r + 0.5::double) * {_STEP} as y from rc), rl as (select tile, r, c, dn, {_LON} as lon, {_LAT} as lat from rl0),
+ri as (select rl.tile, rl.r, rl.c, rl.dn, e.hylak_id from rl join fx_lake_edges e on (e.y0 > rl.lat) <> (e.y1 > rl.lat) and rl.lon < (e.x1 - e.x0) * (rl.lat - e.y0) / (e.y1 - e.y0) + e.x0 group by all having count(*) % 2 = 1),
+ru as (select hylak_id, r, c, min(dn) as dn, min(dn) < max(dn) as conflict from ri join ch using (hylak_id, tile) group by all),
+rh as (select hylak_id, count(*) as total_cells, count(*) * 0.09::double as area_km2, count_if(dn = 0) as dn_zero, count_if(dn between 1 and 253) as dn_detected, count_if(dn = 254) as dn_land, count_if(dn = 255) as dn_no_data, bool_or(conflict) as conflict from ru group by 1),
+ra as (select l.hylak_id, cs.choice, cs.tiles, rh.* exclude (hylak_id), case when not exists (select 1 from cv where cv.hylak_id = l.hylak_id) then 'unavailable' when cs.choice is null then 'incomplete_coverage' when conflict then 'overlap_conflict' else 'complete' end as status
+  from (select distinct hylak_id from fx_lake_edges) l left join (select hylak_id, min(choice)::int as choice, count(*) as tiles from ch group by 1) cs using (hylak_id) left join rh using (hylak_id))"""
+ORACLES |= {
+    "d_raster_counts": _RASTER + " select hylak_id, status, choice, tiles, " + ", ".join(f"case when status = 'complete' then {'round(coalesce(area_km2, 0), 9)' if m == 'area_km2' else f'coalesce({m}, 0)'} end as {m}" for m in N.MEASURES) + " from ra",
+    "f_coverage_status_counts": _RASTER + " select status, count(*) as lakes from ra group by 1",
+    "e_albers": with_views("pixels") + f" select scene_no, source_row, source_col, round({_X}, 3) as x, round({_Y}, 3) as y, true as lon_back, true as lat_back from fx_pixels",
+}
