@@ -59,6 +59,19 @@ def tile_cover(points: DataFrame, tiles: DataFrame) -> DataFrame:
 MEASURES = ("total_cells", "area_km2", "dn_zero", "dn_detected", "dn_land", "dn_no_data")
 
 
+def lake_raster(edges: DataFrame, here: DataFrame, cells: DataFrame, chosen: DataFrame, region: str = "CONUS") -> DataFrame:
+    """(hylak_id, row, col, dn, conflict, lon, lat): the cells of each lake's chosen tiles strictly inside it, each address once. here: aligned tiles; chosen (hylak_id, tile, choice)."""
+    inside = assign_lake(located_cells(here, cells, region), edges).filter("hylak_id is not null").join(chosen, ["hylak_id", "tile"])
+    return inside.groupBy("hylak_id", "row", "col").agg(F.min("dn").alias("dn"), (F.min("dn") < F.max("dn")).alias("conflict"), F.min("lon").alias("lon"), F.min("lat").alias("lat"))
+
+
+def chosen_tiles(edges: DataFrame, bins: DataFrame, here: DataFrame, region: str = "CONUS") -> tuple[DataFrame, DataFrame]:
+    """(cover, chosen) of each lake: which of a region's aligned tiles hold points of it, and which are to be read."""
+    x, y = isin.albers(F.col("lon"), F.col("lat"), region)
+    cover = tile_cover(lake_points(edges, bins).select("hylak_id", x.alias("x"), y.alias("y")), here)
+    return cover, select_tiles(cover.filter("tile <> 'ALL' or covers"))
+
+
 def raster_counts(edges: DataFrame, bins: DataFrame, tiles: DataFrame, cells: DataFrame, region: str = "CONUS") -> DataFrame:
     """Per lake the external raster's cells strictly inside it, by value class, and the coverage they rest on.
 
@@ -68,13 +81,9 @@ def raster_counts(edges: DataFrame, bins: DataFrame, tiles: DataFrame, cells: Da
     once. status: complete; incomplete_coverage; overlap_conflict (tiles differ at an address);
     unavailable (no tile holds a point of it). All measures are null unless complete.
     """
-    placed = aligned_tiles(tiles)
-    x, y = isin.albers(F.col("lon"), F.col("lat"), region)
-    here = placed.filter(F.col("region") == region)
-    cover = tile_cover(lake_points(edges, bins).select("hylak_id", x.alias("x"), y.alias("y")), here)
-    chosen = select_tiles(cover.filter("tile <> 'ALL' or covers"))
-    inside = assign_lake(located_cells(here, cells, region), edges).filter("hylak_id is not null").join(chosen, ["hylak_id", "tile"])
-    once = inside.groupBy("hylak_id", "row", "col").agg(F.min("dn").alias("dn"), (F.min("dn") < F.max("dn")).alias("conflict"))
+    here = aligned_tiles(tiles).filter(F.col("region") == region)
+    cover, chosen = chosen_tiles(edges, bins, here, region)
+    once = lake_raster(edges, here, cells, chosen, region)
     counts = histogram(once).join(once.groupBy("hylak_id").agg(F.bool_or("conflict").alias("conflict")), "hylak_id")
     seen = cover.select("hylak_id").distinct().withColumn("seen", F.lit(True))
     out = edges.select("hylak_id").distinct().join(seen, "hylak_id", "left").join(chosen.groupBy("hylak_id").agg(F.min("choice").alias("choice"), F.count("*").alias("tiles")), "hylak_id", "left").join(counts, "hylak_id", "left")

@@ -239,15 +239,26 @@ def f_pair_leftovers(spark: SparkSession, sf: str) -> DataFrame:
     return N.pair_leftovers(_pairs(spark, sf))
 
 
+def raster_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """Cells of the pixels' raster in lakes with the largest daily value of their bin, stored once."""
+    edges = view(spark, sf, "lake_edges")
+    bins = P.polygon_bins(edges)
+    tiles, values = raster(spark, sf)
+    here = N.aligned_tiles(tiles)
+    inside = N.lake_raster(edges, here, values, N.chosen_tiles(edges, bins, here)[1])
+    day = cells(spark, sf).groupBy("hylak_id", "bin").agg(F.max("ci_cyano").alias("ci_cyano"))
+    return T.stored(N.pair_cells(isin.with_bin(inside), day))
+
+
 def f_pair_statistics(spark: SparkSession, sf: str) -> DataFrame:
-    """Fit of scene means against the pixels' own maxima, per lake; the paired raster has too few pairs for it."""
-    p = masked(spark, sf).filter("hylak_id is not null").select("hylak_id", F.lit("paired").alias("kind"), F.coalesce("ci", F.lit(0.0)).cast("double").alias("nasa_ci"), F.coalesce("ci_cyano", F.lit(0.0)).cast("double").alias("our_ci"))
-    return N.pair_statistics(p, "hylak_id").select("hylak_id", "n", F.round("r", 6).alias("r"), F.round("slope", 6).alias("slope"), F.round("intercept", 8).alias("intercept"))
+    """Correlation and fit of the pairs per lake, and of all of them (no hylak_id)."""
+    p = raster_pairs(spark, sf)
+    both = N.pair_statistics(p, "hylak_id").unionByName(N.pair_statistics(p.withColumn("hylak_id", F.lit(None).cast("long")), "hylak_id"))
+    return both.select("hylak_id", "n", F.round("r", 6).alias("r"), F.round("slope", 6).alias("slope"), F.round("intercept", 8).alias("intercept"))
 
 
 def f_density_2d(spark: SparkSession, sf: str) -> DataFrame:
-    p = M.with_indices(pixels(spark, sf)).select(F.lit("paired").alias("kind"), F.coalesce("ci", F.lit(0.0)).cast("double").alias("nasa_ci"), F.coalesce("ci_cyano", F.lit(0.0)).cast("double").alias("our_ci"))
-    return N.density_2d(p, 1e-5, 0.1)
+    return N.density_2d(raster_pairs(spark, sf), 1e-5, 0.1)
 
 
 def d_coverage_complete(spark: SparkSession, sf: str) -> DataFrame:
@@ -421,12 +432,6 @@ select grid_row, grid_col, min(dn) as dn, min(dn) < max(dn) as conflict from u g
     "d_pair_cells": f"""{_PAIRS} select grid_row, grid_col, hylak_id, bin, kind, round(case when dn > 253 then null when dn >= 1 then pow(10.0::double, dn * 0.011714::double - 4.1870866::double) else 0 end, 9) as nasa_ci,
 round(case when ours >= {LIMIT} then ours else 0 end, {DIGITS}) as our_ci from pr""",
     "f_pair_leftovers": _PAIRS + """ select hylak_id, count(*) as nasa_cells, count_if(kind = 'nasa land or no data') as left_out_nasa, count_if(kind = 'no bin') as left_out_no_bin, count_if(kind = 'bin without data') as left_out_no_data, count_if(kind = 'paired') as paired from pr group by hylak_id""",
-    "f_pair_statistics": _MASKS + """, p as (select hylak_id, coalesce(ci, 0)::double as x, coalesce(ci_cyano, 0)::double as y from mk where hylak_id is not null)
-select hylak_id, count(*) as n, round(case when count(*) >= 2 and min(x) < max(x) and min(y) < max(y) then corr(y, x) end, 6) as r, round(case when count(*) >= 2 and min(x) < max(x) then regr_slope(y, x) end, 6) as slope,
-round(case when count(*) >= 2 and min(x) < max(x) then regr_intercept(y, x) end, 8) as intercept from p group by hylak_id""",
-    "f_density_2d": f"""{_MASKS}, p as (select coalesce(ci, 0)::double as x, coalesce(ci_cyano, 0)::double as y from mk),
-q as (select case when x <= 0 then 0 else greatest(1, least(70, floor((log10(x) + 5) / 4 * 70) + 1)) end::int as ix, case when y <= 0 then 0 else greatest(1, least(70, floor((log10(y) + 5) / 4 * 70) + 1)) end::int as iy from p)
-select ix, iy, count(*) as n from q group by ix, iy""",
     "e_latlon_grid": f"{_PIX},\n{_GRID} select scene_no, round(dlat, 9) as dlat, round(dlon, 9) as dlon, round(south, 9) as south, round(west, 9) as west, rows, cols from gl",
     "e_support_cells": f"{_SUPPORT} select scene_no, iy, ix, hylak_id from sc",
     "d_nearest_same_lake": _SUPPORT + """, hit as (select scene_no, source_row, source_col, lat, lon, e.hylak_id, min(lake_order) as o from fx_pixels p join fx_lake_edges e
@@ -515,3 +520,15 @@ ORACLES |= {
     "f_coverage_status_counts": _RASTER + " select status, count(*) as lakes from ra group by 1",
     "e_albers": with_views("pixels") + f" select scene_no, source_row, source_col, round({_X}, 3) as x, round({_Y}, 3) as y, true as lon_back, true as lat_back from fx_pixels",
 }
+
+_PAIRED = _DAILY + ", " + _RASTER[_RASTER.index("rp as (") :] + f""", rf as (select r, c, min(lon) as lon, min(lat) as lat from rl group by all),
+pc as (select ru.hylak_id, ru.dn, before + least(floor(({_wrap("lon")} + 180) / 360 * n), n - 1)::bigint + 1 as bin from ru join rf using (r, c) join isin on isin.row = greatest(0, least(69119, floor((lat + 90) * 69120 / 180)))::int),
+bo as (select hylak_id, bin, max(ci_cyano) as ours from cells group by all),
+pq as (select pc.hylak_id, case when dn >= 1 then pow(10, dn * 0.011714::double - 4.1870866::double) else 0 end as x, case when ours >= {LIMIT} then ours else 0 end as y from pc join bo using (hylak_id, bin) where dn <= 253 and ours is not null)"""
+ORACLES |= {
+    "f_pair_statistics": _PAIRED + """, p as (select * from pq union all select null, x, y from pq)
+select hylak_id, count(*) as n, round(case when count(*) >= 2 and min(x) < max(x) and min(y) < max(y) then corr(y, x) end, 6) as r, round(case when count(*) >= 2 and min(x) < max(x) then regr_slope(y, x) end, 6) as slope,
+round(case when count(*) >= 2 and min(x) < max(x) then regr_intercept(y, x) end, 8) as intercept from p group by hylak_id""",
+    "f_density_2d": _PAIRED + """, q as (select case when x <= 0 then 0 else greatest(1, least(70, floor((log10(x) + 5) / 4 * 70) + 1)) end::int as ix, case when y <= 0 then 0 else greatest(1, least(70, floor((log10(y) + 5) / 4 * 70) + 1)) end::int as iy from pq)
+select ix, iy, count(*) as n from q group by ix, iy""",
+}

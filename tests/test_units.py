@@ -469,3 +469,29 @@ def test_state_run_reads_few_blocks(spark, tmp_path):
     assert left_out == 2 and {r.bin_row for r in mine.collect()} == {100} and own_days.count() == 1
     assert {r.bin_row for r in seen.collect()} == {100}
     assert "dynamicpruning" in seen._jdf.queryExecution().toString()
+
+
+def test_raster_tiles_on_one_grid(spark):
+    """Addresses count from the first tile; another cell size or an origin off its grid is an error."""
+    from lakegrid.operators import nasa
+
+    kind = "region string, tile string, x0 double, y0 double, dx double, dy double, width int, height int"
+    tiles = [("CONUS", "1_1", 1000.0, 9000.0, 300.0, -300.0, 10, 10), ("CONUS", "1_2", 4000.0, 9000.0, 300.0, -300.0, 10, 10), ("CONUS", "2_1", 1000.0, 6000.0, 300.0, -300.0, 10, 10)]
+    got = {r.tile: (r.row0, r.col0, r.xmin, r.xmax, r.ymin, r.ymax) for r in nasa.aligned_tiles(spark.createDataFrame(tiles, kind)).collect()}
+    assert got == {"1_1": (0, 0, 1000.0, 4000.0, 6000.0, 9000.0), "1_2": (0, 10, 4000.0, 7000.0, 6000.0, 9000.0), "2_1": (10, 0, 1000.0, 4000.0, 3000.0, 6000.0)}
+    for bad in (("CONUS", "9_9", 1000.0, 3000.0, 299.0, -300.0, 10, 10), ("CONUS", "9_9", 1100.0, 3000.0, 300.0, -300.0, 10, 10)):
+        with pytest.raises(Exception, match="another grid"):
+            nasa.aligned_tiles(spark.createDataFrame([*tiles, bad], kind)).collect()
+
+
+def test_raster_choice_of_tiles(spark):
+    """One tile that covers a lake alone, two together, the region's file, nothing."""
+    from lakegrid.operators import nasa
+
+    kind = "region string, tile string, x0 double, y0 double, dx double, dy double, width int, height int"
+    tiles = nasa.aligned_tiles(spark.createDataFrame([("CONUS", "1_1", 0.0, 3000.0, 300.0, -300.0, 10, 10), ("CONUS", "1_2", 3000.0, 3000.0, 300.0, -300.0, 10, 10), ("CONUS", "ALL", 0.0, 3000.0, 300.0, -300.0, 40, 10)], kind))
+    points = spark.createDataFrame([(1, 100.0, 100.0), (1, 200.0, 2900.0), (2, 2900.0, 50.0), (2, 3100.0, 50.0), (3, 5900.0, 10.0), (3, 7000.0, 10.0), (4, 5900.0, 10.0), (4, 90000.0, 10.0), (5, -90000.0, 10.0)], "hylak_id long, x double, y double")
+    cover = nasa.tile_cover(points, tiles)
+    chosen = sorted(tuple(r) for r in nasa.select_tiles(cover.filter("tile <> 'ALL' or covers")).collect())
+    assert chosen == [(1, "1_1", 1), (2, "1_1", 2), (2, "1_2", 2), (3, "ALL", 3)]
+    assert {r.hylak_id for r in cover.collect()} == {1, 2, 3, 4}
