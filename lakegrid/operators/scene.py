@@ -73,14 +73,17 @@ def nearest_same_lake(cells: DataFrame, pixels: DataFrame, keys: list[str], id_:
     high = radius / 111000.0
     row = F.floor(F.col("lat") / high)
     columns = lambda gy: F.greatest(F.lit(3), F.floor(360.0 * F.cos(F.radians(F.least(F.lit(90.0), F.greatest(F.abs(gy), F.abs(gy + 1)) * high))) / high))
-    column = lambda gy: F.floor((wrap(F.col("lon")) + 180.0) / 360.0 * columns(gy))
     steps = F.array(*map(F.lit, (-1, 0, 1)))
-    c = cells.withColumn("gy", F.explode(F.transform(steps, lambda d: row + d))).withColumn("gx", F.explode(F.transform(steps, lambda d: F.pmod(column(F.col("gy")) + d, columns(F.col("gy"))))))
-    p = pixels.withColumn("gy", row).withColumn("gx", F.pmod(column(F.col("gy")), columns(F.col("gy")))).select(*keys, "gy", "gx", F.col(id_).alias("match"), F.col("lat").alias("plat"), F.col("lon").alias("plon"))
-    near = c.join(p, [*keys, "gy", "gx"]).withColumn("metres", great_circle_m(F.col("lat"), F.col("lon"), F.col("plat"), F.col("plon"))).filter(F.col("metres") <= radius)
+    # a row's number of columns, a cosine, once for each row and not for each of the nine boxes
+    placed = lambda df: df.withColumn("_n", columns(F.col("gy"))).withColumn("_g", F.floor((wrap(F.col("lon")) + 180.0) / 360.0 * F.col("_n")))
+    around = placed(cells.withColumn("_row", row).withColumn("gy", F.explode(F.array(*(F.col("_row") + d for d in (-1, 0, 1))))))
+    c = around.withColumn("_d", F.explode(steps)).withColumn("gx", F.pmod(F.col("_g") + F.col("_d"), "_n"))
+    p = placed(pixels.withColumn("gy", row)).select(*keys, "gy", F.pmod("_g", "_n").alias("gx"), F.col(id_).alias("match"), F.col("lat").alias("plat"), F.col("lon").alias("plon"))
     own = list(cells.columns)
-    best = near.groupBy(*own).agg(F.min(F.struct("metres", "match")).alias("m"))
-    return cells.join(best.select(*own, F.col("m.match").alias("match"), F.col("m.metres").alias("metres")), own, "left")
+    near = c.select(*own, "gy", "gx").join(p, [*keys, "gy", "gx"], "left").withColumn("metres", great_circle_m(F.col("lat"), F.col("lon"), F.col("plat"), F.col("plon")))
+    # cells without a pixel stay, as the join keeps them
+    best = near.groupBy(*own).agg(F.min(F.when(F.col("metres") <= radius, F.struct("metres", "match"))).alias("m"))
+    return best.select(*own, F.col("m.match").alias("match"), F.col("m.metres").alias("metres"))
 
 
 def dedupe_targets(targets: DataFrame, keys: list[str]) -> DataFrame:
