@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import isin
+from ..sources.tables import stored
 
 CELL = 0.1
 
@@ -115,7 +116,7 @@ def merge_boxes(boxes: DataFrame, group: str, key: str) -> DataFrame:
     while True:
         seen = labels.select(group, F.col(key).alias("other"), F.col("part").alias("near"))
         new = near.join(seen, [group, "other"]).groupBy(group, key).agg(F.min("near").alias("part"))
-        new = new.checkpoint() if new.sparkSession.sparkContext.getCheckpointDir() else new.persist()
+        new = stored(new)
         if new.exceptAll(labels).isEmpty():
             return new
         labels = new

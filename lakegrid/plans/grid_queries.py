@@ -136,6 +136,20 @@ def daily_lakes_by_centre(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(D.daily_lakes(cells(spark, sf, centre_bins)), DIGITS)
 
 
+def a_daily_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The published table of 58 columns, read back from its CSV files; every fifth scene failed, and external counts come with three in four lakes."""
+    days = _lake_days(spark, sf).join(view(spark, sf, "scenes").select("scene_no", "satellite"), "scene_no")
+    items = days.select("hylak_id", "date_solar", F.when(F.col("scene_no") % 5 == 4, "failed").otherwise("done").alias("status"), F.col("scene_no").alias("used"), F.concat(F.lit("pass "), F.col("scene_no").cast("string")).alias("name"), "satellite", F.when(F.col("scene_no") % 7 == 1, F.date_sub("date_solar", 1)).otherwise(F.col("date_solar")).alias("utc_date"), F.lit(True).alias("has_bins"))
+    lakes = view(spark, sf, "lakes").select("hylak_id", "lake_name", "lake_area", F.col("cy").alias("latitude"), F.col("cx").alias("longitude"))
+    states = lakes.select("hylak_id", F.concat(F.lit("state "), (F.col("hylak_id") % 3).cast("string")).alias("states"), (F.col("hylak_id") % 3).cast("string").alias("state_ids")).filter("hylak_id % 11 <> 0")
+    external = days.select("date_solar", "hylak_id").distinct().filter("hylak_id % 4 > 0").withColumn("external_detected", F.col("hylak_id") * 3)
+    table, at = rounded(T.daily_table(D.daily_lakes(cells(spark, sf)), items, lakes, states, external), DIGITS), T.shared_folder(spark)
+    T.write_daily_lakes(table.withColumns({"country": F.lit("LAK"), "state": F.col("state_ids"), "day": F.col("date_solar")}), at, ("country", "state", "day"))
+    kinds = ", ".join(f"{c} {'string' if t == 'date' else t}" for c, t in table.dtypes)
+    read = spark.read.schema(kinds).option("header", True).option("basePath", at).csv(f"{at}/country=LAK").select(table.columns)
+    return read.withColumn("date_solar", F.to_date("date_solar")).na.fill("", ["states", "state_ids", "failed_or_unavailable_scenes"])
+
+
 def e_raster_layout(spark: SparkSession, sf: str) -> DataFrame:
     return D.raster_layout(P.polygon_bins(view(spark, sf, "lake_edges")), "hylak_id")
 
@@ -291,7 +305,7 @@ def d_shore_buffer(spark: SparkSession, sf: str) -> DataFrame:
     return P.shore_distance(p, view(spark, sf, "lake_edges")).filter("metres >= 300").select(*KEYS, "hylak_id", F.round("metres", 4).alias("metres"))
 
 
-QUERIES = {f.__name__: f for f in (d_shore_buffer, e_isin_rows, e_bin_number, e_bin_geometry, e_albers, d_polygon_bins, d_scene_lakes, d_neighbour_vectors, d_footprint_overlap, f_pixels_to_bins, f_reduce_bins, f_daily_cells, f_daily_lakes, i_restrict_to_state, daily_lakes_by_centre, e_raster_layout, e_raster_cells, a_daily_science, j_reproduce, j_check_lake_rows, d_nasa_cells_in_lake, f_nasa_histogram, j_check_nasa_rows, g_dedupe_nasa_cells, d_pair_cells, f_pair_leftovers, f_pair_statistics, f_density_2d, d_coverage_complete, d_raster_counts, f_coverage_status_counts, e_latlon_grid, e_support_cells, d_nearest_same_lake)}
+QUERIES = {f.__name__: f for f in (d_shore_buffer, e_isin_rows, e_bin_number, e_bin_geometry, e_albers, d_polygon_bins, d_scene_lakes, d_neighbour_vectors, d_footprint_overlap, f_pixels_to_bins, f_reduce_bins, f_daily_cells, f_daily_lakes, i_restrict_to_state, daily_lakes_by_centre, a_daily_table, e_raster_layout, e_raster_cells, a_daily_science, j_reproduce, j_check_lake_rows, d_nasa_cells_in_lake, f_nasa_histogram, j_check_nasa_rows, g_dedupe_nasa_cells, d_pair_cells, f_pair_leftovers, f_pair_statistics, f_density_2d, d_coverage_complete, d_raster_counts, f_coverage_status_counts, e_latlon_grid, e_support_cells, d_nearest_same_lake)}
 
 # SQL
 _PIX = with_views("pixels")
@@ -532,3 +546,10 @@ round(case when count(*) >= 2 and min(x) < max(x) then regr_intercept(y, x) end,
     "f_density_2d": _PAIRED + """, q as (select case when x <= 0 then 0 else greatest(1, least(70, floor((log10(x) + 5) / 4 * 70) + 1)) end::int as ix, case when y <= 0 then 0 else greatest(1, least(70, floor((log10(y) + 5) / 4 * 70) + 1)) end::int as iy from pq)
 select ix, iy, count(*) as n from q group by ix, iy""",
 }
+
+_TABLE_STATUS = """it as (select hylak_id, date_solar, scene_no, scene_no % 5 = 4 as failed, satellite, scene_no % 7 <> 1 as same_day from ld join fx_scenes using (scene_no)),
+stt as (select hylak_id, date_solar, count_if(not failed) as scenes_used, case when bool_or(failed) then 'partial' else 'complete' end as day_status, coalesce(string_agg(distinct satellite, ';' order by satellite) filter (where not failed), '') as satellites,
+  coalesce(string_agg(distinct scene_no::varchar, ';' order by scene_no::varchar) filter (where not failed), '') as scene_ids, string_agg(distinct 'pass ' || scene_no, ';' order by 'pass ' || scene_no) filter (where not failed) as scene_names,
+  coalesce(string_agg(distinct 'pass ' || scene_no, ';' order by 'pass ' || scene_no) filter (where failed), '') as failed_scenes, bool_and(same_day) filter (where not failed) as eligible from it group by all having count_if(not failed) > 0)"""
+_TABLE = {"lake_area": "round(lake_area, 7)", "latitude": "round(cy, 7)", "longitude": "round(cx, 7)", "within_pass_method": f"'{T.METHOD}'", "states": "case when hylak_id % 11 = 0 then '' else 'state ' || hylak_id % 3 end", "state_ids": "case when hylak_id % 11 = 0 then '' else (hylak_id % 3)::varchar end", "external_detected": "case when eligible and hylak_id % 4 > 0 then hylak_id * 3 end"}
+ORACLES["a_daily_table"] = f"{_DAILY}, r as ({_LAKES}), {_TABLE_STATUS} select " + ", ".join(f'{_TABLE.get(c, c)} as "{published}"' for c, published in T.DAILY_COLUMNS.items()) + " from r join stt using (date_solar, hylak_id) join fx_lakes using (hylak_id)"

@@ -101,6 +101,43 @@ def region_path(country: Column, state: Column, day: Column) -> Column:
     return F.concat_ws("/", safe(country), safe(state), F.date_format(day, "yyyy/MM/dd"))
 
 
+#: The header of the published daily table, in its order; ours on the left.
+_STATISTICS = {"valid": "valid_cells", "mean": "mean", "median": "median", "p10": "p10", "p90": "p90", "max": "max"}
+DAILY_COLUMNS = {
+    "date_solar": "date_solar", "hylak_id": "Hylak_id", "lake_name": "Lake_name", "lake_area": "Lake_area_km2", "states": "states", "state_ids": "state_ids",
+    "latitude": "latitude", "longitude": "longitude", "day_status": "day_status", "within_pass_method": "within_pass_method", "satellites": "satellites",
+    "scenes_used": "scenes_used", "scene_ids": "scene_ids", "scene_names": "scene_names", "failed_scenes": "failed_or_unavailable_scenes",
+    "lake_cells": "Lake_cells", "primary_retained_cells": "primary_retained_cells",
+    "cloud_any_cells": "Cloud_excluded_any_scene_cells", "cloud_with_valid_cells": "Cloud_excluded_with_valid_daily_CI_cells", "cloud_without_valid_cells": "Cloud_excluded_without_valid_daily_CI_cells",
+    "ci_input_valid_cells": "ci_input_valid_cells", "ci_candidate_cells": "ci_candidate_cells",
+    "detectable_cells": "CI_cyano_detectable_cells", "non_detectable_cells": "Non_detectable_cells", "no_valid_data_cells": "No_valid_data_cells",
+    "twice_valid_cells": "Cells_valid_in_two_or_more_scenes", "external_detected": "NASA_CI_Cyano_detectable_cells",
+    **{f"ci_{k}": f"CI_{v}" for k, v in _STATISTICS.items()},
+    **{f"ci_cyano_{k}": f"CI_cyano_{v}" for k, v in _STATISTICS.items()}, "ci_cyano_mean_detectable": "CI_cyano_mean_detectable",
+    **{f"ndci_{k}": f"NDCI_{v}" for k, v in _STATISTICS.items()},
+    **{f"mph_{k}": f"MPH_{v}" for k, v in _STATISTICS.items()},
+    **{f"fai_{k}": f"FAI_{v}" for k, v in _STATISTICS.items()},
+}
+METHOD = "area-weighted mean"
+
+
+def daily_table(statistics: DataFrame, items: DataFrame, lakes: DataFrame, states: DataFrame, external: DataFrame) -> DataFrame:
+    """The published daily table of 58 columns: merged lakes (complete or partial) with their attributes, scenes, counts and statistics.
+
+    statistics as daily_lakes gives; items as lake_day_status takes; lakes (hylak_id, lake_name,
+    lake_area, latitude, longitude); states as touching_states gives; external (date_solar,
+    hylak_id, external_detected), which counts only where all passes used are on the UTC date itself.
+    """
+    from ..operators.catalogue import lake_day_status
+
+    keys = ["date_solar", "hylak_id"]
+    status = lake_day_status(items).filter(F.col("day_status").isin("complete", "partial"))
+    names = items.filter("status = 'done'").groupBy(*keys).agg(F.array_join(F.array_sort(F.collect_set("name")), ";").alias("scene_names"))
+    t = statistics.join(status, keys).join(names, keys, "left").join(lakes, "hylak_id").join(states, "hylak_id", "left").join(external, keys, "left")
+    own = {"within_pass_method": F.lit(METHOD), "external_detected": F.when(F.col("nasa_eligible"), F.col("external_detected")), "states": F.coalesce("states", F.lit("")), "state_ids": F.coalesce("state_ids", F.lit(""))}
+    return t.select(*(own.get(c, F.col(c)).alias(published) for c, published in DAILY_COLUMNS.items()))
+
+
 def write_daily_lakes(rows: DataFrame, path: str, keys: tuple[str, ...] = ("country", "state", "date_solar")) -> None:
     """One CSV folder per region and date, by lake, null as empty."""
     rows.repartition(*keys).sortWithinPartitions(*keys, "hylak_id").write.partitionBy(*keys).option("header", True).option("nullValue", "").option("emptyValue", "").csv(path)
