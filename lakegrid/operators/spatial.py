@@ -106,6 +106,24 @@ def polygon_bins(edges: DataFrame) -> DataFrame:
     return bins.join(F.broadcast(rows_), "bin_row").select("hylak_id", "bin_row", "bin_col", isin.bin_key(F.col("before"), F.col("bin_col")).alias("bin")).distinct()
 
 
+#: Lines across a lake on which its widest run is looked for.
+LINES = 15
+
+
+def interior_points(edges: DataFrame) -> DataFrame:
+    """(hylak_id, lon, lat) strictly inside each lake: the middle of its widest run over LINES level lines (ties: the lowest, then the most westerly). Holes and parts count by parity; a lake without height has none."""
+    shape = lake_bounds(edges).select("hylak_id", "ymin", ((F.col("ymax") - F.col("ymin")) / LINES).alias("step"))
+    e = edges.join(shape, "hylak_id").filter("y0 <> y1")
+    line = lambda y: F.floor((y - F.col("ymin")) / F.col("step"))
+    e = e.withColumn("k", F.explode(F.sequence(line(F.least("y0", "y1")), line(F.greatest("y0", "y1"))))).filter(F.col("k") < LINES)
+    e = e.withColumn("lat", F.col("ymin") + (F.col("k") + 0.5) * F.col("step")).filter((F.col("y0") > F.col("lat")) != (F.col("y1") > F.col("lat")))
+    e = e.withColumn("x", F.col("x0") + (F.col("x1") - F.col("x0")) * (F.col("lat") - F.col("y0")) / (F.col("y1") - F.col("y0")))
+    runs = e.groupBy("hylak_id", "lat").agg(F.array_sort(F.collect_list("x")).alias("xs"))
+    runs = runs.select("hylak_id", "lat", F.explode(F.expr("transform(sequence(0, size(xs) div 2 - 1), i -> struct(xs[2 * i] as a, xs[2 * i + 1] as b))")).alias("r"))
+    best = runs.groupBy("hylak_id").agg(F.max_by(F.struct(((F.col("r.a") + F.col("r.b")) / 2).alias("lon"), "lat"), F.struct(F.col("r.b") - F.col("r.a"), -F.col("lat"), -F.col("r.a"))).alias("p"))
+    return best.select("hylak_id", "p.lon", "p.lat")
+
+
 def merge_boxes(boxes: DataFrame, group: str, key: str) -> DataFrame:
     """(group, key, part): boxes of one group that overlap, directly or through others, share a part, by least labels."""
     cells = boxes.withColumn("gx", _covered(F.col("xmin"), F.col("xmax"))).withColumn("gy", _covered(F.col("ymin"), F.col("ymax")))

@@ -64,6 +64,15 @@ def b_texts(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(s.select("hylak_id", N.lake_label(name, F.col("hylak_id")).alias("label"), N.window_id(*(F.when(F.col("hylak_id") % 4 != 0, c) for c in (F.col("cx"), F.col("cy"), F.col("cx") + 1, F.col("cy") + 1))).alias("window"), *(c.alias(k) for k, c in zip(("west", "south", "east", "north"), box, strict=True)), N.valid_box(F.col("cx"), F.col("cy"), F.col("cx") + F.when(F.col("hylak_id") % 3 == 0, -1.0).otherwise(1.0), F.col("cy") + 1.0).alias("valid"), N.iso_day(day).alias("day"), mib.alias("mib"), rate.alias("mib_s"), N.scene_start(text).alias("start"), N.lake_longitude(F.when(F.col("hylak_id") % 7 == 0, 999.0).otherwise(F.col("cx")), F.col("cx") - 1.0).alias("lon"), F.round(N.great_circle_m(F.col("cy"), F.col("cx"), F.col("cy") + 0.01, F.col("cx") - 0.02), 4).alias("metres")))
 
 
+def b_lake_longitude(spark: SparkSession, sf: str) -> DataFrame:
+    """Longitudes that fix lakes' solar dates: the pour point's, or where that is no longitude, the interior point's; and whether that point lies inside."""
+    e = view(spark, sf, "lake_edges")
+    p = P.interior_points(e).select("hylak_id", F.col("lon").alias("ilon"), F.col("lat").alias("ilat"))
+    inside = P.assign_lake(p.withColumnRenamed("hylak_id", "of"), e, "ilon", "ilat").select(F.col("of").alias("hylak_id"), (F.col("hylak_id") == F.col("of")).alias("inside"))
+    lakes = view(spark, sf, "lakes").select("hylak_id", F.when(F.col("hylak_id") % 3 == 0, 999.0).when(F.col("hylak_id") % 3 == 1, F.col("cx")).alias("pour"))
+    return lakes.join(p, "hylak_id").join(inside, "hylak_id").select("hylak_id", F.round(N.lake_longitude(F.col("pour"), F.col("ilon")), 9).alias("lon"), F.round("ilat", 9).alias("ilat"), "inside")
+
+
 def b_dates(spark: SparkSession, sf: str) -> DataFrame:
     """Versions by each date of a three-day span about their start."""
     v = versions(spark, sf).select("scene_id", F.explode(F.sequence(F.date_sub("created", 1), F.date_add("created", 1))).alias("day"))
@@ -354,7 +363,7 @@ def k_status_by_hour(spark: SparkSession, sf: str) -> DataFrame:
     return e.groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour"), "status").agg(F.count("*").alias("n"))
 
 
-QUERIES = {f.__name__: f for f in (a_filter_catalogue, g_first_scenes, b_product_names, b_solar_dates, b_texts, b_dates, g_rank_versions, i_acquisition_status, i_checklist, i_lake_day_status, i_missing_scenes, f_day_counts, f_run_counts, a_manifest, a_load_lakes, a_load_regions, d_assign_state, d_touching_states, d_lakes_in_mask, d_state_scope, d_region_cover, d_lakes_for_window, d_footprint_lakes, i_plan_scenes, i_scene_regions, d_plan_windows, g_lake_owner, g_find_lakes, g_pick_lake, f_status_counts, f_coverage_by_region, f_plan_overview, h_register_scenes, h_scenes_without_plan, h_state_scenes, h_plan_overlap, g_scene_history, g_list_scenes, i_attention_report, i_date_readiness, f_date_tally, i_progress_report, i_missing_hint, a_replace_date, a_publish_dates, a_append_scene, a_region_path, l_bands_sql, l_grid_sql, l_names_sql, j_verify_master, k_status_by_hour)}
+QUERIES = {f.__name__: f for f in (a_filter_catalogue, g_first_scenes, b_product_names, b_solar_dates, b_texts, b_lake_longitude, b_dates, g_rank_versions, i_acquisition_status, i_checklist, i_lake_day_status, i_missing_scenes, f_day_counts, f_run_counts, a_manifest, a_load_lakes, a_load_regions, d_assign_state, d_touching_states, d_lakes_in_mask, d_state_scope, d_region_cover, d_lakes_for_window, d_footprint_lakes, i_plan_scenes, i_scene_regions, d_plan_windows, g_lake_owner, g_find_lakes, g_pick_lake, f_status_counts, f_coverage_by_region, f_plan_overview, h_register_scenes, h_scenes_without_plan, h_state_scenes, h_plan_overlap, g_scene_history, g_list_scenes, i_attention_report, i_date_readiness, f_date_tally, i_progress_report, i_missing_hint, a_replace_date, a_publish_dates, a_append_scene, a_region_path, l_bands_sql, l_grid_sql, l_names_sql, j_verify_master, k_status_by_hour)}
 # SQL
 _V = with_views("catalogue") + ", v as (select *, created + hour * interval 1 hour as start from fx_catalogue)"
 _RANK = "case timeliness when 'NT' then 0 when 'ST' then 1 when 'NR' then 2 else 9 end"
@@ -497,3 +506,8 @@ round((bin_col + 0.5::double) * 360 / n - 180, 8) as lon, round(2 * pi() * {EART
 case when scene_id % 4 = 0 then 'FULL' else 'W_' || substr(sha1(printf('%.6f,%.6f,%.6f,%.6f', lon, 1.0::double, lon + 1, 2.0::double)), 1, 10) end as window, case when scene_id % 5 = 0 then '(unnamed, Hylak_id ' || lake_id || ')' else 'x' end as label,
 round(6371000.0::double * 2 * asin(least(1, sqrt(pow(cos(radians(45.0::double)) * cos(radians(lon)) - cos(radians(45.5::double)) * cos(radians(lon + 0.25::double)), 2) + pow(cos(radians(45.0::double)) * sin(radians(lon)) - cos(radians(45.5::double)) * sin(radians(lon + 0.25::double)), 2) + pow(sin(radians(45.0::double)) - sin(radians(45.5::double)), 2)) / 2)), 4) as metres from v""",
 }
+
+ORACLES["b_lake_longitude"] = with_views("lake_edges") + f""", {_BOUNDS}, k0 as (select hylak_id, ymin, (ymax - ymin) / {P.LINES} as step, unnest(range({P.LINES})) as k from b), k1 as (select hylak_id, ymin + (k + 0.5::double) * step as lat from k0),
+k2 as (select hylak_id, lat, x0 + (x1 - x0) * (lat - y0) / (y1 - y0) as x from k1 join fx_lake_edges using (hylak_id) where (y0 > lat) <> (y1 > lat)), k3 as (select *, row_number() over (partition by hylak_id, lat order by x) as nth, lead(x) over (partition by hylak_id, lat order by x) as east from k2),
+k4 as (select hylak_id, arg_max((x + east) / 2, (east - x, -lat, -x)) as ilon, arg_max(lat, (east - x, -lat, -x)) as ilat from k3 where nth % 2 = 1 group by 1)
+select hylak_id, round(case when hylak_id % 3 = 1 then cx else ilon end, 9) as lon, round(ilat, 9) as ilat, true as inside from fx_lakes join k4 using (hylak_id)"""
