@@ -124,6 +124,16 @@ def a_manifest(spark: SparkSession, sf: str) -> DataFrame:
     return T.manifest(C.lake_day_status(_items(spark, sf))).select("date_solar", "lakes", "complete", *(F.size(F.array_compact(s)).alias(f"n_{s}") for s in ("partial", "waiting", "unavailable")))
 
 
+def a_region_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    """Manifests of each region and date with their lists, read back from the JSON files."""
+    status, at = C.lake_day_status(_items(spark, sf)).withColumn("state_id", (F.col("hylak_id") % 4).cast("int")), T.shared_folder(spark)
+    T.write_manifest(status, at, "state_id")
+    lake = "array<struct<hylak_id:long,{0}:string>>"
+    read = spark.read.schema(f"lakes long, complete long, partial {lake.format('failed_scenes')}, waiting {lake.format('missing_scenes')}, unavailable {lake.format('failed_scenes')}, state_id int, date_solar date").json(at)
+    text = lambda c, s: F.array_join(F.transform(c, lambda x: F.concat_ws(":", x["hylak_id"].cast("string"), x[s])), "|").alias(c)
+    return read.select("date_solar", "state_id", "lakes", "complete", text("partial", "failed_scenes"), text("waiting", "missing_scenes"), text("unavailable", "failed_scenes"))
+
+
 def _lakes(spark: SparkSession, sf: str) -> DataFrame:
     return view(spark, sf, "lakes").join(P.lake_bounds(view(spark, sf, "lake_edges")), "hylak_id")
 
@@ -363,7 +373,7 @@ def k_status_by_hour(spark: SparkSession, sf: str) -> DataFrame:
     return e.groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour"), "status").agg(F.count("*").alias("n"))
 
 
-QUERIES = {f.__name__: f for f in (a_filter_catalogue, g_first_scenes, b_product_names, b_solar_dates, b_texts, b_lake_longitude, b_dates, g_rank_versions, i_acquisition_status, i_checklist, i_lake_day_status, i_missing_scenes, f_day_counts, f_run_counts, a_manifest, a_load_lakes, a_load_regions, d_assign_state, d_touching_states, d_lakes_in_mask, d_state_scope, d_region_cover, d_lakes_for_window, d_footprint_lakes, i_plan_scenes, i_scene_regions, d_plan_windows, g_lake_owner, g_find_lakes, g_pick_lake, f_status_counts, f_coverage_by_region, f_plan_overview, h_register_scenes, h_scenes_without_plan, h_state_scenes, h_plan_overlap, g_scene_history, g_list_scenes, i_attention_report, i_date_readiness, f_date_tally, i_progress_report, i_missing_hint, a_replace_date, a_publish_dates, a_append_scene, a_region_path, l_bands_sql, l_grid_sql, l_names_sql, j_verify_master, k_status_by_hour)}
+QUERIES = {f.__name__: f for f in (a_filter_catalogue, g_first_scenes, b_product_names, b_solar_dates, b_texts, b_lake_longitude, b_dates, g_rank_versions, i_acquisition_status, i_checklist, i_lake_day_status, i_missing_scenes, f_day_counts, f_run_counts, a_manifest, a_region_manifest, a_load_lakes, a_load_regions, d_assign_state, d_touching_states, d_lakes_in_mask, d_state_scope, d_region_cover, d_lakes_for_window, d_footprint_lakes, i_plan_scenes, i_scene_regions, d_plan_windows, g_lake_owner, g_find_lakes, g_pick_lake, f_status_counts, f_coverage_by_region, f_plan_overview, h_register_scenes, h_scenes_without_plan, h_state_scenes, h_plan_overlap, g_scene_history, g_list_scenes, i_attention_report, i_date_readiness, f_date_tally, i_progress_report, i_missing_hint, a_replace_date, a_publish_dates, a_append_scene, a_region_path, l_bands_sql, l_grid_sql, l_names_sql, j_verify_master, k_status_by_hour)}
 # SQL
 _V = with_views("catalogue") + ", v as (select *, created + hour * interval 1 hour as start from fx_catalogue)"
 _RANK = "case timeliness when 'NT' then 0 when 'ST' then 1 when 'NR' then 2 else 9 end"
@@ -440,6 +450,7 @@ round(6371000.0::double * 2 * asin(least(1, sqrt(pow(cos(radians(cy)) * cos(radi
     "f_day_counts": f"{_STATUS} select date_solar, count(*) as lakes, {_BYSTATUS} from st group by date_solar",
     "f_run_counts": f"{_STATUS} select date_solar, {_BYSTATUS}, sum(case when missing_scenes = '' then 0 else len(string_split(missing_scenes, ';')) end)::bigint as missing_scenes from st group by date_solar",
     "a_manifest": f"{_STATUS}, c as (select date_solar, count(*) as lakes, {_BYSTATUS} from st group by date_solar) select date_solar, lakes, complete, partial::int as n_partial, waiting::int as n_waiting, unavailable::int as n_unavailable from c",
+    "a_region_manifest": f"{_STATUS} select date_solar, (hylak_id % 4)::int as state_id, count(*) as lakes, count(*) filter (where day_status = 'complete') as complete, " + ", ".join(f"coalesce(string_agg(hylak_id || ':' || {c}, '|' order by hylak_id) filter (where day_status = '{x}'), '') as {x}" for x, c in (("partial", "failed_scenes"), ("waiting", "missing_scenes"), ("unavailable", "failed_scenes"))) + " from st group by all",
     "a_load_lakes": with_views("lakes") + " select hylak_id, lake_name, round(lake_area, 9) as lake_area from fx_lakes where lake_area >= 1.3::double",
     "a_load_regions": with_views("regions") + " select country, state_id, state_name from fx_regions where state_id is not null and trim(state_name) <> ''",
     "d_assign_state": with_views("lakes", "region_edges") + f", {_STATE} select hylak_id, case when n = 1 then state_id end as state_id, case when n = 1 then 'matched' when n > 1 then 'ambiguous' else 'unmatched' end as match_status from ps",

@@ -193,14 +193,15 @@ def read_daily_science(spark: SparkSession, path: str) -> DataFrame:
     return cells.withColumns({m: flag(unpacked(m)) for m in MASKS}).drop("footprint_area", "native_source_match_mask", "lake_support_mask")
 
 
-def manifest(status: DataFrame) -> DataFrame:
-    """Per date: counts, and the lists of partial, waiting and unavailable lakes with their scenes."""
+def manifest(status: DataFrame, *regions: str) -> DataFrame:
+    """Per date, and region where columns of regions are named: counts, and the lists of partial, waiting and unavailable lakes with their scenes."""
     pick = lambda s, *c: F.array_sort(F.collect_list(F.when(F.col("day_status") == s, F.struct("hylak_id", *c)))).alias(s)
-    return status.groupBy("date_solar").agg(F.count("*").alias("lakes"), F.count_if(F.col("day_status") == "complete").alias("complete"), pick("partial", "failed_scenes"), pick("waiting", "missing_scenes"), pick("unavailable", "failed_scenes"))
+    return status.groupBy("date_solar", *regions).agg(F.count("*").alias("lakes"), F.count_if(F.col("day_status") == "complete").alias("complete"), pick("partial", "failed_scenes"), pick("waiting", "missing_scenes"), pick("unavailable", "failed_scenes"))
 
 
-def write_manifest(status: DataFrame, path: str) -> None:
-    manifest(status).write.partitionBy("date_solar").json(path)
+def write_manifest(status: DataFrame, path: str, *regions: str) -> None:
+    """One JSON record per region and date, in the region's and date's own folder."""
+    manifest(status, *regions).write.partitionBy(*regions, "date_solar").json(path)
 
 
 def replace_date(master: DataFrame, rows: DataFrame, lakes_only: bool = False) -> DataFrame:

@@ -495,3 +495,17 @@ def test_raster_choice_of_tiles(spark):
     chosen = sorted(tuple(r) for r in nasa.select_tiles(cover.filter("tile <> 'ALL' or covers")).collect())
     assert chosen == [(1, "1_1", 1), (2, "1_1", 2), (2, "1_2", 2), (3, "ALL", 3)]
     assert {r.hylak_id for r in cover.collect()} == {1, 2, 3, 4}
+
+
+def test_windows_of_a_scene(spark):
+    """Boxes that overlap through others are one window, clipped to the scene; too many, too large, too wide or no lakes give the whole scene."""
+    scenes = spark.createDataFrame([(1, 0.0, 0.0, 10.0, 10.0), (2, 0.0, 0.0, 10.0, 10.0), (3, -90.0, 0.0, 90.0, 10.0), (4, 0.0, 0.0, 10.0, 10.0), (5, 0.0, 0.0, 1.0, 1.0)], "scene_no long, xmin double, ymin double, xmax double, ymax double")
+    lakes = spark.createDataFrame([(1, 0.5, 0.5, 1.0, 1.0), (2, 1.02, 0.5, 1.5, 1.0), (3, 1.52, 0.9, 2.0, 1.4), (4, 8.0, 8.0, 8.5, 8.5), (5, 9.8, 5.0, 10.5, 5.5), (6, 0.1, 0.1, 0.9, 0.9)], "hylak_id long, xmin double, ymin double, xmax double, ymax double")
+    pairs = spark.createDataFrame([(1, 1), (1, 2), (1, 3), (1, 4), (1, 5), (2, 1), (2, 4), (2, 5), (3, 1), (5, 6)], "scene_no long, hylak_id long")
+    rows = P.plan_windows(scenes, lakes, pairs, 3.0, 3).collect()
+    got = {s: sorted((round(r.xmin, 2), round(r.ymin, 2), round(r.xmax, 2), round(r.ymax, 2)) for r in rows if r.scene_no == s and r.xmin is not None) for s in range(1, 6)}
+    assert got[1] == [(0.47, 0.47, 2.03, 1.43), (7.97, 7.97, 8.53, 8.53), (9.77, 4.97, 10.0, 5.53)]
+    assert len(got[2]) == 3 and got[3] == got[4] == got[5] == []
+    assert {r.scene_no for r in rows if r.xmin is None} == {3, 4, 5}
+    few = P.plan_windows(scenes, lakes, pairs, 3.0, 2).collect()
+    assert {r.scene_no for r in few if r.xmin is None} == {1, 2, 3, 4, 5}
