@@ -110,8 +110,8 @@ def albers(lon: Column, lat: Column, region: str = "CONUS") -> tuple[Column, Col
     """Ellipsoidal equal-area conic, metres."""
     n, c, rho0, l0, e = _albers_constants(region)
     s = F.sin(F.radians(lat.cast("double")))
-    q = (1 - e * e) * (s / (1 - e * e * s * s) - F.log((1 - e * s) / (1 + e * s)) / (2 * e))
-    rho, theta = AXIS * F.sqrt(c - n * q) / n, n * F.radians(wrap(lon.cast("double") - math.degrees(l0)))
+    q = s / (1 - e * e * s * s) - F.log((1 - e * s) / (1 + e * s)) / (2 * e)
+    rho, theta = AXIS * F.sqrt(c - n * (1 - e * e) * q) / n, n * F.radians(wrap(lon.cast("double") - math.degrees(l0)))
     return rho * F.sin(theta), rho0 - rho * F.cos(theta)
 
 
