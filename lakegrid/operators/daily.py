@@ -15,6 +15,11 @@ from .scene import summary
 BLOCK_ROWS = 512
 
 
+def merged_columns(scene_bins: DataFrame) -> DataFrame:
+    """Scene bins with what a daily merge reads: means, flags and footprints, without the sums they come from."""
+    return scene_bins.select([c for c in scene_bins.columns if not c.endswith(("_sum", "_valid_area"))])
+
+
 def daily_cells(lake_bins: DataFrame, lake_days: DataFrame, scene_bins: DataFrame) -> DataFrame:
     """Per (date_solar, hylak_id, bin): the largest scene mean of each index and band, scenes with a valid value, flags seen in any scene, largest footprint.
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import isin
-from ..sources.tables import stored
+from ..sources.tables import SMALL, stored
 
 CELL = 0.1
 
@@ -41,10 +41,17 @@ def lake_cells(edges: DataFrame) -> DataFrame:
     return found.groupBy("gx", "gy").agg(F.array_sort(F.collect_list(F.struct("lake_order", "hylak_id", "xmin", "ymin", "xmax", "ymax", "edges"))).alias("lakes"))
 
 
-def assign_lake(points: DataFrame, edges: DataFrame, lon: str = "lon", lat: str = "lat") -> DataFrame:
-    """points with hylak_id of the first lake, in order, that strictly contains each; null for none. One equi-join; no group is formed per point."""
+def lake_table(edges: DataFrame) -> DataFrame:
+    """lake_cells stored once, marked for broadcast if they hold SMALL edges at most (48 MB)."""
+    cells = stored(lake_cells(edges))
+    n = cells.select(F.sum(F.aggregate("lakes", F.lit(0), lambda s, p: s + F.size(p["edges"])))).first()[0] or 0
+    return F.broadcast(cells) if n <= SMALL else cells
+
+
+def assign_lake(points: DataFrame, edges: DataFrame, lon: str = "lon", lat: str = "lat", cells: DataFrame | None = None) -> DataFrame:
+    """points with hylak_id of the first lake, in order, that strictly contains each; null for none. One equi-join; no group is formed per point. cells: the lakes' cells, where they are at hand."""
     x, y = F.col(lon), F.col(lat)
-    keyed = points.withColumns({"gx": cell(x), "gy": cell(y)}).join(lake_cells(edges), ["gx", "gy"], "left")
+    keyed = points.withColumns({"gx": cell(x), "gy": cell(y)}).join(lake_cells(edges) if cells is None else cells, ["gx", "gy"], "left")
     inside = F.filter("lakes", lambda p: (x >= p["xmin"]) & (x <= p["xmax"]) & (y >= p["ymin"]) & (y <= p["ymax"]) & (F.size(F.filter(p["edges"], lambda e: crosses(e, x, y))) % 2 == 1))
     return keyed.withColumn("hylak_id", F.get(inside, F.lit(0))["hylak_id"]).drop("gx", "gy", "lakes")
 

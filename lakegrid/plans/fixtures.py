@@ -12,12 +12,16 @@ def _d(text: str) -> str:
     return re.sub(r"\bD\(([^()]+)\)", r"cast(\1 as double)", text)
 
 
+#: A pixel's place in its scene, and its position, which follows from its place alone.
+_PLACE = """l_orderkey // 625 as scene_no, ((l_orderkey * 31 + l_partkey * 17 + l_linenumber) % 4096) // 64 as source_row,
+  (l_orderkey * 31 + l_partkey * 17 + l_linenumber) % 64 as source_col"""
+_POSITION = """D(45.0) + (scene_no // 2 % 10) * D(0.25) + source_row * D(0.0026) + (scene_no % 2) * D(0.0007) as lat,
+  D(-84.0) + (scene_no // 20) * D(0.4) + source_col * D(0.0037) + source_row * D(0.0004) + (scene_no % 2) * D(0.0005) as lon"""
+
 VIEWS = {
     "raw_pixels": _d("""
-select *, D(45.0) + (scene_no // 2 % 10) * D(0.25) + source_row * D(0.0026) + (scene_no % 2) * D(0.0007) as lat,
-  D(-84.0) + (scene_no // 20) * D(0.4) + source_col * D(0.0037) + source_row * D(0.0004) + (scene_no % 2) * D(0.0005) as lon
-from (select l_orderkey // 625 as scene_no, ((l_orderkey * 31 + l_partkey * 17 + l_linenumber) % 4096) // 64 as source_row,
-  (l_orderkey * 31 + l_partkey * 17 + l_linenumber) % 64 as source_col,
+select *, """ + _POSITION + """
+from (select """ + _PLACE + """,
   cast(D(0.002) + (l_partkey % 83) / D(9000) as float) as r443, cast(D(0.003) + (l_suppkey % 71) / D(7000) as float) as r490,
   cast(D(0.006) + (l_partkey % 61) / D(5000) as float) as r560, cast(D(0.005) + (l_partkey % 97) / D(4000) as float) as r620,
   cast(D(0.004) + (l_suppkey % 89) / D(3500) as float) as r665, cast(D(0.004) + D(l_quantity) / D(2500) as float) as r681,
@@ -72,13 +76,21 @@ select event_id, user_id as scene_id, ts, case event_type when 'signup' then 'qu
 TABLES = ("lineitem", "supplier", "orders", "nation", "part", "events")
 
 
-def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A view, from the tables and views that its text names."""
+def view(spark: SparkSession, sf_dir: str, name: str, **given: DataFrame) -> DataFrame:
+    """A view, from the tables and views that its text names; some may be given. Bounds of scenes come from all rows: rows of one place have one position, so none has to be the first of its place."""
     text = VIEWS[name]
-    used = {n: view(spark, sf_dir, n) if n in VIEWS else spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in set(re.findall(r"{(\w+)}", text))}
+    if name == "scenes" and "pixels" not in given:
+        given = given | {"pixels": view(spark, sf_dir, "raw_pixels", **given)}
+    used = {n: given[n] if n in given else view(spark, sf_dir, n, **given) if n in VIEWS else spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in set(re.findall(r"{(\w+)}", text))}
     return spark.sql(text.replace("//", "div"), **used)
 
 
+def located(lines: DataFrame) -> DataFrame:
+    """Rows of lineitem with their pixel's place (scene_no, source_row, source_col) and position (lat, lon)."""
+    sql = lambda x: _d(x).replace("//", "div")
+    return lines.sparkSession.sql(f"select *, {sql(_POSITION)} from (select *, {sql(_PLACE)} from {{lines}})", lines=lines)
+
+
 def definition(name: str) -> str:
     """DuckDB's definition of one view, without those it uses."""
     return f"fx_{name} as ({re.sub(r'{(\w+)}', lambda m: f'fx_{m[1]}' if m[1] in VIEWS else m[1], VIEWS[name])})"

@@ -509,3 +509,23 @@ def test_windows_of_a_scene(spark):
     assert {r.scene_no for r in rows if r.xmin is None} == {3, 4, 5}
     few = P.plan_windows(scenes, lakes, pairs, 3.0, 2).collect()
     assert {r.scene_no for r in few if r.xmin is None} == {1, 2, 3, 4, 5}
+
+
+def test_pixels_of_lakes_and_scenes_before_the_first_of_a_place(spark):
+    """Scene bounds need no window, pixels are cut to lakes before theirs, and both give the rows of the plain way."""
+    from lakegrid.plans.fixtures import VIEWS, view
+    from lakegrid.plans.pixel_queries import lake_pixels, pixels, positions
+    from lakegrid.operators.spatial import assign_lake
+
+    sf = "/root/testdata/sf0.001"
+    rows = lambda df: sorted(map(str, df.collect()))
+    scenes = view(spark, sf, "scenes")
+    assert "Window" not in scenes._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(scenes) == rows(spark.sql(VIEWS["scenes"].replace("//", "div"), pixels=view(spark, sf, "pixels")))
+    plain = assign_lake(pixels(spark, sf), view(spark, sf, "lake_edges"))
+    inside = lake_pixels(spark, sf)
+    plan = inside._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Window") < plan.rindex("Join")  # the plan is printed from its end: a join lies below the window
+    assert rows(inside.select(sorted(inside.columns))) == rows(plain.filter("hylak_id is not null").select(sorted(plain.columns)))
+    keys = ["scene_no", "source_row", "source_col", "lat", "lon"]
+    assert rows(positions(spark, sf)) == rows(plain.select(keys))
