@@ -23,7 +23,7 @@ def merged_columns(scene_bins: DataFrame) -> DataFrame:
 def daily_cells(lake_bins: DataFrame, lake_days: DataFrame, scene_bins: DataFrame) -> DataFrame:
     """Per (date_solar, hylak_id, bin): the largest scene mean of each index and band, scenes with a valid value, flags seen in any scene, largest footprint.
 
-    lake_bins (hylak_id, bin); lake_days (date_solar, hylak_id, scene_no) the scenes used;
+    lake_bins (hylak_id, bin, whose other columns are kept); lake_days (date_solar, hylak_id, scene_no) the scenes used;
     scene_bins one row per (scene_no, bin) with means. Every bin of a lake gets a row, seen
     or not. Keys include the bin, so no lake is one group. A scene's bins meet the lakes that
     hold them before they meet the days, so nothing is multiplied by a scene's other lakes.
@@ -36,7 +36,7 @@ def daily_cells(lake_bins: DataFrame, lake_days: DataFrame, scene_bins: DataFram
         any_.append(F.bit_or("masks").alias("masks"))
     g = seen.groupBy("date_solar", "hylak_id", "bin").agg(*most, *any_, F.count("ci_cyano_mean").alias("scenes_valid"), F.max("footprint_area").alias("footprint"), F.lit(True).alias("observed"))
     days = lake_days.select("date_solar", "hylak_id").distinct()
-    cells = days.join(lake_bins.select("hylak_id", "bin"), "hylak_id").join(g, ["date_solar", "hylak_id", "bin"], "left")
+    cells = days.join(lake_bins, "hylak_id").join(g, ["date_solar", "hylak_id", "bin"], "left")
     cells = cells.withColumns({f: flag(F.col(f)) for f in (*FLAGS, "observed")} | {"scenes_valid": F.coalesce("scenes_valid", F.lit(0))})
     if "masks" in scene_bins.columns:
         cells = cells.withColumn("masks", F.when(F.col("observed"), F.col("masks")).otherwise(-1))

@@ -85,10 +85,19 @@ def view(spark: SparkSession, sf_dir: str, name: str, **given: DataFrame) -> Dat
     return spark.sql(text.replace("//", "div"), **used)
 
 
+def placed(lines: DataFrame) -> DataFrame:
+    """Rows of lineitem with their pixel's place (scene_no, source_row, source_col)."""
+    return lines.sparkSession.sql(f"select *, {_PLACE.replace('//', 'div')} from {{lines}}", lines=lines)
+
+
+def at_places(places: DataFrame) -> DataFrame:
+    """Places with their position (lat, lon)."""
+    return places.sparkSession.sql(f"select *, {_d(_POSITION).replace('//', 'div')} from {{places}}", places=places)
+
+
 def located(lines: DataFrame) -> DataFrame:
-    """Rows of lineitem with their pixel's place (scene_no, source_row, source_col) and position (lat, lon)."""
-    sql = lambda x: _d(x).replace("//", "div")
-    return lines.sparkSession.sql(f"select *, {sql(_POSITION)} from (select *, {sql(_PLACE)} from {{lines}})", lines=lines)
+    """Rows of lineitem with their pixel's place and position."""
+    return at_places(placed(lines))
 
 
 def definition(name: str) -> str:

@@ -529,3 +529,36 @@ def test_pixels_of_lakes_and_scenes_before_the_first_of_a_place(spark):
     assert rows(inside.select(sorted(inside.columns))) == rows(plain.filter("hylak_id is not null").select(sorted(plain.columns)))
     keys = ["scene_no", "source_row", "source_col", "lat", "lon"]
     assert rows(positions(spark, sf)) == rows(plain.select(keys))
+
+
+def test_neighbours_and_medians_over_blocks_of_columns(spark):
+    """One dealing of the pixels serves the neighbours in both directions, also over a block's border, and the columns' medians; no join on columns is left in the plan."""
+    rows = [(1, r, c, 45.0 + r * 0.0026, -84.0 + c * 0.0037) for r in range(3) for c in (62, 63, 64, 65, 128, 190)]
+    df = spark.createDataFrame(rows, "scene_no long, source_row long, source_col long, lat double, lon double")
+    v = O.neighbour_vectors(df)
+    got = {(r.source_row, r.source_col): r for r in v.collect()}
+    assert len(got) == len(rows)
+    for (row, col), r in got.items():
+        step = {62: 63, 63: 64, 64: 65, 65: 64}.get(col)
+        if step:
+            s = 1 if step > col else -1
+            other = got[row, step]
+            assert abs(r.bx - s * (other.x - r.x)) < 1e-9 and abs(r.by - s * (other.y - r.y)) < 1e-9
+        else:  # without neighbours in its row, as is its column: the median of the scene
+            assert 280 < r.bx < 300
+        other = got[min(row, 1) + 1 if row < 2 else 1, col]
+        s = 1 if row < 2 else -1
+        assert abs(r.ay - s * (other.y - r.y)) < 1e-9
+
+
+def test_no_pixel_meets_its_scene_by_a_shuffle_twice(spark):
+    """Pixels are dealt by blocks once, and daily cells keep their bins' places: plans of before had three exchanges of pixels and a second join of the bins."""
+    written, own = [], O.stored
+    O.stored = lambda df: (written.append(df), own(df))[1]
+    try:
+        O.neighbour_vectors(G.positions(spark, SF))
+    finally:
+        O.stored = own
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in written]
+    assert max(p.split("Initial Plan")[-1].count("Exchange hashpartitioning") for p in plans if "Window" in p) == 1
+    assert {"bin_row", "bin_col"} <= set(G.cells(spark, SF).columns)
