@@ -180,15 +180,15 @@ def shore_distance(points: DataFrame, edges: DataFrame) -> DataFrame:
     degree = 6371000.0 * 3.141592653589793 / 180.0
     outlines = edges.groupBy("hylak_id").agg(F.collect_list(F.struct("x0", "y0", "x1", "y1")).alias("edges"))
     wide = degree * F.cos(F.radians("lat"))
-    at = lambda e, i: ((e[f"x{i}"] - F.col("lon")) * wide, (e[f"y{i}"] - F.col("lat")) * degree)
-
-    def away(e):
-        (ax, ay), (bx, by) = at(e, 0), at(e, 1)
-        dx, dy = bx - ax, by - ay
-        t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(F.try_divide(-(ax * dx + ay * dy), dx * dx + dy * dy), F.lit(0.0))))
-        return F.sqrt((ax + t * dx) * (ax + t * dx) + (ay + t * dy) * (ay + t * dy))
-
-    return points.join(outlines, "hylak_id").withColumn("metres", F.array_min(F.transform("edges", away))).drop("edges")
+    # a pass over the edges for each step, so that no value is worked out twice
+    named = lambda **of: F.struct(*(v.alias(k) for k, v in of.items()))
+    e = F.transform("edges", lambda e: named(ax=(e["x0"] - F.col("lon")) * F.col("_wide"), ay=(e["y0"] - F.col("lat")) * degree, bx=(e["x1"] - F.col("lon")) * F.col("_wide"), by=(e["y1"] - F.col("lat")) * degree))
+    e = F.transform(e, lambda e: named(ax=e["ax"], ay=e["ay"], dx=e["bx"] - e["ax"], dy=e["by"] - e["ay"]))
+    nearest = lambda e: F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(F.try_divide(-(e["ax"] * e["dx"] + e["ay"] * e["dy"]), e["dx"] * e["dx"] + e["dy"] * e["dy"]), F.lit(0.0))))
+    e = F.transform(e, lambda e: named(ax=e["ax"], ay=e["ay"], dx=e["dx"], dy=e["dy"], t=nearest(e)))
+    e = F.transform(e, lambda e: named(x=e["ax"] + e["t"] * e["dx"], y=e["ay"] + e["t"] * e["dy"]))
+    e = F.transform(e, lambda e: F.sqrt(e["x"] * e["x"] + e["y"] * e["y"]))
+    return points.join(outlines, "hylak_id").withColumn("_wide", wide).withColumn("metres", F.array_min(e)).drop("edges", "_wide")
 
 
 def shore_buffer(points: DataFrame, edges: DataFrame, metres: float) -> DataFrame:
