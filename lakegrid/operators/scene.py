@@ -67,7 +67,8 @@ def nearest_same_lake(cells: DataFrame, pixels: DataFrame, keys: list[str], id_:
     Both sides are dealt to rows as high as the radius, and each row to a whole number of
     columns, as wide as the radius at its poleward end, around the Earth; so the nine boxes
     about a cell hold all pixels within the radius, whatever row or side of the date line
-    they are on.
+    they are on. A cell goes to its three rows and a pixel to its three columns, which is
+    fewer rows than cells in nine boxes each.
     """
     radius = max(600.0, 2.0 * metres)
     high = radius / 111000.0
@@ -77,8 +78,8 @@ def nearest_same_lake(cells: DataFrame, pixels: DataFrame, keys: list[str], id_:
     # a row's number of columns, a cosine, once for each row and not for each of the nine boxes
     placed = lambda df: df.withColumn("_n", columns(F.col("gy"))).withColumn("_g", F.floor((wrap(F.col("lon")) + 180.0) / 360.0 * F.col("_n")))
     around = placed(cells.withColumn("_row", row).withColumn("gy", F.explode(F.array(*(F.col("_row") + d for d in (-1, 0, 1))))))
-    c = around.withColumn("_d", F.explode(steps)).withColumn("gx", F.pmod(F.col("_g") + F.col("_d"), "_n"))
-    p = placed(pixels.withColumn("gy", row)).select(*keys, "gy", F.pmod("_g", "_n").alias("gx"), F.col(id_).alias("match"), F.col("lat").alias("plat"), F.col("lon").alias("plon"))
+    c = around.withColumn("gx", F.pmod("_g", "_n"))
+    p = placed(pixels.withColumn("gy", row)).withColumn("_d", F.explode(steps)).select(*keys, "gy", F.pmod(F.col("_g") + F.col("_d"), "_n").alias("gx"), F.col(id_).alias("match"), F.col("lat").alias("plat"), F.col("lon").alias("plon"))
     own = list(cells.columns)
     near = c.select(*own, "gy", "gx").join(p, [*keys, "gy", "gx"], "left").withColumn("metres", great_circle_m(F.col("lat"), F.col("lon"), F.col("plat"), F.col("plon")))
     # cells without a pixel stay, as the join keeps them
