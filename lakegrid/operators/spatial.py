@@ -94,8 +94,11 @@ def box_lakes(boxes: DataFrame, edges: DataFrame, key: str) -> DataFrame:
     return full.filter(touch | holds).select(key, "hylak_id")
 
 
-def polygon_bins(edges: DataFrame) -> DataFrame:
-    """(hylak_id, bin_row, bin_col, bin) of grid bins whose centre lies inside, by scanlines: edges are split over the grid rows they cross, a row's crossings pair up, and the columns between are listed."""
+def polygon_bins(edges: DataFrame, wrapped: bool = True) -> DataFrame:
+    """(hylak_id, bin_row, bin_col, bin) of grid bins whose centre lies inside, by scanlines: edges are split over the grid rows they cross, a row's crossings pair up, and the columns between are listed.
+
+    Columns past 180 degrees go on from the west end of their row; unless wrapped they are counted on, as are their numbers.
+    """
     n = float(isin.N_ROWS)
     low, high = F.least("y0", "y1"), F.greatest("y0", "y1")
     first = F.ceil((low + 90.0) * n / 180.0 - 0.5).cast("int")
@@ -108,7 +111,7 @@ def polygon_bins(edges: DataFrame) -> DataFrame:
     # a column's centre is inside where a <= centre < b, as the edge rule has it
     spans = spans.withColumns({"c0": F.ceil((F.col("s.a") + 180.0) / 360.0 * F.col("n") - 0.5), "c1": F.ceil((F.col("s.b") + 180.0) / 360.0 * F.col("n") - 0.5) - 1})
     bins = spans.filter("c0 <= c1").select("hylak_id", "bin_row", "n", F.explode(F.sequence("c0", "c1")).alias("c"))
-    bins = bins.select("hylak_id", "bin_row", F.pmod("c", "n").alias("bin_col"))
+    bins = bins.select("hylak_id", "bin_row", (F.pmod("c", "n") if wrapped else F.col("c")).alias("bin_col"))
     rows_ = isin.rows_table(edges.sparkSession).select(F.col("row").alias("bin_row"), "before")
     return bins.join(F.broadcast(rows_), "bin_row").select("hylak_id", "bin_row", "bin_col", isin.bin_key(F.col("before"), F.col("bin_col")).alias("bin")).distinct()
 
