@@ -104,17 +104,22 @@ def raster_layout(cells: DataFrame, key: str) -> DataFrame:
     return _laid_out(cells, key).drop("first")
 
 
-def raster_lines(cells: DataFrame, key: str) -> DataFrame:
-    """(key, iy, bin_row, first): the lines of each key's raster, from which every place's bin follows."""
-    return _laid_out(cells, key).select(key, "iy", "bin_row", "first").distinct()
+def raster_lines(cells: DataFrame, key: str, wrapped: bool = True) -> DataFrame:
+    """(key, iy, bin_row, first): the lines of each key's raster, from which every place's bin follows. Unless wrapped, columns of cells are those of polygon_bins counted on past 180 degrees, and so is the first one."""
+    c = _laid_out(cells, key)
+    if not wrapped:
+        c = c.withColumn("first", F.col("bin_col") - F.col("ix"))
+    return c.select(key, "iy", "bin_row", "first").distinct()
 
 
-def raster_cells(places: DataFrame, lines: DataFrame, key: str) -> DataFrame:
+def raster_cells(places: DataFrame, lines: DataFrame, key: str, wrapped: bool = True) -> DataFrame:
     """places (key, iy, ix, ...) with their bin_row, bin_col and bin, from the lines alone."""
     from ..functions import isin
 
     rows = F.broadcast(isin.rows_table(places.sparkSession).select(F.col("row").alias("bin_row"), "n", "before"))
-    c = places.join(lines, [key, "iy"]).join(rows, "bin_row").withColumn("bin_col", F.pmod(F.col("first") + F.col("ix"), "n").cast("long"))
+    c = places.join(lines, [key, "iy"]).join(rows, "bin_row")
+    col = F.col("first") + F.col("ix")
+    c = c.withColumn("bin_col", (F.pmod(col, "n") if wrapped else col).cast("long"))
     return c.withColumn("bin", isin.bin_key(F.col("before"), F.col("bin_col"))).drop("first", "n", "before")
 
 
