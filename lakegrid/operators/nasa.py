@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import isin
 from ..functions.bands import DETECTION_LIMIT, dn_to_ci
 from ..functions.nulls import flag
-from .spatial import assign_lake
+from ..sources.tables import small, stored
+from .spatial import assign_lake, lake_table
 
 #: Published naming of daily granules: L<year><day of year>.L3m_DAY_<suite>_CI_cyano_CYAN_<region>_300m[_<tile>].tif, with a suite for each region.
 SUITES = {"CONUS": "CYAN", "AK": "CYANAK"}
@@ -35,25 +36,32 @@ def aligned_tiles(tiles: DataFrame) -> DataFrame:
 
 def located_cells(tiles: DataFrame, cells: DataFrame, region: str = "CONUS") -> DataFrame:
     """Cells of one region's aligned tiles with their address (row, col) on the common grid and the longitude and latitude of their centre, by the inverse projection."""
-    c = cell_centres(tiles.filter(F.col("region") == region), cells)
+    c = cell_centres(small(tiles.filter(F.col("region") == region)), cells)
     lon, lat = isin.unalbers(F.col("x"), F.col("y"), region)
     return c.select("tile", (F.col("row0") + F.col("grid_row")).alias("row"), (F.col("col0") + F.col("grid_col")).alias("col"), "dn", lon.alias("lon"), lat.alias("lat"))
 
 
+#: Metres of the cells by which points and tiles meet.
+TILE_CELL = 20_000.0
+
+
 def tile_cover(points: DataFrame, tiles: DataFrame) -> DataFrame:
     """Which tiles (tile, bounds) hold points of a lake (hylak_id, x, y): hylak_id, tile, covers (all of its points), together (all numbered tiles hold all of them).
 
-    Points and tiles meet in cells of the tiles' own size; what is counted per point is added up
-    per lake and tile, so no lake is one group of points.
+    A point meets its cell's tiles as one array, and what is counted per point is added up per lake
+    and tile before it is dealt, so points are gone through once and none is a group of its own.
     """
-    size = 60_000.0
-    t = tiles.withColumn("gx", F.explode(F.sequence(F.floor(F.col("xmin") / size), F.floor(F.col("xmax") / size)))).withColumn("gy", F.explode(F.sequence(F.floor(F.col("ymin") / size), F.floor(F.col("ymax") / size))))
-    p = points.withColumn("point", F.monotonically_increasing_id()).withColumns({"gx": F.floor(F.col("x") / size), "gy": F.floor(F.col("y") / size)})
-    hit = p.join(t.select("tile", "xmin", "ymin", "xmax", "ymax", "gx", "gy"), ["gx", "gy"]).filter("x between xmin and xmax and y between ymin and ymax")
-    total = points.groupBy("hylak_id").agg(F.count("*").alias("points"))
-    held = hit.filter("tile <> 'ALL'").groupBy("hylak_id", "point").agg(F.lit(1).alias("one")).groupBy("hylak_id").agg(F.count("*").alias("held"))
-    each = hit.groupBy("hylak_id", "tile").agg(F.count("*").alias("n"))
-    return each.join(total, "hylak_id").join(held, "hylak_id", "left").select("hylak_id", "tile", (F.col("n") == F.col("points")).alias("covers"), (F.coalesce("held", F.lit(0)) == F.col("points")).alias("together"))
+    reach = lambda low, high: F.explode(F.sequence(F.floor(F.col(low) / TILE_CELL), F.floor(F.col(high) / TILE_CELL)))
+    t = tiles.withColumn("gx", reach("xmin", "xmax")).withColumn("gy", reach("ymin", "ymax"))
+    near = small(stored(t.groupBy("gx", "gy").agg(F.collect_list(F.struct("tile", "xmin", "ymin", "xmax", "ymax")).alias("near"))))
+    p = points.withColumns({"gx": F.floor(F.col("x") / TILE_CELL), "gy": F.floor(F.col("y") / TILE_CELL)}).join(near, ["gx", "gy"], "left")
+    holding = F.filter("near", lambda t: F.col("x").between(t["xmin"], t["xmax"]) & F.col("y").between(t["ymin"], t["ymax"]))
+    p = p.select("hylak_id", F.coalesce(F.transform(holding, lambda t: t["tile"]), F.array().cast("array<string>")).alias("held_by"))
+    # a lake's points and those that numbered tiles hold are counted beside its tiles, without a tile's name
+    counted = F.concat(F.transform("held_by", lambda t: F.struct(F.lit("tile").alias("what"), t.alias("tile"))), F.array(F.struct(F.when(F.exists("held_by", lambda t: t != "ALL"), "held").otherwise("not held").alias("what"), F.lit(None).cast("string").alias("tile"))))
+    n = stored(p.select("hylak_id", F.explode(counted).alias("c")).groupBy("hylak_id", "c.what", "c.tile").agg(F.count("*").alias("n")))
+    total = n.filter("what <> 'tile'").groupBy("hylak_id").agg(F.sum("n").alias("points"), F.sum(F.when(F.col("what") == "held", F.col("n")).otherwise(0)).alias("held"))
+    return n.filter("what = 'tile'").join(total, "hylak_id").select("hylak_id", "tile", (F.col("n") == F.col("points")).alias("covers"), (F.col("held") == F.col("points")).alias("together"))
 
 
 MEASURES = ("total_cells", "area_km2", "dn_zero", "dn_detected", "dn_land", "dn_no_data")
@@ -61,15 +69,15 @@ MEASURES = ("total_cells", "area_km2", "dn_zero", "dn_detected", "dn_land", "dn_
 
 def lake_raster(edges: DataFrame, here: DataFrame, cells: DataFrame, chosen: DataFrame, region: str = "CONUS") -> DataFrame:
     """(hylak_id, row, col, dn, conflict, lon, lat): the cells of each lake's chosen tiles strictly inside it, each address once. here: aligned tiles; chosen (hylak_id, tile, choice)."""
-    inside = assign_lake(located_cells(here, cells, region), edges).filter("hylak_id is not null").join(chosen, ["hylak_id", "tile"])
+    inside = assign_lake(located_cells(here, cells, region), edges, cells=lake_table(edges)).filter("hylak_id is not null").join(chosen, ["hylak_id", "tile"])
     return inside.groupBy("hylak_id", "row", "col").agg(F.min("dn").alias("dn"), (F.min("dn") < F.max("dn")).alias("conflict"), F.min("lon").alias("lon"), F.min("lat").alias("lat"))
 
 
 def chosen_tiles(edges: DataFrame, bins: DataFrame, here: DataFrame, region: str = "CONUS") -> tuple[DataFrame, DataFrame]:
     """(cover, chosen) of each lake: which of a region's aligned tiles hold points of it, and which are to be read."""
     x, y = isin.albers(F.col("lon"), F.col("lat"), region)
-    cover = tile_cover(lake_points(edges, bins).select("hylak_id", x.alias("x"), y.alias("y")), here)
-    return cover, select_tiles(cover.filter("tile <> 'ALL' or covers"))
+    cover = stored(tile_cover(lake_points(edges, bins).select("hylak_id", x.alias("x"), y.alias("y")), here))
+    return cover, stored(select_tiles(cover.filter("tile <> 'ALL' or covers")))
 
 
 def raster_counts(edges: DataFrame, bins: DataFrame, tiles: DataFrame, cells: DataFrame, region: str = "CONUS") -> DataFrame:
@@ -81,10 +89,10 @@ def raster_counts(edges: DataFrame, bins: DataFrame, tiles: DataFrame, cells: Da
     once. status: complete; incomplete_coverage; overlap_conflict (tiles differ at an address);
     unavailable (no tile holds a point of it). All measures are null unless complete.
     """
-    here = aligned_tiles(tiles).filter(F.col("region") == region)
+    here = stored(aligned_tiles(tiles).filter(F.col("region") == region))
     cover, chosen = chosen_tiles(edges, bins, here, region)
     once = lake_raster(edges, here, cells, chosen, region)
-    counts = histogram(once).join(once.groupBy("hylak_id").agg(F.bool_or("conflict").alias("conflict")), "hylak_id")
+    counts = histogram(once, F.bool_or("conflict").alias("conflict"))
     seen = cover.select("hylak_id").distinct().withColumn("seen", F.lit(True))
     out = edges.select("hylak_id").distinct().join(seen, "hylak_id", "left").join(chosen.groupBy("hylak_id").agg(F.min("choice").alias("choice"), F.count("*").alias("tiles")), "hylak_id", "left").join(counts, "hylak_id", "left")
     status = F.when(F.col("seen").isNull(), "unavailable").when(F.col("choice").isNull(), "incomplete_coverage").when(flag(F.col("conflict")), "overlap_conflict").otherwise("complete")
@@ -155,11 +163,11 @@ def cells_in_lakes(cells: DataFrame, edges: DataFrame) -> DataFrame:
     return assign_lake(cells, edges).filter("hylak_id is not null")
 
 
-def histogram(cells: DataFrame) -> DataFrame:
-    """Per lake: cells, their area, and counts of the value classes."""
+def histogram(cells: DataFrame, *more: Column) -> DataFrame:
+    """Per lake: cells, their area, counts of the value classes, and more aggregates if given."""
     n = lambda c, name: F.count_if(c).alias(name)
     d = F.col("dn")
-    return cells.groupBy("hylak_id").agg(F.count("*").alias("total_cells"), (F.count("*") * 0.09).alias("area_km2"), n(d == 0, "dn_zero"), n(d.between(1, 253), "dn_detected"), n(d == 254, "dn_land"), n(d == 255, "dn_no_data"))
+    return cells.groupBy("hylak_id").agg(F.count("*").alias("total_cells"), (F.count("*") * 0.09).alias("area_km2"), n(d == 0, "dn_zero"), n(d.between(1, 253), "dn_detected"), n(d == 254, "dn_land"), n(d == 255, "dn_no_data"), *more)
 
 
 def pair_cells(nasa: DataFrame, ours: DataFrame) -> DataFrame:
