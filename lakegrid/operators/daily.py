@@ -43,6 +43,14 @@ def daily_cells(lake_bins: DataFrame, lake_days: DataFrame, scene_bins: DataFram
     return cells.withColumn("dn", ci_to_dn(F.col("ci_cyano"), F.col("ci_cyano").isNotNull()))
 
 
+def best_values(lake_bins: DataFrame, lake_days: DataFrame, scene_bins: DataFrame, index: str) -> DataFrame:
+    """(hylak_id, bin, index): the largest value that daily_cells has of an index in a bin on any date, where it has one. No cells are listed for it, as the largest of a date's largest is the largest of all scenes."""
+    valued = scene_bins.filter(F.col(f"{index}_mean").isNotNull()).select("scene_no", "bin", f"{index}_mean")
+    owned = valued.join(lake_bins.select("hylak_id", "bin"), "bin")
+    used = lake_days.select("scene_no", "hylak_id").distinct()
+    return owned.join(used, ["scene_no", "hylak_id"]).groupBy("hylak_id", "bin").agg(F.max(f"{index}_mean").alias(index))
+
+
 def restrict_to_state(lake_bins: DataFrame, lake_days: DataFrame, scene_bins: DataFrame, owners: DataFrame, state_id: int) -> tuple[DataFrame, DataFrame, DataFrame, int]:
     """The inputs of daily_cells cut down to the lakes that a state owns, before anything heavy is joined, and how many lakes of lake_days were left out.
 
